@@ -174,16 +174,28 @@ VIEWS: dict[str, str] = {
 _INPUT = re.compile(r"\{(\w+)\}")
 
 
+# Schemas of the test tables, so that opening one reads no file.
+SCHEMAS = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
+    " o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,"
+    " l_quantity double, l_extendedprice double, l_discount double, l_tax double,"
+    " l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+}
+
+
 def bridge_tables(spark: SparkSession, sf_dir: str) -> Tables:
     """The base tables as lazy Spark frames over `sf_dir`."""
     inputs: dict = {}
 
     def load(name: str):
         text = VIEWS[name]
-        for table in set(_INPUT.findall(text)):
-            if table not in inputs:
-                inputs[table] = spark.read.parquet(f"{sf_dir}/{table}.parquet")
-        return spark.sql(text, **{t: inputs[t] for t in set(_INPUT.findall(text))})
+        used = set(_INPUT.findall(text))
+        for table in used - inputs.keys():
+            inputs[table] = spark.read.schema(SCHEMAS[table]).parquet(f"{sf_dir}/{table}.parquet")
+        return spark.sql(text, **{table: inputs[table] for table in used})
 
     return Tables(spark, load)
 

@@ -189,7 +189,7 @@ def source_switch(t: Tables) -> DataFrame:
     chain, c = Chain(t), F.col
     linked = _linked(chain)
     sales = chain.join(linked.where(~is_blank(c("si_so"))), chain.order_items(), [("so_id", "soi_so")])
-    sales = chain.join_bonuses(sales, chain.bonuses())
+    sales = chain.join_bonuses(sales, chain.bonuses(), "so_id")
     bought = chain.join(
         linked.where(is_blank(c("si_so"))), chain.purchase_items(), [("po_id", "poi_po")]
     )
@@ -242,7 +242,7 @@ def net_price(t: Tables) -> DataFrame:
 @query
 def net_amount(t: Tables) -> DataFrame:
     chain, c = Chain(t), F.col
-    df = chain.join_bonuses(chain.order_items(), chain.bonuses())
+    df = chain.join_bonuses(chain.order_items(), chain.bonuses(), "soi_so")
     df = df.select(
         "soi_so",
         "soi_product",

@@ -99,8 +99,13 @@ def bonus_rollup(
         items = skew_join(
             items, weights, [("szFSoId", "_order")], "inner", heavy_left=heavy_orders, salts=salts
         )
+    bonuses = bonuses.where(F.col("szProductId").isNotNull())
+    if not heavy_orders and not heavy_lines:
+        # By order alone: every later step, and the join to the order's items, then
+        # finds its rows in place.
+        items, bonuses = items.repartition("szFSoId"), bonuses.repartition("szFSoId")
     lines = skew_join(
-        bonuses.where(F.col("szProductId").isNotNull()),
+        bonuses,
         _item_shares(items),
         [("szFSoId", "_so"), ("shItemNumber", "_line")],
         "inner",

@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,7 +18,7 @@ from pyspark.sql import functions as F
 from ..functions.nulls import is_blank, is_empty
 
 _SEPARATOR = "\u0001"
-_COUNTERS = 1024
+_COUNTERS = 8192
 _SKETCH_GROUPS = 64
 
 
@@ -70,8 +69,9 @@ def _repeated(condition: Column, salts: int) -> Column:
     return F.explode(F.when(condition, every).otherwise(F.array(F.lit(0))))
 
 
-def key_condition(on: Sequence[tuple[str, str]]) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(l) == F.col(r) for l, r in on])
+def key_condition(on: Sequence[tuple[str, str]], only_if: str | None = None) -> Column:
+    terms = [f"{l} = {r}" for l, r in on]
+    return F.expr(" and ".join(terms + [f"({only_if})"] if only_if else terms))
 
 
 def skew_join(
@@ -80,6 +80,7 @@ def skew_join(
     on: Sequence[tuple[str, str]],
     how: str = "left",
     *,
+    only_if: str | None = None,
     spread_blank: bool = False,
     heavy_left: Sequence[str] = (),
     heavy_right: Sequence[str] = (),
@@ -87,6 +88,7 @@ def skew_join(
 ) -> DataFrame:
     """`left.join(right, on, how)` for `left`, `inner` and `left_semi` joins.
 
+    `only_if` is a condition on the left row without which it matches nothing.
     `spread_blank` salts left rows whose first key is blank or NULL.  Column
     names must be distinct across both sides.
     """
@@ -96,7 +98,7 @@ def skew_join(
         right = right.select([r for _, r in on]).distinct()
         heavy_right = ()
     if not (spread_blank or heavy_left or heavy_right):
-        return left.join(right, key_condition(on), how)
+        return left.join(right, key_condition(on, only_if), how)
 
     left_columns, right_columns = left.columns, right.columns
     left_key, right_key = (key_text(side) for side in zip(*on))
@@ -120,7 +122,10 @@ def skew_join(
     if heavy_right:
         present = right.where(_one_of(right_key, heavy_right)).select(right_key.alias("_heavy"))
         # At most len(heavy_right) rows.
-        left = left.join(F.broadcast(present.distinct()), left_key == F.col("_heavy"), "left")
+        matches = left_key == F.col("_heavy")
+        if only_if:
+            matches = matches & F.expr(only_if)
+        left = left.join(F.broadcast(present.distinct()), matches, "left")
         left = left.withColumn("_part", _repeated(F.col("_heavy").isNotNull(), salts))
         right = right.withColumn(
             "_right_part",
@@ -128,7 +133,7 @@ def skew_join(
         )
         pairs.append(("_part", "_right_part"))
 
-    joined = left.join(right, key_condition(pairs), how)
+    joined = left.join(right, key_condition(pairs, only_if), how)
     if heavy_right and how == "left":
         # A repeated left row misses in the parts that hold no match for it; its key
         # is known to be present, so those misses are not the join's.

@@ -31,7 +31,7 @@ class SkewSettings:
     """
 
     min_bytes: int = 4 << 30
-    share: float = 0.02
+    share: float = 0.005
     salts: int | None = None
 
 
@@ -48,7 +48,7 @@ class Chain:
         """Columns of a table under names that are unique in the chain."""
         for new, old in names.items():
             self._origin[new] = (table, old)
-        return self.tables[table].select([F.col(old).alias(new) for new, old in names.items()])
+        return self.tables[table].selectExpr(*[f"{old} as {new}" for new, old in names.items()])
 
     def none(self, df: DataFrame) -> DataFrame:
         return df.where(F.lit(False))
@@ -82,6 +82,7 @@ class Chain:
         on: Sequence[tuple[str, str]],
         how: str = "left",
         *,
+        only_if: str | None = None,
         spread: bool = False,
         unique: bool = False,
     ) -> DataFrame:
@@ -89,10 +90,13 @@ class Chain:
 
         A right side small enough for Spark to broadcast needs no salt.
         `unique` says the right side has one row per key.
+
+        A left join passes on the partitioning of its left key only.  So joins
+        that follow each other name the same left column wherever they can.
         """
         left_keys, right_keys = [l for l, _ in on], [r for _, r in on]
         if self._is_small(right_keys[0]):
-            return skew_join(left, right, on, how)
+            return skew_join(left, right, on, how, only_if=only_if)
         heavy_right = () if unique else self.heavy(*right_keys)
         if heavy_right:
             right = right.distinct()
@@ -101,6 +105,7 @@ class Chain:
             right,
             on,
             how,
+            only_if=only_if,
             spread_blank=spread,
             heavy_left=self.heavy(*left_keys),
             heavy_right=heavy_right,
@@ -153,11 +158,19 @@ class Chain:
             so_void="bVoid",
         )
 
-    def orders_since(self, floor: DateFloor) -> DataFrame:
-        return self.orders().where(floor.admits(F.col("so_ordered"))).select("so_id")
+    def orders_since(self, floor: DateFloor, scope: DataFrame) -> DataFrame:
+        """Ids of the orders in `scope` (one id column) that the floor admits."""
+        admitted = self.orders().where(floor.admits(F.col("so_ordered"))).select("so_id")
+        return self.join(admitted, scope, [("so_id", scope.columns[0])], "left_semi")
 
-    def order_items(self) -> DataFrame:
-        return self.pick(
+    def order_items(self, scope: DataFrame | None = None) -> DataFrame:
+        """Items of all orders, or of those in `scope` (one id column).
+
+        A plan is about one month, the items are of all years: the ids of the
+        month keep the others out of the shuffle when they can be broadcast or
+        put into a Bloom filter, and out of the wide join in any case.
+        """
+        df = self.pick(
             "sales_order_item",
             soi_so="szFSoId",
             soi_product="szProductId",
@@ -172,6 +185,9 @@ class Chain:
             soi_price="decPrice",
             soi_taxable="bTaxable",
         )
+        if scope is None:
+            return df
+        return self.join(df, scope, [("soi_so", scope.columns[0])], "left_semi")
 
     def purchase_orders(self) -> DataFrame:
         return self.pick(
@@ -290,7 +306,7 @@ class Chain:
             decDPP="decDPP",
             decTax="decTax",
         )
-        heavy_orders = self.heavy("szFSoId") if orders is not None else ()
+        heavy_orders = self.heavy("szFSoId")
         source = self.pick(
             "bonus_source",
             szFSoId="szFSoId",
@@ -307,16 +323,17 @@ class Chain:
             items,
             source,
             orders,
-            heavy_orders=heavy_orders,
+            heavy_orders=heavy_orders + self.heavy("szFSoId"),
             heavy_lines=self.heavy("szFSoId", "shItemNumber"),
             salts=self.salts,
         )
         names = dict(zip(rollups.BONUS_KEYS, BONUS_COLUMNS))
         return totals.select([F.col(c).alias(names.get(c, c)) for c in totals.columns])
 
-    def join_bonuses(self, df: DataFrame, bonuses: DataFrame) -> DataFrame:
-        return self.join(df, bonuses, list(zip(ITEM_COLUMNS, BONUS_COLUMNS)), unique=True)
+    def join_bonuses(self, df: DataFrame, bonuses: DataFrame, order_key: str) -> DataFrame:
+        """Discounts of a row's item; `order_key` is the left column its item was joined on."""
+        keys = (order_key, "soi_product", "soi_parent", "soi_payment", "soi_type")
+        return self.join(df, bonuses, list(zip(keys, BONUS_COLUMNS)), unique=True)
 
 
-ITEM_COLUMNS = ("soi_so", "soi_product", "soi_parent", "soi_payment", "soi_type")
 BONUS_COLUMNS = ("bonus_so", "bonus_product", "bonus_parent", "bonus_payment", "bonus_type")

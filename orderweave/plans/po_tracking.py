@@ -11,7 +11,7 @@ from ..functions.windows import DateFloor, DateWindow
 from ..operators.joins import flag_states, surviving_flags
 from ..sources import Tables
 from .chain import Chain, SkewSettings
-from .spine import bought_flags, dated_inquiries, with_order_items, with_products
+from .spine import HEADER_IDS, bought_flags, dated_inquiries, with_order_items, with_products
 
 # Channels kept, and marks of reservation orders.
 CHANNELS = ("GT", "MTI")
@@ -93,6 +93,7 @@ def po_tracking_month(
     `created` and `bonus_floor` default to the window and its start.
     """
     chain = Chain(tables, skew)
+    tables.look_for_blanks(*HEADER_IDS)
     created = created or window
     bonus_floor = bonus_floor or DateFloor(window.start)
     branches = [True]
@@ -147,8 +148,10 @@ def _month_rows(
         confirmations = chain.confirmations()
     df = chain.join(df, transfers, [("si_so", "transfer_so")], spread=spread)
     df = chain.join(df, confirmations, [("si_so", "delv_so"), ("do_id", "delv_do")])
-    df = with_order_items(chain, df, with_sales_order)
-    df = chain.join_bonuses(df, chain.bonuses(chain.orders_since(bonus_floor)))
+    scope = orders.select(F.col("so_id").alias("scope_so"))
+    df = with_order_items(chain, df, scope, with_sales_order)
+    discounted = chain.orders_since(bonus_floor, scope)
+    df = chain.join_bonuses(df, chain.bonuses(discounted), "si_so")
     df = with_products(chain, df, with_sales_order)
     columns = _shared_columns(with_sales_order)
     return df.select([value.alias(name) for name, value in columns.items()]).distinct()
@@ -169,6 +172,7 @@ def po_tracking_by_delivery(
     before it carry no invoice discount.
     """
     chain = Chain(tables, skew)
+    tables.look_for_blanks(*HEADER_IDS)
     bonus_floor = bonus_floor or DateFloor(delivered.start)
     orders = chain.orders()
     # Every row needs a delivery confirmation, which names a sales order.
@@ -191,15 +195,16 @@ def po_tracking_by_delivery(
 
     df = _not_canceled(chain, df, spread=False)
     df = chain.join(df, chain.transfers(), [("si_so", "transfer_so")])
-    df = with_order_items(chain, df, with_sales_order=True)
-    in_scope = confirmations.select(F.col("delv_so").alias("scope_so"), F.col("delv_no").alias("scope_no"))
+    scope = confirmations.select(F.col("delv_so").alias("scope_so"))
+    df = with_order_items(chain, df, scope, with_sales_order=True)
     df = chain.join(
         df,
-        chain.delivered(in_scope),
+        chain.delivered(scope),
         [("si_so", "dlv_so"), ("delv_no", "dlv_no"), ("soi_product", "dlv_product")],
         unique=True,
     )
-    df = chain.join_bonuses(df, chain.bonuses(chain.orders_since(bonus_floor)))
+    discounted = chain.orders_since(bonus_floor, scope)
+    df = chain.join_bonuses(df, chain.bonuses(discounted), "si_so")
     # By the inquiry's note id: where the note is missing the quantity is zero anyway.
     df = chain.join(
         df,

@@ -22,6 +22,8 @@ from ..operators.rollups import DISCOUNT_NAMES
 from ..sources import Tables
 from .chain import Chain, SkewSettings
 from .spine import (
+    HEADER_IDS,
+    LOG_IDS,
     bought_flags,
     dated_inquiries,
     order_ids_in_window,
@@ -117,8 +119,11 @@ def replacement_sides(chain: Chain, per_key: bool = False) -> tuple[DataFrame, D
     if few is None:
         return replacements, items
     ids = [row["new_invoice"] for row in few.collect()]
-    items = items.where(F.col("newitem_invoice").isin(ids)) if ids else chain.none(items)
-    return few, items.distinct()
+    if not ids:
+        return few, chain.none(items)
+    items = items.where(F.col("newitem_invoice").isin(ids)).distinct()
+    few_items = chain.few_rows(items, limit=1000)
+    return few, items if few_items is None else few_items
 
 
 def with_replacements(
@@ -155,6 +160,7 @@ def so_tracking_inquiry(
     after its start.
     """
     chain = Chain(tables, skew)
+    tables.look_for_blanks(*HEADER_IDS, *LOG_IDS)
     bonus_floor = bonus_floor or DateFloor(window.start, inclusive=False)
     replaced = replacement_sides(chain, latest_history_per_delivery)
     linked = _inquiry_rows(chain, window, bonus_floor, replaced, True)
@@ -204,8 +210,9 @@ def _inquiry_rows(
         confirmations if with_sales_order else chain.none(confirmations),
         [("si_so", "delv_so"), ("do_id", "delv_do")],
     )
-    df = with_order_items(chain, df, with_sales_order)
-    df = _with_item_documents(chain, df, window, bonus_floor, with_sales_order, orders_stored)
+    scope = order_ids_in_window(chain, window)
+    df = with_order_items(chain, df, scope, with_sales_order)
+    df = _with_item_documents(chain, df, scope, bonus_floor, with_sales_order, orders_stored)
     df = with_replacements(chain, df, *replaced)
     df = with_products(chain, df, with_sales_order)
 
@@ -275,19 +282,22 @@ def _inquiry_rows(
 def _with_item_documents(
     chain: Chain,
     df: DataFrame,
-    window: DateWindow,
+    scope: DataFrame,
     bonus_floor: DateFloor,
     with_sales_order: bool,
     orders_stored: bool,
 ) -> DataFrame:
     """Discounts, delivered, noted and invoiced quantities of the row's sales item."""
-    bonuses = chain.bonuses(chain.orders_since(bonus_floor))
-    df = chain.join_bonuses(df, bonuses if orders_stored else chain.none(bonuses))
     if with_sales_order:
-        scope = order_ids_in_window(chain, window).withColumnRenamed("si_so", "scope_so")
+        bonuses = chain.bonuses(chain.orders_since(bonus_floor, scope))
         delivered = chain.delivered(scope)
     else:
+        orders = chain.blank_only(chain.orders(), "so_id")
+        orders = orders.where(bonus_floor.admits(F.col("so_ordered"))).select("so_id")
+        bonuses = chain.bonuses(orders)
+        bonuses = bonuses if orders_stored else chain.none(bonuses)
         delivered = chain.none(chain.delivered())
+    df = chain.join_bonuses(df, bonuses, "si_so")
     df = chain.join(
         df,
         delivered,
@@ -328,10 +338,10 @@ def so_tracking_no_inquiry(
     df = chain.join(df, customers, [("so_customer", "cust_id")])
     df = with_approvals(chain, df)
     df = with_deliveries(chain, df, "so_do")
-    df = chain.join(
-        df, chain.order_items().where(not_empty(c("soi_product"))), [("so_id", "soi_so")]
-    )
-    df = chain.join_bonuses(df, chain.bonuses(in_window.select("so_id").distinct()))
+    scope = in_window.select(c("so_id").alias("scope_so")).distinct()
+    items = chain.order_items(scope).where(not_empty(c("soi_product")))
+    df = chain.join(df, items, [("so_id", "soi_so")])
+    df = chain.join_bonuses(df, chain.bonuses(scope), "so_id")
     df = chain.join(df, chain.products(), [("soi_product", "product_id")])
     columns = {
         "szFPOid": trimmed(c("so_customer_po")),

@@ -23,6 +23,10 @@ from .chain import Chain
 SOLD = "JUAL"
 BOUGHT = ("BELI", "BELI-BERIKAT")
 
+# Ids whose being blank decides which branches a plan needs.
+HEADER_IDS = (("sales_order", "szFSoId"), ("purchase_order", "szFPo_sId"))
+LOG_IDS = (("transfer_log", "szDocId"), ("cancel_log", "szDocId"))
+
 
 def dated_inquiries(
     chain: Chain,
@@ -90,7 +94,8 @@ def order_ids_in_window(chain: Chain, window: DateWindow) -> DataFrame:
         [("si_so", "so_id")],
         "left_semi",
     )
-    return bought.select("si_so").unionByName(sold.select("si_so"))
+    ids = bought.select("si_so").unionByName(sold.select("si_so"))
+    return ids.withColumnRenamed("si_so", "scope_so")
 
 
 def bought_flags(chain: Chain) -> DataFrame:
@@ -106,14 +111,26 @@ def is_item_of_interest(with_sales_order: bool) -> Column:
     return sold | bought
 
 
-def with_order_items(chain: Chain, df: DataFrame, with_sales_order: bool) -> DataFrame:
-    """Items of the matched sales order, filtered to the items of interest."""
-    items = chain.order_items()
-    if not with_sales_order:
-        items = chain.blank_only(items, "soi_so")
-        if not chain.tables.has_blank("sales_order", "szFSoId"):
-            items = chain.none(items)
-    df = chain.join(df, items, [("so_id", "soi_so")], spread=not with_sales_order)
+def with_order_items(
+    chain: Chain, df: DataFrame, scope: DataFrame, with_sales_order: bool
+) -> DataFrame:
+    """Items of the matched sales order, filtered to the items of interest.
+
+    `scope` holds the ids of all orders that can match.
+    """
+    if with_sales_order:
+        items = chain.order_items(scope)
+    else:
+        items = chain.order_items()
+        stored = chain.tables.has_blank("sales_order", "szFSoId")
+        items = chain.blank_only(items, "soi_so") if stored else chain.none(items)
+    df = chain.join(
+        df,
+        items,
+        [("si_so", "soi_so")],
+        only_if="so_id is not null",
+        spread=not with_sales_order,
+    )
     return df.where(is_item_of_interest(with_sales_order))
 
 

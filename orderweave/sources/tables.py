@@ -83,11 +83,22 @@ class Tables:
         return self._heavy[key]
 
     def has_blank(self, name: str, column: str) -> bool:
-        key = (name, column)
-        if key not in self._blank:
-            ids = self[name].select(column).where(is_empty_id(F.col(column)))
-            self._blank[key] = not ids.isEmpty()
-        return self._blank[key]
+        if (name, column) not in self._blank:
+            self.look_for_blanks((name, column))
+        return self._blank[name, column]
+
+    def look_for_blanks(self, *ids: tuple[str, str]) -> None:
+        """Find out in one job which of some `(table, id column)` have blank ids."""
+        unknown = [pair for pair in ids if pair not in self._blank]
+        if not unknown:
+            return
+        found = None
+        for name, column in unknown:
+            one = self[name].where(is_empty_id(F.col(column))).limit(1)
+            one = one.select(F.lit(f"{name}.{column}").alias("id"))
+            found = one if found is None else found.unionAll(one)
+        blank = {row["id"] for row in found.collect()}
+        self._blank.update({(n, c): f"{n}.{c}" in blank for n, c in unknown})
 
 
 def conform(df: DataFrame, name: str, money: T.DataType = MONEY) -> DataFrame:
