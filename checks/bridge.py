@@ -9,8 +9,9 @@ like stand for the test tables.
 from __future__ import annotations
 
 import re
+from weakref import WeakKeyDictionary
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from orderweave.sources import Tables
 
@@ -186,16 +187,22 @@ SCHEMAS = {
 }
 
 
+_DEFINED: WeakKeyDictionary = WeakKeyDictionary()
+
+
 def bridge_tables(spark: SparkSession, sf_dir: str) -> Tables:
-    """The base tables as lazy Spark frames over `sf_dir`."""
-    inputs: dict = {}
+    """The base tables as lazy Spark frames over `sf_dir`; a session defines them once."""
+    inputs, frames = _DEFINED.setdefault(spark, {}).setdefault(sf_dir, ({}, {}))
 
-    def load(name: str):
+    def load(name: str) -> DataFrame:
+        if name in frames:
+            return frames[name]
         text = VIEWS[name]
         used = set(_INPUT.findall(text))
         for table in used - inputs.keys():
             inputs[table] = spark.read.schema(SCHEMAS[table]).parquet(f"{sf_dir}/{table}.parquet")
-        return spark.sql(text, **{table: inputs[table] for table in used})
+        frames[name] = spark.sql(text, **{table: inputs[table] for table in used})
+        return frames[name]
 
     return Tables(spark, load)
 

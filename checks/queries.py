@@ -41,13 +41,14 @@ from orderweave.plans.so_tracking import (
     invoice_columns,
     replacement_sides,
     with_deliveries,
+    with_replacement_items,
     with_replacements,
 )
 from orderweave.plans.spine import (
     BOUGHT,
     bought_flags,
     dated_inquiries,
-    is_item_of_interest,
+    is_sold,
 )
 from orderweave.session import scratch_folder, tune
 from orderweave.sinks import Target, replace, replace_periods, with_text_dates
@@ -281,7 +282,9 @@ def _history(t: Tables, per_key: bool) -> DataFrame:
         "invoice_item", item_invoice="szFInvoiceId", soi_product="szProductId", item_qty="decQty"
     )
     df = chain.join(df, items, [("invoice_id", "item_invoice")])
-    df = with_replacements(chain, df, *replacement_sides(chain, per_key))
+    replacements, items = replacement_sides(chain, per_key)
+    df = with_replacements(chain, df, replacements)
+    df = with_replacement_items(chain, df, items)
     columns = [value.alias(name) for name, value in invoice_columns().items()]
     return df.select("do_id", "soi_product", *columns).distinct()
 
@@ -334,7 +337,7 @@ def or_across_tables(t: Tables) -> DataFrame:
     chain = Chain(t)
     df = chain.join(chain.inquiries(), chain.order_items(), [("si_so", "soi_so")], spread=True)
     df = chain.join(df, bought_flags(chain), [("si_po", "poi_po")], spread=True)
-    return df.where(is_item_of_interest(True)).select("si_so", "si_po", "soi_product").distinct()
+    return df.where(is_sold() | F.col("has_bought")).select("si_so", "si_po", "soi_product").distinct()
 
 
 def _dated(t: Tables, window: DateWindow, created: DateWindow | None) -> DataFrame:
@@ -350,8 +353,6 @@ def _dated(t: Tables, window: DateWindow, created: DateWindow | None) -> DataFra
             orders,
             with_sales_order=with_sales_order,
             order_join="left" if created is None else "inner",
-            purchase_side=bought_flags(chain),
-            receipts=chain.receipts(),
         ).select("si_so", "si_po", "so_ordered", "so_created", "po_date", "receipt_id")
         rows = df if rows is None else rows.unionByName(df)
     return rows.distinct()

@@ -46,11 +46,12 @@ def heavy_values(df: DataFrame, columns: Sequence[str], share: float) -> tuple[s
     sketched = keyed.groupBy(F.pmod(F.spark_partition_id(), F.lit(_SKETCH_GROUPS)).alias("g")).agg(
         F.expr(f"approx_top_k_accumulate(k, {_COUNTERS})").alias("s"), F.count("k").alias("n")
     )
-    merged = sketched.agg(
+    # Grouped by a constant: sketches cannot be merged over an empty partition.
+    merged = sketched.groupBy(F.lit(1)).agg(
         F.expr(f"approx_top_k_estimate(approx_top_k_combine(s, {_COUNTERS}), {k})").alias("top"),
         F.sum("n").alias("n"),
     ).first()
-    if not merged["n"]:
+    if merged is None or not merged["n"]:
         return ()
     return tuple(t["item"] for t in merged["top"] if t["count"] >= share * merged["n"])
 

@@ -71,7 +71,7 @@ class Chain:
             return ()
         return self.tables.heavy(table, tuple(o[1] for o in origins), self.skew.share)
 
-    def _is_small(self, key: str) -> bool:
+    def is_small(self, key: str) -> bool:
         origin = self._origin.get(key)
         return origin is not None and self.tables.bytes(origin[0]) <= self.broadcast_bytes
 
@@ -95,7 +95,7 @@ class Chain:
         that follow each other name the same left column wherever they can.
         """
         left_keys, right_keys = [l for l, _ in on], [r for _, r in on]
-        if self._is_small(right_keys[0]):
+        if self.is_small(right_keys[0]):
             return skew_join(left, right, on, how, only_if=only_if)
         heavy_right = () if unique else self.heavy(*right_keys)
         if heavy_right:
@@ -112,11 +112,14 @@ class Chain:
             salts=self.salts,
         )
 
-    def few_rows(self, df: DataFrame, limit: int = 100) -> DataFrame | None:
+    def few_rows(self, df: DataFrame, key: str, limit: int = 100) -> DataFrame | None:
         """`df` as a local frame of at most `limit` rows, or None if it has more.
 
-        Spark then knows its size and broadcasts it without a hint.
+        Spark then knows its size and broadcasts it without a hint.  None also if
+        the table behind `key` is small enough for that as it is.
         """
+        if self.is_small(key):
+            return None
         rows = df.limit(limit + 1).collect()
         if len(rows) > limit:
             return None

@@ -11,7 +11,14 @@ from ..functions.windows import DateFloor, DateWindow
 from ..operators.joins import flag_states, surviving_flags
 from ..sources import Tables
 from .chain import Chain, SkewSettings
-from .spine import HEADER_IDS, bought_flags, dated_inquiries, with_order_items, with_products
+from .spine import (
+    HEADER_IDS,
+    absent,
+    dated_inquiries,
+    with_products,
+    with_purchase_items,
+    with_sales_items,
+)
 
 # Channels kept, and marks of reservation orders.
 CHANNELS = ("GT", "MTI")
@@ -129,8 +136,6 @@ def _month_rows(
         orders,
         with_sales_order=with_sales_order,
         order_join="inner",
-        purchase_side=bought_flags(chain) if with_sales_order else chain.purchase_items(),
-        receipts=chain.receipts(),
     )
     df = chain.join(df, _in_channels(chain, channels), [("si_customer", "cust_id")], "inner")
     df = _not_rejected(chain, df)
@@ -143,16 +148,19 @@ def _month_rows(
     transfers = chain.transfers()
     if spread:
         transfers = chain.blank_only(transfers, "transfer_so").distinct()
-        confirmations = chain.none(chain.confirmations())
-    else:
-        confirmations = chain.confirmations()
     df = chain.join(df, transfers, [("si_so", "transfer_so")], spread=spread)
-    df = chain.join(df, confirmations, [("si_so", "delv_so"), ("do_id", "delv_do")])
     scope = orders.select(F.col("so_id").alias("scope_so"))
-    df = with_order_items(chain, df, scope, with_sales_order)
+    if with_sales_order:
+        df = chain.join(
+            df, chain.confirmations(), [("si_so", "delv_so"), ("do_id", "delv_do")]
+        )
+        df = with_sales_items(chain, df, scope)
+    else:
+        df = absent(df, delv_out="timestamp_ntz")
+        df = with_purchase_items(chain, df)
     discounted = chain.orders_since(bonus_floor, scope)
     df = chain.join_bonuses(df, chain.bonuses(discounted), "si_so")
-    df = with_products(chain, df, with_sales_order)
+    df = with_products(chain, df, "soi_product" if with_sales_order else "poi_product")
     columns = _shared_columns(with_sales_order)
     return df.select([value.alias(name) for name, value in columns.items()]).distinct()
 
@@ -182,8 +190,6 @@ def po_tracking_by_delivery(
         orders,
         with_sales_order=True,
         order_join="left",
-        purchase_side=bought_flags(chain),
-        receipts=chain.receipts(),
     )
     confirmations = chain.confirmations().where(delivered.contains(F.col("delv_out")))
     df = chain.join(df, confirmations, [("si_so", "delv_so"), ("si_do", "delv_do")], "inner")
@@ -196,7 +202,7 @@ def po_tracking_by_delivery(
     df = _not_canceled(chain, df, spread=False)
     df = chain.join(df, chain.transfers(), [("si_so", "transfer_so")])
     scope = confirmations.select(F.col("delv_so").alias("scope_so"))
-    df = with_order_items(chain, df, scope, with_sales_order=True)
+    df = with_sales_items(chain, df, scope)
     df = chain.join(
         df,
         chain.delivered(scope),
@@ -212,7 +218,7 @@ def po_tracking_by_delivery(
         [("si_dn", "dni_dn"), ("soi_product", "dni_product")],
         spread=True,
     )
-    df = with_products(chain, df, with_sales_order=True)
+    df = with_products(chain, df, "soi_product")
 
     columns = _shared_columns(with_sales_order=True)
     del columns["qty_order"]

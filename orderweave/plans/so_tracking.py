@@ -24,11 +24,12 @@ from .chain import Chain, SkewSettings
 from .spine import (
     HEADER_IDS,
     LOG_IDS,
-    bought_flags,
+    absent,
     dated_inquiries,
     order_ids_in_window,
-    with_order_items,
     with_products,
+    with_purchase_items,
+    with_sales_items,
 )
 
 LEVELS = (1, 2, 3)
@@ -57,7 +58,7 @@ def with_deliveries(chain: Chain, df: DataFrame, key: str) -> DataFrame:
     return chain.join(df, _invoices(chain), [("do_invoice", "invoice_id")], spread=True)
 
 
-def with_approvals(chain: Chain, df: DataFrame, stored: bool = True) -> DataFrame:
+def with_approvals(chain: Chain, df: DataFrame) -> DataFrame:
     """Approval levels 1 to 3 side by side, and the highest level of the order."""
     for n in LEVELS:
         level = chain.pick(
@@ -70,9 +71,9 @@ def with_approvals(chain: Chain, df: DataFrame, stored: bool = True) -> DataFram
             },
         )
         level = level.where(F.col(f"gd{n}_level") == n).drop(f"gd{n}_level")
-        df = chain.join(df, level if stored else chain.none(level), [("so_approval", f"gd{n}_id")])
+        df = chain.join(df, level, [("so_approval", f"gd{n}_id")])
     levels = chain.pick("approval_item", gd_id="gdApprovedId", gd_level="btApprovedLevel")
-    levels = highest(levels if stored else chain.none(levels), "gd_id", "gd_level", "max_level")
+    levels = highest(levels, "gd_id", "gd_level", "max_level")
     return chain.join(df, levels, [("so_approval", "gd_id")], unique=True)
 
 
@@ -102,35 +103,40 @@ def replacement_invoices(chain: Chain, per_key: bool = False) -> DataFrame:
         history = F.broadcast(history)
     df = chain.join(deliveries, history, [("newdo_id", "new_do")], "inner")
     if not per_key:
-        few = chain.few_rows(df.select("old_do", "newdo_invoice").distinct())
-        df = df if few is None else few
+        df = _as_few(chain, df.select("old_do", "newdo_invoice").distinct(), "newdo_id")
     return chain.join(df, invoices, [("newdo_invoice", "new_invoice")], "inner").select(
         "old_do", "new_invoice"
     )
 
 
+def _as_few(chain: Chain, df: DataFrame, key: str, limit: int = 100) -> DataFrame:
+    few = chain.few_rows(df, key, limit)
+    return df if few is None else few
+
+
 def replacement_sides(chain: Chain, per_key: bool = False) -> tuple[DataFrame, DataFrame]:
     """Replacement invoices and their items."""
     replacements = replacement_invoices(chain, per_key).distinct()
     items = chain.pick(
         "invoice_item", newitem_invoice="szFInvoiceId", newitem_product="szProductId", newitem_qty="decQty"
     )
-    few = None if per_key else chain.few_rows(replacements)
+    few = None if per_key else chain.few_rows(replacements, "new_invoice")
     if few is None:
         return replacements, items
     ids = [row["new_invoice"] for row in few.collect()]
     if not ids:
         return few, chain.none(items)
     items = items.where(F.col("newitem_invoice").isin(ids)).distinct()
-    few_items = chain.few_rows(items, limit=1000)
-    return few, items if few_items is None else few_items
+    return few, _as_few(chain, items, "newitem_invoice", limit=1000)
 
 
-def with_replacements(
-    chain: Chain, df: DataFrame, replacements: DataFrame, items: DataFrame
-) -> DataFrame:
-    """Replacement invoice of the row's delivery and its quantity of the row's product."""
-    df = chain.join(df, replacements, [("do_id", "old_do")])
+def with_replacements(chain: Chain, df: DataFrame, replacements: DataFrame) -> DataFrame:
+    """Replacement invoice of the row's delivery."""
+    return chain.join(df, replacements, [("do_id", "old_do")])
+
+
+def with_replacement_items(chain: Chain, df: DataFrame, items: DataFrame) -> DataFrame:
+    """Quantity of the row's product on the replacement invoice."""
     return chain.join(
         df, items, [("new_invoice", "newitem_invoice"), ("soi_product", "newitem_product")]
     )
@@ -177,46 +183,47 @@ def _inquiry_rows(
     with_sales_order: bool,
 ) -> DataFrame:
     c = F.col
-    spread = not with_sales_order
     orders_stored = with_sales_order or chain.tables.has_blank("sales_order", "szFSoId")
     df = dated_inquiries(
-        chain,
-        window,
-        chain.orders(),
-        with_sales_order=with_sales_order,
-        order_join="left",
-        purchase_side=bought_flags(chain) if with_sales_order else chain.purchase_items(),
-        receipts=chain.receipts(),
+        chain, window, chain.orders(), with_sales_order=with_sales_order, order_join="left"
     )
     df = chain.join(df, chain.customers(), [("si_customer", "cust_id")])
-    df = with_approvals(chain, df, stored=orders_stored)
+    if orders_stored:
+        df = with_approvals(chain, df)
+    else:
+        df = absent(df, max_level="tinyint")
+        for n in LEVELS:
+            df = absent(df, **{f"gd{n}_time": "timestamp_ntz", f"gd{n}_approved": "boolean"})
     df = chain.join(df, chain.delivery_notes(), [("si_dn", "dn_id")], spread=True)
     df = chain.join(df, chain.note_status(), [("si_dn", "closed_dn")], spread=True, unique=True)
     df = with_deliveries(chain, df, "si_do")
-
-    transfers = chain.transfers()
-    cancels = chain.pick(
-        "cancel_log", cancel_so="szDocId", cancel_flag="bAlreadyTransferred", cancel_data="szData"
-    )
-    cancels = cancels.where("cancel_flag").drop("cancel_flag")
-    if spread:
-        transfers = chain.blank_only(transfers, "transfer_so").distinct()
-        cancels = chain.blank_only(cancels, "cancel_so").distinct()
-    df = chain.join(df, transfers, [("si_so", "transfer_so")], spread=spread)
-    df = chain.join(df, cancels, [("si_so", "cancel_so")], spread=spread)
-    confirmations = chain.confirmations()
-    df = chain.join(
-        df,
-        confirmations if with_sales_order else chain.none(confirmations),
-        [("si_so", "delv_so"), ("do_id", "delv_do")],
-    )
-    scope = order_ids_in_window(chain, window)
-    df = with_order_items(chain, df, scope, with_sales_order)
-    df = _with_item_documents(chain, df, scope, bonus_floor, with_sales_order, orders_stored)
-    df = with_replacements(chain, df, *replaced)
-    df = with_products(chain, df, with_sales_order)
-
+    df = _with_logs(chain, df, with_sales_order)
+    if with_sales_order:
+        confirmations = chain.confirmations()
+        df = chain.join(df, confirmations, [("si_so", "delv_so"), ("do_id", "delv_do")])
+        scope = order_ids_in_window(chain, window)
+        df = with_sales_items(chain, df, scope)
+        discounted = chain.orders_since(bonus_floor, scope)
+        df = chain.join_bonuses(df, chain.bonuses(discounted), "si_so")
+        df = chain.join(
+            df,
+            chain.delivered(scope),
+            [("si_so", "dlv_so"), ("delv_no", "dlv_no"), ("soi_product", "dlv_product")],
+            unique=True,
+        )
+    else:
+        # No confirmation and no discount of this dataset is without a sales order.
+        df = absent(df, delv_out="timestamp_ntz", delv_so="string", dlv_qty="int")
+        df = with_purchase_items(chain, df)
+    replacements, replacement_items = replaced
+    df = with_replacements(chain, df, replacements)
+    if orders_stored:
+        df = _with_item_documents(chain, df, replacement_items)
+    else:
+        df = absent(df, dni_qty="int", item_qty="int", newitem_qty="int")
     side = "soi" if with_sales_order else "poi"
+    df = with_products(chain, df, f"{side}_product")
+
     taxed = (c(f"{side}_taxable"), c(f"{side}_net"), c(f"{side}_tax"))
     if with_sales_order:
         discounts = {name: c(name) for name in DISCOUNT_NAMES}
@@ -279,32 +286,30 @@ def _inquiry_rows(
     return df.select([value.alias(name) for name, value in columns.items()]).distinct()
 
 
-def _with_item_documents(
-    chain: Chain,
-    df: DataFrame,
-    scope: DataFrame,
-    bonus_floor: DateFloor,
-    with_sales_order: bool,
-    orders_stored: bool,
-) -> DataFrame:
-    """Discounts, delivered, noted and invoiced quantities of the row's sales item."""
+def _with_logs(chain: Chain, df: DataFrame, with_sales_order: bool) -> DataFrame:
+    """Transfer time and cancel data of the row's sales order."""
+    transfers = chain.transfers()
+    cancels = chain.pick(
+        "cancel_log", cancel_so="szDocId", cancel_flag="bAlreadyTransferred", cancel_data="szData"
+    )
+    cancels = cancels.where("cancel_flag").drop("cancel_flag")
     if with_sales_order:
-        bonuses = chain.bonuses(chain.orders_since(bonus_floor, scope))
-        delivered = chain.delivered(scope)
+        df = chain.join(df, transfers, [("si_so", "transfer_so")])
+        return chain.join(df, cancels, [("si_so", "cancel_so")])
+    # Log entries without an order id belong to all inquiries without one.
+    if chain.tables.has_blank("transfer_log", "szDocId"):
+        transfers = chain.blank_only(transfers, "transfer_so").distinct()
+        df = chain.join(df, transfers, [("si_so", "transfer_so")], spread=True)
     else:
-        orders = chain.blank_only(chain.orders(), "so_id")
-        orders = orders.where(bonus_floor.admits(F.col("so_ordered"))).select("so_id")
-        bonuses = chain.bonuses(orders)
-        bonuses = bonuses if orders_stored else chain.none(bonuses)
-        delivered = chain.none(chain.delivered())
-    df = chain.join_bonuses(df, bonuses, "si_so")
-    df = chain.join(
-        df,
-        delivered,
-        [("si_so", "dlv_so"), ("delv_no", "dlv_no"), ("soi_product", "dlv_product")],
-        unique=True,
-    )
-    note_items = chain.delivery_note_items()
+        df = absent(df, transfer_time="timestamp_ntz")
+    if chain.tables.has_blank("cancel_log", "szDocId"):
+        cancels = chain.blank_only(cancels, "cancel_so").distinct()
+        return chain.join(df, cancels, [("si_so", "cancel_so")], spread=True)
+    return absent(df, cancel_data="string")
+
+
+def _with_item_documents(chain: Chain, df: DataFrame, replacement_items: DataFrame) -> DataFrame:
+    """Noted, invoiced and replacement-invoiced quantities of the row's sales item."""
     invoice_items = chain.pick(
         "invoice_item",
         item_invoice="szFInvoiceId",
@@ -312,17 +317,19 @@ def _with_item_documents(
         item_type="szOrderItemTypeId",
         item_qty="decQty",
     )
-    if not orders_stored:
-        note_items, invoice_items = chain.none(note_items), chain.none(invoice_items)
     # By the inquiry's note id: where the note is missing the quantity is zero anyway.
     df = chain.join(
-        df, note_items, [("si_dn", "dni_dn"), ("soi_product", "dni_product")], spread=True
+        df,
+        chain.delivery_note_items(),
+        [("si_dn", "dni_dn"), ("soi_product", "dni_product")],
+        spread=True,
     )
-    return chain.join(
+    df = chain.join(
         df,
         invoice_items,
         [("invoice_id", "item_invoice"), ("soi_product", "item_product"), ("soi_type", "item_type")],
     )
+    return with_replacement_items(chain, df, replacement_items)
 
 
 def so_tracking_no_inquiry(

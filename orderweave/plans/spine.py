@@ -35,12 +35,11 @@ def dated_inquiries(
     *,
     with_sales_order: bool,
     order_join: str,
-    purchase_side: DataFrame,
-    receipts: DataFrame,
 ) -> DataFrame:
-    """Inquiries in the window with order, purchase order, receipt and `purchase_side` columns.
+    """Inquiries in the window with their order, purchase order and receipts.
 
-    `purchase_side` is keyed by its first column, a purchase-order id.
+    Those with a sales order also learn whether their purchase order has a
+    bought item (`has_bought`).
     """
     blank = is_blank(F.col("si_so"))
     inquiries = chain.inquiries().where(~blank if with_sales_order else blank)
@@ -49,8 +48,9 @@ def dated_inquiries(
     spread = not with_sales_order
     by_order = [("si_so", "so_id")]
     by_purchase = [("si_po", "po_id")]
-    side = [("po_id", purchase_side.columns[0])]
+    by_flag = [("po_id", "poi_po")]
     purchases = chain.purchase_orders()
+    receipts = chain.receipts().where(not_empty(F.col("receipt_po")))
 
     bought = chain.join(
         inquiries.where(not_empty(F.col("si_po"))),
@@ -58,14 +58,11 @@ def dated_inquiries(
         by_purchase,
         "inner",
     )
-    bought = chain.join(bought, purchase_side, side)
-    bought = chain.join(
-        bought, receipts.where(not_empty(F.col("receipt_po"))), [("po_id", "receipt_po")]
-    )
+    if with_sales_order:
+        bought = chain.join(bought, bought_flags(chain), by_flag, unique=True)
+    bought = chain.join(bought, receipts, [("po_id", "receipt_po")])
     bought = chain.join(bought, orders, by_order, order_join, spread=spread)
 
-    # A purchase order with a blank id would match here; its receipts would not.
-    unnamed = chain.blank_only(purchases, "po_id")
     sold = chain.join(
         inquiries.where(is_empty(F.col("si_po"))),
         orders.where(window.contains(F.col("so_ordered"))),
@@ -74,8 +71,12 @@ def dated_inquiries(
         spread=spread,
     )
     if chain.tables.has_blank("purchase_order", "szFPo_sId"):
+        # A purchase order with a blank id matches here; its receipts do not.
+        unnamed = chain.blank_only(purchases, "po_id")
         sold = chain.join(sold, unnamed, by_purchase, spread=True)
-        sold = chain.join(sold, chain.blank_only(purchase_side, side[0][1]), side, spread=True)
+        if with_sales_order:
+            flags = chain.blank_only(bought_flags(chain), "poi_po")
+            sold = chain.join(sold, flags, by_flag, spread=True, unique=True)
     return bought.unionByName(sold, allowMissingColumns=True)
 
 
@@ -104,36 +105,45 @@ def bought_flags(chain: Chain) -> DataFrame:
     return flags.withColumn("has_bought", F.lit(True))
 
 
-def is_item_of_interest(with_sales_order: bool) -> Column:
-    """The row's sales item was sold, or its purchase item (or order) was bought."""
-    sold = F.col("soi_type") == SOLD
-    bought = F.col("has_bought") if with_sales_order else F.col("poi_type").isin(*BOUGHT)
-    return sold | bought
+def is_sold() -> Column:
+    return F.col("soi_type") == SOLD
 
 
-def with_order_items(
-    chain: Chain, df: DataFrame, scope: DataFrame, with_sales_order: bool
-) -> DataFrame:
-    """Items of the matched sales order, filtered to the items of interest.
+def is_bought() -> Column:
+    return F.col("poi_type").isin(*BOUGHT)
+
+
+def with_sales_items(chain: Chain, df: DataFrame, scope: DataFrame) -> DataFrame:
+    """Items of the matched sales order: sold ones, or all if the purchase order has a bought one.
 
     `scope` holds the ids of all orders that can match.
     """
-    if with_sales_order:
-        items = chain.order_items(scope)
-    else:
-        items = chain.order_items()
-        stored = chain.tables.has_blank("sales_order", "szFSoId")
-        items = chain.blank_only(items, "soi_so") if stored else chain.none(items)
+    items = chain.order_items(scope)
+    df = chain.join(df, items, [("si_so", "soi_so")], only_if="so_id is not null")
+    return df.where(is_sold() | F.col("has_bought"))
+
+
+def with_purchase_items(chain: Chain, df: DataFrame) -> DataFrame:
+    """Items for inquiries without a sales order.
+
+    Where an order with a blank id is stored, its items belong to all of them.
+    """
+    items = chain.purchase_items()
+    by_purchase = [("po_id", "poi_po")]
+    if not chain.tables.has_blank("sales_order", "szFSoId"):
+        return chain.join(df, items, by_purchase, "inner").where(is_bought())
+    sales_items = chain.blank_only(chain.order_items(), "soi_so")
     df = chain.join(
-        df,
-        items,
-        [("si_so", "soi_so")],
-        only_if="so_id is not null",
-        spread=not with_sales_order,
+        df, sales_items, [("si_so", "soi_so")], only_if="so_id is not null", spread=True
     )
-    return df.where(is_item_of_interest(with_sales_order))
+    df = chain.join(df, items, by_purchase, spread=True)
+    return df.where(is_sold() | is_bought())
 
 
-def with_products(chain: Chain, df: DataFrame, with_sales_order: bool) -> DataFrame:
-    key = "soi_product" if with_sales_order else "poi_product"
+def with_products(chain: Chain, df: DataFrame, key: str) -> DataFrame:
     return chain.join(df, chain.products(), [(key, "product_id")])
+
+
+def absent(df: DataFrame, **types: str) -> DataFrame:
+    """Columns that no document can fill, as NULLs of their type."""
+    return df.selectExpr("*", *[f"cast(null as {t}) as {name}" for name, t in types.items()])

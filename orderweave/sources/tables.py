@@ -94,10 +94,10 @@ class Tables:
             return
         found = None
         for name, column in unknown:
-            one = self[name].where(is_empty_id(F.col(column))).limit(1)
-            one = one.select(F.lit(f"{name}.{column}").alias("id"))
-            found = one if found is None else found.unionAll(one)
-        blank = {row["id"] for row in found.collect()}
+            ids = self[name].where(is_empty_id(F.col(column)))
+            ids = ids.select(F.lit(f"{name}.{column}").alias("id"))
+            found = ids if found is None else found.unionAll(ids)
+        blank = {row["id"] for row in found.distinct().collect()}
         self._blank.update({(n, c): f"{n}.{c}" in blank for n, c in unknown})
 
 
