@@ -20,6 +20,7 @@ from .plans import (
 from .session import tune
 from .sinks import Target, replace, replace_periods, with_text_dates
 from .sources import Tables
+from .sources.schema import BUCKET_COLUMNS, SOURCE_TABLES
 
 # Default target names.
 TARGETS = {
@@ -57,6 +58,23 @@ def load_table(tables: Tables, name: str, target: Target) -> None:
     replace(tables[name], target)
 
 
+def stage(tables: Tables, database: str, buckets: int) -> None:
+    """Copy all base tables into catalog tables, the large ones bucketed by their join column.
+
+    A later `Tables.catalog(spark, database, bucketed=True)` joins them without
+    shuffling them again.  `buckets` should be at least the number of shuffle
+    partitions.
+    """
+    for name, source_name in SOURCE_TABLES.items():
+        column = BUCKET_COLUMNS.get(name)
+        target = Target(
+            table=f"{database}.{source_name}",
+            buckets=buckets if column else None,
+            bucket_column=column,
+        )
+        load_table(tables, name, target)
+
+
 def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("dataset", choices=list(TARGETS))

@@ -82,6 +82,7 @@ def bonus_rollup(
     heavy_orders: tuple[str, ...] = (),
     heavy_lines: tuple[str, ...] = (),
     salts: int = 64,
+    bucketed: bool = False,
 ) -> DataFrame:
     """Discounts per order, product, parent, payment type and item type.
 
@@ -90,7 +91,7 @@ def bonus_rollup(
     forms their pairs.  `orders` (one id column, `szFSoId`) restricts the
     roll-up; an order listed twice counts twice.  `heavy_orders` are order ids
     frequent among the items, `heavy_lines` order lines frequent among the
-    bonuses; both are salted.
+    bonuses; both are salted.  `bucketed` inputs are stored by order id already.
     """
     if orders is not None:
         weights = orders.groupBy(F.col("szFSoId").alias("_order")).agg(
@@ -100,7 +101,7 @@ def bonus_rollup(
             items, weights, [("szFSoId", "_order")], "inner", heavy_left=heavy_orders, salts=salts
         )
     bonuses = bonuses.where(F.col("szProductId").isNotNull())
-    if not heavy_orders and not heavy_lines:
+    if not (heavy_orders or heavy_lines or bucketed):
         # By order alone: every later step, and the join to the order's items, then
         # finds its rows in place.
         items, bonuses = items.repartition("szFSoId"), bonuses.repartition("szFSoId")

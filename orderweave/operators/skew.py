@@ -65,6 +65,16 @@ def _row_salt(df: DataFrame, salts: int) -> Column:
     return F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salts)).cast("int")
 
 
+def _with_computed(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """`df` with a column that the optimizer keeps as computed here.
+
+    As a plain projection the hash of a whole row would be copied into every
+    place that uses it, and into constraints over all equal keys, which takes
+    minutes to plan in a long chain.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def _repeated(condition: Column, salts: int) -> Column:
     every = F.sequence(F.lit(0), F.lit(salts - 1))
     return F.explode(F.when(condition, every).otherwise(F.array(F.lit(0))))
@@ -116,8 +126,9 @@ def skew_join(
         # Kept on the left side: a second join on the same key finds the rows in place.
         salt = f"_salt_{on[0][0]}" if spread_blank and not heavy_left else "_salt"
         if salt not in left.columns:
-            left = left.withColumn(salt, F.when(divided, _row_salt(left, salts)).otherwise(0))
-        right = right.withColumn("_right_salt", _repeated(repeated, salts))
+            salted = F.when(divided, _row_salt(left, salts)).otherwise(0)
+            left = _with_computed(left, salt, salted)
+        right = right.select("*", _repeated(repeated, salts).alias("_right_salt"))
         pairs.append((salt, "_right_salt"))
 
     if heavy_right:
@@ -127,11 +138,9 @@ def skew_join(
         if only_if:
             matches = matches & F.expr(only_if)
         left = left.join(F.broadcast(present.distinct()), matches, "left")
-        left = left.withColumn("_part", _repeated(F.col("_heavy").isNotNull(), salts))
-        right = right.withColumn(
-            "_right_part",
-            F.when(_one_of(right_key, heavy_right), _row_salt(right, salts)).otherwise(0),
-        )
+        left = left.select("*", _repeated(F.col("_heavy").isNotNull(), salts).alias("_part"))
+        part = F.when(_one_of(right_key, heavy_right), _row_salt(right, salts)).otherwise(0)
+        right = _with_computed(right, "_right_part", part)
         pairs.append(("_part", "_right_part"))
 
     joined = left.join(right, key_condition(pairs, only_if), how)

@@ -329,6 +329,7 @@ class Chain:
             heavy_orders=heavy_orders + self.heavy("szFSoId"),
             heavy_lines=self.heavy("szFSoId", "shItemNumber"),
             salts=self.salts,
+            bucketed=self.tables.bucketed,
         )
         names = dict(zip(rollups.BONUS_KEYS, BONUS_COLUMNS))
         return totals.select([F.col(c).alias(names.get(c, c)) for c in totals.columns])

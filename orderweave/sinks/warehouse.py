@@ -16,18 +16,24 @@ PERIOD = "period"
 
 @dataclass(frozen=True)
 class Target:
-    """A folder (`path`) or a catalog table (`table`)."""
+    """A folder (`path`) or a catalog table (`table`), the latter optionally bucketed."""
 
     path: str | None = None
     table: str | None = None
     format: str = "parquet"
+    buckets: int | None = None
+    bucket_column: str | None = None
 
     def __post_init__(self) -> None:
         if (self.path is None) == (self.table is None):
             raise ValueError("a target is either a path or a table")
+        if self.buckets is not None and (self.table is None or self.bucket_column is None):
+            raise ValueError("buckets need a table and a column")
 
     def save(self, writer: DataFrameWriter) -> None:
         writer = writer.format(self.format)
+        if self.buckets is not None:
+            writer = writer.bucketBy(self.buckets, self.bucket_column).sortBy(self.bucket_column)
         if self.table is not None:
             writer.saveAsTable(self.table)
         else:
@@ -61,9 +67,14 @@ def replace(df: DataFrame, target: Target, expected: Sequence[str] | None = None
     """Replace the whole target.
 
     The rebalance lets Spark choose the number of files from the actual size.
+    Rows of a bucketed table are brought to their bucket first, one file each.
     """
     check_columns(df, expected)
-    target.save(df.hint("rebalance").write.mode("overwrite"))
+    if target.buckets is not None:
+        df = df.repartition(target.buckets, target.bucket_column)
+    else:
+        df = df.hint("rebalance")
+    target.save(df.write.mode("overwrite"))
 
 
 def replace_periods(df: DataFrame, target: Target, date_column: str) -> None:

@@ -99,6 +99,27 @@ COLUMNS: dict[str, dict[str, str]] = {
     "wms_operate_time": {"text": "CustOrderNo"},
 }
 
+# Column that the large tables are joined on: the one to bucket their copies by.
+BUCKET_COLUMNS: dict[str, str] = {
+    "sales_order": "szFSoId",
+    "sales_order_item": "szFSoId",
+    "bonus_source": "szFSoId",
+    "purchase_order": "szFPo_sId",
+    "purchase_order_item": "szFPo_sId",
+    "goods_receipt": "szPoId",
+    "delivery_order": "szDoId",
+    "delivery_confirmation": "custOrderNo",
+    "delivery_confirmation_item": "custOrderNo",
+    "invoice": "szFInvoiceId",
+    "invoice_item": "szFInvoiceId",
+    "transfer_log": "szDocId",
+    "cancel_log": "szDocId",
+    "approval_item": "gdApprovedId",
+    "approval": "gdApprovedId",
+    "delivery_note": "szFDNId",
+    "delivery_note_item": "szFDNId",
+}
+
 MONEY = T.DecimalType(18, 4)
 
 

@@ -22,8 +22,11 @@ class Tables:
     ids.  Each is looked up at most once.
     """
 
-    def __init__(self, spark: SparkSession, load: Callable[[str], DataFrame]):
+    def __init__(
+        self, spark: SparkSession, load: Callable[[str], DataFrame], bucketed: bool = False
+    ):
         self.spark = spark
+        self.bucketed = bucketed
         self._load = load
         self._frames: dict[str, DataFrame] = {}
         self._bytes: dict[str, int] = {}
@@ -43,10 +46,22 @@ class Tables:
         )
 
     @classmethod
-    def catalog(cls, spark: SparkSession, database: str, money: T.DataType = MONEY) -> Tables:
-        """Catalog tables under their source names."""
+    def catalog(
+        cls,
+        spark: SparkSession,
+        database: str,
+        money: T.DataType = MONEY,
+        bucketed: bool = False,
+    ) -> Tables:
+        """Catalog tables under their source names.
+
+        `bucketed` says that they are bucketed by `BUCKET_COLUMNS`; items are
+        then read in place instead of being shuffled.
+        """
         return cls(
-            spark, lambda name: conform(spark.table(f"{database}.{SOURCE_TABLES[name]}"), name, money)
+            spark,
+            lambda name: conform(spark.table(f"{database}.{SOURCE_TABLES[name]}"), name, money),
+            bucketed,
         )
 
     @classmethod

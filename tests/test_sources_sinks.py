@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderweave import jobs
+from orderweave.functions.windows import DateWindow
+from orderweave.operators.rollups import bonus_rollup
+from orderweave.plans import po_tracking_month
 from orderweave.session import scratch_folder
 from orderweave.sinks import Target, replace, replace_periods, with_text_dates
 from orderweave.sources import JdbcSource, Tables
@@ -126,3 +129,29 @@ def _write_as_decimal(spark, source):
     for name in COLUMNS:
         frame = conform(spark.createDataFrame(doubles[name].collect(), doubles[name].schema), name)
         frame.coalesce(1).write.mode("overwrite").parquet(f"{source}/{name}")
+
+
+def test_staged_tables_are_joined_in_place(spark, tmp_path):
+    write_tables(tmp_path, seed=7, rows=30, ids=24, blank=0.0)
+    parquet = Tables.parquet(spark, str(tmp_path), money=T.DoubleType())
+    spark.sql(f"create database staged location '{tmp_path / 'staged'}'")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        jobs.stage(parquet, "staged", buckets=8)
+        staged = Tables.catalog(spark, "staged", money=T.DoubleType(), bucketed=True)
+
+        def rollup(tables):
+            return bonus_rollup(
+                tables["sales_order_item"], tables["bonus_source"], bucketed=tables.bucketed
+            )
+
+        assert "Exchange" not in rollup(staged)._jdf.queryExecution().executedPlan().toString()
+        key = list(rollup(staged).columns)
+        assert rollup(staged).select(key).exceptAll(rollup(parquet).select(key)).isEmpty()
+        assert rollup(staged).count() == rollup(parquet).count() > 0
+        month = DateWindow("2024-12-01", "2025-01-01")
+        built = [po_tracking_month(t, month) for t in (staged, parquet)]
+        assert built[0].exceptAll(built[1]).isEmpty() and built[0].count() == built[1].count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("drop database staged cascade")
