@@ -17,6 +17,7 @@ from .plans import (
     so_tracking_inquiry,
     so_tracking_no_inquiry,
 )
+from .plans.chain import Chain, SkewSettings
 from .session import tune
 from .sinks import Target, replace, replace_periods, with_text_dates
 from .sources import Tables
@@ -58,15 +59,21 @@ def load_table(tables: Tables, name: str, target: Target) -> None:
     replace(tables[name], target)
 
 
-def stage(tables: Tables, database: str, buckets: int) -> None:
+def stage(
+    tables: Tables, database: str, buckets: int, skew: SkewSettings | None = None
+) -> None:
     """Copy all base tables into catalog tables, the large ones bucketed by their join column.
 
     A later `Tables.catalog(spark, database, bucketed=True)` joins them without
     shuffling them again.  `buckets` should be at least the number of shuffle
-    partitions.
+    partitions.  A table with heavy keys stays unbucketed: a bucket is read by
+    one task, and its joins are salted instead.
     """
+    chain = Chain(tables, skew)
     for name, source_name in SOURCE_TABLES.items():
         column = BUCKET_COLUMNS.get(name)
+        if column and chain.heavy_in(name, column):
+            column = None
         target = Target(
             table=f"{database}.{source_name}",
             buckets=buckets if column else None,

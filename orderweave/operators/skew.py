@@ -60,9 +60,9 @@ def _one_of(key: Column, values: Sequence[str]) -> Column:
     return F.coalesce(key.isin(list(values)), F.lit(False)) if values else F.lit(False)
 
 
-def _row_salt(df: DataFrame, salts: int) -> Column:
+def _row_salt(columns: Sequence[str], salts: int) -> Column:
     """Salt from the row's own values: a recomputed task gives the same one."""
-    return F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salts)).cast("int")
+    return F.pmod(F.xxhash64(*columns), F.lit(salts)).cast("int")
 
 
 def _with_computed(df: DataFrame, name: str, value: Column) -> DataFrame:
@@ -96,12 +96,14 @@ def skew_join(
     heavy_left: Sequence[str] = (),
     heavy_right: Sequence[str] = (),
     salts: int = 64,
+    salt_by: Sequence[str] = (),
 ) -> DataFrame:
     """`left.join(right, on, how)` for `left`, `inner` and `left_semi` joins.
 
     `only_if` is a condition on the left row without which it matches nothing.
-    `spread_blank` salts left rows whose first key is blank or NULL.  Column
-    names must be distinct across both sides.
+    `spread_blank` salts left rows whose first key is blank or NULL.  Left rows
+    are salted by those of the `salt_by` columns they have, or by all columns.
+    Column names must be distinct across both sides.
     """
     if how not in ("left", "inner", "left_semi"):
         raise ValueError(f"unsupported join type: {how}")
@@ -125,8 +127,9 @@ def skew_join(
             repeated = repeated | F.coalesce(is_empty(F.col(on[0][1])), F.lit(False))
         # Kept on the left side: a second join on the same key finds the rows in place.
         salt = f"_salt_{on[0][0]}" if spread_blank and not heavy_left else "_salt"
-        if salt not in left.columns:
-            salted = F.when(divided, _row_salt(left, salts)).otherwise(0)
+        if salt not in left_columns:
+            by = [c for c in salt_by if c in left_columns] or left_columns
+            salted = F.when(divided, _row_salt(by, salts)).otherwise(0)
             left = _with_computed(left, salt, salted)
         right = right.select("*", _repeated(repeated, salts).alias("_right_salt"))
         pairs.append((salt, "_right_salt"))
@@ -139,7 +142,7 @@ def skew_join(
             matches = matches & F.expr(only_if)
         left = left.join(F.broadcast(present.distinct()), matches, "left")
         left = left.select("*", _repeated(F.col("_heavy").isNotNull(), salts).alias("_part"))
-        part = F.when(_one_of(right_key, heavy_right), _row_salt(right, salts)).otherwise(0)
+        part = F.when(_one_of(right_key, heavy_right), _row_salt(right_columns, salts)).otherwise(0)
         right = _with_computed(right, "_right_part", part)
         pairs.append(("_part", "_right_part"))
 

@@ -30,14 +30,29 @@ class SkewSettings:
     number of shuffle partitions.
     """
 
-    min_bytes: int = 4 << 30
+    min_bytes: int = 1 << 30
     share: float = 0.005
     salts: int | None = None
 
 
+# Ids that tell rows with the same blank or heavy key apart.
+SALT_COLUMNS = ("si_so", "si_po", "si_do", "si_dn", "si_customer", "so_id", "soi_product", "poi_product")
+
+
 class Chain:
-    def __init__(self, tables: Tables, skew: SkewSettings | None = None):
+    """`unused` names columns of the frames below that the dataset does not need.
+
+    Catalyst prunes columns by itself, but not below a salt or an early DISTINCT.
+    """
+
+    def __init__(
+        self,
+        tables: Tables,
+        skew: SkewSettings | None = None,
+        unused: frozenset[str] = frozenset(),
+    ):
         self.tables = tables
+        self.unused = unused
         self.skew = skew or SkewSettings()
         conf = tables.spark.conf
         self.salts = self.skew.salts or int(conf.get("spark.sql.shuffle.partitions"))
@@ -46,6 +61,7 @@ class Chain:
 
     def pick(self, table: str, **names: str) -> DataFrame:
         """Columns of a table under names that are unique in the chain."""
+        names = {new: old for new, old in names.items() if new not in self.unused}
         for new, old in names.items():
             self._origin[new] = (table, old)
         return self.tables[table].selectExpr(*[f"{old} as {new}" for new, old in names.items()])
@@ -67,9 +83,12 @@ class Chain:
         if None in origins or len(names) != 1:
             return ()
         (table,) = names
+        return self.heavy_in(table, *[o[1] for o in origins])
+
+    def heavy_in(self, table: str, *columns: str) -> tuple[str, ...]:
         if self.tables.bytes(table) < self.skew.min_bytes:
             return ()
-        return self.tables.heavy(table, tuple(o[1] for o in origins), self.skew.share)
+        return self.tables.heavy(table, columns, self.skew.share)
 
     def is_small(self, key: str) -> bool:
         origin = self._origin.get(key)
@@ -110,6 +129,7 @@ class Chain:
             heavy_left=self.heavy(*left_keys),
             heavy_right=heavy_right,
             salts=self.salts,
+            salt_by=SALT_COLUMNS,
         )
 
     def few_rows(self, df: DataFrame, key: str, limit: int = 100) -> DataFrame | None:

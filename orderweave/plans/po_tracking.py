@@ -24,6 +24,14 @@ from .spine import (
 CHANNELS = ("GT", "MTI")
 RESERVED = ("RES0", "RES1", "RES2")
 
+# Columns of the shared frames that neither dataset needs.
+UNUSED = frozenset(
+    "si_status si_carrier si_vehicle si_driver si_eta si_sent_wms"
+    " so_customer so_payment_term so_type so_do so_applied so_void"
+    " soi_units soi_net soi_tax soi_price soi_taxable po_status po_void"
+    " poi_tax poi_net poi_discount poi_price poi_taxable receipt_id receipt_created".split()
+)
+
 
 def _in_channels(chain: Chain, channels: tuple[str, ...]) -> DataFrame:
     return chain.customers().where(F.col("category_name").isin(*channels))
@@ -99,7 +107,7 @@ def po_tracking_month(
 
     `created` and `bonus_floor` default to the window and its start.
     """
-    chain = Chain(tables, skew)
+    chain = Chain(tables, skew, UNUSED)
     tables.look_for_blanks(*HEADER_IDS)
     created = created or window
     bonus_floor = bonus_floor or DateFloor(window.start)
@@ -179,7 +187,7 @@ def po_tracking_by_delivery(
     `bonus_floor` defaults to the start of the delivery window: orders placed
     before it carry no invoice discount.
     """
-    chain = Chain(tables, skew)
+    chain = Chain(tables, skew, UNUSED | {"soi_qty"})
     tables.look_for_blanks(*HEADER_IDS)
     bonus_floor = bonus_floor or DateFloor(delivered.start)
     orders = chain.orders()

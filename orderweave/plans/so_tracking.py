@@ -34,6 +34,12 @@ from .spine import (
 
 LEVELS = (1, 2, 3)
 
+# Columns of the shared frames that each dataset does not need.
+UNUSED_BY_INQUIRY = frozenset(
+    "so_customer so_type so_do soi_units do_carrier do_vehicle do_driver do_created".split()
+)
+UNUSED_BY_NO_INQUIRY = frozenset({"soi_amount"})
+
 
 def _deliveries(chain: Chain) -> DataFrame:
     return chain.pick(
@@ -165,7 +171,7 @@ def so_tracking_inquiry(
     The window is closed in this dataset; `bonus_floor` defaults to strictly
     after its start.
     """
-    chain = Chain(tables, skew)
+    chain = Chain(tables, skew, UNUSED_BY_INQUIRY)
     tables.look_for_blanks(*HEADER_IDS, *LOG_IDS)
     bonus_floor = bonus_floor or DateFloor(window.start, inclusive=False)
     replaced = replacement_sides(chain, latest_history_per_delivery)
@@ -337,7 +343,7 @@ def so_tracking_no_inquiry(
 ) -> DataFrame:
     """Items of the sales orders in `window` that no inquiry names."""
     c = F.col
-    chain = Chain(tables, skew)
+    chain = Chain(tables, skew, UNUSED_BY_NO_INQUIRY)
     in_window = chain.orders().where(window.contains(c("so_ordered")))
     inquiries = chain.pick("sales_inquiry", si_so="szFSoId")
     df = anti_join_null_aware(in_window, inquiries, "so_id", "si_so")

@@ -82,7 +82,8 @@ def dated_inquiries(
 
 def order_ids_in_window(chain: Chain, window: DateWindow) -> DataFrame:
     """Sales-order ids of the inquiries in the window."""
-    inquiries = chain.inquiries().where(~is_blank(F.col("si_so")))
+    inquiries = chain.pick("sales_inquiry", si_so="szFSoId", si_po="szFPoId")
+    inquiries = inquiries.where(~is_blank(F.col("si_so")))
     bought = chain.join(
         inquiries.where(not_empty(F.col("si_po"))),
         chain.purchase_orders().where(window.contains(F.col("po_date"))),

@@ -66,21 +66,21 @@ def check_columns(df: DataFrame, expected: Sequence[str] | None = None) -> None:
 def replace(df: DataFrame, target: Target, expected: Sequence[str] | None = None) -> None:
     """Replace the whole target.
 
-    The rebalance lets Spark choose the number of files from the actual size.
-    Rows of a bucketed table are brought to their bucket first, one file each.
+    The files are the partitions of the last stage, which Spark sizes by their
+    actual bytes.  Rows of a bucketed table are brought to their bucket first,
+    one file each.
     """
     check_columns(df, expected)
     if target.buckets is not None:
         df = df.repartition(target.buckets, target.bucket_column)
-    else:
-        df = df.hint("rebalance")
     target.save(df.write.mode("overwrite"))
 
 
 def replace_periods(df: DataFrame, target: Target, date_column: str) -> None:
     """Replace only the months that occur in `df`, keeping the target's other months.
 
-    A month too large for one task is split by the rebalance.
+    The rebalance brings a month's rows together, for few files, and splits a
+    month too large for one task.
     """
     check_columns(df)
     dated = df.withColumn(PERIOD, F.date_format(date_column, "yyyy-MM"))

@@ -246,3 +246,40 @@ def test_heavy_values(spark):
     assert heavy_values(df, ["k"], 0.05) == ("",)
     assert heavy_values(df, ["k", "c"], 0.05) == ("\u0001x",)
     assert heavy_values(df.where("false"), ["k"], 0.05) == ()
+
+
+def test_decimal_rollup_agrees_with_the_pairs(spark):
+    """Summed shares against one rounded product per pair: equal to the sixth digit."""
+    rng = random.Random(11)
+
+    def money():
+        return Decimal(rng.randrange(0, 10_000_000)).scaleb(-4)
+
+    references = [d.reference for d in rollups.DISCOUNTS] + ["Other"]
+    items = [
+        (f"S{rng.randrange(40)}", rng.randrange(3), rng.choice(references), rng.random() < 0.7, money(), money())
+        for _ in range(150)
+    ]
+    bonuses = [
+        (f"S{rng.randrange(40)}", rng.randrange(3), f"P{rng.randrange(3)}", "R", "O", "JUAL", money())
+        for _ in range(150)
+    ]
+    items = spark.createDataFrame(items, ITEM.format(m="decimal(18,4)"))
+    bonuses = spark.createDataFrame(bonuses, BONUS.format(m="decimal(18,4)"))
+    taxed = "case when bTaxable and decDPP + decTax <> 0 then decBonusAmount * {p} / (decDPP + decTax) else {e} end"
+    sums = [
+        f"sum(case when szPrincipalDiscRefId = '{d.reference}' then {taxed.format(p=p, e=e)} else 0 end) as {name}"
+        for d in rollups.DISCOUNTS
+        for name, p, e in (
+            (d.net_name, "decDPP", "decBonusAmount"),
+            (d.tax_name, "decTax", "decBonusAmount" if d.untaxed_tax_share else "0"),
+        )
+    ]
+    pairs = items.join(bonuses, ["szFSoId", "shItemNumber"]).groupBy(*rollups.BONUS_KEYS)
+    expected = {tuple(r)[:5]: tuple(r)[5:] for r in pairs.agg(*[F.expr(s) for s in sums]).collect()}
+    names = [*rollups.BONUS_KEYS, *rollups.DISCOUNT_NAMES]
+    actual = {tuple(r)[:5]: tuple(r)[5:] for r in rollups.bonus_rollup(items, bonuses).select(names).collect()}
+    assert actual.keys() == expected.keys() and len(actual) > 50
+    for key, row in actual.items():
+        for x, y in zip(row, expected[key]):
+            assert abs(x - y) <= Decimal("0.00002"), (key, x, y)
