@@ -41,7 +41,7 @@ def _not_rejected(chain: Chain, df: DataFrame) -> DataFrame:
     approvals = chain.pick("approval", rejected_id="gdApprovedId", rejected="bRejected")
     states = flag_states(approvals, "rejected_id", "rejected")
     return surviving_flags(
-        chain.join(df, states, [("so_approval", "_flag_key")], unique=True), "rejected"
+        chain.join(df, states, [("so_approval", "_flag_key")], spread=True, unique=True), "rejected"
     )
 
 
@@ -145,7 +145,7 @@ def _month_rows(
         with_sales_order=with_sales_order,
         order_join="inner",
     )
-    df = chain.join(df, _in_channels(chain, channels), [("si_customer", "cust_id")], "inner")
+    df = chain.join(df, _in_channels(chain, channels), [("si_customer", "cust_id")], "inner", spread=True)
     df = _not_rejected(chain, df)
     df = _with_notes(chain, df)
     deliveries = chain.pick("delivery_order", do_id="szDoId")
@@ -201,9 +201,9 @@ def po_tracking_by_delivery(
     )
     confirmations = chain.confirmations().where(delivered.contains(F.col("delv_out")))
     df = chain.join(df, confirmations, [("si_so", "delv_so"), ("si_do", "delv_do")], "inner")
-    df = chain.join(df, _in_channels(chain, channels), [("si_customer", "cust_id")], "inner")
+    df = chain.join(df, _in_channels(chain, channels), [("si_customer", "cust_id")], "inner", spread=True)
     deliveries = chain.pick("delivery_order", do_id="szDoId")
-    df = chain.join(df, deliveries, [("si_do", "do_id")], "left_semi")
+    df = chain.join(df, deliveries, [("si_do", "do_id")], "left_semi", spread=True)
     df = _not_rejected(chain, df)
     df = _with_notes(chain, df)
 

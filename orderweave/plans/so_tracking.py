@@ -77,10 +77,10 @@ def with_approvals(chain: Chain, df: DataFrame) -> DataFrame:
             },
         )
         level = level.where(F.col(f"gd{n}_level") == n).drop(f"gd{n}_level")
-        df = chain.join(df, level, [("so_approval", f"gd{n}_id")])
+        df = chain.join(df, level, [("so_approval", f"gd{n}_id")], spread=True)
     levels = chain.pick("approval_item", gd_id="gdApprovedId", gd_level="btApprovedLevel")
     levels = highest(levels, "gd_id", "gd_level", "max_level")
-    return chain.join(df, levels, [("so_approval", "gd_id")], unique=True)
+    return chain.join(df, levels, [("so_approval", "gd_id")], spread=True, unique=True)
 
 
 def _approval_columns() -> dict[str, Column]:
@@ -138,7 +138,7 @@ def replacement_sides(chain: Chain, per_key: bool = False) -> tuple[DataFrame, D
 
 def with_replacements(chain: Chain, df: DataFrame, replacements: DataFrame) -> DataFrame:
     """Replacement invoice of the row's delivery."""
-    return chain.join(df, replacements, [("do_id", "old_do")])
+    return chain.join(df, replacements, [("do_id", "old_do")], spread=True)
 
 
 def with_replacement_items(chain: Chain, df: DataFrame, items: DataFrame) -> DataFrame:
@@ -193,7 +193,7 @@ def _inquiry_rows(
     df = dated_inquiries(
         chain, window, chain.orders(), with_sales_order=with_sales_order, order_join="left"
     )
-    df = chain.join(df, chain.customers(), [("si_customer", "cust_id")])
+    df = chain.join(df, chain.customers(), [("si_customer", "cust_id")], spread=True)
     if orders_stored:
         df = with_approvals(chain, df)
     else:
@@ -203,6 +203,8 @@ def _inquiry_rows(
     df = chain.join(df, chain.delivery_notes(), [("si_dn", "dn_id")], spread=True)
     df = chain.join(df, chain.note_status(), [("si_dn", "closed_dn")], spread=True, unique=True)
     df = with_deliveries(chain, df, "si_do")
+    replacements, replacement_items = replaced
+    df = with_replacements(chain, df, replacements)
     df = _with_logs(chain, df, with_sales_order)
     if with_sales_order:
         confirmations = chain.confirmations()
@@ -221,8 +223,6 @@ def _inquiry_rows(
         # No confirmation and no discount of this dataset is without a sales order.
         df = absent(df, delv_out="timestamp_ntz", delv_so="string", dlv_qty="int")
         df = with_purchase_items(chain, df)
-    replacements, replacement_items = replaced
-    df = with_replacements(chain, df, replacements)
     if orders_stored:
         df = _with_item_documents(chain, df, replacement_items)
     else:
@@ -348,14 +348,14 @@ def so_tracking_no_inquiry(
     inquiries = chain.pick("sales_inquiry", si_so="szFSoId")
     df = anti_join_null_aware(in_window, inquiries, "so_id", "si_so")
     customers = chain.customers()
-    df = chain.join(df, customers, [("so_customer", "cust_id")])
+    df = chain.join(df, customers, [("so_customer", "cust_id")], spread=True)
     df = with_approvals(chain, df)
     df = with_deliveries(chain, df, "so_do")
     scope = in_window.select(c("so_id").alias("scope_so")).distinct()
     items = chain.order_items(scope).where(not_empty(c("soi_product")))
     df = chain.join(df, items, [("so_id", "soi_so")])
     df = chain.join_bonuses(df, chain.bonuses(scope), "so_id")
-    df = chain.join(df, chain.products(), [("soi_product", "product_id")])
+    df = with_products(chain, df, "soi_product")
     columns = {
         "szFPOid": trimmed(c("so_customer_po")),
         "gdApprovedId": c("so_approval"),

@@ -142,7 +142,7 @@ def with_purchase_items(chain: Chain, df: DataFrame) -> DataFrame:
 
 
 def with_products(chain: Chain, df: DataFrame, key: str) -> DataFrame:
-    return chain.join(df, chain.products(), [(key, "product_id")])
+    return chain.join(df, chain.products(), [(key, "product_id")], spread=True)
 
 
 def absent(df: DataFrame, **types: str) -> DataFrame:
