@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, quality
+from . import bpe, decontaminate, quality, substrings, suffixes
 from .spark import table
 
 
@@ -35,10 +35,22 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substrings.removed_words(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffixes.removed_bytes(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op2_decontaminate": op2_decontaminate,
     "op3_bpe": op3_bpe,
     "op6_quality": op6_quality,
+    "op7_substrings": op7_substrings,
+    "op10_suffixes": op10_suffixes,
 }
 
 SQL: dict[str, str] = {}
