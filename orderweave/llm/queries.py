@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, quality, substrings, suffixes
+from . import bpe, decontaminate, minhash, quality, substrings, suffixes
 from .spark import table
 
 
@@ -31,6 +31,11 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.grouped(table(spark, sf_dir, "documents"))
+    return found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -48,6 +53,7 @@ def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_decontaminate": op2_decontaminate,
     "op3_bpe": op3_bpe,
+    "op5_minhash": op5_minhash,
     "op6_quality": op6_quality,
     "op7_substrings": op7_substrings,
     "op10_suffixes": op10_suffixes,
