@@ -29,10 +29,12 @@ _ANSWER = "chunk long, level int, shard long, n long, bits binary"
 
 @dataclass
 class Dealt:
-    """(chunk, doc_id, text) rows, how many text bytes they hold and how many chunks."""
+    """(chunk, doc_id, text) rows, how many text bytes they hold, the least and greatest chunk."""
 
     docs: DataFrame
     n_bytes: int
+    first: int
+    last: int
 
 
 def deal(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", chunk_bytes: int = CHUNK_BYTES) -> Dealt:
@@ -68,9 +70,10 @@ def deal(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", chunk_byte
     parts = spark.createDataFrame(list(zip(range(_BINS + 1), first, cuts, strict=True)), "part int, first long, cuts long")
     within = F.col("doc_id") - low - F.col("part").cast("long") * width
     known = F.col("first") + F.floor(within * F.col("cuts") / width).cast("long")
-    lost = -1 - F.pmod(F.xxhash64("text"), F.lit(unknown // chunk_bytes + 1))
+    n_lost = unknown // chunk_bytes + 1
+    lost = -1 - F.pmod(F.xxhash64("text"), F.lit(n_lost))
     dealt = docs.withColumn("part", part).join(F.broadcast(parts), "part", "left").select(F.coalesce(known, lost).alias("chunk"), "doc_id", "text")
-    return Dealt(dealt, int(sizes.sum()) + unknown)
+    return Dealt(dealt, int(sizes.sum()) + unknown, -n_lost, at)
 
 
 class Chunk:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, minhash, quality, substrings, suffixes
+from . import bpe, decontaminate, lm, minhash, quality, substrings, suffixes
 from .spark import table
 
 
@@ -45,6 +45,10 @@ def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op8_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.scored(table(spark, sf_dir, "documents"))
+
+
 def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = suffixes.removed_bytes(table(spark, sf_dir, "documents"))
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
@@ -56,6 +60,7 @@ QUERIES = {
     "op5_minhash": op5_minhash,
     "op6_quality": op6_quality,
     "op7_substrings": op7_substrings,
+    "op8_lm": op8_lm,
     "op10_suffixes": op10_suffixes,
 }
 
