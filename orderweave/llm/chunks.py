@@ -37,8 +37,8 @@ class Dealt:
     last: int
 
 
-def deal(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", chunk_bytes: int = CHUNK_BYTES) -> Dealt:
-    """Give every document its chunk.
+def deal(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", chunk_bytes: int = CHUNK_BYTES, rest: bool = False) -> Dealt:
+    """Give every document its chunk; with `rest`, its other columns come along in a struct.
 
     Ranges come from the text bytes in each of at most 4096 equal parts of the
     id range; parts that are too large are cut evenly. Rows of one id share a
@@ -46,7 +46,8 @@ def deal(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", chunk_byte
     """
     spark = docs.sparkSession
     prepare(spark)
-    docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    more = [F.struct(*others).alias("rest")] if rest and (others := [c for c in docs.columns if c not in (doc_id, text)]) else []
+    docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), *more)
     low, high = docs.agg(F.min("doc_id"), F.max("doc_id")).first()
     low, high = (0, 0) if low is None else (low, high)
     width = (high - low) // _BINS + 1
@@ -72,7 +73,7 @@ def deal(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", chunk_byte
     known = F.col("first") + F.floor(within * F.col("cuts") / width).cast("long")
     n_lost = unknown // chunk_bytes + 1
     lost = -1 - F.pmod(F.xxhash64("text"), F.lit(n_lost))
-    dealt = docs.withColumn("part", part).join(F.broadcast(parts), "part", "left").select(F.coalesce(known, lost).alias("chunk"), "doc_id", "text")
+    dealt = docs.withColumn("part", part).join(F.broadcast(parts), "part", "left").select(F.coalesce(known, lost).alias("chunk"), *docs.columns)
     return Dealt(dealt, int(sizes.sum()) + unknown, -n_lost, at)
 
 
@@ -80,7 +81,7 @@ class Chunk:
     """The documents of one chunk in id order, as flat bytes."""
 
     def __init__(self, rows: pa.Table):
-        rows = rows.sort_by("doc_id")  # null ids come last
+        rows = rows.sort_by([("doc_id", "ascending"), ("text", "ascending")])  # null ids come last
         self.rows = rows
         self.number = rows["chunk"][0].as_py() if rows.num_rows else 0
         self.data, self.offsets = flat(rows["text"])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, lm, minhash, quality, substrings, suffixes
+from . import bpe, decontaminate, lines, lm, minhash, quality, substrings, suffixes
 from .spark import table
 
 
@@ -49,6 +49,11 @@ def op8_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.scored(table(spark, sf_dir, "documents"))
 
 
+def op9_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = lines.without_repeated_runs(table(spark, sf_dir, "documents"))
+    return cut.select("row.doc_id", "lines.n_lines", "lines.n_removed", "lines.n_runs", F.sha2(F.coalesce("row.text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = suffixes.removed_bytes(table(spark, sf_dir, "documents"))
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
@@ -61,6 +66,7 @@ QUERIES = {
     "op6_quality": op6_quality,
     "op7_substrings": op7_substrings,
     "op8_lm": op8_lm,
+    "op9_lines": op9_lines,
     "op10_suffixes": op10_suffixes,
 }
 
