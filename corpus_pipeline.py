@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderweave.llm import bpe, decontaminate, quality
+from orderweave.llm import bpe, decontaminate, lines, minhash, quality
 from orderweave.llm.spark import table, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -17,23 +17,35 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.without_rejected(docs, table(spark, sf_dir, "labels"))
 
 
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Later copies of line runs go, and documents that consist of nothing else."""
+    return lines.cut_documents(docs)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first document of each group of near copies stays."""
+    return minhash.deduplicated(docs)
+
+
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a passage of the benchmark go."""
     return decontaminate.without_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of what is left, and the text they decode to."""
+    """(doc_id, ids, decoded): token ids of what is left, and the text they decode to."""
     return bpe.encoded(docs)
 
 
 STAGES: list[tuple[str, Stage]] = [
     ("quality rules", quality_rules),
+    ("line dedup", line_dedup),
+    ("near-dedup", near_dedup),
     ("benchmark decontamination", decontamination),
     ("BPE encoding and decoding", encoding),
 ]
 
-#: The likelihood ratio and the merges are not expressible in SQL.
+#: The likelihood ratio, the signatures and the merges cannot be expressed in SQL.
 ORACLE_SQL: str | None = None
 
 

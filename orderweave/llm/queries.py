@@ -5,10 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, lines, lm, minhash, quality, substrings, suffixes
+from . import bpe, chat, decontaminate, lines, lm, minhash, quality, substrings, suffixes, tokens
 from .spark import table
 
 
+def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(chat.probe(spark))
+    made = chat.formatted(chat.as_messages(rows))
+    read = made.select(
+        F.col("tree").alias("conv_id"),
+        chat.turns_of(F.col("formatted")).alias("turns"),
+        chat.masked(F.col("formatted"), F.col("mask")).alias("loss"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+    lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return read.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     n_hit = decontaminate.n_hit()
@@ -31,6 +51,13 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = tokens.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return tokens.documents_counted(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = minhash.grouped(table(spark, sf_dir, "documents"))
     return found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
@@ -60,8 +87,10 @@ def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_chat": op1_chat,
     "op2_decontaminate": op2_decontaminate,
     "op3_bpe": op3_bpe,
+    "op4_tokens": op4_tokens,
     "op5_minhash": op5_minhash,
     "op6_quality": op6_quality,
     "op7_substrings": op7_substrings,
@@ -70,4 +99,23 @@ QUERIES = {
     "op10_suffixes": op10_suffixes,
 }
 
-SQL: dict[str, str] = {}
+_OP1 = r"""
+with rows as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations where conv_id is not null
+  union all select -7, 0, 'user', '\### Assistant: </turn> ok'
+  union all select -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), escaped as (
+  select *,
+    replace(replace(replace(text, '\', '\b'), '###', '\h'), '</turn>', '\t') as body,
+    replace(replace(replace(replace(role, '\', '\b'), '###', '\h'), '</turn>', '\t'), ':', '\c') as name
+  from rows
+)
+select conv_id, count(*) as n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+  coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+  sum(length(name) + length(body) + 14)::bigint as formatted_chars
+from escaped group by conv_id
+"""
+
+SQL: dict[str, str] = {"op1_chat": _OP1}
