@@ -8,8 +8,8 @@ automaton is a few flat arrays in one file that each worker maps into memory. A
 word outside the lexicon is merged exactly by the tokenizer's ranks.
 
 A text is cut at its special tokens and at white space; no rule of the tokenizer
-reaches over either, so each piece is normalised, split and encoded on its own,
-and the latest pieces are remembered per task (at most `REMEMBERED`).
+reaches over either, so each piece is normalised, split and encoded on its own. New
+words of a slice are merged together, and a worker remembers some pieces (`REMEMBERED`).
 
 Supported are tokenizer files with a BPE model with an end-of-word suffix, byte
 alphabet, NFC and lower-casing, no decoder: decoded are the token strings, joined
@@ -27,6 +27,7 @@ import mmap
 import re
 import struct
 import tempfile
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from itertools import chain
@@ -40,11 +41,11 @@ from tokenizers import Regex
 from tokenizers.normalizers import NFC, Lowercase
 from tokenizers.pre_tokenizers import Split
 
-from .spark import map_texts, prepare
+from .spark import map_texts, prepare, written
 from .texts import slices
 
 LEXICON = 1 << 15
-REMEMBERED = 400_000
+REMEMBERED = 600_000
 
 #: Unicode's white space, as the tokenizer's \s has it.
 _SPACE = "\t-\r \x85\xa0  -     　"
@@ -54,6 +55,9 @@ _LOWER = Lowercase().normalize_str
 _PIECE = re.compile(f"[^{_SPACE}]+")
 
 
+_BYTE = [bytes([b]) for b in range(256)]
+
+
 def default_tokenizer() -> str:
     import public_tokenizers
 
@@ -85,30 +89,54 @@ class Merges:
         self.names = {i: token for token, i in [*self.ids.items(), *self.special.items()]}
         self.alphabet = byte_alphabet()
 
+        # pairs in ascending order of (left id, right id), for lookups of many pairs at once
+        rows = sorted((self.ids[a] << 32 | self.ids[b], rank, self.ids[a + b]) for (a, b), rank in self.ranks.items())
+        self._pairs, self._rank_of, self._joined = (np.array(x, np.int64) for x in zip(*rows, strict=True))
+        self._inner = np.array([self.ids[c] for c in self.alphabet], np.int64)
+        self._final = np.array([self.ids[c + self.suffix] for c in self.alphabet], np.int64)
+
     def words(self, piece: str) -> list[str]:
         """The words of a piece without white space, normalised."""
-        if piece.isascii():
-            return self.split.findall(piece.lower())
+        if max(piece) < "\u0250":  # composed already, and of the same classes in every Unicode version
+            piece = piece.lower()
+            return [piece] if piece.isalpha() else self.split.findall(piece)
         return [word for word, _ in self.split_unicode.pre_tokenize_str(_LOWER(_NFC(piece)))]
 
-    def merged(self, word: str) -> list[int]:
-        """Ids of one word: the pair of lowest rank is merged first."""
-        parts = [self.alphabet[b] for b in word.encode()]
-        parts[-1] += self.suffix
-        while len(parts) > 1:
-            ranks = [self.ranks.get(pair, 1 << 60) for pair in zip(parts, parts[1:], strict=False)]
-            least = min(ranks)
-            if least == 1 << 60:
-                break
-            at = ranks.index(least)
-            left, right = parts[at], parts[at + 1]
-            joined, at = [], 0
-            while at < len(parts):
-                pair = parts[at] == left and at + 1 < len(parts) and parts[at + 1] == right
-                joined.append(left + right if pair else parts[at])
-                at += 1 + pair
-            parts = joined
-        return [self.ids[p] for p in parts if p in self.ids]
+    def merged(self, words: list[str]) -> list[list[int]]:
+        """Ids of words: in each round every word merges its pair of lowest rank, from left to right."""
+        data = [w.encode() for w in words]
+        sizes = np.array([len(d) for d in data], np.int64)
+        symbols = np.frombuffer(b"".join(data), np.uint8)
+        ends = np.cumsum(sizes) - 1
+        symbols, last = self._inner[symbols], symbols[ends]
+        symbols[ends] = self._final[last]
+        owner = np.repeat(np.arange(len(words)), sizes)
+        done: list[tuple[np.ndarray, np.ndarray]] = []
+        none = len(self._pairs)
+        while len(symbols) > 1:
+            keys = symbols[:-1] << 32 | symbols[1:]
+            at = np.minimum(np.searchsorted(self._pairs, keys), none - 1)
+            rank = np.where((self._pairs[at] == keys) & (owner[1:] == owner[:-1]), self._rank_of[at], none)
+            begins = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+            least = np.minimum.reduceat(np.append(rank, none), begins)
+            counts = np.diff(np.append(begins, len(owner)))
+            here = np.flatnonzero((rank == np.repeat(least, counts)[:-1]) & (rank < none))
+            # of overlapping equal pairs, every second one
+            run = np.flatnonzero(np.r_[True, np.diff(here) != 1]) if len(here) else here
+            here = here[(np.arange(len(here)) - np.repeat(run, np.diff(np.append(run, len(here))))) % 2 == 0] if len(here) else here
+            symbols[here] = self._joined[at[here]]
+            keep = np.ones(len(symbols), bool)
+            keep[here + 1] = False
+            going = np.repeat(least < none, counts)
+            done.append((owner[~going], symbols[~going]))
+            keep &= going
+            owner, symbols = owner[keep], symbols[keep]
+        done.append((owner, symbols))
+        owner, symbols = (np.concatenate(x) for x in zip(*done, strict=True))
+        order = np.argsort(owner, kind="stable")
+        cuts = np.searchsorted(owner[order], np.arange(len(words) + 1)).tolist()
+        ids = symbols[order].tolist()
+        return [ids[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
 class Lexicon:
@@ -180,7 +208,7 @@ class Lexicon:
         state, number = self.root, 0
         for label in word:
             low, high = self._first[state], self._first[state + 1]
-            edge = self._map.find(label.to_bytes(), self._labels + low, self._labels + high) - self._labels
+            edge = self._map.find(_BYTE[label], self._labels + low, self._labels + high) - self._labels
             if edge < 0:
                 return None
             number += self._skipped[edge]
@@ -198,37 +226,45 @@ class Encoder:
         self.lexicon = Lexicon(lexicon) if lexicon else None
         self._pieces: dict[str, tuple[list[int], str]] = {}
 
-    def word(self, word: str) -> list[int]:
-        found = self.lexicon.find(word.encode()) if self.lexicon else None
-        return self.merges.merged(word) if found is None else found
-
-    def piece(self, piece: str) -> tuple[list[int], str]:
-        """(ids, decoded) of a piece without white space."""
-        found = self._pieces.get(piece)
-        if found is None:
-            if len(self._pieces) >= REMEMBERED:
-                self._pieces.clear()
-            ids = [i for w in self.merges.words(piece) for i in self.word(w)]
-            found = ids, self.decode(ids)
-            if len(piece) <= 64:
-                self._pieces[piece] = found
-        return found
-
-    def decode(self, ids: list[int]) -> str:
-        return " ".join([self.merges.names[i] for i in ids])
-
-    def pieces(self, text: str) -> list[tuple[list[int], str]]:
-        known, piece, cut = self._pieces, self.piece, self.merges.cut
-        if cut and cut.search(text):
-            special, out = self.merges.special, []
-            for part in cut.split(text):
-                out += [([special[part]], part)] if part in special else map(piece, _PIECE.findall(part))
-        else:
-            out = [known.get(x) or piece(x) for x in _PIECE.findall(text)]
-        return out
+    def pieces(self, texts: list[str]) -> list[list[tuple[list[int], str]]]:
+        """By text: (ids, decoded) of each of its pieces."""
+        cut, special = self.merges.cut, self.merges.special
+        parts = [cut.split(t) if cut and cut.search(t) else [t] for t in texts]
+        found = [[[p] if p in special else _PIECE.findall(p) for p in text] for text in parts]
+        if len(self._pieces) >= REMEMBERED:
+            self._pieces.clear()
+        known = self._pieces
+        known.update({content: ([i], content) for content, i in special.items()})
+        self._learn({p for text in found for run in text for p in run if p not in known})
+        return [[known[p] for run in text for p in run] for text in found]
+
+    def _learn(self, pieces: set[str]) -> None:
+        """Encode new pieces: words of the lexicon by the automaton, the others by the merges, all at once."""
+        words = {p: self.merges.words(p) for p in pieces}
+        ids: dict[str, list[int] | None] = dict.fromkeys(w for found in words.values() for w in found)
+        if self.lexicon:
+            ids = {w: self.lexicon.find(w.encode()) for w in ids}
+        unseen = [w for w, i in ids.items() if i is None]
+        if unseen:
+            ids.update(zip(unseen, self.merges.merged(unseen), strict=True))
+        names = self.merges.names
+        for piece, found in words.items():
+            own = ids[found[0]] if len(found) == 1 else [i for w in found for i in ids[w]]
+            self._pieces[piece] = own, " ".join([names[i] for i in own])
 
     def encode(self, text: str) -> list[int]:
-        return [i for ids, _ in self.pieces(text) for i in ids]
+        return [i for ids, _ in self.pieces([text])[0] for i in ids]
+
+
+_encoders: dict[str, Encoder] = {}
+
+
+def _encoder(name: str, shared) -> Encoder:
+    """The worker's encoder: it outlives a task, with the pieces it remembers."""
+    if name not in _encoders:
+        _encoders.clear()
+        _encoders[name] = Encoder(*shared.value)
+    return _encoders[name]
 
 
 def word_counts(docs: DataFrame, source: str, text: str = "text") -> DataFrame:
@@ -258,10 +294,18 @@ def word_counts(docs: DataFrame, source: str, text: str = "text") -> DataFrame:
 
 
 def fit_lexicon(docs: DataFrame, source: str, size: int = LEXICON, text: str = "text") -> bytes:
-    """The transducer of the `size` most frequent words; ties go to the smaller word."""
-    words = word_counts(docs, source, text).where("length(word) <= 64").orderBy(F.desc("n"), "word").limit(size).collect()
-    merges = Merges(source)
-    return Lexicon.compile({r["word"].encode(): merges.merged(r["word"]) for r in words})
+    """The transducer of the most frequent words: all above a count that at most `size` words reach."""
+    words = written(word_counts(docs, source, text).where("n > 1 and length(word) <= 64"))
+    step = F.floor(F.log2("n") * 32).cast("int")
+    steps = sorted(((r["step"], r["count"]) for r in words.groupBy(step.alias("step")).count().collect()), reverse=True)  # at most 2048 rows
+    least, total = None, 0
+    for value, count in steps:
+        if total + count > size:
+            break
+        least, total = value, total + count
+    chosen = [] if least is None else sorted(r["word"] for r in words.where(step >= least).collect())
+    merged = Merges(source).merged(chosen) if chosen else []
+    return Lexicon.compile({w.encode(): ids for w, ids in zip(chosen, merged, strict=True)})
 
 
 def encoded(docs: DataFrame, path: str | None = None, size: int = LEXICON, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -269,12 +313,10 @@ def encoded(docs: DataFrame, path: str | None = None, size: int = LEXICON, doc_i
     with open(path or default_tokenizer(), encoding="utf-8") as file:
         source = file.read()
     shared = docs.sparkSession.sparkContext.broadcast((source, fit_lexicon(docs, source, size, text)))
-    state: dict[str, Encoder] = {}
+    name = uuid.uuid4().hex
 
     def encode(batch: pa.RecordBatch) -> dict[str, object]:
-        if not state:
-            state["encoder"] = Encoder(*shared.value)
-        found = [state["encoder"].pieces(t or "") for t in batch.column(text).to_pylist()]
+        found = _encoder(name, shared).pieces([t or "" for t in batch.column(text).to_pylist()])
         lengths = [sum([len(ids) for ids, _ in pieces]) for pieces in found]
         values = np.fromiter(chain.from_iterable(ids for pieces in found for ids, _ in pieces), np.int32, sum(lengths))
         offsets = np.cumsum([0, *lengths], dtype=np.int32)

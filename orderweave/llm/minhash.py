@@ -11,9 +11,10 @@ than the next step could offer.
    bucket. Two documents at the threshold of 0.85 share none with a chance of 4e-7.
 3. Round one compares every member of a bucket with one hub, the member with most
    bucket neighbours. Round two compares what is left: members of different groups
-   of one bucket, unless their sizes or 128-bit sketches rule a link out (at the
-   threshold with a chance below 1e-7). A bucket is never expanded into all pairs
-   of a group that round one has linked.
+   of one bucket, unless a link is ruled out - for certain by the sizes, or by the
+   shingles that no other document of an open bucket has, and by 125-bit sketches
+   with a chance below 1e-7 at the threshold. A bucket is never expanded into all
+   pairs of a group that round one has linked.
 4. Links are confirmed on the full sets, by integers.
 
 Defined results: null, empty and blank texts have no shingles and no links; rows of
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .graph import components
-from .spark import map_texts, prepare, written
+from .spark import map_texts, prepare, rows_with_ids, written
 from .texts import NOT_SPACE, byte_sums, flat, lower_ascii, mix, prefix_sums, sequence_in, spans_hash, windows_hash, word_spans
 
 SHINGLE = 5
@@ -65,9 +66,10 @@ def shingle_sets(column: pa.Array, size: int = SHINGLE) -> tuple[np.ndarray, np.
 def signatures(text: np.ndarray, hashes: np.ndarray, n_texts: int, slots: int = SLOTS) -> np.ndarray:
     """(n_texts, slots): least offers; step in the upper bits, fraction below."""
     least = np.full(n_texts * slots, np.iinfo(np.uint64).max, np.uint64)
+    steps = np.arange(1, slots + 1, dtype=np.uint64) * _STEP
     used: list[np.ndarray] = []  # by step: the place each shingle swapped with
     for step in range(slots):
-        drawn = mix(hashes + _STEP * np.uint64(step + 1))
+        drawn = mix(hashes + steps[step])
         place = step + ((drawn >> np.uint64(44)) % np.uint64(slots - step)).astype(np.int64)
         slot = place.copy()
         for earlier in range(step - 1, -1, -1):  # what earlier swaps have put there
@@ -124,25 +126,43 @@ def _linked(pairs: DataFrame, percent: int) -> DataFrame:
 
 
 def _sets(docs: DataFrame, ids: DataFrame, text: str) -> DataFrame:
-    """(doc_id, set): packed ascending shingle hashes of the documents wanted."""
+    """(id, set): packed ascending shingle hashes of the documents wanted."""
 
-    def pack(batch: pa.RecordBatch) -> dict[str, object]:
+    def pack(batch: pa.RecordBatch) -> pa.RecordBatch:
         owner, hashes = shingle_sets(batch.column(text))
         cuts = np.searchsorted(owner, np.arange(batch.num_rows + 1))
-        return {"set": pa.array([hashes[a:b].tobytes() for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)], pa.binary())}
+        sets = [hashes[a:b].tobytes() for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sets, pa.binary())], names=["id", "set"])
 
-    wanted = docs.join(ids, docs["doc_id"] == ids["id"], "left_semi")
-    return map_texts(wanted, pack, "set binary", ("doc_id",), text).where("length(set) > 0").distinct()
+    found = rows_with_ids(docs, ids, pack, "id long, set binary", text).where("length(set) > 0")
+    return written(found.join(ids, "id", "left_semi"))
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, text: str, percent: int) -> DataFrame:
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    sets = written(_sets(docs, ids, text))
-    a = sets.select(F.col("doc_id").alias("a"), F.col("set").alias("set_a"))
-    b = sets.select(F.col("doc_id").alias("b"), F.col("set").alias("set_b"))
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The linked ones of the pairs (a, b). The side that repeats more, the hubs, is joined last."""
+    a = sets.select(F.col("id").alias("a"), F.col("set").alias("set_a"))
+    hubs = pairs.select("b").distinct()
+    b = sets.join(hubs, sets["id"] == hubs["b"], "left_semi").select(F.col("id").alias("b"), F.col("set").alias("set_b"))
     return written(_linked(pairs.join(a, "a").join(b, "b").select("a", "b", "set_a", "set_b"), percent))
 
 
+def _shared_sizes(sets: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, shared): how many of a set's shingles are in another of these sets, too."""
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = flat(batch.column("set"))
+            shingles = np.frombuffer(data.tobytes(), np.int64)
+            ids_of = np.repeat(batch.column("id").to_numpy(), np.diff(offsets) // 8)
+            yield pa.RecordBatch.from_arrays([pa.array(ids_of), pa.array(shingles)], names=["id", "shingle"])
+
+    rows = sets.join(ids, "id", "left_semi").mapInArrow(unpack, "id long, shingle long")
+    alone = rows.groupBy("shingle").agg(F.min("id").alias("id"), F.max("id").alias("other")).where("id = other")
+    alone = alone.groupBy("id").agg(F.count("*").alias("alone"))
+    sizes = sets.select("id", F.expr("length(set) div 8").alias("n")).groupBy("id").agg(F.max("n").alias("n"))
+    return sizes.join(ids, "id", "left_semi").join(alone, "id", "left").select("id", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("shared"))
+
+
 def _possible(x: str, y: str, percent: int):
     """Whether sizes and sketches leave room for a link."""
     sizes = f"100 * least({x}.n, {y}.n) >= {percent} * greatest({x}.n, {y}.n)"
@@ -164,33 +184,36 @@ def grouped(docs: DataFrame, percent: int = PERCENT, doc_id: str = "doc_id", tex
     same_id = same_id.select("a", F.explode("others").alias("b"))
 
     # buckets with more than one representative
-    entry = classes.select(F.explode("x.bands").alias("band"), "id", "n", F.col("x.s1").alias("s1"), F.col("x.s2").alias("s2"))
-    sizes = entry.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
-    entry = written(entry.join(sizes, "band"))
-    score = entry.groupBy("id").agg(F.sum("size").alias("score"))
-    scored = entry.join(score, "id")
-    hub = scored.groupBy("band").agg(F.max_by(F.struct("id", "n", "s1", "s2"), F.struct("score", -F.col("id"))).alias("h"))
-    hub = hub.select("band", "h.*")
+    slots = classes.select(F.explode("x.bands").alias("band"), "id")
+    sizes = slots.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
+    slots = written(slots.join(sizes, "band"))
+    score = slots.groupBy("id").agg(F.sum("size").alias("score"))
+    about = classes.select("id", "n", F.col("x.s1").alias("s1"), F.col("x.s2").alias("s2"))
+    entry = written(slots.drop("size").join(score.join(about, "id"), "id"))
+    hub = entry.groupBy("band").agg(F.max_by(F.struct("id", "n", "s1", "s2"), F.struct("score", -F.col("id"))).alias("h")).select("band", "h.*")
+    hub = written(hub)
+    sets = _sets(docs, entry.select("id").distinct(), text)
 
     # round one: every member with its hub
     x, y = entry.alias("x"), hub.alias("y")
-    first = x.join(y, F.expr("x.band = y.band and x.id <> y.id") & _possible("x", "y", percent)).selectExpr("least(x.id, y.id) as a", "greatest(x.id, y.id) as b")
-    first = written(first.distinct())
-    links = _confirmed(first, docs, text, percent)
+    near = F.expr("x.band = y.band and x.id <> y.id") & _possible("x", "y", percent)
+    first = written(x.join(y, near).selectExpr("x.id as a", "y.id as b").distinct())
+    links = _confirmed(first, sets, percent)
 
     # round two: members of a bucket that are still apart
     labels = components(links)
-    entry = entry.join(labels, entry["id"] == labels["node"], "left").select("band", "id", "n", "s1", "s2", F.coalesce("component", "id").alias("group"))
-    of_hub = entry.join(hub.select("band", F.col("id").alias("hub")), "band").where("id = hub").select("band", F.col("group").alias("hub_group"))
-    entry = written(entry.join(of_hub, "band"))
-    apart = entry.where("group <> hub_group")
-    open_ = entry.join(apart.select("band").distinct(), "band", "left_semi")
-    x, y = apart.alias("x"), open_.alias("y")
+    grouped_ = entry.join(labels, entry["id"] == labels["node"], "left").select("band", "id", "n", "s1", "s2", F.coalesce("component", "id").alias("group"))
+    of_hub = hub.join(labels, hub["id"] == labels["node"], "left").select("band", F.coalesce("component", "id").alias("hub_group"))
+    grouped_ = written(grouped_.join(of_hub, "band"))
+    open_ = grouped_.join(grouped_.where("group <> hub_group").select("band").distinct(), "band", "left_semi")
+    open_ = written(open_.join(_shared_sizes(sets, open_.select("id").distinct()), "id"))
+    x, y = open_.where("group <> hub_group").alias("x"), open_.alias("y")
     across = F.expr("x.band = y.band and x.group <> y.group and (y.group = y.hub_group or x.id < y.id)")
-    second = x.join(y, across & _possible("x", "y", percent)).selectExpr("least(x.id, y.id) as a", "greatest(x.id, y.id) as b")
-    second = written(second.distinct().join(first, ["a", "b"], "left_anti"))
+    overlap = F.expr(f"100 * least(x.shared, y.shared) >= {percent} * (x.n + y.n - least(x.shared, y.shared))")
+    second = x.join(y, across & overlap & _possible("x", "y", percent)).selectExpr("x.id as a", "y.id as b").distinct()
+    second = written(second.join(first, ["a", "b"], "left_anti"))
     if not second.isEmpty():
-        links = links.union(_confirmed(second, docs, text, percent))
+        links = links.union(_confirmed(second, sets, percent))
     labels = components(links.union(same_id))
 
     found = member.join(labels, member["id"] == labels["node"], "left").select("doc_id", F.coalesce("component", "id").alias("component_id")).distinct()

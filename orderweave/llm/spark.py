@@ -8,6 +8,7 @@ import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -103,6 +104,32 @@ def filter_texts(docs: DataFrame, function: Callable[[pa.RecordBatch], object],
     return docs.mapInArrow(run, docs.schema)
 
 
+def rows_with_ids(docs: DataFrame, ids: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, text: str = "text", bits: int = 1 << 23) -> DataFrame:
+    """`function` of the rows whose doc_id is among the ids (id), without moving the texts.
+
+    Ids are looked up in a broadcast bit table of fixed size; the few others that
+    share a bit come along, so what is made has to be joined by id.
+    """
+    prepare(docs.sparkSession)
+    place = F.pmod(F.xxhash64("id"), F.lit(bits))
+    bit = F.expr(f"shiftleft(1L, cast(pmod(xxhash64(id), {bits}L) % 64 as int))")
+    words = ids.select(F.floor(place / 64).alias("word"), bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("mask"))
+    found = words.toArrow()  # at most bits / 64 rows
+    table = np.zeros(bits // 64, np.int64)
+    table[found["word"].to_numpy()] = found["mask"].to_numpy()
+    shared = docs.sparkSession.sparkContext.broadcast(table)
+    frame = docs.where("doc_id is not null").withColumn("place", F.pmod(F.xxhash64("doc_id"), F.lit(bits)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, text):
+            at = batch.column("place").to_numpy()
+            wanted = (shared.value[at // 64] >> (at % 64)) & 1 == 1
+            if wanted.any():
+                yield function(batch.filter(pa.array(wanted)))
+
+    return frame.mapInArrow(run, schema)
+
+
 def text_bytes(docs: DataFrame, text: str = "text") -> int:
     """Bytes of all texts."""
     return docs.select(F.sum(F.octet_length(F.col(text))).alias("n")).first()["n"] or 0
