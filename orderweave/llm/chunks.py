@@ -23,6 +23,8 @@ from .texts import flat
 
 CHUNK_BYTES = 4 << 20
 _BINS = 4096
+#: The level of answers that name a chunk's exact copies.
+COPY = -1
 _REQUEST = "shard long, chunk long, level int, keys binary"
 _ANSWER = "chunk long, level int, shard long, n long, bits binary"
 
@@ -80,7 +82,7 @@ def deal(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", chunk_byte
 class Chunk:
     """The documents of one chunk in id order, as flat bytes."""
 
-    def __init__(self, rows: pa.Table):
+    def __init__(self, rows: pa.Table, given: pa.Table | None = None):
         rows = rows.sort_by([("doc_id", "ascending"), ("text", "ascending")])  # null ids come last
         self.rows = rows
         self.number = rows["chunk"][0].as_py() if rows.num_rows else 0
@@ -92,6 +94,24 @@ class Chunk:
         #: By document: its id's rank in the chunk; -1 without an id.
         self.rank = np.where(known, rank, -1)
         self.ids = values
+        #: By document: is its text that of a document with a smaller id?
+        self.copies = np.zeros(rows.num_rows, bool)
+        if given is not None:
+            self.copies = known & np.isin(values, given.filter(pa.compute.equal(given["level"], COPY))["shard"].to_numpy())
+
+
+def copies(dealt: Dealt) -> DataFrame:
+    """An answer for each document whose text a document with a smaller id has: (chunk, COPY, doc_id, ...).
+
+    What such a document repeats is clear, and its original stands for it elsewhere.
+    """
+    rows = dealt.docs.where("doc_id is not null and length(text) > 0")
+    rows = rows.select("chunk", "doc_id", F.xxhash64("text").alias("a"), F.xxhash64(F.lit(1), "text").alias("b"), F.octet_length("text").alias("n"))
+    first = rows.groupBy("a", "b", "n").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
+    found = rows.join(first, ["a", "b", "n"]).where("doc_id > first").select("chunk", "doc_id").distinct()
+    nothing = F.lit(None).cast("binary")
+    # a column of its own, as these rows meet the documents they come from
+    return found.select((F.col("chunk") + 0).alias("chunk"), F.lit(COPY).alias("level"), F.col("doc_id").alias("shard"), F.lit(0).cast("long").alias("n"), nothing.alias("bits"))
 
 
 def requests(chunk: int, level: int, shards: int, keys: np.ndarray) -> pa.Table:

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 from .chunks import Chunk, answers_of
-from .texts import mix, windows_hash
+from .texts import CACHED, mix, windows_hash
 
 
 def sliding(values: np.ndarray, width: int, best=np.minimum) -> np.ndarray:
@@ -28,7 +28,7 @@ def sliding(values: np.ndarray, width: int, best=np.minimum) -> np.ndarray:
 
 
 class Windows:
-    """The windows of a chunk that are still candidates.
+    """The windows of a chunk that are still candidates; none of its exact copies.
 
     `bounds`: where each document's values begin, `sums`: `prefix_sums` of the values.
     """
@@ -38,14 +38,19 @@ class Windows:
         n = max(len(sums) - window, 0)
         owner = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
         whole = owner[:n] == owner[window - 1 : window - 1 + n]
-        self.starts = np.flatnonzero(whole & (chunk.rank[owner[:n]] >= 0))
+        self.starts = np.flatnonzero(whole & (chunk.rank >= 0)[owner[:n]] & ~chunk.copies[owner[:n]])
         self.rank = chunk.rank[owner[self.starts]].astype(np.int32)
 
     def least(self, size: int) -> np.ndarray:
         """The least hash of the pieces of `size` values in each candidate window."""
-        if not len(self.starts):
-            return np.zeros(0, np.uint64)
-        found = sliding(windows_hash(self.sums, size), self.window - size + 1)[self.starts]
+        found, width = np.empty(len(self.starts), np.uint64), self.window - size + 1
+        at = 0
+        while at < len(self.starts):  # a cache's worth of values at a time
+            low = int(self.starts[at])
+            end = int(np.searchsorted(self.starts, low + CACHED))
+            pieces = windows_hash(self.sums, size, low, int(self.starts[end - 1]) + width)
+            found[at:end] = sliding(pieces, width)[self.starts[at:end] - low]
+            at = end
         return mix(found + np.uint64(size))  # least hashes crowd at the bottom of the key space
 
     def keep(self, which: np.ndarray) -> None:
@@ -59,14 +64,16 @@ class Keys:
         changes = np.r_[True, (keys[1:] != keys[:-1]) | (rank[1:] != rank[:-1])] if len(keys) else np.zeros(0, bool)
         self._run = np.cumsum(changes) - 1  # by window
         keys, rank = keys[changes], rank[changes]
-        order = np.argsort(keys, kind="stable")  # within a key by rank
-        new = np.r_[True, keys[order][1:] != keys[order][:-1]] if len(keys) else np.zeros(0, bool)
-        self.distinct = keys[order][new]
+        order = np.argsort(keys)
+        ordered = keys[order]
+        new = np.r_[True, ordered[1:] != ordered[:-1]] if len(keys) else np.zeros(0, bool)
         starts = np.flatnonzero(new)
+        self.distinct = ordered[starts]
         self._of_run = np.empty(len(keys), np.int64)
         self._of_run[order] = np.cumsum(new) - 1
-        self.first = rank[order][starts]  # smallest rank of each key
-        last = rank[order][np.r_[starts[1:] - 1, len(keys) - 1]] if len(keys) else self.first
+        rank = rank[order]
+        self.first = np.minimum.reduceat(rank, starts) if len(keys) else rank  # smallest rank of each key
+        last = np.maximum.reduceat(rank, starts) if len(keys) else rank
         self.shared = self.first != last  # by two documents of this chunk
 
     def of_windows(self) -> np.ndarray:

@@ -7,7 +7,8 @@ window). At the whole length a window is removed from a document if its word
 sequence also starts in a document with a smaller id: in an earlier chunk, which
 a shard answers, or earlier in the same chunk.
 
-The plan is one lazy plan. Texts are shuffled once, by chunk; then only packed
+A document whose whole text a document with a smaller id has is all repeated; it and
+so its original's share in it stay out of the rounds. The plan is one lazy plan. Texts are shuffled once, by chunk; then only packed
 hashes and bits move. Sequences are compared by 64-bit hashes.
 
 Defined results: a null text has no words; documents with fewer words than the
@@ -22,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .chunks import CHUNK_BYTES, Chunk, Dealt, answered, answers_of, ask, deal, requests
+from .chunks import CHUNK_BYTES, Chunk, answered, answers_of, ask, copies, deal, requests
 from .repeats import Keys, Windows, narrowed
 from .texts import NOT_SPACE, byte_sums, covered, prefix_sums, sequence_in, spans_hash, word_spans
 
@@ -38,8 +39,8 @@ def lengths(window: int) -> tuple[int, ...]:
 
 
 class _Words:
-    def __init__(self, rows: pa.Table, window: int):
-        self.chunk = chunk = Chunk(rows)
+    def __init__(self, rows: pa.Table, given: pa.Table | None, window: int):
+        self.chunk = chunk = Chunk(rows, given)
         self.starts, self.ends, self.bounds = word_spans(chunk.data, chunk.offsets, NOT_SPACE)
         words = spans_hash(byte_sums(chunk.data), self.starts, self.ends)
         self.windows = Windows(chunk, self.bounds, prefix_sums(words), window)
@@ -50,11 +51,11 @@ def removed_words(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id",
     dealt = deal(docs, doc_id, text, chunk_bytes)
     shards = max(1, dealt.n_bytes // _SHARD_BYTES)
     below = lengths(window)
-    answers: list[DataFrame] = []
+    answers: list[DataFrame] = [copies(dealt)]
     for level, size in enumerate((*below, window)):
 
         def send(rows: pa.Table, given: pa.Table | None, level: int = level, size: int = size) -> pa.Table:
-            words = _Words(rows, window)
+            words = _Words(rows, given, window)
             narrowed(words.windows, below[:level], given)
             keys = Keys(words.windows.least(size), words.windows.rank)
             return requests(words.chunk.number, level, shards, keys.distinct)
@@ -62,12 +63,14 @@ def removed_words(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id",
         answers.append(answered(ask(dealt, answers, send), earlier=size == window))
 
     def cut(rows: pa.Table, given: pa.Table) -> pa.Table:
-        words = _Words(rows, window)
+        words = _Words(rows, given, window)
         narrowed(words.windows, below, given)
         keys = Keys(words.windows.least(window), words.windows.rank)
         earlier, of = answers_of(given, len(below)), keys.of_windows()
         gone = words.windows.starts[(earlier[of] if len(of) else np.zeros(0, bool)) | (words.windows.rank > keys.first[of])]
-        return _kept(words, covered(len(words.starts), gone, gone + window))
+        hit = covered(len(words.starts), gone, gone + window)
+        n_words = np.diff(words.bounds)
+        return _kept(words, hit | np.repeat(words.chunk.copies & (n_words >= window), n_words))
 
     return ask(dealt, answers, cut, "doc_id long, n_words long, n_removed long, kept string")
 

@@ -1,10 +1,11 @@
 """Suffix-array dedup: removes byte stretches that also start in a document with a smaller id.
 
-Every document's windows of `window` bytes are candidates. Those whose least piece
-of `PIECE` bytes is in one document alone are dropped (`repeats.py`). What is left is
-cut into stretches of neighbouring windows that share their least `ANCHOR`-byte
-piece; that piece sends the stretch to a shard, so that equal windows meet there,
-whatever surrounds them. A chunk sends each distinct stretch once.
+A document whose whole text a document with a smaller id has is all repeated. All other
+documents' windows of `window` bytes are candidates. Those whose least piece of `PIECE`
+bytes is in one document alone are dropped (`repeats.py`). What is left is cut into
+stretches of neighbouring windows that share their least `ANCHOR`-byte piece; that
+piece sends the stretch to a shard, so that equal windows meet there, whatever
+surrounds them. A chunk sends each distinct stretch once.
 
 A shard sorts the suffixes of its distinct stretches block by block, takes the
 Burrows-Wheeler transform and expands intervals breadth-first: an interval of rows
@@ -24,9 +25,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .chunks import Chunk, answered, ask, deal, requests, shard_starts, answers_of
+from .chunks import Chunk, answered, answers_of, ask, copies, deal, requests
 from .repeats import Keys, Windows, narrowed
-from .texts import byte_sums, covered, flat, sequence_in, spans_hash
+from .texts import byte_sums, covered, flat, mix, sequence_in, spans_hash
 
 WINDOW = 50
 PIECE = 32
@@ -101,36 +102,40 @@ def least_ids(data: np.ndarray, offsets: np.ndarray, ids: np.ndarray, window: in
 class _Bytes:
     """A chunk's candidate windows, cut into stretches."""
 
-    def __init__(self, rows: pa.Table, window: int):
-        self.chunk = Chunk(rows)
+    def __init__(self, rows: pa.Table, given: pa.Table, window: int):
+        self.chunk = Chunk(rows, given)
         self.sums = byte_sums(self.chunk.data)
         self.windows = Windows(self.chunk, self.chunk.offsets, self.sums, window)
         self.window = window
 
-    def stretches(self) -> None:
-        """Distinct stretches in ascending order of (anchor, content)."""
+    def stretches(self, shards: int) -> None:
+        """Distinct stretches, by shard and then in ascending order of a hash of anchor and content."""
         w, chunk = self.windows, self.chunk
         anchor = w.least(ANCHOR)
         new = np.r_[True, (np.diff(w.starts) != 1) | (anchor[1:] != anchor[:-1]) | (w.rank[1:] != w.rank[:-1])] if len(anchor) else np.zeros(0, bool)
         first = np.flatnonzero(new)
         last = np.r_[first[1:], len(anchor)] - 1 if len(first) else first
-        begin, end = w.starts[first], w.starts[last] + self.window
-        content = spans_hash(self.sums, begin, end) + (end - begin).astype(np.uint64)
-        order = np.lexsort((w.rank[first], content, anchor[first]))
-        a, c = anchor[first][order], content[order]
-        head = np.r_[True, (a[1:] != a[:-1]) | (c[1:] != c[:-1])] if len(order) else np.zeros(0, bool)
+        begin, end, rank, anchor = w.starts[first], w.starts[last] + self.window, w.rank[first], anchor[first]
+        key = mix(spans_hash(self.sums, begin, end) + (end - begin).astype(np.uint64) + mix(anchor))
+        order = np.argsort(key)
+        ordered = key[order]
+        heads = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]]) if len(key) else first
+        shard = (anchor[order[heads]] >> np.uint64(32)).astype(np.int64) * shards >> 32
+        by_shard = np.argsort(shard, kind="stable")
+        place = np.empty(len(heads), np.int64)
+        place[by_shard] = np.arange(len(heads))
         self.run = np.cumsum(new) - 1  # by window: its stretch
         self.first_window = first
-        self.kind = np.empty(len(order), np.int64)  # by stretch: its distinct stretch
-        self.kind[order] = np.cumsum(head) - 1
-        chosen = order[head]
-        self.anchor, self.begin, self.end = anchor[first][chosen], begin[chosen], end[chosen]
-        self.least_rank = w.rank[first][chosen]
+        self.kind = np.empty(len(key), np.int64)  # by stretch: its distinct stretch
+        self.kind[order] = np.repeat(place, np.diff(np.r_[heads, len(key)]))
+        chosen = order[heads][by_shard]
+        self.shard, self.anchor, self.begin, self.end = shard[by_shard], anchor[chosen], begin[chosen], end[chosen]
+        self.least_rank = np.minimum.reduceat(rank[order], heads)[by_shard] if len(key) else rank
         position = np.searchsorted(chunk.rank[: int((chunk.rank >= 0).sum())], self.least_rank)
         self.least_id = chunk.ids[position]
 
     def request(self, level: int, shards: int) -> pa.Table:
-        cuts = np.searchsorted(self.anchor, shard_starts(shards))
+        cuts = np.searchsorted(self.shard, np.arange(shards))
         ends = np.r_[cuts[1:], len(self.anchor)]
         rows: dict[str, list] = {k: [] for k in ("shard", "chunk", "level", "anchors", "lengths", "ids", "bytes")}
         for shard in np.flatnonzero(ends > cuts).tolist():
@@ -155,13 +160,17 @@ def _decide(rows: pa.Table, window: int) -> pa.Table:
     data = unpacked["bytes"][0]
     offsets = np.concatenate([[0], np.cumsum(lengths)])
     # distinct stretches, each with its least id
-    content = _hashes(data, offsets) + lengths.astype(np.uint64)
-    order = np.lexsort((ids, content, anchors))
-    a, c = anchors[order], content[order]
-    head = np.r_[True, (a[1:] != a[:-1]) | (c[1:] != c[:-1])]
+    key = mix(_hashes(data, offsets) + lengths.astype(np.uint64) + mix(anchors))
+    order = np.argsort(key)
+    ordered = key[order]
+    heads = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
+    by_anchor = np.argsort(anchors[order[heads]])
+    place = np.empty(len(heads), np.int64)
+    place[by_anchor] = np.arange(len(heads))
     kind = np.empty(len(order), np.int64)
-    kind[order] = np.cumsum(head) - 1
-    chosen = order[head]
+    kind[order] = np.repeat(place, np.diff(np.r_[heads, len(order)]))
+    chosen = order[heads][by_anchor]
+    least_of = np.minimum.reduceat(ids[order], heads)[by_anchor]
     # blocks of whole anchors
     sizes = lengths[chosen]
     new_anchor = np.flatnonzero(np.r_[True, anchors[chosen][1:] != anchors[chosen][:-1]])
@@ -172,7 +181,7 @@ def _decide(rows: pa.Table, window: int) -> pa.Table:
     for low, high in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
         n = sizes[low:high]
         at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(offsets[chosen[low:high]], n)
-        least[before[low] : before[high]] = least_ids(data[at], np.concatenate([[0], np.cumsum(n)]), ids[chosen[low:high]], window)
+        least[before[low] : before[high]] = least_ids(data[at], np.concatenate([[0], np.cumsum(n)]), least_of[low:high], window)
     # a bit for each window of each stretch as sent
     n = lengths - window + 1
     of_window = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(before[kind], n)
@@ -199,33 +208,35 @@ def removed_bytes(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id",
     shards = max(1, dealt.n_bytes // _SHARD_BYTES)
     piece = min(PIECE, window)
 
-    def send(rows: pa.Table, _: pa.Table | None) -> pa.Table:
-        own = _Bytes(rows, window)
+    def send(rows: pa.Table, given: pa.Table) -> pa.Table:
+        own = _Bytes(rows, given, window)
         return requests(own.chunk.number, 0, shards, Keys(own.windows.least(piece), own.windows.rank).distinct)
 
-    repeated = answered(ask(dealt, [], send), earlier=False)
+    known = [copies(dealt)]
+    known.append(answered(ask(dealt, known, send), earlier=False))
 
     def send_stretches(rows: pa.Table, given: pa.Table) -> pa.Table:
-        own = _Bytes(rows, window)
+        own = _Bytes(rows, given, window)
         narrowed(own.windows, (piece,), given)
-        own.stretches()
+        own.stretches(shards)
         return own.request(1, shards)
 
-    asked = ask(dealt, [repeated], send_stretches, _STRETCHES)
+    asked = ask(dealt, known, send_stretches, _STRETCHES)
     decided = asked.groupBy("shard").applyInArrow(lambda rows: _decide(rows, window), _ANSWER)
 
     def cut(rows: pa.Table, given: pa.Table) -> pa.Table:
-        own = _Bytes(rows, window)
+        own = _Bytes(rows, given, window)
         narrowed(own.windows, (piece,), given)
-        own.stretches()
+        own.stretches(shards)
         w, bits = own.windows, answers_of(given, 1)
         n = own.end - own.begin - window + 1
         of_run = own.kind[own.run] if len(own.run) else own.run
         at = (np.cumsum(n) - n)[of_run] + np.arange(len(w.starts)) - own.first_window[own.run] if len(own.run) else own.run
         gone = w.starts[(bits[at] if len(at) else np.zeros(0, bool)) | (w.rank > own.least_rank[of_run])]
-        return _kept(own.chunk, covered(len(own.chunk.data), gone, gone + window))
+        sizes = np.diff(own.chunk.offsets)
+        return _kept(own.chunk, covered(len(own.chunk.data), gone, gone + window) | np.repeat(own.chunk.copies & (sizes >= window), sizes))
 
-    return ask(dealt, [repeated, decided], cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    return ask(dealt, [*known, decided], cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
 
 
 def _kept(chunk: Chunk, hit: np.ndarray) -> pa.Table:

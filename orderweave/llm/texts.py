@@ -6,12 +6,14 @@ task's memory is bounded by the slice size or by its longest single text.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 
 SLICE_BYTES = 2 << 20
+#: Values worked on at a time where an array is passed over again and again.
+CACHED = 1 << 15
 
 _MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15 | 5
@@ -100,13 +102,21 @@ def _power(base: int, n: int) -> np.ndarray:
 
 def prefix_sums(values: np.ndarray) -> np.ndarray:
     """Sums from which `spans_hash` takes the hash of any stretch; values are uint64."""
-    sums = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * _power(_BASE, len(values))[: len(values)], out=sums[1:])
-    return sums
+    return _summed(len(values), lambda start, end: values[start:end])
 
 
 def byte_sums(data: np.ndarray) -> np.ndarray:
-    return prefix_sums(_GOLDEN[data])
+    return _summed(len(data), lambda start, end: _GOLDEN[data[start:end]])
+
+
+def _summed(n: int, values: Callable[[int, int], np.ndarray]) -> np.ndarray:
+    powers, sums = _power(_BASE, n), np.zeros(n + 1, np.uint64)
+    for start in range(0, n, CACHED):
+        end = min(start + CACHED, n)
+        part = values(start, end) * powers[start:end]
+        part[0] += sums[start]
+        np.cumsum(part, out=sums[start + 1 : end + 1])
+    return sums
 
 
 def spans_hash(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -114,12 +124,12 @@ def spans_hash(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     return mix((sums[ends] - sums[starts]) * _power(_INVERSE, len(sums))[starts])
 
 
-def windows_hash(sums: np.ndarray, size: int) -> np.ndarray:
-    """Hashes of all stretches of `size` consecutive values."""
-    n = len(sums) - size
-    if n <= 0:
+def windows_hash(sums: np.ndarray, size: int, start: int = 0, end: int | None = None) -> np.ndarray:
+    """Hashes of all stretches of `size` consecutive values that begin in start:end."""
+    end = len(sums) - size if end is None else end
+    if end <= start:
         return np.zeros(0, np.uint64)
-    return mix((sums[size:] - sums[:n]) * _power(_INVERSE, len(sums))[:n])
+    return mix((sums[start + size : end + size] - sums[start:end]) * _power(_INVERSE, len(sums))[start:end])
 
 
 def mix(values: np.ndarray) -> np.ndarray:
