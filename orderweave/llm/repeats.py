@@ -35,11 +35,9 @@ class Windows:
 
     def __init__(self, chunk: Chunk, bounds: np.ndarray, sums: np.ndarray, window: int):
         self.chunk, self.sums, self.window = chunk, sums, window
-        n = max(len(sums) - window, 0)
-        owner = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-        whole = owner[:n] == owner[window - 1 : window - 1 + n]
-        self.starts = np.flatnonzero(whole & (chunk.rank >= 0)[owner[:n]] & ~chunk.copies[owner[:n]])
-        self.rank = chunk.rank[owner[self.starts]].astype(np.int32)
+        n = np.where((chunk.rank >= 0) & ~chunk.copies, np.maximum(np.diff(bounds) - window + 1, 0), 0)
+        self.starts = np.arange(n.sum()) + np.repeat(bounds[:-1] - (np.cumsum(n) - n), n)
+        self.rank = np.repeat(chunk.rank.astype(np.int32), n)
 
     def least(self, size: int) -> np.ndarray:
         """The least hash of the pieces of `size` values in each candidate window."""

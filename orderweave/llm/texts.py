@@ -114,7 +114,7 @@ def _summed(n: int, values: Callable[[int, int], np.ndarray]) -> np.ndarray:
     for start in range(0, n, CACHED):
         end = min(start + CACHED, n)
         part = values(start, end) * powers[start:end]
-        part[0] += sums[start]
+        part[:1] += sums[start : start + 1]
         np.cumsum(part, out=sums[start + 1 : end + 1])
     return sums
 
