@@ -44,19 +44,21 @@ def _unescaped(text: Column, codes: tuple[tuple[str, str], ...] = CODES) -> Colu
 
 
 def ancestors(messages: DataFrame) -> list[DataFrame]:
-    """By k: (tree, node, above, total), the ancestor 2**k up, and the scores on the way to it.
+    """By k: (tree, node, above, total, size), the ancestor 2**k up, and the scores on the way to it.
 
-    In the last table every message but those on cycles has reached its root.
+    A table holds the trees that need it: those of more than 2**(k-1) messages. In the
+    last table of its tree a message has reached the root, or is on a cycle.
     """
-    largest = messages.groupBy("tree").count().agg(F.max("count")).first()[0] or 1
     known = messages.select("tree", F.col("node").alias("above"), F.lit(True).alias("there"))
-    first = messages.select("tree", "node", F.col("parent").alias("above"), F.col("score").alias("total")).join(known, ["tree", "above"], "left")
-    tables = [written(first.select("tree", "node", F.when(F.col("there"), F.col("above")).alias("above"), "total"))]
+    sizes = messages.groupBy("tree").agg(F.count("*").alias("size"))
+    first = messages.select("tree", "node", F.col("parent").alias("above"), F.col("score").alias("total")).join(known, ["tree", "above"], "left").join(sizes, "tree")
+    tables = [written(first.select("tree", "node", F.when(F.col("there"), F.col("above")).alias("above"), "total", "size"))]
+    largest = tables[0].agg(F.max("size")).first()[0] or 1
     while 1 << (len(tables) - 1) < largest:
-        near = tables[-1]
+        near = tables[-1].where(F.col("size") > 1 << (len(tables) - 1))
         far = near.select("tree", F.col("node").alias("above"), F.col("above").alias("next"), F.col("total").alias("more"))
         joined = near.join(far, ["tree", "above"], "left")
-        tables.append(written(joined.select("tree", "node", F.col("next").alias("above"), (F.col("total") + F.coalesce("more", F.lit(0.0))).alias("total"))))
+        tables.append(written(joined.select("tree", "node", F.col("next").alias("above"), (F.col("total") + F.coalesce("more", F.lit(0.0))).alias("total"), "size")))
     return tables
 
 
@@ -75,7 +77,9 @@ def paths(messages: DataFrame, branches: int | None = None) -> DataFrame:
     """
     tables = ancestors(messages)
     parents = tables[0].where("above is not null").select("tree", F.col("above").alias("node")).distinct()
-    ends = tables[-1].where("above is null")
+    ends = tables[0].where("above is null and size <= 1").select("tree", "node", "total")
+    for k, table in enumerate(tables[1:], 1):
+        ends = ends.union(table.where((F.col("size") <= 1 << k) & F.col("above").isNull()).select("tree", "node", "total"))
     leaves = ends.join(parents, ["tree", "node"], "left_anti").select("tree", F.col("node").alias("leaf"), F.col("total").alias("score"))
     best = Window.partitionBy("tree").orderBy(F.desc("score"), "leaf")
     leaves = leaves.withColumn("branch", F.row_number().over(best))
