@@ -1,8 +1,7 @@
 """The base tables of the order system, derived from the TPC-H-like test tables.
 
-Every order and every line takes part.  The remainders only decide which
-documents an order has (a purchase order, a delivery, ...) and where ids are
-blank or NULL.  The same text runs in Spark and in DuckDB; `{orders}` and its
+The remainders decide which documents an order has (a purchase order, a
+delivery, ...), as `FIXTURES.md` lists them, and where ids are blank or NULL.  The same text runs in Spark and in DuckDB; `{orders}` and its
 like stand for the test tables.
 """
 
@@ -14,6 +13,7 @@ from weakref import WeakKeyDictionary
 from pyspark.sql import DataFrame, SparkSession
 
 from orderweave.sources import Tables
+from orderweave.sources.schema import COLUMNS
 
 VIEWS: dict[str, str] = {
     "sales_inquiry": """
@@ -172,6 +172,44 @@ VIEWS: dict[str, str] = {
         select 'SO' || cast(o_orderkey as string) as CustOrderNo from {orders} where o_orderkey%2=0""",
 }
 
+# Awkward ids over the same tables: three orders and three purchase orders without an
+# id, with their items; NULL and padded ids; one purchase order and one delivery
+# note that a good part of the inquiries name; repeated inquiries.
+_BLANK = "in ('{0}1', '{0}33', '{0}66')"
+CHANGED: dict[str, dict[str, str]] = {
+    "sales_order": {"szFSoId": f"case when szFSoId {_BLANK.format('SO')} then ' ' else szFSoId end"},
+    "sales_order_item": {"szFSoId": f"case when szFSoId {_BLANK.format('SO')} then ' ' else szFSoId end"},
+    "bonus_source": {"szFSoId": f"case when szFSoId {_BLANK.format('SO')} then ' ' else szFSoId end"},
+    "purchase_order": {"szFPo_sId": f"case when szFPo_sId {_BLANK.format('PO')} then '' else szFPo_sId end"},
+    "purchase_order_item": {"szFPo_sId": f"case when szFPo_sId {_BLANK.format('PO')} then '' else szFPo_sId end"},
+    "transfer_log": {"szDocId": f"case when szDocId {_BLANK.format('SO')} then ' ' else szDocId end"},
+    "sales_inquiry": {
+        "szFSoId": "case when szFSoId in ('', 'SO1') then ' ' when szCarrierId = 'CR4' and szFSoId like '%9' then null else szFSoId end",
+        "szFPoId": "case when szVehicleNo like '%7' then 'PO5' when szFPoId in ('PO33', 'PO66') then '' else szFPoId end",
+        "szCustId": "case when szDriverNm = 'D8' then szCustId || ' ' when szDriverNm = 'D9' then null else szCustId end",
+        "szFDnId": "case when szVehicleNo like '%3' then 'DN3' else szFDnId end",
+    },
+}
+
+
+def skewed_views() -> dict[str, str]:
+    """The views with the ids above; every inquiry of some carriers occurs three times."""
+    views = dict(VIEWS)
+    for name, changed in CHANGED.items():
+        columns = ", ".join(f"{changed[c]} as {c}" if c in changed else c for c in stored_columns(name))
+        views[name] = f"select {columns} from ({VIEWS[name]})"
+    again = "(select 0 as copy union all select 1 union all select 2)"
+    inquiry = ", ".join(stored_columns("sales_inquiry"))
+    views["sales_inquiry"] = (
+        f"select {inquiry} from ({views['sales_inquiry']}) q join {again} c on c.copy = 0 or q.szCarrierId = 'CR2'"
+    )
+    return views
+
+
+def stored_columns(name: str) -> list[str]:
+    return " ".join(COLUMNS[name].values()).split()
+
+
 _INPUT = re.compile(r"\{(\w+)\}")
 
 
@@ -190,14 +228,14 @@ SCHEMAS = {
 _DEFINED: WeakKeyDictionary = WeakKeyDictionary()
 
 
-def bridge_tables(spark: SparkSession, sf_dir: str) -> Tables:
+def bridge_tables(spark: SparkSession, sf_dir: str, views: dict[str, str] = VIEWS) -> Tables:
     """The base tables as lazy Spark frames over `sf_dir`; a session defines them once."""
-    inputs, frames = _DEFINED.setdefault(spark, {}).setdefault(sf_dir, ({}, {}))
+    inputs, frames = _DEFINED.setdefault(spark, {}).setdefault((sf_dir, views is VIEWS), ({}, {}))
 
     def load(name: str) -> DataFrame:
         if name in frames:
             return frames[name]
-        text = VIEWS[name]
+        text = views[name]
         used = set(_INPUT.findall(text))
         for table in used - inputs.keys():
             inputs[table] = spark.read.schema(SCHEMAS[table]).parquet(f"{sf_dir}/{table}.parquet")
@@ -207,10 +245,10 @@ def bridge_tables(spark: SparkSession, sf_dir: str) -> Tables:
     return Tables(spark, load)
 
 
-def with_bridge(sql: str) -> str:
+def with_bridge(sql: str, views: dict[str, str] = VIEWS) -> str:
     """`sql` over `erp_*` tables, preceded by the views it names."""
-    names = [name for name in VIEWS if re.search(rf"\berp_{name}\b", sql)]
-    ctes = ",\n".join(f"erp_{name} as ({_INPUT.sub(r'\1', VIEWS[name])})" for name in names)
+    names = [name for name in views if re.search(rf"\berp_{name}\b", sql)]
+    ctes = ",\n".join(f"erp_{name} as ({_INPUT.sub(r'\1', views[name])})" for name in names)
     sql = sql.strip()
     if sql[:5].lower() == "with ":
         return f"with {ctes},\n{sql[5:]}"

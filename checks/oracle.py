@@ -6,7 +6,7 @@ other in one chain, all pairs of sales and purchase items, then DISTINCT.
 
 from __future__ import annotations
 
-from .bridge import with_bridge
+from .bridge import skewed_views, with_bridge
 from .money import grid_sql as g
 
 NONE = "timestamp '1900-01-01'"
@@ -614,12 +614,19 @@ _ORACLE: dict[str, str] = {
     "sink_overwrite": """
         select szFPo_sId as "szFPo_sId", strftime(dtmCreated, '%Y-%m-%d %H:%M:%S') as date_created
         from erp_purchase_order""",
-    "sink_month_partition": f"""
+    "sink_month_partition": """
         select szFSoId as "szFSoId", dtmOrder as "dtmOrder",
-          case when dtmOrder >= timestamp '{HALF[0]}' and dtmOrder < timestamp '{HALF[1]}' then 2 else 1 end
-            as version,
+          case when dtmOrder < timestamp '1998-03-01' then 2 else 1 end as version,
           strftime(dtmOrder, '%Y-%m') as period
-        from erp_sales_order""",
+        from erp_sales_order
+        where dtmOrder >= timestamp '1998-01-01' and dtmOrder < timestamp '1998-04-01'""",
+    "sink_month_rerun": """
+        select szFSoId as "szFSoId", dtmOrder as "dtmOrder", 2 as version, '1998-01' as period
+        from erp_sales_order
+        where dtmOrder >= timestamp '1998-01-01' and dtmOrder < timestamp '1998-02-04'
+        union all
+        select szFSoId, dtmOrder, 1, '1998-02' from erp_sales_order
+        where dtmOrder >= timestamp '1998-02-01' and dtmOrder < timestamp '1998-03-01'""",
     "shipment_load": "select * from erp_delivery_order",
     "enrich_distributor": f"""
         with month as ({with_bridge(po_tracking_month_sql(*ALL))})
@@ -631,3 +638,15 @@ _ORACLE: dict[str, str] = {
 ORACLE: dict[str, str] = {
     name: sql if name == "enrich_distributor" else with_bridge(sql) for name, sql in _ORACLE.items()
 }
+
+_MONTH_TEXTS = (
+    "purchase_order_number", "sales_order_number", "customer_id", "customer_name",
+    "customer_category_description", "product_id", "product_name", "szfdnid",
+)
+ORACLE["po_tracking_mtd_ignore_case"] = f"""
+    select distinct * replace ({', '.join(f'upper(rtrim({c})) as {c}' for c in _MONTH_TEXTS)})
+    from ({ORACLE["po_tracking_mtd"]})"""
+
+_SKEWED = skewed_views()
+for _name in ("po_tracking_mtd", "po_tracking_3m", "so_tracking_inquiry", "so_tracking_no_inquiry"):
+    ORACLE[f"{_name}_skewed"] = with_bridge(_ORACLE[_name], _SKEWED)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ from orderweave.functions.nulls import (
     text_or_default,
     trimmed,
 )
-from orderweave.functions.windows import DateFloor, DateWindow
+from orderweave.functions.windows import DateFloor, DateWindow, month_to_date
 from orderweave.operators import rollups
 from orderweave.operators.joins import (
     anti_join_null_aware,
@@ -51,10 +52,10 @@ from orderweave.plans.spine import (
     is_sold,
 )
 from orderweave.session import scratch_folder, tune
-from orderweave.sinks import Target, replace, replace_periods, with_text_dates
+from orderweave.sinks import Target, replace, replace_period, with_text_dates
 from orderweave.sources import Tables
 
-from .bridge import bridge_tables
+from .bridge import bridge_tables, skewed_views
 from .money import money_on_grid
 
 HALF_YEAR = DateWindow("1998-01-01", "1998-07-01")
@@ -143,6 +144,56 @@ def so_tracking_no_inquiry_all_dates(t: Tables) -> DataFrame:
     return _no_inquiry(t, ALL_DATES)
 
 
+# The same datasets over awkward ids, with few salts.
+
+
+SKEWED = skewed_views()
+
+
+def _skewed(name: str, build: Callable[[Tables], DataFrame]) -> None:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return build(bridge_tables(tune(spark), sf_dir, SKEWED))
+
+    QUERIES[name] = run
+
+
+_skewed(
+    "po_tracking_mtd_skewed",
+    lambda t: money_on_grid(po_tracking_month(t, HALF_YEAR, salts=3), *AMOUNTS),
+)
+_skewed(
+    "po_tracking_3m_skewed",
+    lambda t: money_on_grid(po_tracking_by_delivery(t, HALF_YEAR, DELIVERY_QUARTER, salts=3), *AMOUNTS),
+)
+_skewed(
+    "so_tracking_inquiry_skewed",
+    lambda t: money_on_grid(so_tracking_inquiry(t, HALF_YEAR_CLOSED, salts=3), "decAmountPOSO", *WIDE_AMOUNTS),
+)
+_skewed(
+    "so_tracking_no_inquiry_skewed",
+    lambda t: money_on_grid(so_tracking_no_inquiry(t, HALF_YEAR, salts=3), *WIDE_AMOUNTS),
+)
+
+
+def _untidy(df: DataFrame, seed: int) -> DataFrame:
+    """Some texts in lower case and with trailing blanks, differently in every table."""
+    other = lambda c: F.concat(F.lower(c), F.lit("  "))
+    texts = [f.name for f in df.schema.fields if f.dataType.typeName() == "string"]
+    return df.withColumns(
+        {c: F.when(F.pmod(F.xxhash64(F.lit(seed), c), F.lit(2)) == 0, other(F.col(c))).otherwise(F.col(c)) for c in texts}
+    )
+
+
+@query
+def po_tracking_mtd_ignore_case(t: Tables) -> DataFrame:
+    """The month dataset over untidy texts, compared without case and trailing blanks; shown tidy."""
+    untidy = Tables(t.spark, lambda name: _untidy(t[name], len(name))).with_padded_keys(ignore_case=True)
+    df = _month(untidy, HALF_YEAR)
+    plain = lambda c: F.upper(F.rtrim(F.collate(c, "UTF8_BINARY")))
+    texts = [f.name for f in df.schema.fields if f.dataType.typeName().startswith("string")]
+    return df.withColumns({c: plain(c) for c in texts})
+
+
 # Projections.
 
 
@@ -501,7 +552,7 @@ def self_alias_join(t: Tables) -> DataFrame:
 def top1_correlated(t: Tables) -> DataFrame:
     chain = Chain(t)
     notes = chain.pick("sales_inquiry", si_so="szFSoId", si_dn="szFDnId")
-    df = chain.join(notes, chain.note_status(), [("si_dn", "closed_dn")], spread=True, unique=True)
+    df = chain.join(notes, chain.note_status(), [("si_dn", "closed_dn")], spread=True)
     return df.select("si_so", "si_dn", flag_or_false(F.col("cl_applied")).alias("closed"))
 
 
@@ -576,7 +627,6 @@ def delivered_qty(t: Tables) -> DataFrame:
         df,
         chain.delivered(),
         [("si_so", "dlv_so"), ("delv_no", "dlv_no"), ("soi_product", "dlv_product")],
-        unique=True,
     )
     return df.select("si_so", "delv_no", "soi_product", number_or_zero(c("dlv_qty")).alias("qty"))
 
@@ -631,19 +681,49 @@ def sink_overwrite(t: Tables) -> DataFrame:
     return target.read(t.spark)
 
 
-@query
-def sink_month_partition(t: Tables) -> DataFrame:
-    """All months are loaded, then the months of one half year are loaded again."""
-    target = Target(path=f"{scratch_folder(t.spark)}/sales_order")
-    orders = t["sales_order"].select("szFSoId", "dtmOrder", F.lit(1).alias("version"))
-    replace_periods(orders, target, "dtmOrder")
-    again = orders.where(HALF_YEAR.contains(F.col("dtmOrder"))).withColumn("version", F.lit(2))
-    replace_periods(again, target, "dtmOrder")
+SINK_MONTHS = (date(1998, 1, 1), date(1998, 2, 1), date(1998, 3, 1))
+
+
+def _ordered_in(t: Tables, month: date, version: int) -> DataFrame:
+    orders = t["sales_order"].select("szFSoId", "dtmOrder", F.lit(version).alias("version"))
+    return orders.where(month_to_date(month).contains(F.col("dtmOrder")))
+
+
+def _loaded(t: Tables, target: Target) -> DataFrame:
     return target.read(t.spark).select(
         "szFSoId", "dtmOrder", "version", F.col("period").cast("string").alias("period")
     )
 
 
+@query
+def sink_month_partition(t: Tables) -> DataFrame:
+    """Three months are loaded, then two of them are loaded again."""
+    target = Target(path=f"{scratch_folder(t.spark)}/sales_order")
+    for version, months in ((1, SINK_MONTHS), (2, SINK_MONTHS[:2])):
+        for month in months:
+            replace_period(_ordered_in(t, month, version), target, month)
+    return _loaded(t, target)
+
+
+@query
+def sink_month_rerun(t: Tables) -> DataFrame:
+    """A month whose run also holds orders of the next month's first days is loaded again after that month."""
+    target = Target(path=f"{scratch_folder(t.spark)}/sales_order")
+    first, second = SINK_MONTHS[:2]
+    overlap = DateWindow("1998-02-01", "1998-02-04")
+    late = t["sales_order"].where(overlap.contains(F.col("dtmOrder")))
+
+    def run(version: int) -> DataFrame:
+        return _ordered_in(t, first, version).unionByName(
+            late.select("szFSoId", "dtmOrder", F.lit(version).alias("version"))
+        )
+
+    replace_period(run(1), target, first)
+    replace_period(_ordered_in(t, second, 1), target, second)
+    replace_period(run(2), target, first)
+    return _loaded(t, target)
+
+
 @query
 def shipment_load(t: Tables) -> DataFrame:
     """A table copied into the warehouse as it is; delivery orders stand in for shipments."""

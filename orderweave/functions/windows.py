@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import date
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -22,6 +22,13 @@ class DateWindow:
         high = F.lit(self.end).cast("timestamp_ntz")
         return (c >= low) & ((c <= high) if self.closed else (c < high))
 
+    def up_to_last_instant(self) -> DateWindow:
+        """The same instants as a closed window; times are stored to the microsecond."""
+        if self.closed:
+            return self
+        last = datetime.fromisoformat(self.end) - timedelta(microseconds=1)
+        return DateWindow(self.start, last.isoformat(sep=" "), closed=True)
+
 
 @dataclass(frozen=True)
 class DateFloor:

@@ -6,21 +6,23 @@
 from __future__ import annotations
 
 import argparse
+import json
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
 from .functions.windows import DateWindow, last_months, month_to_date
 from .plans import (
+    enrich_with_distributor,
     po_tracking_by_delivery,
     po_tracking_month,
     so_tracking_inquiry,
     so_tracking_no_inquiry,
 )
-from .plans.chain import Chain, SkewSettings
 from .session import tune
-from .sinks import Target, replace, replace_periods, with_text_dates
-from .sources import Tables
+from .sinks import Target, replace, replace_period, with_text_dates
+from .sources import JdbcSource, Tables
 from .sources.schema import BUCKET_COLUMNS, SOURCE_TABLES
 
 # Default target names.
@@ -40,16 +42,17 @@ def build(tables: Tables, dataset: str, day: date) -> DataFrame:
     if dataset == "quarter":
         return po_tracking_by_delivery(tables, last_months(day, 3), month)
     if dataset == "inquiry":
-        return so_tracking_inquiry(tables, DateWindow(month.start, day.isoformat(), closed=True))
+        # Its window is closed, so it ends with the last instant of the month's last day.
+        return so_tracking_inquiry(tables, month.up_to_last_instant())
     if dataset == "no-inquiry":
         return so_tracking_no_inquiry(tables, month)
     raise ValueError(f"unknown dataset: {dataset}")
 
 
-def load(df: DataFrame, target: Target, period_column: str | None = None) -> None:
-    """Replace the target, or only the months of `period_column` that `df` holds."""
-    if period_column is not None:
-        replace_periods(with_text_dates(df), target, period_column)
+def load(df: DataFrame, target: Target, month: date | None = None) -> None:
+    """Replace the target, or only the period of the run for `month`."""
+    if month is not None:
+        replace_period(with_text_dates(df), target, month)
     else:
         replace(with_text_dates(df), target)
 
@@ -60,20 +63,17 @@ def load_table(tables: Tables, name: str, target: Target) -> None:
 
 
 def stage(
-    tables: Tables, database: str, buckets: int, skew: SkewSettings | None = None
+    tables: Tables, database: str, buckets: int, unbucketed: Sequence[str] = ()
 ) -> None:
     """Copy all base tables into catalog tables, the large ones bucketed by their join column.
 
     A later `Tables.catalog(spark, database, bucketed=True)` joins them without
     shuffling them again.  `buckets` should be at least the number of shuffle
-    partitions.  A table with heavy keys stays unbucketed: a bucket is read by
-    one task, and its joins are salted instead.
+    partitions.  A bucket is read by one task: tables in which one id holds many
+    rows belong into `unbucketed`.
     """
-    chain = Chain(tables, skew)
     for name, source_name in SOURCE_TABLES.items():
-        column = BUCKET_COLUMNS.get(name)
-        if column and chain.heavy_in(name, column):
-            column = None
+        column = None if name in unbucketed else BUCKET_COLUMNS.get(name)
         target = Target(
             table=f"{database}.{source_name}",
             buckets=buckets if column else None,
@@ -82,20 +82,50 @@ def stage(
         load_table(tables, name, target)
 
 
+def _source(spark: SparkSession, options: argparse.Namespace) -> Tables:
+    """The base tables: a parquet folder, catalog tables, or the database itself."""
+    if options.database:
+        tables = Tables.catalog(spark, options.database)
+    elif options.jdbc:
+        with open(options.jdbc, encoding="utf-8") as file:
+            tables = Tables.jdbc(spark, JdbcSource.from_settings(json.load(file)))
+    else:
+        tables = Tables.parquet(spark, options.source)
+    return tables.with_padded_keys(options.ignore_case) if options.padded or options.ignore_case else tables
+
+
 def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__)
-    parser.add_argument("dataset", choices=list(TARGETS))
-    parser.add_argument("--source", required=True, help="folder with one parquet folder per table")
-    parser.add_argument("--target", required=True, help="folder of the target tables")
-    parser.add_argument("--name", help="name of the target table")
+    parser.add_argument("job", choices=[*TARGETS, "stage", "copy"], help="a dataset, or copies of base tables")
+    source = parser.add_mutually_exclusive_group(required=True)
+    source.add_argument("--source", help="folder with one parquet folder per table")
+    source.add_argument("--database", help="catalog database with the base tables")
+    source.add_argument("--jdbc", help="JSON file with url, options and partitioned reads")
+    parser.add_argument("--target", required=True, help="folder of the target tables; for `stage` a database")
+    parser.add_argument("--name", help="name of the target table; for `copy` the base table")
     parser.add_argument("--day", type=date.fromisoformat, default=date.today())
-    parser.add_argument("--period-column", help="replace only the months of this column")
+    parser.add_argument("--by-period", action="store_true", help="replace only what earlier runs for this month wrote")
+    parser.add_argument("--padded", action="store_true", help="ids and texts compare without trailing blanks")
+    parser.add_argument("--ignore-case", action="store_true", help="they also compare without case")
+    parser.add_argument("--buckets", type=int, default=200, help="for `stage`")
+    parser.add_argument("--unbucketed", nargs="*", default=(), help="for `stage`: tables with ids of many rows")
+    parser.add_argument("--distributors", help="parquet folder to join to the dataset")
+    parser.add_argument("--distributor-key", nargs=2, metavar=("DATASET_COLUMN", "DISTRIBUTOR_COLUMN"))
     options = parser.parse_args(arguments)
 
     spark = tune(SparkSession.builder.appName("orderweave").getOrCreate())
-    name = options.name or TARGETS[options.dataset]
-    df = build(Tables.parquet(spark, options.source), options.dataset, options.day)
-    load(df, Target(path=f"{options.target}/{name}"), options.period_column)
+    tables = _source(spark, options)
+    if options.job == "stage":
+        stage(tables, options.target, options.buckets, options.unbucketed)
+        return
+    if options.job == "copy":
+        load_table(tables, options.name, Target(path=f"{options.target}/{options.name}"))
+        return
+    df = build(tables, options.job, options.day)
+    if options.distributors:
+        df = enrich_with_distributor(df, spark.read.parquet(options.distributors), tuple(options.distributor_key))
+    name = options.name or TARGETS[options.job]
+    load(df, Target(path=f"{options.target}/{name}"), options.day if options.by_period else None)
 
 
 if __name__ == "__main__":

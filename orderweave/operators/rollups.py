@@ -79,39 +79,26 @@ def bonus_rollup(
     bonuses: DataFrame,
     orders: DataFrame | None = None,
     *,
-    heavy_orders: tuple[str, ...] = (),
-    heavy_lines: tuple[str, ...] = (),
     salts: int = 64,
-    bucketed: bool = False,
 ) -> DataFrame:
     """Discounts per order, product, parent, payment type and item type.
 
     Every bonus is split over the items of its order line.  The items' shares
     are summed per line first, so a line with many items and many bonuses never
     forms their pairs.  `orders` (one id column, `szFSoId`) restricts the
-    roll-up; an order listed twice counts twice.  `heavy_orders` are order ids
-    frequent among the items, `heavy_lines` order lines frequent among the
-    bonuses; both are salted.  `bucketed` inputs are stored by order id already.
+    roll-up; an order listed twice counts twice.
     """
     if orders is not None:
         weights = orders.groupBy(F.col("szFSoId").alias("_order")).agg(
             F.count(F.lit(1)).alias("_weight")
         )
         items = skew_join(
-            items, weights, [("szFSoId", "_order")], "inner", heavy_left=heavy_orders, salts=salts
+            items, weights, [("szFSoId", "_order")], "inner", spread_blank=True, salts=salts
         )
     bonuses = bonuses.where(F.col("szProductId").isNotNull())
-    if not (heavy_orders or heavy_lines or bucketed):
-        # By order alone: every later step, and the join to the order's items, then
-        # finds its rows in place.
-        items, bonuses = items.repartition("szFSoId"), bonuses.repartition("szFSoId")
+    # By order and line: the lines of a blank order id do not meet in one task.
     lines = skew_join(
-        bonuses,
-        _item_shares(items),
-        [("szFSoId", "_so"), ("shItemNumber", "_line")],
-        "inner",
-        heavy_left=heavy_lines,
-        salts=salts,
+        bonuses, _item_shares(items), [("szFSoId", "_so"), ("shItemNumber", "_line")], "inner"
     )
     amount = F.col("decBonusAmount")
     weight = F.lit(1) if orders is None else F.max("_weight")

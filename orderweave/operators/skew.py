@@ -4,7 +4,8 @@ Two cases need care.  Many rows with a blank or heavy key on the *left* would
 all meet in one task: they get a salt, and the matching right rows are repeated
 once per salt.  A heavy key on the *right* is the mirror image: its rows get
 the salt and the left row is repeated.  Every pair still meets exactly once, so
-the result is the plain join's.
+the result is the plain join's.  Which keys are heavy is the caller's knowledge;
+blank ones need none.
 """
 
 from __future__ import annotations
@@ -18,8 +19,6 @@ from pyspark.sql import functions as F
 from ..functions.nulls import is_blank, is_empty
 
 _SEPARATOR = "\u0001"
-_COUNTERS = 8192
-_SKETCH_GROUPS = 64
 
 
 def key_text(columns: Sequence[str]) -> Column:
@@ -33,29 +32,6 @@ def key_text(columns: Sequence[str]) -> Column:
     return F.concat(*pieces)
 
 
-def heavy_values(df: DataFrame, columns: Sequence[str], share: float) -> tuple[str, ...]:
-    """Key values holding at least `share` of the rows.
-
-    One scan of the key columns into fixed-size sketches, merged in two steps;
-    at most `1 / share` values come back to the driver.
-    """
-    k = math.ceil(1 / share)
-    if _COUNTERS < 8 * k:
-        raise ValueError(f"share {share} is finer than the sketch resolves")
-    keyed = df.select(key_text(columns).alias("k")).where(F.col("k").isNotNull())
-    sketched = keyed.groupBy(F.pmod(F.spark_partition_id(), F.lit(_SKETCH_GROUPS)).alias("g")).agg(
-        F.expr(f"approx_top_k_accumulate(k, {_COUNTERS})").alias("s"), F.count("k").alias("n")
-    )
-    # Grouped by a constant: sketches cannot be merged over an empty partition.
-    merged = sketched.groupBy(F.lit(1)).agg(
-        F.expr(f"approx_top_k_estimate(approx_top_k_combine(s, {_COUNTERS}), {k})").alias("top"),
-        F.sum("n").alias("n"),
-    ).first()
-    if merged is None or not merged["n"]:
-        return ()
-    return tuple(t["item"] for t in merged["top"] if t["count"] >= share * merged["n"])
-
-
 def _one_of(key: Column, values: Sequence[str]) -> Column:
     return F.coalesce(key.isin(list(values)), F.lit(False)) if values else F.lit(False)
 

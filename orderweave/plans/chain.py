@@ -8,7 +8,6 @@ neither can change the result.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,79 +20,37 @@ from ..operators.skew import skew_join
 from ..sources import Tables
 
 
-@dataclass(frozen=True)
-class SkewSettings:
-    """When a join is checked for heavy keys, and how finely they are split.
-
-    A table below `min_bytes` is not checked.  `share` is the part of a table's
-    rows from which a key counts as heavy.  `salts` defaults to the session's
-    number of shuffle partitions.
-    """
-
-    min_bytes: int = 1 << 30
-    share: float = 0.005
-    salts: int | None = None
-
-
 # Ids that tell rows with the same blank or heavy key apart.
 SALT_COLUMNS = ("si_so", "si_po", "si_do", "si_dn", "si_customer", "so_id", "soi_product", "poi_product")
 
 
 class Chain:
-    """`unused` names columns of the frames below that the dataset does not need.
+    """Building a plan starts no job: what depends on the data is decided by its joins.
 
+    `salts` is how finely blank ids are split, by default as the shuffles are.
+    `unused` names columns of the frames below that the dataset does not need.
     Catalyst prunes columns by itself, but not below a salt or an early DISTINCT.
     """
 
     def __init__(
         self,
         tables: Tables,
-        skew: SkewSettings | None = None,
+        salts: int | None = None,
         unused: frozenset[str] = frozenset(),
     ):
         self.tables = tables
         self.unused = unused
-        self.skew = skew or SkewSettings()
-        conf = tables.spark.conf
-        self.salts = self.skew.salts or int(conf.get("spark.sql.shuffle.partitions"))
-        self.broadcast_bytes = tables.broadcast_limit()
-        self._origin: dict[str, tuple[str, str]] = {}
+        self.salts = salts or int(tables.spark.conf.get("spark.sql.shuffle.partitions"))
 
     def pick(self, table: str, **names: str) -> DataFrame:
         """Columns of a table under names that are unique in the chain."""
         names = {new: old for new, old in names.items() if new not in self.unused}
-        for new, old in names.items():
-            self._origin[new] = (table, old)
         return self.tables[table].selectExpr(*[f"{old} as {new}" for new, old in names.items()])
 
-    def none(self, df: DataFrame) -> DataFrame:
-        return df.where(F.lit(False))
-
     def blank_only(self, df: DataFrame, key: str) -> DataFrame:
-        """Rows with a blank id; an empty frame, seen as such by the optimizer, if none are stored."""
-        table, column = self._origin[key]
-        if not self.tables.has_blank(table, column):
-            return self.none(df)
+        """Rows with a blank id: none in most tables, found by the scan."""
         return df.where(is_empty_id(F.col(key)))
 
-    def heavy(self, *keys: str) -> tuple[str, ...]:
-        """Heavy values of keys that come from one large table."""
-        origins = [self._origin.get(k) for k in keys]
-        names = {o[0] for o in origins if o}
-        if None in origins or len(names) != 1:
-            return ()
-        (table,) = names
-        return self.heavy_in(table, *[o[1] for o in origins])
-
-    def heavy_in(self, table: str, *columns: str) -> tuple[str, ...]:
-        if self.tables.bytes(table) < self.skew.min_bytes:
-            return ()
-        return self.tables.heavy(table, columns, self.skew.share)
-
-    def is_small(self, key: str) -> bool:
-        origin = self._origin.get(key)
-        return origin is not None and self.tables.bytes(origin[0]) <= self.broadcast_bytes
-
     def join(
         self,
         left: DataFrame,
@@ -103,52 +60,20 @@ class Chain:
         *,
         only_if: str | None = None,
         spread: bool = False,
-        unique: bool = False,
     ) -> DataFrame:
-        """Join, salted where a key is blank (`spread`) or heavy.
-
-        A right side small enough for Spark to broadcast needs no salt.
-        `unique` says the right side has one row per key.
+        """Join, salted where a key is blank (`spread`); other heavy keys are left to AQE.
 
         A left join passes on the partitioning of its left key only.  So joins
         that follow each other name the same left column wherever they can.
         """
-        left_keys, right_keys = [l for l, _ in on], [r for _, r in on]
-        if self.is_small(right_keys[0]):
-            return skew_join(left, right, on, how, only_if=only_if)
-        heavy_right = () if unique else self.heavy(*right_keys)
-        if heavy_right:
-            right = right.distinct()
         return skew_join(
-            left,
-            right,
-            on,
-            how,
-            only_if=only_if,
-            spread_blank=spread,
-            heavy_left=self.heavy(*left_keys),
-            heavy_right=heavy_right,
-            salts=self.salts,
-            salt_by=SALT_COLUMNS,
+            left, right, on, how, only_if=only_if, spread_blank=spread, salts=self.salts, salt_by=SALT_COLUMNS
         )
 
-    def few_rows(self, df: DataFrame, key: str, limit: int = 100) -> DataFrame | None:
-        """`df` as a local frame of at most `limit` rows, or None if it has more.
-
-        Spark then knows its size and broadcasts it without a hint.  None also if
-        the table behind `key` is small enough for that as it is.
-        """
-        if self.is_small(key):
-            return None
-        rows = df.limit(limit + 1).collect()
-        if len(rows) > limit:
-            return None
-        return self.tables.spark.createDataFrame(rows, df.schema)
-
     # Frames used by several datasets.
 
     def inquiries(self) -> DataFrame:
-        df = self.pick(
+        return self.pick(
             "sales_inquiry",
             si_so="szFSoId",
             si_po="szFPoId",
@@ -162,8 +87,6 @@ class Chain:
             si_eta="dtmETA",
             si_sent_wms="bSentWMS",
         )
-        # Copies of one inquiry are merged before they meet in a join.
-        return df.distinct() if self.heavy("si_po") or self.heavy("si_so") else df
 
     def orders(self) -> DataFrame:
         return self.pick(
@@ -329,7 +252,6 @@ class Chain:
             decDPP="decDPP",
             decTax="decTax",
         )
-        heavy_orders = self.heavy("szFSoId")
         source = self.pick(
             "bonus_source",
             szFSoId="szFSoId",
@@ -346,10 +268,7 @@ class Chain:
             items,
             source,
             orders,
-            heavy_orders=heavy_orders + self.heavy("szFSoId"),
-            heavy_lines=self.heavy("szFSoId", "shItemNumber"),
             salts=self.salts,
-            bucketed=self.tables.bucketed,
         )
         names = dict(zip(rollups.BONUS_KEYS, BONUS_COLUMNS))
         return totals.select([F.col(c).alias(names.get(c, c)) for c in totals.columns])
@@ -357,7 +276,7 @@ class Chain:
     def join_bonuses(self, df: DataFrame, bonuses: DataFrame, order_key: str) -> DataFrame:
         """Discounts of a row's item; `order_key` is the left column its item was joined on."""
         keys = (order_key, "soi_product", "soi_parent", "soi_payment", "soi_type")
-        return self.join(df, bonuses, list(zip(keys, BONUS_COLUMNS)), unique=True)
+        return self.join(df, bonuses, list(zip(keys, BONUS_COLUMNS)))
 
 
 BONUS_COLUMNS = ("bonus_so", "bonus_product", "bonus_parent", "bonus_payment", "bonus_type")

@@ -10,9 +10,8 @@ from ..functions.nulls import date_or_default, flag_or_false, number_or_zero, te
 from ..functions.windows import DateFloor, DateWindow
 from ..operators.joins import flag_states, surviving_flags
 from ..sources import Tables
-from .chain import Chain, SkewSettings
+from .chain import Chain
 from .spine import (
-    HEADER_IDS,
     absent,
     dated_inquiries,
     with_products,
@@ -41,7 +40,7 @@ def _not_rejected(chain: Chain, df: DataFrame) -> DataFrame:
     approvals = chain.pick("approval", rejected_id="gdApprovedId", rejected="bRejected")
     states = flag_states(approvals, "rejected_id", "rejected")
     return surviving_flags(
-        chain.join(df, states, [("so_approval", "_flag_key")], spread=True, unique=True), "rejected"
+        chain.join(df, states, [("so_approval", "_flag_key")], spread=True), "rejected"
     )
 
 
@@ -51,7 +50,7 @@ def _not_canceled(chain: Chain, df: DataFrame, spread: bool) -> DataFrame:
         log = chain.blank_only(log, "cancel_so")
     states = flag_states(log, "cancel_so", "canceled")
     return surviving_flags(
-        chain.join(df, states, [("si_so", "_flag_key")], spread=spread, unique=True), "canceled"
+        chain.join(df, states, [("si_so", "_flag_key")], spread=spread), "canceled"
     )
 
 
@@ -90,7 +89,7 @@ def _shared_columns(with_sales_order: bool) -> dict[str, Column]:
 
 def _with_notes(chain: Chain, df: DataFrame) -> DataFrame:
     df = chain.join(df, chain.delivery_notes(), [("si_dn", "dn_id")], spread=True)
-    return chain.join(df, chain.note_status(), [("si_dn", "closed_dn")], spread=True, unique=True)
+    return chain.join(df, chain.note_status(), [("si_dn", "closed_dn")], spread=True)
 
 
 def po_tracking_month(
@@ -101,27 +100,21 @@ def po_tracking_month(
     bonus_floor: DateFloor | None = None,
     channels: tuple[str, ...] = CHANNELS,
     reserved: tuple[str, ...] = RESERVED,
-    skew: SkewSettings | None = None,
+    salts: int | None = None,
 ) -> DataFrame:
     """Items ordered in `window`, whose sales order was also created in `created`.
 
     `created` and `bonus_floor` default to the window and its start.
     """
-    chain = Chain(tables, skew, UNUSED)
-    tables.look_for_blanks(*HEADER_IDS)
+    chain = Chain(tables, salts, UNUSED)
     created = created or window
     bonus_floor = bonus_floor or DateFloor(window.start)
-    branches = [True]
-    # A row needs its sales order: inquiries without one only count if an order has a blank id.
-    if tables.has_blank("sales_order", "szFSoId"):
-        branches.append(False)
-    rows = None
-    for with_sales_order in branches:
-        branch = _month_rows(
-            chain, window, created, bonus_floor, channels, reserved, with_sales_order
-        )
-        rows = branch if rows is None else rows.unionByName(branch)
-    return rows
+    # A row needs its sales order: inquiries without one count where an order has a blank id.
+    linked, unlinked = (
+        _month_rows(chain, window, created, bonus_floor, channels, reserved, with_sales_order)
+        for with_sales_order in (True, False)
+    )
+    return linked.unionByName(unlinked)
 
 
 def _month_rows(
@@ -180,15 +173,14 @@ def po_tracking_by_delivery(
     *,
     bonus_floor: DateFloor | None = None,
     channels: tuple[str, ...] = CHANNELS,
-    skew: SkewSettings | None = None,
+    salts: int | None = None,
 ) -> DataFrame:
     """Items ordered in `window` and delivered in `delivered`.
 
     `bonus_floor` defaults to the start of the delivery window: orders placed
     before it carry no invoice discount.
     """
-    chain = Chain(tables, skew, UNUSED | {"soi_qty"})
-    tables.look_for_blanks(*HEADER_IDS)
+    chain = Chain(tables, salts, UNUSED | {"soi_qty"})
     bonus_floor = bonus_floor or DateFloor(delivered.start)
     orders = chain.orders()
     # Every row needs a delivery confirmation, which names a sales order.
@@ -215,7 +207,6 @@ def po_tracking_by_delivery(
         df,
         chain.delivered(scope),
         [("si_so", "dlv_so"), ("delv_no", "dlv_no"), ("soi_product", "dlv_product")],
-        unique=True,
     )
     discounted = chain.orders_since(bonus_floor, scope)
     df = chain.join_bonuses(df, chain.bonuses(discounted), "si_so")

@@ -20,10 +20,8 @@ from ..operators.joins import anti_join_null_aware
 from ..operators.ranking import highest, top_per_key, top_row
 from ..operators.rollups import DISCOUNT_NAMES
 from ..sources import Tables
-from .chain import Chain, SkewSettings
+from .chain import Chain
 from .spine import (
-    HEADER_IDS,
-    LOG_IDS,
     absent,
     dated_inquiries,
     order_ids_in_window,
@@ -80,7 +78,7 @@ def with_approvals(chain: Chain, df: DataFrame) -> DataFrame:
         df = chain.join(df, level, [("so_approval", f"gd{n}_id")], spread=True)
     levels = chain.pick("approval_item", gd_id="gdApprovedId", gd_level="btApprovedLevel")
     levels = highest(levels, "gd_id", "gd_level", "max_level")
-    return chain.join(df, levels, [("so_approval", "gd_id")], spread=True, unique=True)
+    return chain.join(df, levels, [("so_approval", "gd_id")], spread=True)
 
 
 def _approval_columns() -> dict[str, Column]:
@@ -104,36 +102,24 @@ def replacement_invoices(chain: Chain, per_key: bool = False) -> DataFrame:
     history = top_per_key(history, ["old_do"], latest) if per_key else top_row(history, latest)
     deliveries = chain.pick("delivery_order", newdo_id="szDoId", newdo_invoice="szFInvoiceId")
     invoices = chain.pick("invoice", new_invoice="szFInvoiceId")
-    if not per_key:
+    if per_key:
+        df = chain.join(deliveries, history, [("newdo_id", "new_do")], "inner")
+    else:
         # One history row: its delivery is looked up by value, not by a join of the table.
-        history = F.broadcast(history)
-    df = chain.join(deliveries, history, [("newdo_id", "new_do")], "inner")
-    if not per_key:
-        df = _as_few(chain, df.select("old_do", "newdo_invoice").distinct(), "newdo_id")
+        df = deliveries.join(F.broadcast(history), F.col("newdo_id") == F.col("new_do"))
+    df = df.select("old_do", "newdo_invoice").distinct()
     return chain.join(df, invoices, [("newdo_invoice", "new_invoice")], "inner").select(
         "old_do", "new_invoice"
     )
 
 
-def _as_few(chain: Chain, df: DataFrame, key: str, limit: int = 100) -> DataFrame:
-    few = chain.few_rows(df, key, limit)
-    return df if few is None else few
-
-
 def replacement_sides(chain: Chain, per_key: bool = False) -> tuple[DataFrame, DataFrame]:
     """Replacement invoices and their items."""
     replacements = replacement_invoices(chain, per_key).distinct()
     items = chain.pick(
         "invoice_item", newitem_invoice="szFInvoiceId", newitem_product="szProductId", newitem_qty="decQty"
     )
-    few = None if per_key else chain.few_rows(replacements, "new_invoice")
-    if few is None:
-        return replacements, items
-    ids = [row["new_invoice"] for row in few.collect()]
-    if not ids:
-        return few, chain.none(items)
-    items = items.where(F.col("newitem_invoice").isin(ids)).distinct()
-    return few, _as_few(chain, items, "newitem_invoice", limit=1000)
+    return replacements, chain.join(items, replacements, [("newitem_invoice", "new_invoice")], "left_semi")
 
 
 def with_replacements(chain: Chain, df: DataFrame, replacements: DataFrame) -> DataFrame:
@@ -164,15 +150,14 @@ def so_tracking_inquiry(
     *,
     bonus_floor: DateFloor | None = None,
     latest_history_per_delivery: bool = False,
-    skew: SkewSettings | None = None,
+    salts: int | None = None,
 ) -> DataFrame:
     """All items of the inquiries in `window`, with every document linked to them.
 
     The window is closed in this dataset; `bonus_floor` defaults to strictly
     after its start.
     """
-    chain = Chain(tables, skew, UNUSED_BY_INQUIRY)
-    tables.look_for_blanks(*HEADER_IDS, *LOG_IDS)
+    chain = Chain(tables, salts, UNUSED_BY_INQUIRY)
     bonus_floor = bonus_floor or DateFloor(window.start, inclusive=False)
     replaced = replacement_sides(chain, latest_history_per_delivery)
     linked = _inquiry_rows(chain, window, bonus_floor, replaced, True)
@@ -189,19 +174,13 @@ def _inquiry_rows(
     with_sales_order: bool,
 ) -> DataFrame:
     c = F.col
-    orders_stored = with_sales_order or chain.tables.has_blank("sales_order", "szFSoId")
     df = dated_inquiries(
         chain, window, chain.orders(), with_sales_order=with_sales_order, order_join="left"
     )
     df = chain.join(df, chain.customers(), [("si_customer", "cust_id")], spread=True)
-    if orders_stored:
-        df = with_approvals(chain, df)
-    else:
-        df = absent(df, max_level="tinyint")
-        for n in LEVELS:
-            df = absent(df, **{f"gd{n}_time": "timestamp_ntz", f"gd{n}_approved": "boolean"})
+    df = with_approvals(chain, df)
     df = chain.join(df, chain.delivery_notes(), [("si_dn", "dn_id")], spread=True)
-    df = chain.join(df, chain.note_status(), [("si_dn", "closed_dn")], spread=True, unique=True)
+    df = chain.join(df, chain.note_status(), [("si_dn", "closed_dn")], spread=True)
     df = with_deliveries(chain, df, "si_do")
     replacements, replacement_items = replaced
     df = with_replacements(chain, df, replacements)
@@ -217,16 +196,12 @@ def _inquiry_rows(
             df,
             chain.delivered(scope),
             [("si_so", "dlv_so"), ("delv_no", "dlv_no"), ("soi_product", "dlv_product")],
-            unique=True,
-        )
+            )
     else:
         # No confirmation and no discount of this dataset is without a sales order.
-        df = absent(df, delv_out="timestamp_ntz", delv_so="string", dlv_qty="int")
+        df = absent(df, delv_out="timestamp_ntz", delv_so=chain.tables.text, dlv_qty="int")
         df = with_purchase_items(chain, df)
-    if orders_stored:
-        df = _with_item_documents(chain, df, replacement_items)
-    else:
-        df = absent(df, dni_qty="int", item_qty="int", newitem_qty="int")
+    df = _with_item_documents(chain, df, replacement_items)
     side = "soi" if with_sales_order else "poi"
     df = with_products(chain, df, f"{side}_product")
 
@@ -303,15 +278,10 @@ def _with_logs(chain: Chain, df: DataFrame, with_sales_order: bool) -> DataFrame
         df = chain.join(df, transfers, [("si_so", "transfer_so")])
         return chain.join(df, cancels, [("si_so", "cancel_so")])
     # Log entries without an order id belong to all inquiries without one.
-    if chain.tables.has_blank("transfer_log", "szDocId"):
-        transfers = chain.blank_only(transfers, "transfer_so").distinct()
-        df = chain.join(df, transfers, [("si_so", "transfer_so")], spread=True)
-    else:
-        df = absent(df, transfer_time="timestamp_ntz")
-    if chain.tables.has_blank("cancel_log", "szDocId"):
-        cancels = chain.blank_only(cancels, "cancel_so").distinct()
-        return chain.join(df, cancels, [("si_so", "cancel_so")], spread=True)
-    return absent(df, cancel_data="string")
+    transfers = chain.blank_only(transfers, "transfer_so").distinct()
+    df = chain.join(df, transfers, [("si_so", "transfer_so")], spread=True)
+    cancels = chain.blank_only(cancels, "cancel_so").distinct()
+    return chain.join(df, cancels, [("si_so", "cancel_so")], spread=True)
 
 
 def _with_item_documents(chain: Chain, df: DataFrame, replacement_items: DataFrame) -> DataFrame:
@@ -339,11 +309,11 @@ def _with_item_documents(chain: Chain, df: DataFrame, replacement_items: DataFra
 
 
 def so_tracking_no_inquiry(
-    tables: Tables, window: DateWindow, *, skew: SkewSettings | None = None
+    tables: Tables, window: DateWindow, *, salts: int | None = None
 ) -> DataFrame:
     """Items of the sales orders in `window` that no inquiry names."""
     c = F.col
-    chain = Chain(tables, skew, UNUSED_BY_NO_INQUIRY)
+    chain = Chain(tables, salts, UNUSED_BY_NO_INQUIRY)
     in_window = chain.orders().where(window.contains(c("so_ordered")))
     inquiries = chain.pick("sales_inquiry", si_so="szFSoId")
     df = anti_join_null_aware(in_window, inquiries, "so_id", "si_so")

@@ -6,7 +6,7 @@ by date, so old documents leave the plan at the first join.
 
 Inquiries without a sales order (blank id) are planned apart from the rest:
 they take their items from the purchase order, and their shared blank id is
-joined with salts or, where no order has a blank id, not at all.
+joined with salts.
 """
 
 from __future__ import annotations
@@ -23,10 +23,6 @@ from .chain import Chain
 SOLD = "JUAL"
 BOUGHT = ("BELI", "BELI-BERIKAT")
 
-# Ids whose being blank decides which branches a plan needs.
-HEADER_IDS = (("sales_order", "szFSoId"), ("purchase_order", "szFPo_sId"))
-LOG_IDS = (("transfer_log", "szDocId"), ("cancel_log", "szDocId"))
-
 
 def dated_inquiries(
     chain: Chain,
@@ -59,7 +55,7 @@ def dated_inquiries(
         "inner",
     )
     if with_sales_order:
-        bought = chain.join(bought, bought_flags(chain), by_flag, unique=True)
+        bought = chain.join(bought, bought_flags(chain), by_flag)
     bought = chain.join(bought, receipts, [("po_id", "receipt_po")])
     bought = chain.join(bought, orders, by_order, order_join, spread=spread)
 
@@ -70,13 +66,12 @@ def dated_inquiries(
         "inner",
         spread=spread,
     )
-    if chain.tables.has_blank("purchase_order", "szFPo_sId"):
-        # A purchase order with a blank id matches here; its receipts do not.
-        unnamed = chain.blank_only(purchases, "po_id")
-        sold = chain.join(sold, unnamed, by_purchase, spread=True)
-        if with_sales_order:
-            flags = chain.blank_only(bought_flags(chain), "poi_po")
-            sold = chain.join(sold, flags, by_flag, spread=True, unique=True)
+    # A purchase order with a blank id matches here; its receipts do not.
+    unnamed = chain.blank_only(purchases, "po_id")
+    sold = chain.join(sold, unnamed, by_purchase, spread=True)
+    if with_sales_order:
+        flags = chain.blank_only(bought_flags(chain), "poi_po")
+        sold = chain.join(sold, flags, by_flag, spread=True)
     return bought.unionByName(sold, allowMissingColumns=True)
 
 
@@ -131,8 +126,6 @@ def with_purchase_items(chain: Chain, df: DataFrame) -> DataFrame:
     """
     items = chain.purchase_items()
     by_purchase = [("po_id", "poi_po")]
-    if not chain.tables.has_blank("sales_order", "szFSoId"):
-        return chain.join(df, items, by_purchase, "inner").where(is_bought())
     sales_items = chain.blank_only(chain.order_items(), "soi_so")
     df = chain.join(
         df, sales_items, [("si_so", "soi_so")], only_if="so_id is not null", spread=True

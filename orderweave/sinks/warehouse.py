@@ -1,10 +1,11 @@
-"""Warehouse targets: full replacement, and replacement month by month."""
+"""Warehouse targets: full replacement, and replacement run by run."""
 
 from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
@@ -76,13 +77,23 @@ def replace(df: DataFrame, target: Target, expected: Sequence[str] | None = None
     target.save(df.write.mode("overwrite"))
 
 
-def replace_periods(df: DataFrame, target: Target, date_column: str) -> None:
-    """Replace only the months that occur in `df`, keeping the target's other months.
+def replace_period(df: DataFrame, target: Target, month: date) -> None:
+    """Replace what the run for `month` has written before, and nothing else.
 
-    The rebalance brings a month's rows together, for few files, and splits a
-    month too large for one task.
+    The period is the run's, not a date of the rows: a run may hold rows of
+    neighbouring months, which belong to it all the same.  A run without rows
+    empties its period.
     """
     check_columns(df)
-    dated = df.withColumn(PERIOD, F.date_format(date_column, "yyyy-MM"))
-    writer = dated.hint("rebalance", PERIOD).write.mode("overwrite").partitionBy(PERIOD)
-    target.save(writer.option("partitionOverwriteMode", "dynamic"))
+    period = f"{month:%Y-%m}"
+    if target.path is not None:
+        df.write.mode("overwrite").format(target.format).save(f"{target.path}/{PERIOD}={period}")
+        return
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(target.table):
+        empty = df.where(F.lit(False)).withColumn(PERIOD, F.lit(period))
+        empty.write.format(target.format).partitionBy(PERIOD).saveAsTable(target.table)
+    spark.sql(
+        f"insert overwrite table {target.table} partition ({PERIOD} = '{period}') select * from {{rows}}",
+        rows=df,
+    )

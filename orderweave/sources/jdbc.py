@@ -20,13 +20,41 @@ class PartitionedRead:
     partitions: int
 
 
+#: Header and item tables: one connection would pull each of them through one task.
+LARGE_TABLES = (
+    "sales_inquiry",
+    "sales_order",
+    "sales_order_item",
+    "purchase_order",
+    "purchase_order_item",
+    "bonus_source",
+    "delivery_order",
+    "delivery_confirmation_item",
+    "invoice",
+    "invoice_item",
+)
+
+
 @dataclass(frozen=True)
 class JdbcSource:
+    """A database and how its tables are read; stage it first if several datasets are built from it."""
+
     url: str
     options: dict[str, str] = field(default_factory=dict)
     partitioned: dict[str, PartitionedRead] = field(default_factory=dict)
     fetch_size: int = 10_000
 
+    def __post_init__(self) -> None:
+        missing = [name for name in LARGE_TABLES if name not in self.partitioned]
+        if missing:
+            raise ValueError(f"reads of these tables need partition bounds: {missing}")
+
+    @classmethod
+    def from_settings(cls, settings: dict) -> JdbcSource:
+        """From plain values: `url`, `options`, `partitioned` (table to its bounds), `fetch_size`."""
+        splits = {name: PartitionedRead(**bounds) for name, bounds in settings.get("partitioned", {}).items()}
+        return cls(**{**settings, "partitioned": splits})
+
     def read_options(self, name: str, source_table: str) -> dict[str, str]:
         settings = {
             "url": self.url,

@@ -8,30 +8,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.nulls import is_empty_id
-from ..operators.skew import heavy_values
 from .jdbc import JdbcSource
 from .schema import MONEY, SOURCE_TABLES, table_schema
 
 
 class Tables:
-    """Base tables by name, each loaded on first use.
-
-    It also keeps three facts about the stored data that decide how a join is
-    laid out: a table's size, its heavy key values, and whether it has blank
-    ids.  Each is looked up at most once.
-    """
+    """Base tables by name, each loaded on first use."""
 
     def __init__(
         self, spark: SparkSession, load: Callable[[str], DataFrame], bucketed: bool = False
     ):
         self.spark = spark
         self.bucketed = bucketed
+        #: The type of the tables' text columns.
+        self.text = "string"
         self._load = load
         self._frames: dict[str, DataFrame] = {}
-        self._bytes: dict[str, int] = {}
-        self._heavy: dict[tuple, tuple[str, ...]] = {}
-        self._blank: dict[tuple[str, str], bool] = {}
 
     @classmethod
     def from_frames(cls, spark: SparkSession, frames: dict[str, DataFrame]) -> Tables:
@@ -71,50 +63,20 @@ class Tables:
         )
 
     def with_padded_keys(self, ignore_case: bool = False) -> Tables:
-        """Text without trailing blanks (and in upper case), as the source compares it."""
-        return Tables(self.spark, lambda name: normalized(self[name], ignore_case))
+        """Texts that compare as in the source: without trailing blanks, or also without case.
+
+        Every comparison, join, group and DISTINCT of the plans follows; the texts
+        themselves stay as they are.
+        """
+        tables = Tables(self.spark, lambda name: collated(self[name], ignore_case))
+        tables.text = f"string collate {collation(ignore_case)}"
+        return tables
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._frames:
             self._frames[name] = self._load(name)
         return self._frames[name]
 
-    def bytes(self, name: str) -> int:
-        """Catalyst's size estimate of a table: the one its broadcast rule uses."""
-        if name not in self._bytes:
-            plan = self[name]._jdf.queryExecution().optimizedPlan()
-            self._bytes[name] = int(str(plan.stats().sizeInBytes()))
-        return self._bytes[name]
-
-    def broadcast_limit(self) -> int:
-        """Size up to which Spark broadcasts a join side on its own estimate."""
-        limit = self.spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-        return int(str(limit))
-
-    def heavy(self, name: str, columns: tuple[str, ...], share: float) -> tuple[str, ...]:
-        key = (name, columns, share)
-        if key not in self._heavy:
-            self._heavy[key] = heavy_values(self[name], columns, share)
-        return self._heavy[key]
-
-    def has_blank(self, name: str, column: str) -> bool:
-        if (name, column) not in self._blank:
-            self.look_for_blanks((name, column))
-        return self._blank[name, column]
-
-    def look_for_blanks(self, *ids: tuple[str, str]) -> None:
-        """Find out in one job which of some `(table, id column)` have blank ids."""
-        unknown = [pair for pair in ids if pair not in self._blank]
-        if not unknown:
-            return
-        found = None
-        for name, column in unknown:
-            ids = self[name].where(is_empty_id(F.col(column)))
-            ids = ids.select(F.lit(f"{name}.{column}").alias("id"))
-            found = ids if found is None else found.unionAll(ids)
-        blank = {row["id"] for row in found.distinct().collect()}
-        self._blank.update({(n, c): f"{n}.{c}" in blank for n, c in unknown})
-
 
 def conform(df: DataFrame, name: str, money: T.DataType = MONEY) -> DataFrame:
     """The declared columns of a table in their declared types."""
@@ -123,12 +85,15 @@ def conform(df: DataFrame, name: str, money: T.DataType = MONEY) -> DataFrame:
     )
 
 
-def normalized(df: DataFrame, ignore_case: bool = False) -> DataFrame:
-    """Text columns as a padded, optionally case-insensitive collation compares them."""
-    columns = []
-    for f in df.schema.fields:
-        c = F.col(f.name)
-        if isinstance(f.dataType, T.StringType):
-            c = F.upper(F.rtrim(c)) if ignore_case else F.rtrim(c)
-        columns.append(c.alias(f.name))
-    return df.select(columns)
+def collation(ignore_case: bool) -> str:
+    return "UTF8_LCASE_RTRIM" if ignore_case else "UTF8_BINARY_RTRIM"
+
+
+def collated(df: DataFrame, ignore_case: bool = False) -> DataFrame:
+    """Text columns under a padded, optionally case-insensitive collation."""
+    return df.select(
+        [
+            (F.collate(f.name, collation(ignore_case)) if isinstance(f.dataType, T.StringType) else F.col(f.name)).alias(f.name)
+            for f in df.schema.fields
+        ]
+    )

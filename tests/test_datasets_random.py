@@ -17,40 +17,38 @@ from orderweave.plans import (
     so_tracking_inquiry,
     so_tracking_no_inquiry,
 )
-from orderweave.plans.chain import SkewSettings
 from orderweave.sources import Tables
 
 from .random_tables import write_tables
 
 MONTH = ("2024-12-01", "2025-01-01")
 WINDOW = DateWindow(*MONTH)
-SPLIT = SkewSettings(min_bytes=0, share=0.1, salts=5)
 
 DATASETS = {
     "month": (
-        lambda t, skew: money_on_grid(
-            po_tracking_month(t, WINDOW, created=DateWindow("2024-11-01", "2025-01-01"), skew=skew),
+        lambda t, salts: money_on_grid(
+            po_tracking_month(t, WINDOW, created=DateWindow("2024-11-01", "2025-01-01"), salts=salts),
             *AMOUNTS,
         ),
         None,
     ),
     "by_delivery": (
-        lambda t, skew: money_on_grid(
-            po_tracking_by_delivery(t, WINDOW, DateWindow("2024-12-05", "2025-01-01"), skew=skew),
+        lambda t, salts: money_on_grid(
+            po_tracking_by_delivery(t, WINDOW, DateWindow("2024-12-05", "2025-01-01"), salts=salts),
             *AMOUNTS,
         ),
         oracle.po_tracking_by_delivery_sql(*MONTH, "2024-12-05", "2025-01-01"),
     ),
     "inquiry": (
-        lambda t, skew: money_on_grid(
-            so_tracking_inquiry(t, DateWindow(*MONTH, closed=True), skew=skew),
+        lambda t, salts: money_on_grid(
+            so_tracking_inquiry(t, DateWindow(*MONTH, closed=True), salts=salts),
             "decAmountPOSO",
             *WIDE_AMOUNTS,
         ),
         oracle.so_tracking_inquiry_sql(*MONTH),
     ),
     "no_inquiry": (
-        lambda t, skew: money_on_grid(so_tracking_no_inquiry(t, WINDOW, skew=skew), *WIDE_AMOUNTS),
+        lambda t, salts: money_on_grid(so_tracking_no_inquiry(t, WINDOW, salts=salts), *WIDE_AMOUNTS),
         oracle.so_tracking_no_inquiry_sql(*MONTH),
     ),
 }
@@ -60,24 +58,24 @@ MONTH_SQL = oracle.po_tracking_month_sql(*MONTH).replace(
 
 
 @pytest.fixture(params=["plain", "split"])
-def skew(request, spark):
+def salts(request, spark):
     if request.param == "plain":
         yield None
         return
-    # No broadcast, so that every join is salted where its keys are heavy or blank.
+    # No broadcast, so that every join is salted where its keys are blank.
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    yield SPLIT
+    yield 5
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def _check(spark, root, dataset, skew, seed, **shape):
+def _check(spark, root, dataset, salts, seed, **shape):
     connection = duckdb.connect()
     for name, path in write_tables(root, seed, **shape).items():
         connection.execute(f"create table erp_{name} as select * from read_parquet('{path}')")
     build, sql = DATASETS[dataset]
     tables = Tables.parquet(spark, str(root), money=T.DoubleType())
     assert connection.execute(sql or MONTH_SQL).fetchone() is not None
-    found = differences(build(tables, skew), connection, sql or MONTH_SQL)
+    found = differences(build(tables, salts), connection, sql or MONTH_SQL)
     assert found is None, found
 
 
@@ -90,8 +88,8 @@ SHAPES = {
 
 
 @pytest.mark.parametrize("dataset", list(DATASETS))
-def test_same_as_plain_chain(spark, tmp_path, skew, dataset):
-    _check(spark, tmp_path, dataset, skew, **SHAPES["some blanks"])
+def test_same_as_plain_chain(spark, tmp_path, salts, dataset):
+    _check(spark, tmp_path, dataset, salts, **SHAPES["some blanks"])
 
 
 @pytest.mark.parametrize("dataset", list(DATASETS))

@@ -8,6 +8,8 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from checks.compare import differences, duckdb_over
+from checks.oracle import ORACLE
+from checks.queries import QUERIES
 
 DATA = "/root/testdata/sf0.001"
 
@@ -28,11 +30,16 @@ SAMPLE = [
     "approval_pivot",
     "bonus_rollup_since",
     "sink_month_partition",
+    "sink_month_rerun",
+    "po_tracking_mtd_skewed",
+    "so_tracking_inquiry_skewed",
+    "po_tracking_mtd_ignore_case",
 ]
 
 
 def test_every_query_has_its_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(queries()) and set(oracle_sql()) <= set(queries())
 
 
 @pytest.fixture(scope="module")

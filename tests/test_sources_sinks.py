@@ -1,21 +1,21 @@
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderweave import jobs
-from orderweave.functions.windows import DateWindow
+from orderweave.functions.windows import DateWindow, month_to_date
 from orderweave.operators.rollups import bonus_rollup
-from orderweave.plans import po_tracking_month
+from orderweave.plans import po_tracking_month, so_tracking_inquiry
 from orderweave.session import scratch_folder
-from orderweave.sinks import Target, replace, replace_periods, with_text_dates
+from orderweave.sinks import Target, replace, replace_period, with_text_dates
 from orderweave.sources import JdbcSource, Tables
-from orderweave.sources.jdbc import PartitionedRead
+from orderweave.sources.jdbc import LARGE_TABLES
 from orderweave.sources.schema import COLUMNS, SOURCE_TABLES, table_schema
-from orderweave.sources.tables import conform, normalized
+from orderweave.sources.tables import collated, conform
 
 from .random_tables import write_tables
 
@@ -31,7 +31,6 @@ def test_parquet_tables_are_read_with_their_schema(spark, tmp_path):
     tables = Tables.parquet(spark, str(tmp_path), money=T.DoubleType())
     assert tables["sales_order"].schema.fieldNames()[:2] == ["szFSoId", "szCustPoId"]
     assert tables["sales_order"] is tables["sales_order"]
-    assert tables.bytes("sales_order") > 0
 
 
 def test_conform_casts_to_the_declared_types(spark):
@@ -41,29 +40,56 @@ def test_conform_casts_to_the_declared_types(spark):
 
 
 def test_padded_keys(spark):
-    df = spark.createDataFrame([("ab  ", 1)], "k string, v int")
-    assert tuple(normalized(df).first()) == ("ab", 1)
-    assert tuple(normalized(df, ignore_case=True).first()) == ("AB", 1)
+    df = spark.createDataFrame([("ab  ", 1), ("AB", 2), ("ab", 3)], "k string, v int")
+    assert collated(df).where("k = 'ab'").count() == 2
+    assert collated(df, ignore_case=True).where("k = 'Ab '").count() == 3
+    assert collated(df, ignore_case=True).select("k").distinct().count() == 1
     tables = Tables.from_frames(spark, {"t": df}).with_padded_keys()
-    assert tables["t"].first()["k"] == "ab"
+    assert sorted(r["k"] for r in tables["t"].collect()) == ["AB", "ab", "ab  "]  # shown as they are
 
 
-def test_blank_ids_are_found_once(spark):
-    frames = {
-        "with": spark.createDataFrame([("a",), (" ",)], "id string"),
-        "without": spark.createDataFrame([("a",), (None,)], "id string"),
-    }
-    tables = Tables.from_frames(spark, frames)
-    tables.look_for_blanks(("with", "id"), ("without", "id"))
-    assert tables.has_blank("with", "id") and not tables.has_blank("without", "id")
+@pytest.mark.parametrize("dataset", ["month", "inquiry"])
+def test_untidy_texts_give_the_tidy_dataset(spark, tmp_path, dataset):
+    write_tables(tmp_path, seed=3, rows=24, ids=20)
+    tidy = Tables.parquet(spark, str(tmp_path), money=T.DoubleType())
+
+    def untidy(name):
+        texts = [f.name for f in tidy[name].schema.fields if isinstance(f.dataType, T.StringType)]
+        other = {c: F.concat(F.lower(c), F.lit(" ")) for c in texts}
+        chosen = lambda c: F.pmod(F.xxhash64(F.lit(name), c), F.lit(2)) == 0
+        return tidy[name].withColumns({c: F.when(chosen(c), other[c]).otherwise(F.col(c)) for c in texts})
+
+    def shown(tables):
+        month = DateWindow("2024-12-01", "2025-01-01")
+        df = (po_tracking_month if dataset == "month" else so_tracking_inquiry)(tables.with_padded_keys(True), month)
+        return sorted(tuple(v.upper().rstrip() if isinstance(v, str) else str(v) for v in r) for r in df.collect())
+
+    rows = shown(tidy)
+    assert rows == shown(Tables(spark, untidy)) and rows
+
+
+def test_inquiry_window_holds_the_last_day():
+    window = month_to_date(date(2024, 12, 31)).up_to_last_instant()
+    assert (window.start, window.end, window.closed) == ("2024-12-01", "2024-12-31 23:59:59.999999", True)
+
+
+def test_the_inquiry_job_keeps_an_order_of_the_last_noon(spark, tmp_path):
+    write_tables(tmp_path, seed=7, rows=30, ids=24, blank=0.0)
+    tables = Tables.parquet(spark, str(tmp_path), money=T.DoubleType())
+    frames = {name: tables[name] for name in COLUMNS}
+    noon = F.lit("2024-12-31 12:00:00").cast("timestamp_ntz")
+    frames["sales_order"] = frames["sales_order"].withColumn("dtmOrder", noon)
+    frames["sales_inquiry"] = frames["sales_inquiry"].withColumn("szFPoId", F.lit(""))
+    built = jobs.build(Tables.from_frames(spark, frames), "inquiry", date(2024, 12, 31))
+    assert not built.isEmpty()
 
 
 def test_jdbc_options():
-    source = JdbcSource(
-        "jdbc:example://host/db",
-        options={"user": "reader"},
-        partitioned={"sales_order": PartitionedRead("dtmOrder", "2024-01-01", "2025-01-01", 12)},
-    )
+    bounds = {"column": "dtmOrder", "lower": "2024-01-01", "upper": "2025-01-01", "partitions": 12}
+    settings = {"url": "jdbc:example://host/db", "options": {"user": "reader"}}
+    with pytest.raises(ValueError, match="partition bounds"):
+        JdbcSource.from_settings(settings)
+    source = JdbcSource.from_settings({**settings, "partitioned": dict.fromkeys(LARGE_TABLES, bounds)})
     options = source.read_options("sales_order", SOURCE_TABLES["sales_order"])
     assert options["dbtable"] == SOURCE_TABLES["sales_order"] and options["user"] == "reader"
     assert (options["partitionColumn"], options["numPartitions"]) == ("dtmOrder", "12")
@@ -91,16 +117,29 @@ def test_replace(spark, tmp_path):
         Target()
 
 
-def test_replace_periods_keeps_other_months(spark, tmp_path):
-    target = Target(path=str(tmp_path / "t"))
+@pytest.mark.parametrize("kind", ["path", "table"])
+def test_replace_period(spark, tmp_path, kind):
+    """A re-run replaces its own rows only, whatever months they are of; without rows it empties its period."""
+    target = Target(path=str(tmp_path / "t")) if kind == "path" else Target(table="period_target")
 
-    def month(m, v):
-        return spark.createDataFrame([(datetime(2024, m, 3), v)], "d timestamp_ntz, v int")
+    def rows(version, *days):
+        data = [(datetime(2024, m, d), version) for m, d in days]
+        return spark.createDataFrame(data, "d timestamp_ntz, v int")
 
-    replace_periods(month(11, 1).unionAll(month(12, 1)), target, "d")
-    replace_periods(month(12, 2), target, "d")
-    out = target.read(spark).select(F.month("d"), "v").collect()
-    assert sorted(map(tuple, out)) == [(11, 1), (12, 2)]
+    def stored():
+        return sorted((r.d.month, r.d.day, r.v) for r in target.read(spark).collect())
+
+    try:
+        replace_period(rows(1, (11, 3), (12, 1)), target, date(2024, 11, 1))
+        replace_period(rows(1, (12, 1), (12, 9)), target, date(2024, 12, 1))
+        replace_period(rows(2, (11, 3), (12, 1)), target, date(2024, 11, 30))
+        assert stored() == [(11, 3, 2), (12, 1, 1), (12, 1, 2), (12, 9, 1)]
+        if kind == "table":
+            spark.catalog.refreshTable("period_target")
+        replace_period(rows(3), target, date(2024, 11, 1))
+        assert stored() == [(12, 1, 1), (12, 9, 1)]
+    finally:
+        spark.sql("drop table if exists period_target")
 
 
 def test_scratch_folder_is_below_the_shared_folder(spark):
@@ -119,7 +158,7 @@ def test_job_loads_a_dataset(spark, tmp_path):
     jobs.main(["month", *arguments])
     loaded = Target(path=f"{warehouse}/po_tracking_mtd").read(spark)
     assert dict(loaded.dtypes)["date_created"] == "string" and len(loaded.columns) == 22
-    jobs.main(["quarter", *arguments, "--period-column", "po_approve_lv1_date"])
+    jobs.main(["quarter", *arguments, "--by-period"])
     loaded = Target(path=f"{warehouse}/po_tracking_3m").read(spark)
     assert len(loaded.columns) == 25 and "period" in loaded.columns
 
@@ -141,9 +180,7 @@ def test_staged_tables_are_joined_in_place(spark, tmp_path):
         staged = Tables.catalog(spark, "staged", money=T.DoubleType(), bucketed=True)
 
         def rollup(tables):
-            return bonus_rollup(
-                tables["sales_order_item"], tables["bonus_source"], bucketed=tables.bucketed
-            )
+            return bonus_rollup(tables["sales_order_item"], tables["bonus_source"])
 
         assert "Exchange" not in rollup(staged)._jdf.queryExecution().executedPlan().toString()
         key = list(rollup(staged).columns)
