@@ -11,10 +11,10 @@ than the next step could offer.
    bucket. Two documents at the threshold of 0.85 share none with a chance of 4e-7.
 3. Round one compares every member of a bucket with one hub, the member with most
    bucket neighbours. Round two compares what is left: members of different groups
-   of one bucket, unless a link is ruled out - for certain by the sizes, or by the
-   shingles that no other document of an open bucket has, and by 125-bit sketches
-   with a chance below 1e-7 at the threshold. A bucket is never expanded into all
-   pairs of a group that round one has linked.
+   of one bucket, unless a link is ruled out - for certain by the sizes, by the
+   shingles that no other document of an open bucket has, or by what either shares
+   with the hub; and by 125-bit sketches with a chance below 1e-7 at the threshold. A
+   bucket is never expanded into all pairs of a group that round one has linked.
 4. Links are confirmed on the full sets, by integers.
 
 Defined results: null, empty and blank texts have no shingles and no links; rows of
@@ -109,20 +109,22 @@ def _sketch(batch: pa.RecordBatch, column: str) -> dict[str, object]:
     return {"n": sizes.astype(np.int64), "k1": keys[0].view(np.int64), "k2": keys[1].view(np.int64), "bands": lists, "s1": sketch[:, 0].copy(), "s2": sketch[:, 1].copy()}
 
 
-def _linked(pairs: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough."""
+def _compared(pairs: DataFrame, percent: int) -> DataFrame:
+    """(a, b, overlap, linked): how many shingles the full sets share, and whether that is enough."""
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hit = []
+            overlap, hit = [], []
             for x, y in zip(batch.column("set_a"), batch.column("set_b"), strict=True):
                 x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                 both = np.sort(np.concatenate([x, y]))
                 shared = int(np.count_nonzero(both[1:] == both[:-1]))
+                overlap.append(shared)
                 hit.append(100 * shared >= percent * (len(both) - shared))
-            yield batch.select(["a", "b"]).filter(pa.array(hit, pa.bool_()))
+            columns = [batch.column("a"), batch.column("b"), pa.array(overlap, pa.int64()), pa.array(hit, pa.bool_())]
+            yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "overlap", "linked"])
 
-    return pairs.mapInArrow(confirm, "a long, b long").distinct()
+    return pairs.mapInArrow(confirm, "a long, b long, overlap long, linked boolean")
 
 
 def _sets(docs: DataFrame, ids: DataFrame, text: str) -> DataFrame:
@@ -139,11 +141,11 @@ def _sets(docs: DataFrame, ids: DataFrame, text: str) -> DataFrame:
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The linked ones of the pairs (a, b). The side that repeats more, the hubs, is joined last."""
+    """The pairs (a, b) compared on their full sets. The side that repeats more, the hubs, is joined last."""
     a = sets.select(F.col("id").alias("a"), F.col("set").alias("set_a"))
     hubs = pairs.select("b").distinct()
     b = sets.join(hubs, sets["id"] == hubs["b"], "left_semi").select(F.col("id").alias("b"), F.col("set").alias("set_b"))
-    return written(_linked(pairs.join(a, "a").join(b, "b").select("a", "b", "set_a", "set_b"), percent))
+    return written(_compared(pairs.join(a, "a").join(b, "b").select("a", "b", "set_a", "set_b"), percent))
 
 
 def _shared_sizes(sets: DataFrame, ids: DataFrame) -> DataFrame:
@@ -198,22 +200,26 @@ def grouped(docs: DataFrame, percent: int = PERCENT, doc_id: str = "doc_id", tex
     x, y = entry.alias("x"), hub.alias("y")
     near = F.expr("x.band = y.band and x.id <> y.id") & _possible("x", "y", percent)
     first = written(x.join(y, near).selectExpr("x.id as a", "y.id as b").distinct())
-    links = _confirmed(first, sets, percent)
+    tested = _confirmed(first, sets, percent)
+    links = tested.where("linked").select("a", "b")
 
     # round two: members of a bucket that are still apart
     labels = components(links)
     grouped_ = entry.join(labels, entry["id"] == labels["node"], "left").select("band", "id", "n", "s1", "s2", F.coalesce("component", "id").alias("group"))
-    of_hub = hub.join(labels, hub["id"] == labels["node"], "left").select("band", F.coalesce("component", "id").alias("hub_group"))
-    grouped_ = written(grouped_.join(of_hub, "band"))
+    of_hub = hub.join(labels, hub["id"] == labels["node"], "left").select("band", F.col("id").alias("b"), F.coalesce("component", "id").alias("hub_group"))
+    overlaps = tested.groupBy(F.col("a").alias("id"), "b").agg(F.max("overlap").alias("overlap"))
+    grouped_ = written(grouped_.join(of_hub, "band").join(overlaps, ["id", "b"], "left").drop("b"))
     open_ = grouped_.join(grouped_.where("group <> hub_group").select("band").distinct(), "band", "left_semi")
     open_ = written(open_.join(_shared_sizes(sets, open_.select("id").distinct()), "id"))
     x, y = open_.where("group <> hub_group").alias("x"), open_.alias("y")
     across = F.expr("x.band = y.band and x.group <> y.group and (y.group = y.hub_group or x.id < y.id)")
-    overlap = F.expr(f"100 * least(x.shared, y.shared) >= {percent} * (x.n + y.n - least(x.shared, y.shared))")
+    # x and y share at most what both share with the hub, and what both share with others beyond it
+    most = "least(x.shared, y.shared, coalesce(least(x.overlap, y.overlap) + least(x.shared - x.overlap, y.shared - y.overlap), x.n))"
+    overlap = F.expr(f"100 * {most} >= {percent} * (x.n + y.n - {most})")
     second = x.join(y, across & overlap & _possible("x", "y", percent)).selectExpr("x.id as a", "y.id as b").distinct()
     second = written(second.join(first, ["a", "b"], "left_anti"))
     if not second.isEmpty():
-        links = links.union(_confirmed(second, sets, percent))
+        links = links.union(_confirmed(second, sets, percent).where("linked").select("a", "b"))
     labels = components(links.union(same_id))
 
     found = member.join(labels, member["id"] == labels["node"], "left").select("doc_id", F.coalesce("component", "id").alias("component_id")).distinct()

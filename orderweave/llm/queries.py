@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from . import bpe, chat, decontaminate, lines, lm, minhash, quality, substrings, suffixes, tokens
 from .spark import table
+from .sql import SQL
 
 
 def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,23 +100,4 @@ QUERIES = {
     "op10_suffixes": op10_suffixes,
 }
 
-_OP1 = r"""
-with rows as (
-  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations where conv_id is not null
-  union all select -7, 0, 'user', '\### Assistant: </turn> ok'
-  union all select -7, 1, 'assistant', '\### Assistant: </turn> ok'
-), escaped as (
-  select *,
-    replace(replace(replace(text, '\', '\b'), '###', '\h'), '</turn>', '\t') as body,
-    replace(replace(replace(replace(role, '\', '\b'), '###', '\h'), '</turn>', '\t'), ':', '\c') as name
-  from rows
-)
-select conv_id, count(*) as n_turns,
-  sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
-  coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
-  sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '')) as loss_sha256,
-  sum(length(name) + length(body) + 14)::bigint as formatted_chars
-from escaped group by conv_id
-"""
-
-SQL: dict[str, str] = {"op1_chat": _OP1}
+__all__ = ["QUERIES", "SQL"]
