@@ -22,12 +22,7 @@ from orderweave.functions.nulls import (
 )
 from orderweave.functions.windows import DateFloor, DateWindow, month_to_date
 from orderweave.operators import rollups
-from orderweave.operators.joins import (
-    anti_join_null_aware,
-    approval_columns,
-    exclude_flagged,
-    left_join_where,
-)
+from orderweave.operators.joins import anti_join_null_aware
 from orderweave.operators.ranking import highest, join_top_row
 from orderweave.plans import (
     enrich_with_distributor,
@@ -37,10 +32,11 @@ from orderweave.plans import (
     so_tracking_no_inquiry,
 )
 from orderweave.plans.chain import Chain
-from orderweave.plans.po_tracking import CHANNELS, RESERVED
+from orderweave.plans.po_tracking import CHANNELS, RESERVED, not_canceled, not_rejected
 from orderweave.plans.so_tracking import (
     invoice_columns,
     replacement_sides,
+    with_approvals,
     with_deliveries,
     with_replacement_items,
     with_replacements,
@@ -440,11 +436,11 @@ def channel_filter(t: Tables) -> DataFrame:
 
 @query
 def null_safe_exclude(t: Tables) -> DataFrame:
-    orders = t["sales_order"].select("szFSoId", "gdApprovedId")
-    df = exclude_flagged(orders, t["cancel_log"], "szFSoId", "szDocId", "bAlreadyTransferred")
-    approvals = t["approval"].withColumnRenamed("gdApprovedId", "approval_id")
-    df = exclude_flagged(df, approvals, "gdApprovedId", "approval_id", "bRejected")
-    return df.select("szFSoId", "bAlreadyTransferred", "bRejected")
+    chain = Chain(t)
+    df = chain.orders().withColumn("si_so", F.col("so_id"))
+    df = not_rejected(chain, not_canceled(chain, df, spread=False))
+    names = {"szFSoId": "so_id", "bAlreadyTransferred": "canceled", "bRejected": "rejected"}
+    return df.select([F.col(old).alias(new) for new, old in names.items()])
 
 
 @query
@@ -491,17 +487,11 @@ def dim_lookup(t: Tables) -> DataFrame:
 @query
 def left_join_on_filter(t: Tables) -> DataFrame:
     chain, c = Chain(t), F.col
-    df = left_join_where(
-        chain.purchase_orders(),
-        chain.receipts(),
-        [("po_id", "receipt_po")],
-        not_empty(c("receipt_po")),
-    )
-    log = chain.pick(
-        "transfer_log", log_so="szDocId", log_flag="bAlreadyTransferred", log_time="dtmTransferred"
-    )
+    receipts = chain.receipts().where(not_empty(c("receipt_po")))
+    df = chain.join(chain.purchase_orders(), receipts, [("po_id", "receipt_po")])
     df = df.withColumn("so_no", F.regexp_replace("po_id", "^PO", "SO"))
-    df = left_join_where(df, log, [("so_no", "log_so")], c("log_flag"))
+    df = chain.join(df, chain.transfers(), [("so_no", "transfer_so")])
+    df = df.withColumnsRenamed({"transfer_so": "log_so", "transfer_time": "log_time"})
     return df.select("po_id", "receipt_id", "receipt_date", "log_so", "log_time")
 
 
@@ -584,15 +574,11 @@ def top1_global_history(t: Tables) -> DataFrame:
 
 @query
 def approval_pivot(t: Tables) -> DataFrame:
-    df = approval_columns(
-        t["sales_order"].select("szFSoId", "gdApprovedId"),
-        t["approval_item"],
-        "gdApprovedId",
-        "gdApprovedId",
-        "btApprovedLevel",
-        ["dtmApproved", "bApproved"],
-    )
-    return df
+    chain = Chain(t)
+    df = with_approvals(chain, chain.orders())
+    levels = {f"{new}_{n}": f"gd{n}_{old}" for new, old in (("dtmApproved", "time"), ("bApproved", "approved")) for n in (1, 2, 3)}
+    names = {"szFSoId": "so_id", "gdApprovedId": "so_approval", **levels}
+    return df.select([F.col(old).alias(new) for new, old in names.items()])
 
 
 @query

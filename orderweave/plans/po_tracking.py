@@ -36,7 +36,8 @@ def _in_channels(chain: Chain, channels: tuple[str, ...]) -> DataFrame:
     return chain.customers().where(F.col("category_name").isin(*channels))
 
 
-def _not_rejected(chain: Chain, df: DataFrame) -> DataFrame:
+def not_rejected(chain: Chain, df: DataFrame) -> DataFrame:
+    """Rows whose approval is not rejected; an approval with both flags keeps the other one's row."""
     approvals = chain.pick("approval", rejected_id="gdApprovedId", rejected="bRejected")
     states = flag_states(approvals, "rejected_id", "rejected")
     return surviving_flags(
@@ -44,7 +45,8 @@ def _not_rejected(chain: Chain, df: DataFrame) -> DataFrame:
     )
 
 
-def _not_canceled(chain: Chain, df: DataFrame, spread: bool) -> DataFrame:
+def not_canceled(chain: Chain, df: DataFrame, spread: bool) -> DataFrame:
+    """Rows whose order is not canceled, with the same rule; `spread` for rows without an order id."""
     log = chain.pick("cancel_log", cancel_so="szDocId", canceled="bAlreadyTransferred")
     if spread:
         log = chain.blank_only(log, "cancel_so")
@@ -139,13 +141,13 @@ def _month_rows(
         order_join="inner",
     )
     df = chain.join(df, _in_channels(chain, channels), [("si_customer", "cust_id")], "inner", spread=True)
-    df = _not_rejected(chain, df)
+    df = not_rejected(chain, df)
     df = _with_notes(chain, df)
     deliveries = chain.pick("delivery_order", do_id="szDoId")
     df = chain.join(df, deliveries, [("si_do", "do_id")], spread=True)
 
     # From here on every join is by sales order.
-    df = _not_canceled(chain, df, spread)
+    df = not_canceled(chain, df, spread)
     transfers = chain.transfers()
     if spread:
         transfers = chain.blank_only(transfers, "transfer_so").distinct()
@@ -196,10 +198,10 @@ def po_tracking_by_delivery(
     df = chain.join(df, _in_channels(chain, channels), [("si_customer", "cust_id")], "inner", spread=True)
     deliveries = chain.pick("delivery_order", do_id="szDoId")
     df = chain.join(df, deliveries, [("si_do", "do_id")], "left_semi", spread=True)
-    df = _not_rejected(chain, df)
+    df = not_rejected(chain, df)
     df = _with_notes(chain, df)
 
-    df = _not_canceled(chain, df, spread=False)
+    df = not_canceled(chain, df, spread=False)
     df = chain.join(df, chain.transfers(), [("si_so", "transfer_so")])
     scope = confirmations.select(F.col("delv_so").alias("scope_so"))
     df = with_sales_items(chain, df, scope)

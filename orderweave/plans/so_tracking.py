@@ -17,7 +17,7 @@ from ..functions.nulls import (
 )
 from ..functions.windows import DateFloor, DateWindow
 from ..operators.joins import anti_join_null_aware
-from ..operators.ranking import highest, top_per_key, top_row
+from ..operators.ranking import highest, join_top_row, top_per_key
 from ..operators.rollups import DISCOUNT_NAMES
 from ..sources import Tables
 from .chain import Chain
@@ -99,14 +99,13 @@ def replacement_invoices(chain: Chain, per_key: bool = False) -> DataFrame:
         "delivery_history", new_do="szDoId", old_do="szDoIdOld", changed="dtmLastUpdated"
     )
     latest = [F.desc_nulls_last("changed"), F.asc("old_do"), F.asc("new_do")]
-    history = top_per_key(history, ["old_do"], latest) if per_key else top_row(history, latest)
     deliveries = chain.pick("delivery_order", newdo_id="szDoId", newdo_invoice="szFInvoiceId")
     invoices = chain.pick("invoice", new_invoice="szFInvoiceId")
     if per_key:
+        history = top_per_key(history, ["old_do"], latest)
         df = chain.join(deliveries, history, [("newdo_id", "new_do")], "inner")
     else:
-        # One history row: its delivery is looked up by value, not by a join of the table.
-        df = deliveries.join(F.broadcast(history), F.col("newdo_id") == F.col("new_do"))
+        df = join_top_row(deliveries, history, ("newdo_id", "new_do"), latest).where("new_do is not null")
     df = df.select("old_do", "newdo_invoice").distinct()
     return chain.join(df, invoices, [("newdo_invoice", "new_invoice")], "inner").select(
         "old_do", "new_invoice"

@@ -10,9 +10,8 @@ from pyspark.sql import functions as F
 from orderweave.operators import rollups
 from orderweave.operators.joins import (
     anti_join_null_aware,
-    approval_columns,
-    exclude_flagged,
-    left_join_where,
+    flag_states,
+    surviving_flags,
 )
 from orderweave.operators.ranking import highest, join_top_row, top_per_key, top_row
 from orderweave.operators.skew import skew_join
@@ -28,7 +27,8 @@ def test_exclude_flagged(spark):
         [("a", True), ("b", False), ("b", False), ("d", False), ("d", True), ("e", None), ("e", True)],
         "key string, flag boolean",
     )
-    out = exclude_flagged(orders, flags, "id", "key", "flag")
+    states = flag_states(flags, "key", "flag")
+    out = surviving_flags(orders.join(states, F.col("id") == F.col("_flag_key"), "left"), "flag")
     assert rows(out) == [("b", False), ("c", None), ("d", False), ("e", None)]
 
 
@@ -59,22 +59,6 @@ def test_anti_join_does_not_broadcast_the_subquery(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_left_join_where_keeps_unmatched(spark):
-    left = spark.createDataFrame([("a",), ("b",)], "k string")
-    right = spark.createDataFrame([("a", 1), ("b", 2)], "r string, v int")
-    out = left_join_where(left, right, [("k", "r")], F.col("v") == 1)
-    assert rows(out) == [("a", "a", 1), ("b", None, None)]
-
-
-def test_repeated_approval_level_gives_two_rows(spark):
-    orders = spark.createDataFrame([("so", "g")], "so string, gd string")
-    items = spark.createDataFrame(
-        [("g", 1, True), ("g", 1, False), ("g", 3, True)], "gd string, level int, ok boolean"
-    )
-    out = approval_columns(orders, items, "gd", "gd", "level", ["ok"])
-    assert rows(out) == [("so", "g", False, None, True), ("so", "g", True, None, True)]
-
-
 def test_latest_closing(spark):
     day = datetime(2024, 12, 1)
     closings = spark.createDataFrame(
