@@ -30,7 +30,6 @@ import tempfile
 import uuid
 from collections import Counter
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -55,9 +54,6 @@ _LOWER = Lowercase().normalize_str
 _PIECE = re.compile(f"[^{_SPACE}]+")
 
 
-_BYTE = [bytes([b]) for b in range(256)]
-
-
 def default_tokenizer() -> str:
     import public_tokenizers
 
@@ -91,19 +87,20 @@ class Merges:
 
         # pairs in ascending order of (left id, right id), for lookups of many pairs at once
         rows = sorted((self.ids[a] << 32 | self.ids[b], rank, self.ids[a + b]) for (a, b), rank in self.ranks.items())
-        self._pairs, self._rank_of, self._joined = (np.array(x, np.int64) for x in zip(*rows, strict=True))
+        self._pairs, ranks, self._joined = (np.array(x, np.int64) for x in zip(*rows, strict=True))
+        self._rank_of = np.append(ranks, len(ranks))  # no pair ranks last
         self._inner = np.array([self.ids[c] for c in self.alphabet], np.int64)
         self._final = np.array([self.ids[c + self.suffix] for c in self.alphabet], np.int64)
 
     def words(self, piece: str) -> list[str]:
         """The words of a piece without white space, normalised."""
-        if max(piece) < "\u0250":  # composed already, and of the same classes in every Unicode version
+        if piece.isascii() or max(piece) < "\u0250":  # composed already, and of the same classes in every Unicode version
             piece = piece.lower()
             return [piece] if piece.isalpha() else self.split.findall(piece)
         return [word for word, _ in self.split_unicode.pre_tokenize_str(_LOWER(_NFC(piece)))]
 
-    def merged(self, words: list[str]) -> list[list[int]]:
-        """Ids of words: in each round every word merges its pair of lowest rank, from left to right."""
+    def merged(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, bounds) of words: in each round every word merges its pair of lowest rank, from left to right."""
         data = [w.encode() for w in words]
         sizes = np.array([len(d) for d in data], np.int64)
         symbols = np.frombuffer(b"".join(data), np.uint8)
@@ -111,32 +108,39 @@ class Merges:
         symbols, last = self._inner[symbols], symbols[ends]
         symbols[ends] = self._final[last]
         owner = np.repeat(np.arange(len(words)), sizes)
-        done: list[tuple[np.ndarray, np.ndarray]] = []
         none = len(self._pairs)
-        while len(symbols) > 1:
-            keys = symbols[:-1] << 32 | symbols[1:]
+        place = np.full(len(symbols), none)  # by symbol: the pair it makes with the next one
+        fresh = np.arange(len(symbols))
+        done: list[tuple[np.ndarray, np.ndarray]] = []
+        while len(symbols):
+            # only pairs with a new symbol have changed
+            fresh = fresh[fresh < len(symbols) - 1]
+            keys = symbols[fresh] << 32 | symbols[fresh + 1]
             at = np.minimum(np.searchsorted(self._pairs, keys), none - 1)
-            rank = np.where((self._pairs[at] == keys) & (owner[1:] == owner[:-1]), self._rank_of[at], none)
+            place[fresh] = np.where((self._pairs[at] == keys) & (owner[fresh + 1] == owner[fresh]), at, none)
+            place[-1] = none
+            rank = self._rank_of[place]
             begins = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
-            least = np.minimum.reduceat(np.append(rank, none), begins)
             counts = np.diff(np.append(begins, len(owner)))
-            here = np.flatnonzero((rank == np.repeat(least, counts)[:-1]) & (rank < none))
+            least = np.minimum.reduceat(rank, begins)
+            going = np.repeat(least < none, counts)
+            here = np.flatnonzero((rank == np.repeat(least, counts)) & going)
             # of overlapping equal pairs, every second one
             run = np.flatnonzero(np.r_[True, np.diff(here) != 1]) if len(here) else here
             here = here[(np.arange(len(here)) - np.repeat(run, np.diff(np.append(run, len(here))))) % 2 == 0] if len(here) else here
-            symbols[here] = self._joined[at[here]]
-            keep = np.ones(len(symbols), bool)
+            symbols[here] = self._joined[place[here]]
+            keep = going.copy()
             keep[here + 1] = False
-            going = np.repeat(least < none, counts)
             done.append((owner[~going], symbols[~going]))
-            keep &= going
-            owner, symbols = owner[keep], symbols[keep]
-        done.append((owner, symbols))
-        owner, symbols = (np.concatenate(x) for x in zip(*done, strict=True))
+            changed = np.zeros(len(symbols), bool)
+            changed[here] = True
+            changed[np.maximum(here - 1, 0)] = True
+            changed[np.maximum(here - 2, 0)] = True  # the one before may go with its own pair
+            owner, symbols, place = owner[keep], symbols[keep], place[keep]
+            fresh = np.flatnonzero(changed[keep])
+        owner, symbols = (np.concatenate(x) for x in zip(*done, strict=True)) if done else (owner, symbols)
         order = np.argsort(owner, kind="stable")
-        cuts = np.searchsorted(owner[order], np.arange(len(words) + 1)).tolist()
-        ids = symbols[order].tolist()
-        return [ids[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        return symbols[order].astype(np.int32), np.searchsorted(owner[order], np.arange(len(words) + 1))
 
 
 class Lexicon:
@@ -173,87 +177,106 @@ class Lexicon:
         below = np.zeros(len(states), np.int64)  # words that a state accepts; targets precede their sources
         for i, (final, edges) in enumerate(states):
             below[i] = final + sum(below[t] for _, t in edges)
-        first = np.cumsum([0, *(len(e) for _, e in states)]).astype(np.int32)
-        labels = bytes(label for _, edges in states for label, _ in edges)
-        targets = np.array([t for _, edges in states for _, t in edges], np.int32)
-        skipped = np.array([int(final) + sum(below[x] for _, x in edges[:k]) for final, edges in states for k in range(len(edges))], np.int32)
-        finals = np.array([final for final, _ in states], np.uint8)
-        bounds = np.cumsum([0, *(len(entries[w]) for w in words)]).astype(np.int32)
+        edges = np.array([state << 8 | label for state, (_, found) in enumerate(states) for label, _ in found], np.int64)
+        targets = np.array([t for _, found in states for _, t in found], np.int64)
+        skipped = np.array([int(final) + sum(below[x] for _, x in found[:k]) for final, found in states for k in range(len(found))], np.int64)
+        finals = np.array([final for final, _ in states], np.int64)
+        bounds = np.cumsum([0, *(len(entries[w]) for w in words)]).astype(np.int64)
         ids = np.array([i for w in words for i in entries[w]], np.int32)
-        head = Lexicon._HEADER.pack(len(states), len(labels), len(words), root)
-        return head + b"".join(x.tobytes() for x in (first, targets, skipped, bounds, ids, finals)) + labels
+        head = Lexicon._HEADER.pack(len(states), len(edges), len(words), root)
+        return head + b"".join(x.tobytes() for x in (edges, targets, skipped, finals, bounds, ids))
 
     def __init__(self, source: bytes):
         with tempfile.TemporaryFile() as file:
             file.write(source)
             file.flush()
-            self._map = mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ)
-        n_states, n_edges, n_words, self.root = self._HEADER.unpack_from(self._map)
-        at = self._HEADER.size
-
-        def ints(count: int) -> np.ndarray:
-            nonlocal at
-            found = np.frombuffer(self._map, np.int32, count, at)
-            at += 4 * count
-            return found
-
-        # memoryviews give plain integers without copying the map
-        self._first, self._targets, self._skipped = (memoryview(ints(n)) for n in (n_states + 1, n_edges, n_edges))
-        self._bounds = memoryview(ints(n_words + 1))
-        self._ids = ints(self._bounds[-1])
-        self._finals = at
-        self._labels = at + n_states
-
-    def find(self, word: bytes) -> list[int] | None:
-        state, number = self.root, 0
-        for label in word:
-            low, high = self._first[state], self._first[state + 1]
-            edge = self._map.find(_BYTE[label], self._labels + low, self._labels + high) - self._labels
-            if edge < 0:
-                return None
-            number += self._skipped[edge]
-            state = self._targets[edge]
-        if not self._map[self._finals + state]:
-            return None
-        return self._ids[self._bounds[number] : self._bounds[number + 1]].tolist()
+            region = mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ)
+        self.n_states, n_edges, n_words, self.root = self._HEADER.unpack_from(region)
+        at, found = self._HEADER.size, []
+        for n in (n_edges, n_edges, n_edges, self.n_states, n_words + 1):
+            found.append(np.frombuffer(region, np.int64, n, at))
+            at += 8 * n
+        self._edges, self._targets, self._skipped, self._finals, self.bounds = found
+        self.ids = np.frombuffer(region, np.int32, self.bounds[-1], at)
+
+    def find(self, words: list[bytes]) -> np.ndarray:
+        """The numbers of the words, -1 for those it does not have; all words walk in step."""
+        sizes = np.array([len(w) for w in words], np.int64)
+        data = np.frombuffer(b"".join(words), np.uint8)
+        starts = np.cumsum(sizes) - sizes
+        state, number = np.full(len(words), self.root), np.zeros(len(words), np.int64)
+        found = np.full(len(words), -1, np.int64)
+        walking, step = np.arange(len(words)), 0
+        while len(walking):
+            ended = sizes[walking] == step
+            last = walking[ended]
+            found[last] = np.where(self._finals[state[last]] > 0, number[last], -1)
+            walking = walking[~ended]
+            if not len(walking) or not len(self._edges):
+                break
+            key = state[walking] << 8 | data[starts[walking] + step]
+            edge = np.minimum(np.searchsorted(self._edges, key), len(self._edges) - 1)
+            there = self._edges[edge] == key
+            walking, edge = walking[there], edge[there]
+            number[walking] += self._skipped[edge]
+            state[walking] = self._targets[edge]
+            step += 1
+        return found
 
 
 class Encoder:
-    """Whole texts to ids and back."""
+    """Whole texts to ids and back. Ids are packed, four bytes each."""
 
     def __init__(self, source: str, lexicon: bytes | None = None):
         self.merges = Merges(source)
-        self.lexicon = Lexicon(lexicon) if lexicon else None
-        self._pieces: dict[str, tuple[list[int], str]] = {}
+        self.lexicon = Lexicon(lexicon or Lexicon.compile({}))
+        self._ids: dict[str, bytes] = {}
+        self._decoded: dict[str, str] = {}
 
-    def pieces(self, texts: list[str]) -> list[list[tuple[list[int], str]]]:
-        """By text: (ids, decoded) of each of its pieces."""
+    def encode(self, texts: list[str]) -> tuple[list[bytes], list[str]]:
+        """By text: its packed ids, and what they decode to."""
         cut, special = self.merges.cut, self.merges.special
-        parts = [cut.split(t) if cut and cut.search(t) else [t] for t in texts]
-        found = [[[p] if p in special else _PIECE.findall(p) for p in text] for text in parts]
-        if len(self._pieces) >= REMEMBERED:
-            self._pieces.clear()
-        known = self._pieces
-        known.update({content: ([i], content) for content, i in special.items()})
-        self._learn({p for text in found for run in text for p in run if p not in known})
-        return [[known[p] for run in text for p in run] for text in found]
-
-    def _learn(self, pieces: set[str]) -> None:
+        found = []
+        for text in texts:
+            if cut and cut.search(text):
+                found.append([p for part in cut.split(text) for p in ([part] if part in special else _PIECE.findall(part))])
+            else:
+                found.append(_PIECE.findall(text))
+        if len(self._ids) >= REMEMBERED:
+            self._ids.clear()
+            self._decoded.clear()
+        for content, i in special.items():
+            self._ids[content], self._decoded[content] = np.int32(i).tobytes(), content
+        self._learn(list(set().union(*found).difference(self._ids)))
+        ids, decoded = self._ids.__getitem__, self._decoded.__getitem__
+        return [b"".join(map(ids, pieces)) for pieces in found], [" ".join(map(decoded, pieces)) for pieces in found]
+
+    def _learn(self, pieces: list[str]) -> None:
         """Encode new pieces: words of the lexicon by the automaton, the others by the merges, all at once."""
-        words = {p: self.merges.words(p) for p in pieces}
-        ids: dict[str, list[int] | None] = dict.fromkeys(w for found in words.values() for w in found)
-        if self.lexicon:
-            ids = {w: self.lexicon.find(w.encode()) for w in ids}
-        unseen = [w for w, i in ids.items() if i is None]
-        if unseen:
-            ids.update(zip(unseen, self.merges.merged(unseen), strict=True))
-        names = self.merges.names
-        for piece, found in words.items():
-            own = ids[found[0]] if len(found) == 1 else [i for w in found for i in ids[w]]
-            self._pieces[piece] = own, " ".join([names[i] for i in own])
-
-    def encode(self, text: str) -> list[int]:
-        return [i for ids, _ in self.pieces([text])[0] for i in ids]
+        words_of = list(map(self.merges.words, pieces))
+        words = list({w for words in words_of for w in words})
+        number = self.lexicon.find([w.encode() for w in words])
+        known = np.flatnonzero(number >= 0)
+        unseen = np.flatnonzero(number < 0)
+        packed: dict[str, bytes] = {}
+        decoded: dict[str, str] = {}
+        bounds = self.lexicon.bounds
+        self._pack(packed, decoded, [words[k] for k in known.tolist()], self.lexicon.ids, bounds[number[known]], bounds[number[known] + 1])
+        rest = [words[k] for k in unseen.tolist()]
+        if rest:
+            ids, cuts = self.merges.merged(rest)
+            self._pack(packed, decoded, rest, ids, cuts[:-1], cuts[1:])
+        for piece, own in zip(pieces, words_of, strict=True):
+            if len(own) == 1:
+                self._ids[piece], self._decoded[piece] = packed[own[0]], decoded[own[0]]
+            else:
+                self._ids[piece], self._decoded[piece] = b"".join([packed[w] for w in own]), " ".join([decoded[w] for w in own])
+
+    def _pack(self, packed: dict[str, bytes], decoded: dict[str, str], words: list[str], ids: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
+        data, names = ids.tobytes(), list(map(self.merges.names.__getitem__, ids.tolist()))
+        for word, a, b in zip(words, starts.tolist(), ends.tolist(), strict=True):
+            packed[word] = data[4 * a : 4 * b]
+            decoded[word] = " ".join(names[a:b])
 
 
 _encoders: dict[str, Encoder] = {}
@@ -304,8 +327,14 @@ def fit_lexicon(docs: DataFrame, source: str, size: int = LEXICON, text: str = "
             break
         least, total = value, total + count
     chosen = [] if least is None else sorted(r["word"] for r in words.where(step >= least).collect())
-    merged = Merges(source).merged(chosen) if chosen else []
-    return Lexicon.compile({w.encode(): ids for w, ids in zip(chosen, merged, strict=True)})
+    return compiled(Merges(source), chosen)
+
+
+def compiled(merges: Merges, words: list[str]) -> bytes:
+    """The transducer of the words."""
+    ids, cuts = merges.merged(words) if words else (np.zeros(0, np.int32), np.zeros(1, np.int64))
+    ids = ids.tolist()
+    return Lexicon.compile({w.encode(): ids[a:b] for w, a, b in zip(words, cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)})
 
 
 def encoded(docs: DataFrame, path: str | None = None, size: int = LEXICON, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -316,11 +345,9 @@ def encoded(docs: DataFrame, path: str | None = None, size: int = LEXICON, doc_i
     name = uuid.uuid4().hex
 
     def encode(batch: pa.RecordBatch) -> dict[str, object]:
-        found = _encoder(name, shared).pieces([t or "" for t in batch.column(text).to_pylist()])
-        lengths = [sum([len(ids) for ids, _ in pieces]) for pieces in found]
-        values = np.fromiter(chain.from_iterable(ids for pieces in found for ids, _ in pieces), np.int32, sum(lengths))
-        offsets = np.cumsum([0, *lengths], dtype=np.int32)
-        decoded = [" ".join([x for ids, x in pieces if ids]) for pieces in found]
+        ids, decoded = _encoder(name, shared).encode([t or "" for t in batch.column(text).to_pylist()])
+        offsets = np.cumsum([0, *(len(x) // 4 for x in ids)], dtype=np.int32)
+        values = np.frombuffer(b"".join(ids), np.int32)
         return {"ids": pa.ListArray.from_arrays(offsets, values), "decoded": pa.array(decoded, pa.string())}
 
     return map_texts(docs, encode, "ids array<int>, decoded string", (doc_id,), text)

@@ -132,9 +132,9 @@ from documents d left join counted using (doc_id) left join kept k using (doc_id
 
 _OP10 = """
 with doc as (
-  select doc_id, hex(coalesce(text, '')) as h, strlen(coalesce(text, '')) as n from documents
+  select doc_id, encode(coalesce(text, '')) as h, strlen(coalesce(text, '')) as n from documents
 ), place as (
-  select doc_id, i, substr(h, 2 * i + 1, 100) as g
+  select doc_id, i, array_slice(h, i + 1, i + 50) as g
   from (select doc_id, h, unnest(range(0, n - 49)) as i from doc where n >= 50)
 ), again as (
   select doc_id, i from place join (select g, min(doc_id) as first from place group by g) using (g) where first < doc_id
@@ -144,7 +144,7 @@ with doc as (
   select doc_id, count(*) as n_removed, count_if(before is null or before < j - 1) as n_spans
   from (select doc_id, j, lag(j) over (partition by doc_id order by j) as before from gone) group by doc_id
 ), byte as (
-  select doc_id, j, substr(h, 2 * j + 1, 2) as b from (select doc_id, h, unnest(range(0, n)) as j from doc)
+  select doc_id, j, hex(array_slice(h, j + 1, j + 1)) as b from (select doc_id, h, unnest(range(0, n)) as j from doc)
 ), kept as (
   select doc_id, string_agg(b, '' order by j) as h from byte anti join gone using (doc_id, j) group by doc_id
 )
