@@ -28,7 +28,6 @@ import re
 import struct
 import tempfile
 import uuid
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,7 +40,7 @@ from tokenizers.normalizers import NFC, Lowercase
 from tokenizers.pre_tokenizers import Split
 
 from .spark import map_texts, prepare, written
-from .texts import slices
+from .texts import NOT_SPACE, byte_sums, flat, slices, spans_hash, word_spans
 
 LEXICON = 1 << 15
 REMEMBERED = 600_000
@@ -231,10 +230,13 @@ class Encoder:
         self.merges = Merges(source)
         self.lexicon = Lexicon(lexicon or Lexicon.compile({}))
         self._ids: dict[str, bytes] = {}
-        self._decoded: dict[str, str] = {}
+        names = [self.merges.names.get(i, "").encode() + b" " for i in range(max(self.merges.names) + 1)]
+        self._names = np.frombuffer(b"".join(names), np.uint8)
+        self._sizes = np.array([len(n) for n in names], np.int64)
+        self._begins = np.cumsum(self._sizes) - self._sizes
 
-    def encode(self, texts: list[str]) -> tuple[list[bytes], list[str]]:
-        """By text: its packed ids, and what they decode to."""
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """By text: its packed ids."""
         cut, special = self.merges.cut, self.merges.special
         found = []
         for text in texts:
@@ -244,12 +246,21 @@ class Encoder:
                 found.append(_PIECE.findall(text))
         if len(self._ids) >= REMEMBERED:
             self._ids.clear()
-            self._decoded.clear()
-        for content, i in special.items():
-            self._ids[content], self._decoded[content] = np.int32(i).tobytes(), content
+        self._ids.update({content: np.int32(i).tobytes() for content, i in special.items()})
         self._learn(list(set().union(*found).difference(self._ids)))
-        ids, decoded = self._ids.__getitem__, self._decoded.__getitem__
-        return [b"".join(map(ids, pieces)) for pieces in found], [" ".join(map(decoded, pieces)) for pieces in found]
+        ids = self._ids.__getitem__
+        return [b"".join(map(ids, pieces)) for pieces in found]
+
+    def decode(self, ids: np.ndarray, bounds: np.ndarray) -> pa.Array:
+        """The texts that ids[bounds[t]:bounds[t + 1]] decode to: token strings, joined by one space."""
+        sizes = self._sizes[ids]
+        ends = np.cumsum(sizes)
+        data = self._names[np.arange(sizes.sum()) + np.repeat(self._begins[ids] - (ends - sizes), sizes)]
+        keep = np.ones(len(data), bool)
+        full = bounds[1:][np.diff(bounds) > 0]
+        keep[ends[full - 1] - 1] = False  # no space after the last token
+        cuts = np.concatenate([[0], ends])[bounds] - np.concatenate([[0], np.cumsum(np.diff(bounds) > 0)])
+        return pa.StringArray.from_buffers(len(bounds) - 1, pa.py_buffer(cuts.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data[keep])))
 
     def _learn(self, pieces: list[str]) -> None:
         """Encode new pieces: words of the lexicon by the automaton, the others by the merges, all at once."""
@@ -258,25 +269,18 @@ class Encoder:
         number = self.lexicon.find([w.encode() for w in words])
         known = np.flatnonzero(number >= 0)
         unseen = np.flatnonzero(number < 0)
-        packed: dict[str, bytes] = {}
-        decoded: dict[str, str] = {}
         bounds = self.lexicon.bounds
-        self._pack(packed, decoded, [words[k] for k in known.tolist()], self.lexicon.ids, bounds[number[known]], bounds[number[known] + 1])
+        packed = _packed([words[k] for k in known.tolist()], self.lexicon.ids, bounds[number[known]], bounds[number[known] + 1])
         rest = [words[k] for k in unseen.tolist()]
         if rest:
             ids, cuts = self.merges.merged(rest)
-            self._pack(packed, decoded, rest, ids, cuts[:-1], cuts[1:])
-        for piece, own in zip(pieces, words_of, strict=True):
-            if len(own) == 1:
-                self._ids[piece], self._decoded[piece] = packed[own[0]], decoded[own[0]]
-            else:
-                self._ids[piece], self._decoded[piece] = b"".join([packed[w] for w in own]), " ".join([decoded[w] for w in own])
+            packed |= _packed(rest, ids, cuts[:-1], cuts[1:])
+        self._ids.update({p: packed[own[0]] if len(own) == 1 else b"".join([packed[w] for w in own]) for p, own in zip(pieces, words_of, strict=True)})
+
 
-    def _pack(self, packed: dict[str, bytes], decoded: dict[str, str], words: list[str], ids: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
-        data, names = ids.tobytes(), list(map(self.merges.names.__getitem__, ids.tolist()))
-        for word, a, b in zip(words, starts.tolist(), ends.tolist(), strict=True):
-            packed[word] = data[4 * a : 4 * b]
-            decoded[word] = " ".join(names[a:b])
+def _packed(words: list[str], ids: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> dict[str, bytes]:
+    data = ids.tobytes()
+    return {w: data[a:b] for w, a, b in zip(words, (4 * starts).tolist(), (4 * ends).tolist(), strict=True)}
 
 
 _encoders: dict[str, Encoder] = {}
@@ -290,28 +294,70 @@ def _encoder(name: str, shared) -> Encoder:
     return _encoders[name]
 
 
+class Pieces:
+    """Counts of the runs without ASCII white space in the texts added so far."""
+
+    def __init__(self):
+        self._hashes = np.zeros(0, np.uint64)
+        self._counts = np.zeros(0, np.int64)
+        self._number = np.zeros(0, np.int64)  # of the text
+        self._texts: list[str] = []
+
+    @property
+    def distinct(self) -> int:
+        return len(self._texts)
+
+    def add(self, column: pa.Array) -> None:
+        data, offsets = flat(column)
+        starts, ends, _ = word_spans(data, offsets, NOT_SPACE)
+        hashes = spans_hash(byte_sums(data), starts, ends)
+        order = np.argsort(hashes)
+        ordered = hashes[order]
+        heads = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]]) if len(order) else order
+        found, counts, first = ordered[heads], np.diff(np.r_[heads, len(order)]), order[heads]
+        at = np.searchsorted(self._hashes, found)
+        known = np.zeros(len(found), bool)
+        inside = at < len(self._hashes)
+        known[inside] = self._hashes[at[inside]] == found[inside]
+        self._counts[at[known]] += counts[known]
+        new = ~known
+        raw = data.tobytes()
+        numbers = np.arange(len(self._texts), len(self._texts) + new.sum())
+        self._texts += [raw[a:b].decode() for a, b in zip(starts[first[new]].tolist(), ends[first[new]].tolist(), strict=True)]
+        place = np.argsort(np.concatenate([self._hashes, found[new]]), kind="stable")
+        self._hashes = np.concatenate([self._hashes, found[new]])[place]
+        self._counts = np.concatenate([self._counts, counts[new]])[place]
+        self._number = np.concatenate([self._number, numbers])[place]
+
+    def taken(self) -> list[tuple[str, int]]:
+        """What was counted; counting begins anew."""
+        counts = np.empty_like(self._counts)
+        counts[self._number] = self._counts
+        found = list(zip(self._texts, counts.tolist(), strict=True))
+        self.__init__()
+        return found
+
+
 def word_counts(docs: DataFrame, source: str, text: str = "text") -> DataFrame:
     """(word, n): normalised words of all documents."""
     prepare(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(source)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        merges, pieces = Merges(shared.value), Counter()
-
-        def rows() -> pa.RecordBatch:
-            words = Counter()
-            for piece, n in pieces.items():
+    def rows(pieces: Pieces, merges: Merges) -> pa.RecordBatch:
+        words: dict[str, int] = {}
+        for run, n in pieces.taken():
+            for piece in _PIECE.findall(run):
                 for word in merges.words(piece):
-                    words[word] += n
-            pieces.clear()
-            return pa.RecordBatch.from_arrays([pa.array(words.keys(), pa.string()), pa.array(words.values(), pa.int64())], names=["word", "n"])
+                    words[word] = words.get(word, 0) + n
+        return pa.RecordBatch.from_arrays([pa.array(words.keys(), pa.string()), pa.array(words.values(), pa.int64())], names=["word", "n"])
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        merges, pieces = Merges(shared.value), Pieces()
         for batch in slices(batches, text):
-            for value in batch.column(text).to_pylist():
-                pieces.update(_PIECE.findall(value or ""))
-            if len(pieces) > REMEMBERED:
-                yield rows()
-        yield rows()
+            pieces.add(batch.column(text))
+            if pieces.distinct > REMEMBERED:
+                yield rows(pieces, merges)
+        yield rows(pieces, merges)
 
     return docs.select(text).mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -345,9 +391,10 @@ def encoded(docs: DataFrame, path: str | None = None, size: int = LEXICON, doc_i
     name = uuid.uuid4().hex
 
     def encode(batch: pa.RecordBatch) -> dict[str, object]:
-        ids, decoded = _encoder(name, shared).encode([t or "" for t in batch.column(text).to_pylist()])
-        offsets = np.cumsum([0, *(len(x) // 4 for x in ids)], dtype=np.int32)
-        values = np.frombuffer(b"".join(ids), np.int32)
-        return {"ids": pa.ListArray.from_arrays(offsets, values), "decoded": pa.array(decoded, pa.string())}
+        encoder = _encoder(name, shared)
+        packed = encoder.encode([t or "" for t in batch.column(text).to_pylist()])
+        bounds = np.cumsum([0, *(len(x) // 4 for x in packed)])
+        ids = np.frombuffer(b"".join(packed), np.int32)
+        return {"ids": pa.ListArray.from_arrays(bounds.astype(np.int32), ids), "decoded": encoder.decode(ids, bounds)}
 
     return map_texts(docs, encode, "ids array<int>, decoded string", (doc_id,), text)
