@@ -127,9 +127,8 @@ def test_quality_score_is_the_ratio(spark):
     rows = [(1, "a b a"), (2, "c d c"), (3, None)]
     labels = spark.createDataFrame([(1, 1)], "doc_id long, quality int")
     scores = by_id(quality.judged(frame(spark, rows), labels), "score", "kept")
-    buckets = quality.BUCKETS
     target, raw = Counter(["a", "b", "a", "a b", "b a"]), Counter(["a", "b", "a", "a b", "b a", "c", "d", "c", "c d", "d c"])
-    ratio = lambda g: math.log((target[g] + 1) / (5 + buckets)) - math.log((raw[g] + 1) / (10 + buckets))
+    ratio = lambda g: math.log((target[g] + 1) / (raw[g] * 5 / 10 + 1))
     assert scores[1][0] == pytest.approx(sum(map(ratio, target.elements())) / 5)
     assert scores[2][0] == pytest.approx(sum(map(ratio, (raw - target).elements())) / 5)
     assert scores[3] == (0.0, False)
