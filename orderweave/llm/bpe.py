@@ -9,7 +9,7 @@ word outside the lexicon is merged exactly by the tokenizer's ranks.
 
 A text is cut at its special tokens and at white space; no rule of the tokenizer
 reaches over either, so each piece is normalised, split and encoded on its own. New
-words of a slice are merged together, and a worker remembers some pieces (`REMEMBERED`).
+words of a slice are merged together, and a task remembers some pieces (`REMEMBERED`).
 
 Supported are tokenizer files with a BPE model with an end-of-word suffix, byte
 alphabet, NFC and lower-casing, no decoder: decoded are the token strings, joined
@@ -43,7 +43,7 @@ from .spark import map_texts, prepare, written
 from .texts import NOT_SPACE, byte_sums, flat, slices, spans_hash, word_spans
 
 LEXICON = 1 << 15
-REMEMBERED = 600_000
+REMEMBERED = 400_000
 
 #: Unicode's white space, as the tokenizer's \s has it.
 _SPACE = "\t-\r \x85\xa0  -     　"
@@ -251,6 +251,10 @@ class Encoder:
         ids = self._ids.__getitem__
         return [b"".join(map(ids, pieces)) for pieces in found]
 
+    def forget(self) -> None:
+        """Drop what a task has remembered."""
+        self._ids = {}
+
     def decode(self, ids: np.ndarray, bounds: np.ndarray) -> pa.Array:
         """The texts that ids[bounds[t]:bounds[t + 1]] decode to: token strings, joined by one space."""
         sizes = self._sizes[ids]
@@ -287,7 +291,7 @@ _encoders: dict[str, Encoder] = {}
 
 
 def _encoder(name: str, shared) -> Encoder:
-    """The worker's encoder: it outlives a task, with the pieces it remembers."""
+    """The worker's encoder: its tables outlive a task."""
     if name not in _encoders:
         _encoders.clear()
         _encoders[name] = Encoder(*shared.value)
@@ -397,4 +401,5 @@ def encoded(docs: DataFrame, path: str | None = None, size: int = LEXICON, doc_i
         ids = np.frombuffer(b"".join(packed), np.int32)
         return {"ids": pa.ListArray.from_arrays(bounds.astype(np.int32), ids), "decoded": encoder.decode(ids, bounds)}
 
-    return map_texts(docs, encode, "ids array<int>, decoded string", (doc_id,), text)
+    finish = lambda: _encoder(name, shared).forget()
+    return map_texts(docs, encode, "ids array<int>, decoded string", (doc_id,), text, finish=finish)

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .spark import prepare
+from .spark import prepare, release
 from .texts import flat
 
 CHUNK_BYTES = 4 << 20
@@ -151,15 +151,14 @@ def answered(asked: DataFrame, earlier: bool) -> DataFrame:
         if not earlier:
             bit[order[:-1][same]] = True
         pairs = zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)
-        return pa.table(
-            {
-                "chunk": rows["chunk"],
-                "level": rows["level"],
-                "shard": rows["shard"],
-                "n": pa.array(np.diff(bounds), pa.int64()),
-                "bits": pa.array([np.packbits(bit[a:b]).tobytes() for a, b in pairs], pa.binary()),
-            }
-        )
+        columns = {
+            "chunk": rows["chunk"],
+            "level": rows["level"],
+            "shard": rows["shard"],
+            "n": pa.array(np.diff(bounds), pa.int64()),
+            "bits": pa.array([np.packbits(bit[a:b]).tobytes() for a, b in pairs], pa.binary()),
+        }
+        return released(pa.table(columns))
 
     return asked.groupBy("shard").applyInArrow(answer, _ANSWER)
 
@@ -171,15 +170,20 @@ def answers_of(rows: pa.Table, level: int) -> np.ndarray:
     return np.concatenate(bits).astype(bool) if bits else np.zeros(0, bool)
 
 
+def released(made: pa.Table) -> pa.Table:
+    release()
+    return made
+
+
 def ask(dealt: Dealt, answers: list[DataFrame], function: Callable[[pa.Table, pa.Table | None], pa.Table], schema: str = _REQUEST) -> DataFrame:
     """Apply a function to each chunk's rows and the answers it has so far."""
     if not answers:
-        return dealt.docs.groupBy("chunk").applyInArrow(lambda rows: function(rows, None), schema)
+        return dealt.docs.groupBy("chunk").applyInArrow(lambda rows: released(function(rows, None)), schema)
     known = answers[0]
     for more in answers[1:]:
         known = known.unionByName(more)
 
     def with_answers(rows: pa.Table, given: pa.Table) -> pa.Table:
-        return function(rows, given)
+        return released(function(rows, given))
 
     return dealt.docs.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(with_answers, schema)

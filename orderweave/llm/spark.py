@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 import zipfile
@@ -23,6 +24,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_LIBC = ctypes.CDLL(None)
 _shipped: set[str] = set()
 
 
@@ -74,11 +76,12 @@ def map_texts(
     keep: tuple[str, ...] = ("doc_id",),
     text: str = "text",
     limit: int = SLICE_BYTES,
+    finish: Callable[[], None] = lambda: None,
 ) -> DataFrame:
     """Columns `keep` of each row and what `function` makes of its slice.
 
     The function gets slices with the columns `keep` and `text` and returns a
-    list or array for each of the `fields`.
+    list or array for each of the `fields`.  `finish` ends a task.
     """
     prepare(docs.sparkSession)
     frame = docs.select(*dict.fromkeys([*keep, text]))
@@ -89,6 +92,8 @@ def map_texts(
             made = function(batch)
             columns = [batch.column(c) for c in keep] + [x if isinstance(x, pa.Array) else pa.array(x) for x in made.values()]
             yield pa.RecordBatch.from_arrays(columns, names=[*keep, *made])
+        finish()
+        release()
 
     return frame.mapInArrow(run, schema)
 
@@ -100,6 +105,7 @@ def filter_texts(docs: DataFrame, function: Callable[[pa.RecordBatch], object],
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text):
             yield batch.filter(pa.array(function(batch), pa.bool_()))
+        release()
 
     return docs.mapInArrow(run, docs.schema)
 
@@ -130,6 +136,14 @@ def rows_with_ids(docs: DataFrame, ids: DataFrame, function: Callable[[pa.Record
     return frame.mapInArrow(run, schema)
 
 
+def release() -> None:
+    """Give freed memory back: a worker lives on after its task, beside the executor's own memory."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(_LIBC, "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def text_bytes(docs: DataFrame, text: str = "text") -> int:
     """Bytes of all texts."""
     return docs.select(F.sum(F.octet_length(F.col(text))).alias("n")).first()["n"] or 0

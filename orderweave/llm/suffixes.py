@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .chunks import Chunk, answered, answers_of, ask, copies, deal, requests
+from .chunks import Chunk, answered, answers_of, ask, copies, deal, released, requests
 from .repeats import Keys, Windows, narrowed
 from .texts import byte_sums, covered, flat, mix, sequence_in, spans_hash
 
@@ -222,7 +222,7 @@ def removed_bytes(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id",
         return own.request(1, shards)
 
     asked = ask(dealt, known, send_stretches, _STRETCHES)
-    decided = asked.groupBy("shard").applyInArrow(lambda rows: _decide(rows, window), _ANSWER)
+    decided = asked.groupBy("shard").applyInArrow(lambda rows: released(_decide(rows, window)), _ANSWER)
 
     def cut(rows: pa.Table, given: pa.Table) -> pa.Table:
         own = _Bytes(rows, given, window)

@@ -19,7 +19,6 @@ _MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15 | 5
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _GOLDEN = np.random.Generator(np.random.PCG64(7)).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_powers: dict[int, np.ndarray] = {}
 
 
 def byte_table(*ranges: tuple[int, int]) -> np.ndarray:
@@ -89,15 +88,33 @@ def word_spans(data: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> tupl
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def _power(base: int, n: int) -> np.ndarray:
-    """base**0 .. base**n modulo 2**64."""
-    known = _powers.get(base)
-    if known is None or len(known) <= n:
-        size = max(1 << 16, 1 << int(n + 1).bit_length())
-        table = np.full(size, base, np.uint64)
+class _Powers:
+    """Powers of an odd number modulo 2**64: a small table of low exponents times one of high ones."""
+
+    def __init__(self, base: int):
+        self._low = self._table(base, CACHED)
+        self._base = pow(base, CACHED, 1 << 64)
+        self._high = self._table(self._base, 64)
+
+    @staticmethod
+    def _table(base: int, n: int) -> np.ndarray:
+        table = np.full(n, base, np.uint64)
         table[0] = 1
-        known = _powers[base] = np.cumprod(table, dtype=np.uint64)
-    return known
+        return np.cumprod(table, dtype=np.uint64)
+
+    def _reach(self, exponent: int) -> np.ndarray:
+        if exponent // CACHED >= len(self._high):
+            self._high = self._table(self._base, 2 * (exponent // CACHED + 1))
+        return self._high
+
+    def at(self, exponents: np.ndarray) -> np.ndarray:
+        high = self._reach(int(exponents.max()) if len(exponents) else 0)
+        return high[exponents // CACHED] * self._low[exponents % CACHED]
+
+    def between(self, start: int, end: int) -> np.ndarray:
+        first, last = start // CACHED, (end - 1) // CACHED
+        found = (self._reach(end)[first : last + 1, None] * self._low[None, :]).ravel()
+        return found[start - first * CACHED : end - first * CACHED]
 
 
 def prefix_sums(values: np.ndarray) -> np.ndarray:
@@ -110,10 +127,10 @@ def byte_sums(data: np.ndarray) -> np.ndarray:
 
 
 def _summed(n: int, values: Callable[[int, int], np.ndarray]) -> np.ndarray:
-    powers, sums = _power(_BASE, n), np.zeros(n + 1, np.uint64)
+    sums = np.zeros(n + 1, np.uint64)
     for start in range(0, n, CACHED):
         end = min(start + CACHED, n)
-        part = values(start, end) * powers[start:end]
+        part = values(start, end) * _POWERS.between(start, end)
         part[:1] += sums[start : start + 1]
         np.cumsum(part, out=sums[start + 1 : end + 1])
     return sums
@@ -121,7 +138,7 @@ def _summed(n: int, values: Callable[[int, int], np.ndarray]) -> np.ndarray:
 
 def spans_hash(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hashes of the stretches starts:ends; equal stretches get equal hashes wherever they are."""
-    return mix((sums[ends] - sums[starts]) * _power(_INVERSE, len(sums))[starts])
+    return mix((sums[ends] - sums[starts]) * _INVERSES.at(starts))
 
 
 def windows_hash(sums: np.ndarray, size: int, start: int = 0, end: int | None = None) -> np.ndarray:
@@ -129,7 +146,10 @@ def windows_hash(sums: np.ndarray, size: int, start: int = 0, end: int | None =
     end = len(sums) - size if end is None else end
     if end <= start:
         return np.zeros(0, np.uint64)
-    return mix((sums[start + size : end + size] - sums[start:end]) * _power(_INVERSE, len(sums))[start:end])
+    return mix((sums[start + size : end + size] - sums[start:end]) * _INVERSES.between(start, end))
+
+
+_POWERS, _INVERSES = _Powers(_BASE), _Powers(_INVERSE)
 
 
 def mix(values: np.ndarray) -> np.ndarray:
