@@ -22,6 +22,10 @@ class DateWindow:
         high = F.lit(self.end).cast("timestamp_ntz")
         return (c >= low) & ((c <= high) if self.closed else (c < high))
 
+    def in_months(self, c: Column) -> Column:
+        """Whether a `yyyy-MM` text is a month that the window touches."""
+        return (c >= F.lit(self.start[:7])) & (c <= F.lit(self.end[:7]))
+
     def up_to_last_instant(self) -> DateWindow:
         """The same instants as a closed window; times are stored to the microsecond."""
         if self.closed:

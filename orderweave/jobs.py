@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .functions.windows import DateWindow, last_months, month_to_date
 from .plans import (
@@ -23,7 +24,7 @@ from .plans import (
 from .session import tune
 from .sinks import Target, replace, replace_period, with_text_dates
 from .sources import JdbcSource, Tables
-from .sources.schema import BUCKET_COLUMNS, SOURCE_TABLES
+from .sources.schema import BUCKET_COLUMNS, MONTH_COLUMNS, SOURCE_TABLES, STORED_MONTH
 
 # Default target names.
 TARGETS = {
@@ -65,14 +66,19 @@ def load_table(tables: Tables, name: str, target: Target) -> None:
 def stage(
     tables: Tables, database: str, buckets: int, unbucketed: Sequence[str] = ()
 ) -> None:
-    """Copy all base tables into catalog tables, the large ones bucketed by their join column.
+    """Copy all base tables into catalog tables: dated headers by month, large tables bucketed by their join column.
 
-    A later `Tables.catalog(spark, database, bucketed=True)` joins them without
-    shuffling them again.  `buckets` should be at least the number of shuffle
+    A later `Tables.catalog(spark, database, bucketed=True, by_month=True)` reads
+    the headers of its window only and joins the items without shuffling them again.  `buckets` should be at least the number of shuffle
     partitions.  A bucket is read by one task: tables in which one id holds many
     rows belong into `unbucketed`.
     """
     for name, source_name in SOURCE_TABLES.items():
+        if name in MONTH_COLUMNS:
+            month = F.date_format(MONTH_COLUMNS[name], "yyyy-MM")
+            rows = tables[name].withColumn(STORED_MONTH, month).hint("rebalance", STORED_MONTH)
+            rows.write.mode("overwrite").partitionBy(STORED_MONTH).saveAsTable(f"{database}.{source_name}")
+            continue
         column = None if name in unbucketed else BUCKET_COLUMNS.get(name)
         target = Target(
             table=f"{database}.{source_name}",
@@ -85,7 +91,7 @@ def stage(
 def _source(spark: SparkSession, options: argparse.Namespace) -> Tables:
     """The base tables: a parquet folder, catalog tables, or the database itself."""
     if options.database:
-        tables = Tables.catalog(spark, options.database)
+        tables = Tables.catalog(spark, options.database, bucketed=options.staged, by_month=options.staged)
     elif options.jdbc:
         with open(options.jdbc, encoding="utf-8") as file:
             tables = Tables.jdbc(spark, JdbcSource.from_settings(json.load(file)))
@@ -100,6 +106,7 @@ def main(arguments: list[str] | None = None) -> None:
     source = parser.add_mutually_exclusive_group(required=True)
     source.add_argument("--source", help="folder with one parquet folder per table")
     source.add_argument("--database", help="catalog database with the base tables")
+    parser.add_argument("--staged", action="store_true", help="the database was written by `stage`")
     source.add_argument("--jdbc", help="JSON file with url, options and partitioned reads")
     parser.add_argument("--target", required=True, help="folder of the target tables; for `stage` a database")
     parser.add_argument("--name", help="name of the target table; for `copy` the base table")

@@ -13,11 +13,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.nulls import is_empty_id
-from ..functions.windows import DateFloor
+from ..functions.windows import DateFloor, DateWindow
 from ..operators import rollups
-from ..operators.ranking import top_per_key
 from ..operators.skew import skew_join
 from ..sources import Tables
+from ..sources.schema import STORED_MONTH
 
 
 # Ids that tell rows with the same blank or heavy key apart.
@@ -70,6 +70,16 @@ class Chain:
             left, right, on, how, only_if=only_if, spread_blank=spread, salts=self.salts, salt_by=SALT_COLUMNS
         )
 
+    def in_window(self, df: DataFrame, window: DateWindow, date: str, month: str) -> DataFrame:
+        """Rows dated in the window; where the table is stored by month, from its months only."""
+        condition = window.contains(F.col(date))
+        if month in df.columns:
+            condition = condition & window.in_months(F.col(month))
+        return df.where(condition)
+
+    def _month(self, name: str) -> dict[str, str]:
+        return {name: STORED_MONTH} if self.tables.by_month else {}
+
     # Frames used by several datasets.
 
     def inquiries(self) -> DataFrame:
@@ -102,6 +112,7 @@ class Chain:
             so_ordered="dtmOrder",
             so_applied="bApplied",
             so_void="bVoid",
+            **self._month("so_month"),
         )
 
     def orders_since(self, floor: DateFloor, scope: DataFrame) -> DataFrame:
@@ -143,6 +154,7 @@ class Chain:
             po_created="dtmCreated",
             po_date="dtmPO",
             po_void="bVoid",
+            **self._month("po_month"),
         )
 
     def purchase_items(self) -> DataFrame:
@@ -236,10 +248,10 @@ class Chain:
         )
         items = self.pick("note_closing_item", cli_id="szCloseDNId", closed_dn="szDNId")
         closed = self.join(items, closings, [("cli_id", "cl_id")], "inner")
-        latest = top_per_key(
-            closed, ["closed_dn"], [F.desc_nulls_last("cl_updated"), F.asc("cl_id"), F.asc("cl_applied")]
-        )
-        return latest.select("closed_dn", "cl_applied")
+        # Latest first, undated last, then by id; an aggregate, so that each task sends one row per note.
+        age = "-timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01', cl_updated)"
+        order = F.struct(F.col("cl_updated").isNull(), F.expr(age), "cl_id", "cl_applied")
+        return closed.groupBy("closed_dn").agg(F.min_by("cl_applied", order).alias("cl_applied"))
 
     def bonuses(self, orders: DataFrame | None = None) -> DataFrame:
         """Discount roll-up, for the ids in `orders` (one column) if given."""

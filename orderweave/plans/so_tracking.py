@@ -313,7 +313,7 @@ def so_tracking_no_inquiry(
     """Items of the sales orders in `window` that no inquiry names."""
     c = F.col
     chain = Chain(tables, salts, UNUSED_BY_NO_INQUIRY)
-    in_window = chain.orders().where(window.contains(c("so_ordered")))
+    in_window = chain.in_window(chain.orders(), window, "so_ordered", "so_month")
     inquiries = chain.pick("sales_inquiry", si_so="szFSoId")
     df = anti_join_null_aware(in_window, inquiries, "so_id", "si_so")
     customers = chain.customers()

@@ -50,7 +50,7 @@ def dated_inquiries(
 
     bought = chain.join(
         inquiries.where(not_empty(F.col("si_po"))),
-        purchases.where(window.contains(F.col("po_date"))),
+        chain.in_window(purchases, window, "po_date", "po_month"),
         by_purchase,
         "inner",
     )
@@ -61,7 +61,7 @@ def dated_inquiries(
 
     sold = chain.join(
         inquiries.where(is_empty(F.col("si_po"))),
-        orders.where(window.contains(F.col("so_ordered"))),
+        chain.in_window(orders, window, "so_ordered", "so_month"),
         by_order,
         "inner",
         spread=spread,
@@ -81,13 +81,13 @@ def order_ids_in_window(chain: Chain, window: DateWindow) -> DataFrame:
     inquiries = inquiries.where(~is_blank(F.col("si_so")))
     bought = chain.join(
         inquiries.where(not_empty(F.col("si_po"))),
-        chain.purchase_orders().where(window.contains(F.col("po_date"))),
+        chain.in_window(chain.purchase_orders(), window, "po_date", "po_month"),
         [("si_po", "po_id")],
         "left_semi",
     )
     sold = chain.join(
         inquiries.where(is_empty(F.col("si_po"))),
-        chain.orders().where(window.contains(F.col("so_ordered"))),
+        chain.in_window(chain.orders(), window, "so_ordered", "so_month"),
         [("si_so", "so_id")],
         "left_semi",
     )

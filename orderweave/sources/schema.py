@@ -141,3 +141,7 @@ def table_schema(name: str, money: T.DataType = MONEY) -> T.StructType:
             for column in columns.split()
         ]
     )
+
+# Headers that datasets cut by date: staged by month of this column, which they then also carry as text.
+MONTH_COLUMNS = {"sales_order": "dtmOrder", "purchase_order": "dtmPO"}
+STORED_MONTH = "stored_month"

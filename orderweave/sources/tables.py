@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .jdbc import JdbcSource
-from .schema import MONEY, SOURCE_TABLES, table_schema
+from .schema import MONEY, MONTH_COLUMNS, SOURCE_TABLES, STORED_MONTH, table_schema
 
 
 class Tables:
@@ -20,6 +20,8 @@ class Tables:
     ):
         self.spark = spark
         self.bucketed = bucketed
+        #: Whether the headers of `MONTH_COLUMNS` are stored by month.
+        self.by_month = False
         #: The type of the tables' text columns.
         self.text = "string"
         self._load = load
@@ -44,17 +46,23 @@ class Tables:
         database: str,
         money: T.DataType = MONEY,
         bucketed: bool = False,
+        by_month: bool = False,
     ) -> Tables:
         """Catalog tables under their source names.
 
         `bucketed` says that they are bucketed by `BUCKET_COLUMNS`; items are
-        then read in place instead of being shuffled.
+        then read in place instead of being shuffled.  `by_month`: the dated
+        headers are partitioned by month, as `jobs.stage` writes them, and a run
+        reads the months of its window only.
         """
-        return cls(
-            spark,
-            lambda name: conform(spark.table(f"{database}.{SOURCE_TABLES[name]}"), name, money),
-            bucketed,
-        )
+
+        def load(name: str) -> DataFrame:
+            stored = spark.table(f"{database}.{SOURCE_TABLES[name]}")
+            return conform(stored, name, money, (STORED_MONTH,) if by_month and name in MONTH_COLUMNS else ())
+
+        tables = cls(spark, load, bucketed)
+        tables.by_month = by_month
+        return tables
 
     @classmethod
     def jdbc(cls, spark: SparkSession, source: JdbcSource, money: T.DataType = MONEY) -> Tables:
@@ -69,6 +77,7 @@ class Tables:
         themselves stay as they are.
         """
         tables = Tables(self.spark, lambda name: collated(self[name], ignore_case))
+        tables.by_month = self.by_month
         tables.text = f"string collate {collation(ignore_case)}"
         return tables
 
@@ -78,11 +87,10 @@ class Tables:
         return self._frames[name]
 
 
-def conform(df: DataFrame, name: str, money: T.DataType = MONEY) -> DataFrame:
-    """The declared columns of a table in their declared types."""
-    return df.select(
-        [F.col(f.name).cast(f.dataType).alias(f.name) for f in table_schema(name, money).fields]
-    )
+def conform(df: DataFrame, name: str, money: T.DataType = MONEY, more: tuple[str, ...] = ()) -> DataFrame:
+    """The declared columns of a table in their declared types, and `more` columns as they are."""
+    declared = [F.col(f.name).cast(f.dataType).alias(f.name) for f in table_schema(name, money).fields]
+    return df.select(*declared, *more)
 
 
 def collation(ignore_case: bool) -> str:
@@ -93,7 +101,7 @@ def collated(df: DataFrame, ignore_case: bool = False) -> DataFrame:
     """Text columns under a padded, optionally case-insensitive collation."""
     return df.select(
         [
-            (F.collate(f.name, collation(ignore_case)) if isinstance(f.dataType, T.StringType) else F.col(f.name)).alias(f.name)
+            (F.collate(f.name, collation(ignore_case)) if isinstance(f.dataType, T.StringType) and f.name != STORED_MONTH else F.col(f.name)).alias(f.name)
             for f in df.schema.fields
         ]
     )

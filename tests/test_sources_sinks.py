@@ -14,7 +14,7 @@ from orderweave.session import scratch_folder
 from orderweave.sinks import Target, replace, replace_period, with_text_dates
 from orderweave.sources import JdbcSource, Tables
 from orderweave.sources.jdbc import LARGE_TABLES
-from orderweave.sources.schema import COLUMNS, SOURCE_TABLES, table_schema
+from orderweave.sources.schema import COLUMNS, SOURCE_TABLES, STORED_MONTH, table_schema
 from orderweave.sources.tables import collated, conform
 
 from .random_tables import write_tables
@@ -177,7 +177,7 @@ def test_staged_tables_are_joined_in_place(spark, tmp_path):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         jobs.stage(parquet, "staged", buckets=8)
-        staged = Tables.catalog(spark, "staged", money=T.DoubleType(), bucketed=True)
+        staged = Tables.catalog(spark, "staged", money=T.DoubleType(), bucketed=True, by_month=True)
 
         def rollup(tables):
             return bonus_rollup(tables["sales_order_item"], tables["bonus_source"])
@@ -187,6 +187,10 @@ def test_staged_tables_are_joined_in_place(spark, tmp_path):
         assert rollup(staged).select(key).exceptAll(rollup(parquet).select(key)).isEmpty()
         assert rollup(staged).count() == rollup(parquet).count() > 0
         month = DateWindow("2024-12-01", "2025-01-01")
+        for dataset in (po_tracking_month, so_tracking_inquiry):
+            plan = dataset(staged, month)._jdf.queryExecution().executedPlan().toString()
+            headers = [line for line in plan.splitlines() if "FileScan" in line and STORED_MONTH in line]
+            assert any("PartitionFilters" in h and f"({STORED_MONTH}#" in h and ">= 2024-12" in h for h in headers)
         built = [po_tracking_month(t, month) for t in (staged, parquet)]
         assert built[0].exceptAll(built[1]).isEmpty() and built[0].count() == built[1].count()
     finally:
