@@ -181,7 +181,9 @@ def test_stages_take_empty_documents(spark):
     labels = spark.createDataFrame([], "doc_id long, quality int")
     from orderweave.llm import bpe, decontaminate, lines, quality
 
-    for made in (quality.without_rejected(docs, labels), lines.cut_documents(docs), minhash.deduplicated(docs), decontaminate.without_contaminated(docs, spark.createDataFrame([], "item_id long, text string"))):
+    items = spark.createDataFrame([], "item_id long, text string")
+    stages = [quality.without_rejected(docs, labels), lines.cut_documents(docs), minhash.deduplicated(docs)]
+    for made in (*stages, decontaminate.without_contaminated(docs, items)):
         assert made.columns == docs.columns and made.count() == 0
     assert bpe.encoded(docs).count() == 0
 
