@@ -13,7 +13,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions.windows import DateWindow, last_months, month_to_date
+from .functions.windows import last_months, month_to_date
 from .plans import (
     enrich_with_distributor,
     po_tracking_by_delivery,
