@@ -23,6 +23,7 @@ from .texts import flat
 
 CHUNK_BYTES = 4 << 20
 _BINS = 4096
+_WORKER_BYTES = 384 << 20
 #: The level of answers that name a chunk's exact copies.
 COPY = -1
 _REQUEST = "shard long, chunk long, level int, keys binary"
@@ -171,7 +172,7 @@ def answers_of(rows: pa.Table, level: int) -> np.ndarray:
 
 
 def released(made: pa.Table) -> pa.Table:
-    release()
+    release(above=_WORKER_BYTES)  # one of many groups of a task: not every time
     return made
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import mmap
 import tempfile
 import uuid
 import zipfile
@@ -56,7 +57,7 @@ def shared_folder(spark: SparkSession) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="llm-")
     return f"{root.rstrip('/')}/llm-{uuid.uuid4().hex}"
@@ -136,8 +137,15 @@ def rows_with_ids(docs: DataFrame, ids: DataFrame, function: Callable[[pa.Record
     return frame.mapInArrow(run, schema)
 
 
-def release() -> None:
-    """Give freed memory back: a worker lives on after its task, beside the executor's own memory."""
+def release(above: int = 0) -> None:
+    """Give freed memory back, if the process holds more than `above` bytes.
+
+    A worker lives on after its task, beside the executor's own memory.
+    """
+    if above:
+        with open("/proc/self/statm", encoding="ascii") as file:
+            if int(file.read().split()[1]) * mmap.PAGESIZE <= above:
+                return
     pa.default_memory_pool().release_unused()
     trim = getattr(_LIBC, "malloc_trim", None)
     if trim:
