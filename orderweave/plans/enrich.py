@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..operators.skew import skew_join
 
@@ -16,4 +17,8 @@ def enrich_with_distributor(
     salts: int = 64,
 ) -> DataFrame:
     """Left join on the caller's key pair; `heavy_keys` are frequent keys of the dataset."""
+    left, right = on
+    collation = getattr(dataset.schema[left].dataType, "collation", "UTF8_BINARY")
+    if collation != "UTF8_BINARY":  # the dataset's texts say how keys compare
+        distributors = distributors.withColumn(right, F.collate(right, collation))
     return skew_join(dataset, distributors, [on], "left", heavy_left=heavy_keys, salts=salts)

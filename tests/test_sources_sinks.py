@@ -163,6 +163,23 @@ def test_job_loads_a_dataset(spark, tmp_path):
     assert len(loaded.columns) == 25 and "period" in loaded.columns
 
 
+def test_job_options(spark, tmp_path):
+    source, warehouse = tmp_path / "source", tmp_path / "warehouse"
+    source.mkdir()
+    write_tables(source, seed=7, rows=30, ids=24, blank=0.0)
+    _write_as_decimal(spark, source)
+    common = ["--source", str(source), "--target", str(warehouse)]
+    jobs.main(["copy", *common, "--name", "customer"])
+    copied = Target(path=f"{warehouse}/customer").read(spark)
+    assert copied.columns == table_schema("customer").fieldNames() and not copied.isEmpty()
+    distributors = copied.select(F.col("szCustId").alias("id"), F.lit("north").alias("region"))
+    distributors.distinct().write.parquet(str(tmp_path / "distributors"))
+    extra = ["--distributors", str(tmp_path / "distributors"), "--distributor-key", "szCustId", "id"]
+    jobs.main(["no-inquiry", *common, "--day", "2024-12-31", "--ignore-case", *extra])
+    loaded = Target(path=f"{warehouse}/so_tracking_no_inquiry").read(spark)
+    assert {"id", "region", "szFSoId"} <= set(loaded.columns) and loaded.count() >= 0
+
+
 def _write_as_decimal(spark, source):
     doubles = Tables.parquet(spark, str(source), money=T.DoubleType())
     for name in COLUMNS:
