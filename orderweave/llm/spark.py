@@ -142,10 +142,9 @@ def release(above: int = 0) -> None:
 
     A worker lives on after its task, beside the executor's own memory.
     """
-    if above:
-        with open("/proc/self/statm", encoding="ascii") as file:
-            if int(file.read().split()[1]) * mmap.PAGESIZE <= above:
-                return
+    held = Path("/proc/self/statm")
+    if above and held.exists() and int(held.read_text().split()[1]) * mmap.PAGESIZE <= above:
+        return
     pa.default_memory_pool().release_unused()
     trim = getattr(_LIBC, "malloc_trim", None)
     if trim:
