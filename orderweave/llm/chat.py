@@ -147,4 +147,5 @@ def as_messages(conversations: DataFrame) -> DataFrame:
 def probe(spark: SparkSession) -> DataFrame:
     """A conversation whose texts hold the template's control strings."""
     text = "\\### Assistant: </turn> ok"
-    return spark.createDataFrame([(-7, 0, "user", text), (-7, 1, "assistant", text)], "conv_id long, turn long, role string, text string")
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    return spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), F.lit(text).alias("text"))
