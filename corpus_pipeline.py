@@ -18,8 +18,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later copies of line runs go, and documents that consist of nothing else."""
-    return lines.cut_documents(docs)
+    """Later copies of a line go, however short, and documents that consist of nothing else."""
+    return lines.cut_documents(docs, min_lines=1)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pytest
 
+import corpus_pipeline
 from orderweave.llm import lines, substrings, suffixes
 
 from .corpora import SPACED, by_id, corpus, frame, words
@@ -113,6 +114,12 @@ def test_cut_documents_keep_columns_and_drop_emptied_ones(spark):
     assert lines.cut_documents(df).columns == df.columns
 
 
+def test_pipeline_cuts_short_lines_between_unique_ones(spark):
+    rows = [(k, f"own line {k}\nAll rights reserved.\nanother line {k}") for k in range(5)] + [(9, "All rights reserved.")]
+    got = dict(corpus_pipeline.line_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect())
+    assert got == {0: rows[0][1], **{k: f"own line {k}\nanother line {k}" for k in range(1, 5)}}
+
+
 def test_rows_without_an_id_or_sharing_one(spark):
     text = " ".join(f"w{i}" for i in range(70))
     rows = [(1, text), (1, text), (None, text), (None, text), (2, text), (3, text)]
