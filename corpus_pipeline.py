@@ -23,8 +23,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each group of near copies stays."""
-    return minhash.deduplicated(docs)
+    """The first document of each group of near copies, of similarity 0.8 or more, stays."""
+    return minhash.deduplicated(docs, percent=80)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,14 +7,15 @@ fraction to one slot it has not used. A document stops once every slot holds les
 than the next step could offer.
 
 1. Documents with equal sets form a class; its smallest id stands for it.
-2. Representatives that agree on all `ROWS` slots of one of `BANDS` bands share a
-   bucket. Two documents at the threshold of 0.85 share none with a chance of 4e-7.
+2. Representatives that agree on all slots of one of the bands share a bucket. Bands
+   have as many slots as leave two documents at the threshold none in common with a
+   chance below `MISSED`: 25 bands of 5 slots at 85 % (4e-7), 31 of 4 at 80 % (8e-8).
 3. Round one compares every member of a bucket with one hub, the member with most
    bucket neighbours. Round two compares what is left: members of different groups
    of one bucket, unless a link is ruled out - for certain by the sizes, by the
    shingles that no other document of an open bucket has, or by what either shares
-   with the hub; and by 125-bit sketches with a chance below 1e-7 at the threshold. A
-   bucket is never expanded into all pairs of a group that round one has linked.
+   with the hub; and by 125-bit sketches with a chance below `MISSED` at the threshold,
+   from 27 differing bits on at 85 %, 32 at 80 %. A bucket is never expanded into all pairs of a group that round one has linked.
 4. Links are confirmed on the full sets, by integers.
 
 Defined results: null, empty and blank texts have no shingles and no links; rows of
@@ -25,6 +26,7 @@ and have no component.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -37,14 +39,28 @@ from .texts import NOT_SPACE, byte_sums, flat, lower_ascii, mix, prefix_sums, se
 
 SHINGLE = 5
 PERCENT = 85
-BANDS, ROWS = 25, 5
-SLOTS = BANDS * ROWS
-#: Differing bits of two sketches at which a pair is ruled out: 5.5 standard deviations at 85 %.
-SKETCH_BITS = 26
+SLOTS = 125
+#: Chance that two documents at the threshold are lost: by the bands, and by the sketches.
+MISSED = 1e-6
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
+def banding(percent: int) -> tuple[int, int]:
+    """(bands, slots of a band): the longest bands that miss a pair at the threshold with a chance below `MISSED`."""
+    missed = lambda rows: (1 - (percent / 100) ** rows) ** (SLOTS // rows)
+    rows = max((r for r in range(1, SLOTS + 1) if missed(r) < MISSED), default=1)
+    return SLOTS // rows, rows
+
+
+def sketch_bits(percent: int) -> int:
+    """How many bits of two sketches may differ: more do at the threshold with a chance below `MISSED`."""
+    p, above, bits = (1 - percent / 100) / 2, 0.0, SLOTS
+    while bits and (above := above + comb(SLOTS, bits) * p**bits * (1 - p) ** (SLOTS - bits)) < MISSED:
+        bits -= 1
+    return bits
+
+
 def shingle_sets(column: pa.Array, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     """(text, shingle hash), distinct and ascending."""
     data, offsets = flat(column)
@@ -85,27 +101,27 @@ def signatures(text: np.ndarray, hashes: np.ndarray, n_texts: int, slots: int =
     return least.reshape(n_texts, slots)
 
 
-def _sketch(batch: pa.RecordBatch, column: str) -> dict[str, object]:
-    n = batch.num_rows
+def _sketch(batch: pa.RecordBatch, column: str, percent: int) -> dict[str, object]:
+    n, (n_bands, n_rows) = batch.num_rows, banding(percent)
     text, hashes = shingle_sets(batch.column(column))
     sizes = np.bincount(text, minlength=n)
     full = np.flatnonzero(sizes)
-    bands = np.zeros((n, BANDS), np.int64)
+    bands = np.zeros((n, n_bands), np.int64)
     keys, sketch = np.zeros((2, n), np.uint64), np.zeros((n, 2), np.int64)
     if len(full):
         begins = np.searchsorted(text, full)
         keys[0, full] = np.add.reduceat(mix(hashes), begins)
         keys[1, full] = np.add.reduceat(mix(hashes + _STEP), begins)
         signature = signatures(np.repeat(np.arange(len(full)), sizes[full]), hashes, len(full))
-        rows = signature.reshape(len(full), BANDS, ROWS)
-        key = np.arange(BANDS, dtype=np.uint64)[None, :] + np.zeros((len(full), 1), np.uint64)
-        for k in range(ROWS):
+        rows = signature[:, : n_bands * n_rows].reshape(len(full), n_bands, n_rows)
+        key = np.arange(n_bands, dtype=np.uint64)[None, :] + np.zeros((len(full), 1), np.uint64)
+        for k in range(n_rows):
             key = mix(key * _STEP + rows[:, :, k])
         bands[full] = key.view(np.int64)
         bits = np.zeros((len(full), 128), np.uint8)
         bits[:, :SLOTS] = mix(signature) >> np.uint64(63)
         sketch[full] = np.packbits(bits, axis=1).view(np.int64)
-    lists = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum((sizes > 0) * BANDS)]).astype(np.int32), bands[full].ravel())
+    lists = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum((sizes > 0) * n_bands)]).astype(np.int32), bands[full].ravel())
     return {"n": sizes.astype(np.int64), "k1": keys[0].view(np.int64), "k2": keys[1].view(np.int64), "bands": lists, "s1": sketch[:, 0].copy(), "s2": sketch[:, 1].copy()}
 
 
@@ -168,7 +184,7 @@ def _shared_sizes(sets: DataFrame, ids: DataFrame) -> DataFrame:
 def _possible(x: str, y: str, percent: int):
     """Whether sizes and sketches leave room for a link."""
     sizes = f"100 * least({x}.n, {y}.n) >= {percent} * greatest({x}.n, {y}.n)"
-    bits = f"bit_count({x}.s1 ^ {y}.s1) + bit_count({x}.s2 ^ {y}.s2) <= {SKETCH_BITS}"
+    bits = f"bit_count({x}.s1 ^ {y}.s1) + bit_count({x}.s2 ^ {y}.s2) <= {sketch_bits(percent)}"
     return F.expr(f"{sizes} and {bits}")
 
 
@@ -177,7 +193,7 @@ def grouped(docs: DataFrame, percent: int = PERCENT, doc_id: str = "doc_id", tex
     prepare(docs.sparkSession)
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias(text))
     fields = "n long, k1 long, k2 long, bands array<long>, s1 long, s2 long"
-    rows = written(map_texts(docs, lambda batch: _sketch(batch, text), fields, ("doc_id",), text))
+    rows = written(map_texts(docs, lambda batch: _sketch(batch, text, percent), fields, ("doc_id",), text))
     known = rows.where("n > 0 and doc_id is not null")
     # equal sets: the smallest id stands for the class
     classes = written(known.groupBy("k1", "k2", "n").agg(F.min_by(F.struct("bands", "s1", "s2"), "doc_id").alias("x"), F.min("doc_id").alias("id")))

@@ -69,6 +69,40 @@ def test_groups(spark, rows):
     assert left.columns == frame(spark, rows).columns
 
 
+def pairs_at(percent, n, seed=5):
+    """Pairs of texts of 600 words that share just `percent` of their shingles or a few more; no words but a pair's own."""
+    rng, rows = random.Random(seed), []
+    for k in range(n):
+        base = [f"p{k}w{j}" for j in range(600)]
+        changed = 596 - -(-596 * 2 * percent // (100 + percent))  # shingles that may differ
+        other = list(base)
+        for j in range(changed // 5):
+            other[10 + 10 * j] = f"p{k}x{j}"
+        rows += [(1000 + 2 * k, " ".join(base)), (1001 + 2 * k, " ".join(other))]
+    rng.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize(("rows", "percent"), [(pairs_at(80, 250), 80), (pairs_at(50, 250), 50), (corpus(6, 120), 80), (near_copies(4, 40), 80)])
+def test_groups_at_other_thresholds(spark, rows, percent):
+    sets = {i: c for i, (_, c) in brute_groups(rows, percent).items()} if len(rows) < 300 else {i: i - i % 2 for i, _ in rows}
+    assert by_id(minhash.grouped(frame(spark, rows), percent), "component_id") == {i: (c,) for i, c in sets.items()}
+
+
+def test_pipeline_drops_near_copies_at_80_percent(spark):
+    rows = pairs_at(80, 20)
+    left = corpus_pipeline.near_dedup(spark, frame(spark, rows), "")
+    assert sorted(r[0] for r in left.select("doc_id").collect()) == [i for i in range(1000, 1040) if i % 2 == 0]
+
+
+def test_bands_and_sketches_follow_the_threshold():
+    assert (minhash.banding(85), minhash.sketch_bits(85)) == ((25, 5), 26)
+    assert (minhash.banding(80), minhash.sketch_bits(80)) == ((31, 4), 31)
+    for percent in (30, 50, 70, 90, 99):
+        bands, rows = minhash.banding(percent)
+        assert bands * rows <= minhash.SLOTS and (1 - (percent / 100) ** rows) ** bands < minhash.MISSED
+
+
 def test_groups_of_repeated_and_missing_ids(spark):
     a, b = "one two three four five six", "seven eight nine ten eleven twelve"
     rows = [(9, a), (9, b), (4, a), (11, b), (None, a), (None, None), (20, None), (21, "")]
