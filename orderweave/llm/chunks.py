@@ -10,6 +10,7 @@ chunk" means "in a document with a smaller id".
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -98,21 +99,25 @@ class Chunk:
         #: By document: is its text that of a document with a smaller id?
         self.copies = np.zeros(rows.num_rows, bool)
         if given is not None:
-            self.copies = known & np.isin(values, given.filter(pa.compute.equal(given["level"], COPY))["shard"].to_numpy())
+            named = given.filter(pa.compute.equal(given["level"], COPY))
+            marks = set(zip(named["shard"].to_pylist(), named["n"].to_pylist(), strict=True))
+            for at in np.flatnonzero(known & np.isin(values, named["shard"].to_numpy())).tolist():
+                text = self.data[self.offsets[at] : self.offsets[at + 1]]
+                self.copies[at] = (int(values[at]), int(hashlib.md5(text).hexdigest()[:15], 16)) in marks
 
 
 def copies(dealt: Dealt) -> DataFrame:
-    """An answer for each document whose text a document with a smaller id has: (chunk, COPY, doc_id, ...).
+    """An answer for each row whose text a document with a smaller id has: (chunk, COPY, doc_id, 60 bits of MD5 of the text, ...).
 
-    What such a document repeats is clear, and its original stands for it elsewhere.
+    Rows of one id may differ, so the text is named beside the id. What such a document repeats is clear, and its original stands for it elsewhere.
     """
     rows = dealt.docs.where("doc_id is not null and length(text) > 0")
-    rows = rows.select("chunk", "doc_id", F.xxhash64("text").alias("a"), F.xxhash64(F.lit(1), "text").alias("b"), F.octet_length("text").alias("n"))
+    rows = rows.select("chunk", "doc_id", F.xxhash64("text").alias("a"), F.xxhash64(F.lit(1), "text").alias("b"), F.octet_length("text").alias("n"), F.conv(F.substring(F.md5("text"), 1, 15), 16, 10).cast("long").alias("mark"))
     first = rows.groupBy("a", "b", "n").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
-    found = rows.join(first, ["a", "b", "n"]).where("doc_id > first").select("chunk", "doc_id").distinct()
+    found = rows.join(first, ["a", "b", "n"]).where("doc_id > first").select("chunk", "doc_id", "mark").distinct()
     nothing = F.lit(None).cast("binary")
     # a column of its own, as these rows meet the documents they come from
-    return found.select((F.col("chunk") + 0).alias("chunk"), F.lit(COPY).alias("level"), F.col("doc_id").alias("shard"), F.lit(0).cast("long").alias("n"), nothing.alias("bits"))
+    return found.select((F.col("chunk") + 0).alias("chunk"), F.lit(COPY).alias("level"), F.col("doc_id").alias("shard"), F.col("mark").alias("n"), nothing.alias("bits"))
 
 
 def requests(chunk: int, level: int, shards: int, keys: np.ndarray) -> pa.Table:

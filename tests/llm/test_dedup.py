@@ -131,6 +131,16 @@ def test_rows_without_an_id_or_sharing_one(spark):
     assert sorted((r[0] or 0, r[1]) for r in got) == [(0, 0), (0, 0), (1, 0), (1, 0), (2, n), (3, n)]
 
 
+def test_a_copy_and_another_text_under_one_id(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(70)) for x in "abc")
+    rows = [(1, a), (5, a), (5, b), (7, c + " " + b), (9, b), (9, "é " + c)]
+    df = frame(spark, rows)
+    got = sorted((r.doc_id, r.n_words, r.n_removed) for r in substrings.removed_words(df).collect())
+    assert got == [(1, 70, 0), (5, 70, 0), (5, 70, 70), (7, 140, 70), (9, 70, 70), (9, 71, 70)]
+    got = sorted((r.doc_id, bytes(r.kept).decode()) for r in suffixes.removed_bytes(df).collect())
+    assert got == [(1, a), (5, ""), (5, b), (7, c + " "), (9, ""), (9, "é ")]
+
+
 def test_empty_tables(spark):
     df = frame(spark, [])
     assert substrings.removed_words(df).count() == 0
