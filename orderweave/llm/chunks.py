@@ -11,19 +11,20 @@ chunk" means "in a document with a smaller id".
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .spark import prepare, release
 from .texts import flat
 
 CHUNK_BYTES = 4 << 20
-_BINS = 4096
+#: A chunk is put together of runs of ids of at most this part of it.
+_PARTS = 8
 _WORKER_BYTES = 384 << 20
 #: The level of answers that name a chunk's exact copies.
 COPY = -1
@@ -44,41 +45,51 @@ class Dealt:
 def deal(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", chunk_bytes: int = CHUNK_BYTES, rest: bool = False) -> Dealt:
     """Give every document its chunk; with `rest`, its other columns come along in a struct.
 
-    Ranges come from the text bytes in each of at most 4096 equal parts of the
-    id range; parts that are too large are cut evenly. Rows of one id share a
-    chunk. Rows without an id go to chunks of their own, below 0.
+    Chunks end where the sizes of the documents in id order say, whatever the ids
+    are: none holds more than `chunk_bytes`, unless the rows of one id do. Rows of
+    one id share a chunk. Rows without an id go to chunks of their own, below 0.
     """
     spark = docs.sparkSession
     prepare(spark)
     more = [F.struct(*others).alias("rest")] if rest and (others := [c for c in docs.columns if c not in (doc_id, text)]) else []
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), *more)
-    low, high = docs.agg(F.min("doc_id"), F.max("doc_id")).first()
-    low, high = (0, 0) if low is None else (low, high)
-    width = (high - low) // _BINS + 1
-    part = F.floor((F.col("doc_id") - low) / width).cast("int")
-    rows = docs.groupBy(part.alias("part")).agg(F.sum(F.octet_length("text")).alias("n")).collect()  # at most 4097 rows
-    sizes = np.zeros(_BINS + 1, np.int64)
-    unknown = 0
-    for row in rows:
-        if row["part"] is None:
-            unknown = row["n"] or 0
-        else:
-            sizes[row["part"]] = row["n"] or 0
-    first, cuts, at, filled = [], [], 0, 0
-    for size in sizes.tolist():
-        if filled and filled + size > chunk_bytes:
-            at, filled = at + 1, 0
-        n = max(1, -(-size // chunk_bytes))
-        first.append(at)
-        cuts.append(n)
-        at, filled = (at + n, 0) if n > 1 else (at, filled + size)
-    parts = spark.createDataFrame(list(zip(range(_BINS + 1), first, cuts, strict=True)), "part int, first long, cuts long")
-    within = F.col("doc_id") - low - F.col("part").cast("long") * width
-    known = F.col("first") + F.floor(within * F.col("cuts") / width).cast("long")
+    sizes = docs.groupBy("doc_id").agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n"))
+    ordered = sizes.where("doc_id is not null").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    found = ordered.mapInArrow(lambda batches: _runs(batches, max(1, chunk_bytes // _PARTS)), "first long, n long")
+    starts, n_bytes, filled = [], 0, chunk_bytes
+    for first, n in sorted((r["first"], r["n"]) for r in found.collect()):  # about _PARTS rows a chunk
+        if not starts or filled + n > chunk_bytes:
+            starts.append(first)
+            filled = 0
+        n_bytes, filled = n_bytes + n, filled + n
+    unknown = docs.where("doc_id is null").agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_lost = unknown // chunk_bytes + 1
     lost = -1 - F.pmod(F.xxhash64("text"), F.lit(n_lost))
-    dealt = docs.withColumn("part", part).join(F.broadcast(parts), "part", "left").select(F.coalesce(known, lost).alias("chunk"), *docs.columns)
-    return Dealt(dealt, int(sizes.sum()) + unknown, -n_lost, at)
+    chunk = F.when(F.col("doc_id").isNotNull(), _place(F.col("doc_id"), starts)).otherwise(lost)
+    return Dealt(docs.select(chunk.alias("chunk"), *docs.columns), n_bytes + unknown, -n_lost, max(0, len(starts) - 1))
+
+
+def _runs(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """(first id, bytes) of runs of ascending ids; a run of several ids holds at most `least` bytes."""
+    firsts, sizes = [], []
+    for batch in batches:
+        for first, n in zip(batch.column("doc_id").to_pylist(), batch.column("n").to_pylist(), strict=True):
+            if firsts and sizes[-1] + n <= least:
+                sizes[-1] += n
+            else:
+                firsts.append(first)
+                sizes.append(n)
+    yield pa.RecordBatch.from_arrays([pa.array(firsts, pa.int64()), pa.array(sizes, pa.int64())], names=["first", "n"])
+
+
+def _place(value: Column, starts: list[int]) -> Column:
+    """The index of the last of the ascending `starts` that is not above the value, by bisection."""
+    if len(starts) < 2:
+        return F.lit(0).cast("long")
+    bounds = F.split(F.lit(",".join(map(str, starts))), ",").cast("array<long>")  # folded to one literal
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(starts).bit_length()))])
+    further = lambda at, step: F.when((at + step <= len(starts)) & (F.get(bounds, at + step - 1) <= value), at + step).otherwise(at)
+    return (F.aggregate(steps, F.lit(0), further) - 1).cast("long")
 
 
 class Chunk:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 
 import corpus_pipeline
-from orderweave.llm import lines, substrings, suffixes
+from orderweave.llm import chunks, lines, substrings, suffixes
 
 from .corpora import SPACED, by_id, corpus, frame, words
 
@@ -141,6 +141,22 @@ def test_a_copy_and_another_text_under_one_id(spark):
     assert got == [(1, a), (5, ""), (5, b), (7, c + " "), (9, ""), (9, "é ")]
 
 
+@pytest.mark.parametrize("ids", [
+    [*range(199), 10**15],
+    [source << 40 | k for source in range(4) for k in range(50)],
+    [(-1) ** k * (2**63 - 1 - k * 10**13) for k in range(200)],
+])
+def test_chunks_are_bounded_whatever_the_ids(spark, ids):
+    rows = [(i, f"{i:<+100d}") for i in ids] + [(ids[7], "x" * 100), (ids[9], None), (None, "y" * 100)]
+    dealt = chunks.deal(frame(spark, rows), chunk_bytes=1000)
+    held = [(r.chunk, r.doc_id, len(r.text or "")) for r in dealt.docs.collect()]
+    known = sorted(x for x in held if x[1] is not None)
+    sizes = {c: sum(n for k, _, n in held if k == c) for c, _, _ in held}
+    assert max(sizes.values()) <= 1000 and len(sizes) < 60 and dealt.n_bytes == sum(sizes.values())
+    assert [i for _, i, _ in known] == sorted(i for _, i, _ in known) and len({(c, i) for c, i, _ in known}) == len(ids)
+    assert (dealt.first, dealt.last) == (min(sizes), max(sizes))
+
+
 def test_empty_tables(spark):
     df = frame(spark, [])
     assert substrings.removed_words(df).count() == 0
