@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, lines, lm, minhash, quality, substrings, suffixes, tokens
+from . import bpe, chat, decontaminate, lines, lm, merkle, minhash, mixing, quality, substrings, suffixes, tokens, whitening
 from .spark import table
 from .sql import SQL
 
@@ -87,6 +87,25 @@ def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    without_breaks = F.replace(F.col("text"), F.lit("\n"), F.lit(""))
+    tampered = merkle.leaf_of(*[F.col(c) for c in ("doc_id", "source", "lang", "n_chars")], without_breaks)
+    chosen = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    made = merkle.manifest(table(spark, sf_dir, "documents"), carried={"tampered": F.when(chosen, tampered)})
+    folded = merkle.folded(F.coalesce("tampered", "leaf"), F.col("witness"))
+    made = made.select("doc_id", "leaf", "subroot", "root", F.sha2(merkle.siblings(F.col("witness")), 256).alias("proof_sha256"), folded.alias("folded_root"))
+    return made.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = mixing.mixed(table(spark, sf_dir, "documents"))
+    return made.select("doc_id", "size", "source_size", "target", mixing.taken().alias("taken"), "rate")
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_chat": op1_chat,
     "op2_decontaminate": op2_decontaminate,
@@ -98,6 +117,9 @@ QUERIES = {
     "op8_lm": op8_lm,
     "op9_lines": op9_lines,
     "op10_suffixes": op10_suffixes,
+    "op11_merkle": op11_merkle,
+    "op12_mixing": op12_mixing,
+    "op13_whitening": op13_whitening,
 }
 
 __all__ = ["QUERIES", "SQL"]

@@ -153,6 +153,59 @@ select d.doc_id, d.n as n_bytes, coalesce(n_removed, 0) as n_removed, coalesce(n
 from doc d left join spans using (doc_id) left join kept k using (doc_id)
 """
 
+_FIELD = "coalesce(strlen({0}::varchar) || ':' || {0}::varchar, '-')"
+_FIELDS = " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars"))
+_OP11 = f"""
+with recursive leaf as (
+  select *, row_number() over (partition by tree order by doc_id nulls first, leaf) - 1 as p from (
+    select doc_id, case when source is null then '' else '=' || source end as tree, n_bits % 2 = 0 as chosen,
+      sha256({_FIELDS} || {_FIELD.format("text")}) as leaf,
+      sha256({_FIELDS} || {_FIELD.format("replace(text, chr(10), '')")}) as tampered
+    from (
+      select *, list_reduce(
+          list_prepend(4294967295::bigint, flatten(list_transform(string_split(doc_id::varchar, ''), lambda c: list_prepend(ascii(c)::bigint, [-1, -1, -1, -1, -1, -1, -1, -1])))),
+          lambda c, b: case when b >= 0 then xor(c, b) else xor(c >> 1, 3988292384 * (c & 1)) end) + 1 as n_bits  -- the check sum, but for its last step
+      from documents))
+), tree as (
+  select tree, 0 as level, list(leaf order by p) as nodes from leaf group by tree
+  union all
+  select tree, level + 1, list_transform(range(0, len(nodes), 3), lambda i: sha256(array_to_string(nodes[i + 1:i + 3], ''))) from tree where len(nodes) > 1
+), grown as materialized (
+  select * from tree
+), subroot as (
+  select tree, nodes[1] as node, row_number() over (order by tree) - 1 as p from grown where len(nodes) = 1
+), top as (
+  select 0 as level, list(node order by p) as nodes from subroot
+  union all
+  select level + 1, list_transform(range(0, len(nodes), 3), lambda i: sha256(array_to_string(nodes[i + 1:i + 3], ''))) from top where len(nodes) > 1
+), whole as materialized (
+  select * from top
+), run as (
+  select l.tree, l.p, g.level, (l.p // (3 ** g.level)::bigint) as k, g.nodes from leaf l join grown g on g.tree = l.tree and len(g.nodes) > 1
+), step as (
+  select tree, p, level, array_to_string(nodes[k - k % 3 + 1:k], '') as before, array_to_string(nodes[k + 2:k - k % 3 + 3], '') as after from run
+), run_of_tree as (
+  select s.tree, w.level, (s.p // (3 ** w.level)::bigint) as k, w.nodes from subroot s join whole w on len(w.nodes) > 1
+), step_of_tree as (
+  select tree, level, array_to_string(nodes[k - k % 3 + 1:k], '') as before, array_to_string(nodes[k + 2:k - k % 3 + 3], '') as after from run_of_tree
+), steps as materialized (
+  select tree, p, list(struct_pack(before, after) order by level) as witness from step group by tree, p
+), steps_of_tree as materialized (
+  select tree, list(struct_pack(before, after) order by level) as witness from step_of_tree group by tree
+), proof as (
+  select l.*, coalesce(s.witness, []) || coalesce(t.witness, []) as witness, u.node as subroot, (select nodes[1] from whole where len(nodes) = 1) as root
+  from leaf l left join steps s using (tree, p) left join steps_of_tree t using (tree) join subroot u using (tree)
+), folded as (
+  select tree, p, 0 as k, case when chosen then tampered else leaf end as node, witness from proof
+  union all
+  select tree, p, k + 1, sha256(witness[k + 1].before || node || witness[k + 1].after), witness from folded where k < len(witness)
+)
+select doc_id, leaf, subroot, root,
+  sha256(array_to_string(list_transform(q.witness, lambda s: s.before || s.after), '')) as proof_sha256,
+  f.node as folded_root, f.node = root as verified
+from proof q join folded f on f.tree = q.tree and f.p = q.p and f.k = len(q.witness)
+"""
+
 SQL: dict[str, str] = {
     "op1_chat": _OP1,
     "op2_decontaminate": _OP2,
@@ -160,4 +213,5 @@ SQL: dict[str, str] = {
     "op7_substrings": _OP7,
     "op9_lines": _OP9,
     "op10_suffixes": _OP10,
+    "op11_merkle": _OP11,
 }
