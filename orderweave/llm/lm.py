@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from .chunks import Dealt, ask, deal, released, shard_starts
 from .eliasfano import Trie
 from .spark import prepare
-from .texts import NOT_SPACE, byte_sums, flat, lower_ascii, mix, slices, spans_hash, word_spans
+from .texts import NOT_SPACE, flat, fresh_seed, lower_ascii, mix, slices, stretches_hash, word_spans
 
 CHUNK_BYTES = 8 << 20
 SHARD_BYTES = 8 << 20
@@ -51,11 +51,11 @@ def is_training(ids: pa.Array) -> np.ndarray:
     return np.array([zlib.crc32(b"" if i is None else str(i).encode()) % 7 != 2 for i in ids.to_pylist()], bool)
 
 
-def _words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def _words(column: pa.Array, seed: int) -> tuple[np.ndarray, np.ndarray]:
     data, offsets = flat(column)
     data = lower_ascii(data)
     starts, ends, bounds = word_spans(data, offsets, NOT_SPACE)
-    return spans_hash(byte_sums(data), starts, ends), bounds
+    return stretches_hash(data, starts, ends, seed), bounds
 
 
 @dataclass
@@ -67,6 +67,7 @@ class Plan:
     hot: np.ndarray  # ascending
     parts: np.ndarray
     shards: int
+    seed: int  # of the words' hashes
 
     def routes(self, context: np.ndarray, following: np.ndarray) -> np.ndarray:
         """Where a bigram goes: its context, or one part of it."""
@@ -87,11 +88,12 @@ def _survey(docs: DataFrame, doc_id: str, text: str, shards: int) -> Plan:
     a lower bound, good enough to split by; at most 2 * shards words remain.
     """
     prepare(docs.sparkSession)
+    seed = fresh_seed()
 
     def survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, total, texts = {}, 0, 0
         for batch in slices(batches, text):
-            words, bounds = _words(batch.column(text))
+            words, bounds = _words(batch.column(text), seed)
             train = is_training(batch.column(doc_id))
             words = np.sort(words[np.repeat(train, np.diff(bounds))])
             new = np.flatnonzero(np.r_[True, words[1:] != words[:-1]]) if len(words) else np.zeros(0, np.int64)
@@ -114,7 +116,7 @@ def _survey(docs: DataFrame, doc_id: str, text: str, shards: int) -> Plan:
     order = np.argsort(hot)
     parts = np.maximum(2, -(-n * 2 * shards // max(tokens, 1)))
     kept = order if shards > 1 else order[:0]
-    return Plan(tokens, texts, hot[kept], parts[kept], shards)
+    return Plan(tokens, texts, hot[kept], parts[kept], shards, seed)
 
 
 class _Bigrams:
@@ -125,7 +127,7 @@ class _Bigrams:
         self.rows = rows
         words, bounds = [], [np.zeros(1, np.int64)]
         for batch in slices(rows.to_batches()):
-            own, own_bounds = _words(batch.column("text"))
+            own, own_bounds = _words(batch.column("text"), plan.seed)
             words.append(own)
             bounds.append(own_bounds[1:] + bounds[-1][-1])
         words, bounds = np.concatenate([*words, np.zeros(0, np.uint64)]), np.concatenate(bounds)

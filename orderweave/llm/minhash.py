@@ -6,7 +6,8 @@ to the `SLOTS` slots by a random permutation: at step j it offers j plus a rando
 fraction to one slot it has not used. A document stops once every slot holds less
 than the next step could offer.
 
-1. Documents with equal sets form a class; its smallest id stands for it.
+1. Documents with equal sets form a class; its smallest id stands for it. Sets are
+   compared by size and two sums over hashes with unrelated seeds, drawn for the run.
 2. Representatives that agree on all slots of one of the bands share a bucket. Bands
    have as many slots as leave two documents at the threshold none in common with a
    chance below `MISSED`: 25 bands of 5 slots at 85 % (4e-7), 31 of 4 at 80 % (8e-8).
@@ -20,7 +21,7 @@ than the next step could offer.
 
 Defined results: null, empty and blank texts have no shingles and no links; rows of
 one id are one document, linked as any of its rows is; rows without an id are kept
-and have no component.
+and have no component. A very long text is one set, in a slice of its own.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ from pyspark.sql import functions as F
 
 from .graph import components
 from .spark import map_texts, prepare, rows_with_ids, written
-from .texts import NOT_SPACE, byte_sums, flat, lower_ascii, mix, prefix_sums, sequence_in, spans_hash, windows_hash, word_spans
+from .texts import NOT_SPACE, flat, fresh_seed, lower_ascii, mix, sequence_in, sequences_hash, stretches_hash, word_spans
 
 SHINGLE = 5
 PERCENT = 85
@@ -61,22 +62,24 @@ def sketch_bits(percent: int) -> int:
     return bits
 
 
-def shingle_sets(column: pa.Array, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
-    """(text, shingle hash), distinct and ascending."""
+def shingle_sets(column: pa.Array, seeds: tuple[int, ...] = (0,), size: int = SHINGLE) -> tuple[np.ndarray, ...]:
+    """(text, shingle hash by the first seed, by the second, ...), distinct and ascending."""
     data, offsets = flat(column)
     data = lower_ascii(data)
     starts, ends, bounds = word_spans(data, offsets, NOT_SPACE)
-    sums = prefix_sums(spans_hash(byte_sums(data), starts, ends))
     owner, n = sequence_in(bounds), np.diff(bounds)
-    hashes = windows_hash(sums, size)
-    whole = owner[: len(hashes)] == owner[size - 1 : size - 1 + len(hashes)]
-    short = np.flatnonzero((n > 0) & (n < size))
-    text = np.concatenate([owner[: len(hashes)][whole], short])
-    hashes = np.concatenate([hashes[whole], spans_hash(sums, bounds[short], bounds[short + 1])])
-    order = np.lexsort((hashes, text))
-    text, hashes = text[order], hashes[order]
+    found = max(len(owner) - size + 1, 0)
+    whole = np.flatnonzero(owner[:found] == owner[size - 1 : size - 1 + found])
+    short = [np.flatnonzero(n == k) for k in range(1, size)]
+    text = np.concatenate([owner[whole], *short])
+    lanes = []
+    for seed in seeds:
+        words = stretches_hash(data, starts, ends, seed)
+        lanes.append(np.concatenate([sequences_hash(words, size, seed)[whole], *(sequences_hash(words, k, seed)[bounds[at]] for k, at in enumerate(short, 1))]))
+    order = np.lexsort((lanes[0], text))
+    text, hashes = text[order], lanes[0][order]
     new = np.r_[True, (text[1:] != text[:-1]) | (hashes[1:] != hashes[:-1])] if len(text) else np.zeros(0, bool)
-    return text[new], hashes[new]
+    return text[new], hashes[new], *(lane[order][new] for lane in lanes[1:])
 
 
 def signatures(text: np.ndarray, hashes: np.ndarray, n_texts: int, slots: int = SLOTS) -> np.ndarray:
@@ -101,9 +104,9 @@ def signatures(text: np.ndarray, hashes: np.ndarray, n_texts: int, slots: int =
     return least.reshape(n_texts, slots)
 
 
-def _sketch(batch: pa.RecordBatch, column: str, percent: int) -> dict[str, object]:
+def _sketch(batch: pa.RecordBatch, column: str, percent: int, seeds: tuple[int, int]) -> dict[str, object]:
     n, (n_bands, n_rows) = batch.num_rows, banding(percent)
-    text, hashes = shingle_sets(batch.column(column))
+    text, hashes, others = shingle_sets(batch.column(column), seeds)
     sizes = np.bincount(text, minlength=n)
     full = np.flatnonzero(sizes)
     bands = np.zeros((n, n_bands), np.int64)
@@ -111,7 +114,7 @@ def _sketch(batch: pa.RecordBatch, column: str, percent: int) -> dict[str, objec
     if len(full):
         begins = np.searchsorted(text, full)
         keys[0, full] = np.add.reduceat(mix(hashes), begins)
-        keys[1, full] = np.add.reduceat(mix(hashes + _STEP), begins)
+        keys[1, full] = np.add.reduceat(mix(others + _STEP), begins)
         signature = signatures(np.repeat(np.arange(len(full)), sizes[full]), hashes, len(full))
         rows = signature[:, : n_bands * n_rows].reshape(len(full), n_bands, n_rows)
         key = np.arange(n_bands, dtype=np.uint64)[None, :] + np.zeros((len(full), 1), np.uint64)
@@ -143,11 +146,11 @@ def _compared(pairs: DataFrame, percent: int) -> DataFrame:
     return pairs.mapInArrow(confirm, "a long, b long, overlap long, linked boolean")
 
 
-def _sets(docs: DataFrame, ids: DataFrame, text: str) -> DataFrame:
+def _sets(docs: DataFrame, ids: DataFrame, text: str, seed: int) -> DataFrame:
     """(id, set): packed ascending shingle hashes of the documents wanted."""
 
     def pack(batch: pa.RecordBatch) -> pa.RecordBatch:
-        owner, hashes = shingle_sets(batch.column(text))
+        owner, hashes = shingle_sets(batch.column(text), (seed,))
         cuts = np.searchsorted(owner, np.arange(batch.num_rows + 1))
         sets = [hashes[a:b].tobytes() for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
         return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sets, pa.binary())], names=["id", "set"])
@@ -182,8 +185,8 @@ def _shared_sizes(sets: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def _possible(x: str, y: str, percent: int):
-    """Whether sizes and sketches leave room for a link."""
-    sizes = f"100 * least({x}.n, {y}.n) >= {percent} * greatest({x}.n, {y}.n)"
+    """Whether sizes and sketches leave room for a link; sets too small to differ and be linked are classes already."""
+    sizes = f"(100 - {percent}) * least({x}.n, {y}.n) >= {percent} and 100 * least({x}.n, {y}.n) >= {percent} * greatest({x}.n, {y}.n)"
     bits = f"bit_count({x}.s1 ^ {y}.s1) + bit_count({x}.s2 ^ {y}.s2) <= {sketch_bits(percent)}"
     return F.expr(f"{sizes} and {bits}")
 
@@ -192,8 +195,9 @@ def grouped(docs: DataFrame, percent: int = PERCENT, doc_id: str = "doc_id", tex
     """(doc_id, n_shingles, component_id) for every row."""
     prepare(docs.sparkSession)
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias(text))
+    seeds = (fresh_seed(), fresh_seed())
     fields = "n long, k1 long, k2 long, bands array<long>, s1 long, s2 long"
-    rows = written(map_texts(docs, lambda batch: _sketch(batch, text, percent), fields, ("doc_id",), text))
+    rows = written(map_texts(docs, lambda batch: _sketch(batch, text, percent, seeds), fields, ("doc_id",), text))
     known = rows.where("n > 0 and doc_id is not null")
     # equal sets: the smallest id stands for the class
     classes = written(known.groupBy("k1", "k2", "n").agg(F.min_by(F.struct("bands", "s1", "s2"), "doc_id").alias("x"), F.min("doc_id").alias("id")))
@@ -210,7 +214,7 @@ def grouped(docs: DataFrame, percent: int = PERCENT, doc_id: str = "doc_id", tex
     entry = written(slots.drop("size").join(score.join(about, "id"), "id"))
     hub = entry.groupBy("band").agg(F.max_by(F.struct("id", "n", "s1", "s2"), F.struct("score", -F.col("id"))).alias("h")).select("band", "h.*")
     hub = written(hub)
-    sets = _sets(docs, entry.select("id").distinct(), text)
+    sets = _sets(docs, entry.select("id").distinct(), text, seeds[0])
 
     # round one: every member with its hub
     x, y = entry.alias("x"), hub.alias("y")

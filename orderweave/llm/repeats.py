@@ -4,16 +4,19 @@ A window of `window` values is represented at a level by the least hash among it
 pieces of that many values. Equal windows have equal least pieces, so a window
 that occurs in two documents has a repeated piece at every level; a window whose
 least piece is found in one document alone is dropped. Neighbouring windows share
-their least piece, which keeps the keys few.
+their least piece, which keeps the keys few. A hash shared by two different pieces
+keeps a candidate too many and drops none.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 
 from .chunks import Chunk, answers_of
-from .texts import CACHED, mix, windows_hash
+from .texts import CACHED, mix
 
 
 def sliding(values: np.ndarray, width: int, best=np.minimum) -> np.ndarray:
@@ -30,23 +33,25 @@ def sliding(values: np.ndarray, width: int, best=np.minimum) -> np.ndarray:
 class Windows:
     """The windows of a chunk that are still candidates; none of its exact copies.
 
-    `bounds`: where each document's values begin, `sums`: `prefix_sums` of the values.
+    `bounds`: where each document's values begin; `hashes` of the pieces of a size that
+    begin at the values start:end.
     """
 
-    def __init__(self, chunk: Chunk, bounds: np.ndarray, sums: np.ndarray, window: int):
-        self.chunk, self.sums, self.window = chunk, sums, window
+    def __init__(self, chunk: Chunk, bounds: np.ndarray, hashes: Callable[[int, int, int], np.ndarray], window: int):
+        self.chunk, self.hashes, self.window = chunk, hashes, window
         n = np.where((chunk.rank >= 0) & ~chunk.copies, np.maximum(np.diff(bounds) - window + 1, 0), 0)
         self.starts = np.arange(n.sum()) + np.repeat(bounds[:-1] - (np.cumsum(n) - n), n)
         self.rank = np.repeat(chunk.rank.astype(np.int32), n)
 
-    def least(self, size: int) -> np.ndarray:
+    def least(self, size: int, hashes: Callable[[int, int, int], np.ndarray] | None = None) -> np.ndarray:
         """The least hash of the pieces of `size` values in each candidate window."""
+        hashes = hashes or self.hashes
         found, width = np.empty(len(self.starts), np.uint64), self.window - size + 1
         at = 0
         while at < len(self.starts):  # a cache's worth of values at a time
             low = int(self.starts[at])
             end = int(np.searchsorted(self.starts, low + CACHED))
-            pieces = windows_hash(self.sums, size, low, int(self.starts[end - 1]) + width)
+            pieces = hashes(size, low, int(self.starts[end - 1]) + width)
             found[at:end] = sliding(pieces, width)[self.starts[at:end] - low]
             at = end
         return mix(found + np.uint64(size))  # least hashes crowd at the bottom of the key space

@@ -5,11 +5,12 @@ the whole window - only candidates whose pieces of that length repeat in another
 document go on to the doubled length (`repeats.py` says which piece stands for a
 window). At the whole length a window is removed from a document if its word
 sequence also starts in a document with a smaller id: in an earlier chunk, which
-a shard answers, or earlier in the same chunk.
+a shard answers, or earlier in the same chunk. That is judged by two hashes with
+unrelated seeds, drawn anew for each run, both of which have to be found.
 
 A document whose whole text a document with a smaller id has is all repeated; it and
-so its original's share in it stay out of the rounds. The plan is one lazy plan. Texts are shuffled once, by chunk; then only packed
-hashes and bits move. Sequences are compared by 64-bit hashes.
+so its original's share in it stay out of the rounds. Texts are shuffled once, by
+chunk; then only packed hashes and bits move.
 
 Defined results: a null text has no words; documents with fewer words than the
 window keep all of them; rows of one id are one document for "smaller id", so
@@ -19,17 +20,21 @@ remove nothing. Repeats within one document stay.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .chunks import CHUNK_BYTES, Chunk, answered, answers_of, ask, copies, deal, requests
 from .repeats import Keys, Windows, narrowed
-from .texts import NOT_SPACE, byte_sums, covered, prefix_sums, sequence_in, spans_hash, word_spans
+from .texts import NOT_SPACE, covered, fresh_seed, sequence_in, sequences_hash, stretches_hash, word_spans
 
 WINDOW = 50
 #: Words of text bytes per shard of keys.
 _SHARD_BYTES = 32 << 20
+#: What tells the second seed from the first.
+_OTHER = 0x2545F4914F6CDD1D
 
 
 def lengths(window: int) -> tuple[int, ...]:
@@ -39,11 +44,20 @@ def lengths(window: int) -> tuple[int, ...]:
 
 
 class _Words:
-    def __init__(self, rows: pa.Table, given: pa.Table | None, window: int):
+    def __init__(self, rows: pa.Table, given: pa.Table | None, window: int, seed: int):
         self.chunk = chunk = Chunk(rows, given)
+        self._seed = seed
         self.starts, self.ends, self.bounds = word_spans(chunk.data, chunk.offsets, NOT_SPACE)
-        words = spans_hash(byte_sums(chunk.data), self.starts, self.ends)
-        self.windows = Windows(chunk, self.bounds, prefix_sums(words), window)
+        self.windows = Windows(chunk, self.bounds, self._hashes(seed), window)
+
+    def _hashes(self, seed: int) -> Callable[[int, int, int], np.ndarray]:
+        words = stretches_hash(self.chunk.data, self.starts, self.ends, seed)
+        return lambda size, start, end: sequences_hash(words[start : end + size - 1], size, seed)
+
+    def whole(self) -> list[Keys]:
+        """The keys of the candidates themselves, by both hashes."""
+        w = self.windows
+        return [Keys(w.least(w.window), w.rank), Keys(w.least(w.window, self._hashes(self._seed ^ _OTHER)), w.rank)]
 
 
 def removed_words(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id", text: str = "text", chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
@@ -51,23 +65,33 @@ def removed_words(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id",
     dealt = deal(docs, doc_id, text, chunk_bytes)
     shards = max(1, dealt.n_bytes // _SHARD_BYTES)
     below = lengths(window)
+    seed = fresh_seed()
     answers: list[DataFrame] = [copies(dealt)]
-    for level, size in enumerate((*below, window)):
+    for level, size in enumerate(below):
 
         def send(rows: pa.Table, given: pa.Table | None, level: int = level, size: int = size) -> pa.Table:
-            words = _Words(rows, given, window)
+            words = _Words(rows, given, window, seed)
             narrowed(words.windows, below[:level], given)
             keys = Keys(words.windows.least(size), words.windows.rank)
             return requests(words.chunk.number, level, shards, keys.distinct)
 
-        answers.append(answered(ask(dealt, answers, send), earlier=size == window))
+        answers.append(answered(ask(dealt, answers, send), earlier=False))
+
+    def send_whole(rows: pa.Table, given: pa.Table | None) -> pa.Table:
+        words = _Words(rows, given, window, seed)
+        narrowed(words.windows, below, given)
+        return pa.concat_tables(requests(words.chunk.number, len(below) + k, shards, keys.distinct) for k, keys in enumerate(words.whole()))
+
+    answers.append(answered(ask(dealt, answers, send_whole), earlier=True))
 
     def cut(rows: pa.Table, given: pa.Table) -> pa.Table:
-        words = _Words(rows, given, window)
+        words = _Words(rows, given, window, seed)
         narrowed(words.windows, below, given)
-        keys = Keys(words.windows.least(window), words.windows.rank)
-        earlier, of = answers_of(given, len(below)), keys.of_windows()
-        gone = words.windows.starts[(earlier[of] if len(of) else np.zeros(0, bool)) | (words.windows.rank > keys.first[of])]
+        repeated = np.ones(len(words.windows.starts), bool)
+        for k, keys in enumerate(words.whole()):
+            earlier, of = answers_of(given, len(below) + k), keys.of_windows()
+            repeated &= (earlier[of] if len(of) else np.zeros(0, bool)) | (words.windows.rank > keys.first[of])
+        gone = words.windows.starts[repeated]
         hit = covered(len(words.starts), gone, gone + window)
         n_words = np.diff(words.bounds)
         return _kept(words, hit | np.repeat(words.chunk.copies & (n_words >= window), n_words))

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 
 from .chunks import Chunk, answered, answers_of, ask, copies, deal, released, requests
 from .repeats import Keys, Windows, narrowed
-from .texts import byte_sums, covered, flat, mix, sequence_in, spans_hash
+from .texts import byte_sums, covered, flat, fresh_seed, mix, sequence_in, stretches_hash, windows_hash
 
 WINDOW = 50
 PIECE = 32
@@ -104,11 +104,11 @@ class _Bytes:
 
     def __init__(self, rows: pa.Table, given: pa.Table, window: int):
         self.chunk = Chunk(rows, given)
-        self.sums = byte_sums(self.chunk.data)
-        self.windows = Windows(self.chunk, self.chunk.offsets, self.sums, window)
+        sums = byte_sums(self.chunk.data)
+        self.windows = Windows(self.chunk, self.chunk.offsets, lambda size, start, end: windows_hash(sums, size, start, end), window)
         self.window = window
 
-    def stretches(self, shards: int) -> None:
+    def stretches(self, shards: int, seed: int) -> None:
         """Distinct stretches, by shard and then in ascending order of a hash of anchor and content."""
         w, chunk = self.windows, self.chunk
         anchor = w.least(ANCHOR)
@@ -116,7 +116,7 @@ class _Bytes:
         first = np.flatnonzero(new)
         last = np.r_[first[1:], len(anchor)] - 1 if len(first) else first
         begin, end, rank, anchor = w.starts[first], w.starts[last] + self.window, w.rank[first], anchor[first]
-        key = mix(spans_hash(self.sums, begin, end) + (end - begin).astype(np.uint64) + mix(anchor))
+        key = mix(stretches_hash(chunk.data, begin, end, seed) + mix(anchor))
         order = np.argsort(key)
         ordered = key[order]
         heads = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]]) if len(key) else first
@@ -150,7 +150,7 @@ class _Bytes:
         return pa.table([pa.array(v, t) for v, t in zip(rows.values(), types, strict=True)], names=list(rows))
 
 
-def _decide(rows: pa.Table, window: int) -> pa.Table:
+def _decide(rows: pa.Table, window: int, seed: int) -> pa.Table:
     """For each window of each stretch a bit: does it occur in a document with a smaller id?"""
     rows = rows.sort_by("chunk")
     unpacked = {c: flat(rows[c]) for c in ("anchors", "lengths", "ids", "bytes")}
@@ -160,7 +160,7 @@ def _decide(rows: pa.Table, window: int) -> pa.Table:
     data = unpacked["bytes"][0]
     offsets = np.concatenate([[0], np.cumsum(lengths)])
     # distinct stretches, each with its least id
-    key = mix(_hashes(data, offsets) + lengths.astype(np.uint64) + mix(anchors))
+    key = mix(stretches_hash(data, offsets[:-1], offsets[1:], seed) + mix(anchors))
     order = np.argsort(key)
     ordered = key[order]
     heads = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
@@ -191,22 +191,11 @@ def _decide(rows: pa.Table, window: int) -> pa.Table:
     return pa.table({"chunk": rows["chunk"], "level": rows["level"], "shard": rows["shard"], "n": pa.array(np.diff(ends), pa.int64()), "bits": pa.array(bits, pa.binary())})
 
 
-def _hashes(data: np.ndarray, offsets: np.ndarray, limit: int = 1 << 20) -> np.ndarray:
-    """Content hashes of the stretches, some at a time."""
-    found, low = [], 0
-    while low < len(offsets) - 1:
-        high = max(int(np.searchsorted(offsets, offsets[low] + limit, "right")) - 1, low + 1)
-        part = offsets[low : high + 1] - offsets[low]
-        found.append(spans_hash(byte_sums(data[offsets[low] : offsets[high]]), part[:-1], part[1:]))
-        low = high
-    return np.concatenate(found) if found else np.zeros(0, np.uint64)
-
-
 def removed_bytes(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id", text: str = "text", chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept): the bytes left of each text."""
     dealt = deal(docs, doc_id, text, chunk_bytes)
     shards = max(1, dealt.n_bytes // _SHARD_BYTES)
-    piece = min(PIECE, window)
+    piece, seed = min(PIECE, window), fresh_seed()
 
     def send(rows: pa.Table, given: pa.Table) -> pa.Table:
         own = _Bytes(rows, given, window)
@@ -218,16 +207,16 @@ def removed_bytes(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id",
     def send_stretches(rows: pa.Table, given: pa.Table) -> pa.Table:
         own = _Bytes(rows, given, window)
         narrowed(own.windows, (piece,), given)
-        own.stretches(shards)
+        own.stretches(shards, seed)
         return own.request(1, shards)
 
     asked = ask(dealt, known, send_stretches, _STRETCHES)
-    decided = asked.groupBy("shard").applyInArrow(lambda rows: released(_decide(rows, window)), _ANSWER)
+    decided = asked.groupBy("shard").applyInArrow(lambda rows: released(_decide(rows, window, seed)), _ANSWER)
 
     def cut(rows: pa.Table, given: pa.Table) -> pa.Table:
         own = _Bytes(rows, given, window)
         narrowed(own.windows, (piece,), given)
-        own.stretches(shards)
+        own.stretches(shards, seed)
         w, bits = own.windows, answers_of(given, 1)
         n = own.end - own.begin - window + 1
         of_run = own.kind[own.run] if len(own.run) else own.run

@@ -2,10 +2,18 @@
 
 All functions work on one slice of an Arrow batch at a time (`slices`), so a
 task's memory is bounded by the slice size or by its longest single text.
+
+Two families of hashes: `stretches_hash` and `sequences_hash` decide what is equal. They
+chain bijective mixes of eight bytes, or of the hashes of two parts, under a seed that a
+run draws (`fresh_seed`); callers that delete or link by them take two, with unrelated
+seeds. `spans_hash` and `windows_hash` take any stretch from prefix sums modulo 2**64;
+different texts can be built that they do not tell apart, so they only choose candidates.
 """
 
 from __future__ import annotations
 
+import hashlib
+import secrets
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -162,6 +170,56 @@ def mix(values: np.ndarray) -> np.ndarray:
     return values
 
 
+def fresh_seed() -> int:
+    """A seed that no text can be prepared for; drawn once and sent to all tasks of a run."""
+    return secrets.randbits(63)
+
+
+#: Stretches longer than this are hashed one by one.
+_CHAINED = 128
+_TAILS = np.array([(1 << (8 * k)) - 1 for k in range(8)] + [_MASK], np.uint64)
+
+
+def _seeded(seed: int, number: int) -> np.uint64:
+    return np.uint64((seed * 0x9E3779B97F4A7C15 + number * 0xD6E8FEB86659FD93 + 0xA0761D6478BD642F) & _MASK)
+
+
+def stretches_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
+    """64-bit hashes of the stretches starts:ends of the bytes: eight bytes at a time, each chained by a mix."""
+    lengths = ends - starts
+    found = mix(lengths.astype(np.uint64) * _seeded(seed, 1) + _seeded(seed, 2))
+    if not len(starts):
+        return found
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = data
+    words = np.ndarray((len(data) + 1,), "<u8", padded, 0, (1,))  # the eight bytes from each place on
+    short = int(min(lengths.max(), _CHAINED))
+    which = np.flatnonzero((lengths > 0) & (lengths <= _CHAINED))
+    for at in range(0, short, 8):
+        if at:
+            which = which[lengths[which] > at]
+        block = words[starts[which] + at] & _TAILS[np.minimum(lengths[which] - at, 8)]
+        found[which] = mix((found[which] ^ block) + _seeded(seed, 3))
+    long = np.flatnonzero(lengths > _CHAINED)
+    if len(long):
+        view, key = memoryview(np.ascontiguousarray(data)), seed.to_bytes(8, "little")
+        digests = [hashlib.blake2b(view[a:b], digest_size=8, key=key).digest() for a, b in zip(starts[long].tolist(), ends[long].tolist(), strict=True)]
+        found[long] = np.frombuffer(b"".join(digests), np.uint64)
+    return found
+
+
+def sequences_hash(values: np.ndarray, size: int, seed: int = 0) -> np.ndarray:
+    """Hashes of all stretches of `size` consecutive 64-bit values: of two halves, which may overlap, and so on."""
+    if len(values) < size:
+        return np.zeros(0, np.uint64)
+    found, have = mix(values ^ _seeded(seed, 4)), 1
+    while have < size:
+        step = min(have, size - have)
+        found = mix(found[:-step] * _seeded(seed, 2 * step + 5) + (found[step:] ^ (found[step:] >> np.uint64(31))))
+        have += step
+    return mix(found + np.uint64(size))
+
+
 def covered(n: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """True at the positions of 0..n-1 that some stretch starts:ends covers."""
     edges = np.bincount(starts, minlength=n + 1).astype(np.int64) - np.bincount(ends, minlength=n + 1)
