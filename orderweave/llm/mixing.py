@@ -21,7 +21,8 @@ less than its smallest documents, where these can be taken or left at all.
 
 A source's cells are worked on in one task: their number is that of the distinct sizes, at
 most the words of the longest text, however many documents there are. Documents are never
-gathered: those of one cell are numbered by ranges of their hash, each of some thousands.
+gathered: those of one cell are numbered by parts of their hash, first the parts, then the
+documents inside each; there are as many parts as a part has documents, more or less.
 
 Defined results: a null text has no words; sources without words have the target 0, and
 take nothing; null is a source of its own. Rows without an id are taken as any other.
@@ -45,8 +46,6 @@ MOST = 3
 ROUNDS = 60
 #: Newton stops once all sources are as near to their targets.
 TOLERANCE = 1e-9
-#: Documents of a cell that are numbered together.
-_TOGETHER = 4096
 
 
 def n_words(text: Column) -> Column:
@@ -169,7 +168,7 @@ def mixed(
 
     # the documents of a cell, numbered by hash: first by its ranges, then inside a range
     placed = rows.join(settled, rows["source"].eqNullSafe(settled["of"]) & (rows["size"] == settled["words"]), "left")
-    span = F.pmod(F.shiftrightunsigned("mark", 1), F.greatest(F.ceil(F.coalesce("n", F.lit(1)) / _TOGETHER), F.lit(1)))
+    span = F.pmod(F.shiftrightunsigned("mark", 1), F.ceil(F.sqrt(F.coalesce("n", F.lit(1)))))
     placed = placed.select("doc_id", "source", "size", "rate", "copies", "n", "mark", span.alias("span"))
     each = placed.where("copies % n <> 0")
     spans = each.groupBy("source", "size", "span").agg(F.count("*").alias("k"))

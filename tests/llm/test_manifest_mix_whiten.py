@@ -172,8 +172,7 @@ def test_mixing(spark, seed):
     assert key(made) == key(again)
 
 
-def test_mixing_numbers_hot_cells_in_ranges(spark, monkeypatch):
-    monkeypatch.setattr(mixing, "_TOGETHER", 8)
+def test_mixing_numbers_hot_cells_in_parts(spark):
     rows = [(k, "hot", "five words are in here", 1, "", 1, 1) for k in range(500)] + [(1000 + k, "small", "two words", 1, "", 1, 1) for k in range(40)]
     made = mixing.mixed(spark.createDataFrame(rows, MIX))
     taken = {r["source"]: (r["n"], r["target"]) for r in made.groupBy("source").agg(F.sum(mixing.taken()).alias("n"), F.first("target").alias("target")).collect()}
