@@ -19,12 +19,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .spark import prepare, release
+from .spark import prepare, release, written
 from .texts import flat
 
 CHUNK_BYTES = 4 << 20
-#: A chunk is put together of runs of ids of at most this part of it.
-_PARTS = 8
+#: Chunk bytes that a task gets, about; a session's number of shuffle partitions may be too small for the data.
+_TASK_BYTES = 64 << 20
 _WORKER_BYTES = 384 << 20
 #: The level of answers that name a chunk's exact copies.
 COPY = -1
@@ -34,12 +34,10 @@ _ANSWER = "chunk long, level int, shard long, n long, bits binary"
 
 @dataclass
 class Dealt:
-    """(chunk, doc_id, text) rows, how many text bytes they hold, the least and greatest chunk."""
+    """(chunk, doc_id, text) rows, and how many text bytes they hold."""
 
     docs: DataFrame
     n_bytes: int
-    first: int
-    last: int
 
 
 def deal(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", chunk_bytes: int = CHUNK_BYTES, rest: bool = False) -> Dealt:
@@ -48,47 +46,55 @@ def deal(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", chunk_byte
     Chunks end where the sizes of the documents in id order say, whatever the ids
     are: none holds more than `chunk_bytes`, unless the rows of one id do. Rows of
     one id share a chunk. Rows without an id go to chunks of their own, below 0.
+
+    The sizes are range-partitioned by id. A chunk's number is its partition's, shifted,
+    and its place there. Where chunks begin stays in a table, a row for each partition;
+    the driver sees one id and one sum of each, however many chunks there are.
     """
     spark = docs.sparkSession
     prepare(spark)
-    more = [F.struct(*others).alias("rest")] if rest and (others := [c for c in docs.columns if c not in (doc_id, text)]) else []
-    docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), *more)
+    named = lambda c: F.col(f"`{c}`")
+    more = [F.struct(*[named(c) for c in others]).alias("rest")] if rest and (others := [c for c in docs.columns if c not in (doc_id, text)]) else []
+    docs = docs.select(named(doc_id).cast("long").alias("doc_id"), named(text).alias("text"), *more)
     sizes = docs.groupBy("doc_id").agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n"))
     ordered = sizes.where("doc_id is not null").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
-    found = ordered.mapInArrow(lambda batches: _runs(batches, max(1, chunk_bytes // _PARTS)), "first long, n long")
-    starts, n_bytes, filled = [], 0, chunk_bytes
-    for first, n in sorted((r["first"], r["n"]) for r in found.collect()):  # about _PARTS rows a chunk
-        if not starts or filled + n > chunk_bytes:
-            starts.append(first)
-            filled = 0
-        n_bytes, filled = n_bytes + n, filled + n
+    runs = written(ordered.mapInArrow(lambda batches: _runs(batches, chunk_bytes), "first long, starts array<long>, n long"))
+    parts = sorted((r["first"], r["n"], r["k"]) for r in runs.select("first", "n", F.size("starts").alias("k")).collect())  # one a partition
     unknown = docs.where("doc_id is null").agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n_bytes = sum(n for _, n, _ in parts) + unknown
     n_lost = unknown // chunk_bytes + 1
     lost = -1 - F.pmod(F.xxhash64("text"), F.lit(n_lost))
-    chunk = F.when(F.col("doc_id").isNotNull(), _place(F.col("doc_id"), starts)).otherwise(lost)
-    return Dealt(docs.select(chunk.alias("chunk"), *docs.columns), n_bytes + unknown, -n_lost, max(0, len(starts) - 1))
-
-
-def _runs(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
-    """(first id, bytes) of runs of ascending ids; a run of several ids holds at most `least` bytes."""
-    firsts, sizes = [], []
+    firsts = F.split(F.lit(",".join(str(first) for first, _, _ in parts)), ",").cast("array<long>") if parts else F.array().cast("array<long>")
+    docs = docs.withColumn("part", F.when(F.col("doc_id").isNotNull(), _place(F.col("doc_id"), firsts, len(parts))))
+    runs = runs.select(_place(F.col("first"), firsts, len(parts)).alias("of"), "starts")
+    docs = docs.join(runs, docs["part"] == runs["of"], "left")
+    inside = _place(F.col("doc_id"), F.col("starts"), max((k for _, _, k in parts), default=1))
+    chunk = F.when(F.col("part").isNotNull(), F.shiftleft("part", 32) + inside).otherwise(lost)
+    docs = docs.select(chunk.alias("chunk"), "doc_id", "text", *(["rest"] if more else []))
+    tasks = n_bytes // _TASK_BYTES + 1
+    if tasks > int(spark.conf.get("spark.sql.shuffle.partitions")):  # else the session's number, and fewer if Spark finds that best
+        docs = docs.repartition(tasks, "chunk")
+    return Dealt(docs, n_bytes)
+
+
+def _runs(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """(first id, first ids of its chunks, bytes) of a partition; a chunk of several ids holds at most `most` bytes."""
+    starts, filled, total = [], 0, 0
     for batch in batches:
         for first, n in zip(batch.column("doc_id").to_pylist(), batch.column("n").to_pylist(), strict=True):
-            if firsts and sizes[-1] + n <= least:
-                sizes[-1] += n
-            else:
-                firsts.append(first)
-                sizes.append(n)
-    yield pa.RecordBatch.from_arrays([pa.array(firsts, pa.int64()), pa.array(sizes, pa.int64())], names=["first", "n"])
-
-
-def _place(value: Column, starts: list[int]) -> Column:
-    """The index of the last of the ascending `starts` that is not above the value, by bisection."""
-    if len(starts) < 2:
-        return F.lit(0).cast("long")
-    bounds = F.split(F.lit(",".join(map(str, starts))), ",").cast("array<long>")  # folded to one literal
-    steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(starts).bit_length()))])
-    further = lambda at, step: F.when((at + step <= len(starts)) & (F.get(bounds, at + step - 1) <= value), at + step).otherwise(at)
+            if not starts or filled + n > most:
+                starts.append(first)
+                filled = 0
+            filled, total = filled + n, total + n
+    if starts:
+        columns = [pa.array(starts[:1], pa.int64()), pa.array([starts], pa.list_(pa.int64())), pa.array([total], pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, names=["first", "starts", "n"])
+
+
+def _place(value: Column, starts: Column, most: int) -> Column:
+    """The index of the last of the ascending `starts`, `most` or fewer, that is not above the value, by bisection."""
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(max(most, 1).bit_length()))])
+    further = lambda at, step: F.when(F.get(starts, at + step - 1) <= value, at + step).otherwise(at)
     return (F.aggregate(steps, F.lit(0), further) - 1).cast("long")
 
 
@@ -120,12 +126,14 @@ class Chunk:
 def copies(dealt: Dealt) -> DataFrame:
     """An answer for each row whose text a document with a smaller id has: (chunk, COPY, doc_id, 60 bits of MD5 of the text, ...).
 
-    Rows of one id may differ, so the text is named beside the id. What such a document repeats is clear, and its original stands for it elsewhere.
+    Rows of one id may differ, so the text is named beside the id. What such a document repeats is clear, and its original
+    stands for it elsewhere. A chunk's rows of one text are put together first, so that a text meets one row a chunk.
     """
     rows = dealt.docs.where("doc_id is not null and length(text) > 0")
     rows = rows.select("chunk", "doc_id", F.xxhash64("text").alias("a"), F.xxhash64(F.lit(1), "text").alias("b"), F.octet_length("text").alias("n"), F.conv(F.substring(F.md5("text"), 1, 15), 16, 10).cast("long").alias("mark"))
-    first = rows.groupBy("a", "b", "n").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
-    found = rows.join(first, ["a", "b", "n"]).where("doc_id > first").select("chunk", "doc_id", "mark").distinct()
+    held = rows.groupBy("a", "b", "n", "chunk").agg(F.collect_set("doc_id").alias("ids"), F.min("mark").alias("mark"), F.min("doc_id").alias("least"), F.max("doc_id").alias("greatest"))
+    first = held.groupBy("a", "b", "n").agg(F.min("least").alias("first"), F.max("greatest").alias("last")).where("first < last")
+    found = held.join(first, ["a", "b", "n"]).select("chunk", "mark", F.explode(F.filter("ids", lambda i: i > F.col("first"))).alias("doc_id"))
     nothing = F.lit(None).cast("binary")
     # a column of its own, as these rows meet the documents they come from
     return found.select((F.col("chunk") + 0).alias("chunk"), F.lit(COPY).alias("level"), F.col("doc_id").alias("shard"), F.col("mark").alias("n"), nothing.alias("bits"))

@@ -364,6 +364,6 @@ def _for_all_chunks(dealt: Dealt, stats: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([np.concatenate(own, axis=1).tobytes()], pa.binary())], names=["stats"])
 
     packed = rows.coalesce(1).mapInArrow(pack, "stats binary")
-    chunks = packed.withColumn("chunk", F.explode(F.sequence(F.lit(dealt.first), F.lit(dealt.last))))
+    chunks = dealt.docs.select((F.col("chunk") + 0).alias("chunk")).distinct().select("chunk", packed.scalar().alias("stats"))
     nothing = F.lit(None)
     return chunks.select("chunk", nothing.cast("long").alias("shard"), nothing.cast("binary").alias("totals"), nothing.cast("binary").alias("codes"), "stats")

@@ -154,7 +154,27 @@ def test_chunks_are_bounded_whatever_the_ids(spark, ids):
     sizes = {c: sum(n for k, _, n in held if k == c) for c, _, _ in held}
     assert max(sizes.values()) <= 1000 and len(sizes) < 60 and dealt.n_bytes == sum(sizes.values())
     assert [i for _, i, _ in known] == sorted(i for _, i, _ in known) and len({(c, i) for c, i, _ in known}) == len(ids)
-    assert (dealt.first, dealt.last) == (min(sizes), max(sizes))
+
+
+def test_the_driver_sees_as_much_of_many_chunks_as_of_few(spark, monkeypatch):
+    seen = []
+    for n in (100, 2000):
+        rows = [(i * 7, f"{i:<+100d}") for i in range(n)]
+        df = frame(spark, rows)
+        collect = type(df).collect
+        with monkeypatch.context() as m:
+            counted: list[int] = []
+
+            def counting(self, counted=counted, collect=collect):
+                rows = collect(self)
+                counted.append(len(rows))
+                return rows
+
+            m.setattr(type(df), "collect", counting)
+            dealt = chunks.deal(df, chunk_bytes=1000)
+        assert dealt.docs.select("chunk").distinct().count() >= n // 10
+        seen.append(sum(counted))
+    assert max(seen) <= 4  # a row for each range partition
 
 
 def test_empty_tables(spark):
