@@ -614,12 +614,12 @@ _ORACLE: dict[str, str] = {
     "sink_overwrite": """
         select szFPo_sId as "szFPo_sId", strftime(dtmCreated, '%Y-%m-%d %H:%M:%S') as date_created
         from erp_purchase_order""",
-    "sink_month_partition": """
+    "sink_month_partition": f"""
         select szFSoId as "szFSoId", dtmOrder as "dtmOrder",
-          case when dtmOrder < timestamp '1998-03-01' then 2 else 1 end as version,
+          case when dtmOrder >= timestamp '{HALF[0]}' and dtmOrder < timestamp '{HALF[1]}' then 2 else 1 end
+            as version,
           strftime(dtmOrder, '%Y-%m') as period
-        from erp_sales_order
-        where dtmOrder >= timestamp '1998-01-01' and dtmOrder < timestamp '1998-04-01'""",
+        from erp_sales_order""",
     "sink_month_rerun": """
         select szFSoId as "szFSoId", dtmOrder as "dtmOrder", 2 as version, '1998-01' as period
         from erp_sales_order

@@ -50,12 +50,12 @@ def build(tables: Tables, dataset: str, day: date) -> DataFrame:
     raise ValueError(f"unknown dataset: {dataset}")
 
 
-def load(df: DataFrame, target: Target, month: date | None = None) -> None:
-    """Replace the target, or only the period of the run for `month`."""
+def load(df: DataFrame, target: Target, month: date | None = None, new_schema: bool = False) -> None:
+    """Replace the target, or only the period of the run for `month`, in one step; what does not fit its schema is refused."""
     if month is not None:
         replace_period(with_text_dates(df), target, month)
     else:
-        replace(with_text_dates(df), target)
+        replace(with_text_dates(df), target, new_schema=new_schema)
 
 
 def load_table(tables: Tables, name: str, target: Target) -> None:
@@ -112,6 +112,7 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--name", help="name of the target table; for `copy` the base table")
     parser.add_argument("--day", type=date.fromisoformat, default=date.today())
     parser.add_argument("--by-period", action="store_true", help="replace only what earlier runs for this month wrote")
+    parser.add_argument("--new-schema", action="store_true", help="the dataset's columns may differ from those stored")
     parser.add_argument("--padded", action="store_true", help="ids and texts compare without trailing blanks")
     parser.add_argument("--ignore-case", action="store_true", help="they also compare without case")
     parser.add_argument("--buckets", type=int, default=200, help="for `stage`")
@@ -132,7 +133,7 @@ def main(arguments: list[str] | None = None) -> None:
     if options.distributors:
         df = enrich_with_distributor(df, spark.read.parquet(options.distributors), tuple(options.distributor_key))
     name = options.name or TARGETS[options.job]
-    load(df, Target(path=f"{options.target}/{name}"), options.day if options.by_period else None)
+    load(df, Target(path=f"{options.target}/{name}"), options.day if options.by_period else None, options.new_schema)
 
 
 if __name__ == "__main__":

@@ -1,7 +1,13 @@
-"""Warehouse targets: full replacement, and replacement run by run."""
+"""Warehouse targets: full replacement, and replacement run by run, each in one step.
+
+A load writes a new version beside the old one and then switches: the next log entry of a
+folder (`versions.py`), or the location of a catalog table or of one of its partitions.
+The first load of a target makes its schema the contract of all later ones.
+"""
 
 from __future__ import annotations
 
+import os
 from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -9,6 +15,9 @@ from datetime import date
 
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from .versions import WHOLE, Versions, fitted
 
 # Fixed value: the column the warehouse receives as text.
 TEXT_DATES = ("date_created",)
@@ -31,19 +40,25 @@ class Target:
         if self.buckets is not None and (self.table is None or self.bucket_column is None):
             raise ValueError("buckets need a table and a column")
 
-    def save(self, writer: DataFrameWriter) -> None:
-        writer = writer.format(self.format)
-        if self.buckets is not None:
-            writer = writer.bucketBy(self.buckets, self.bucket_column).sortBy(self.bucket_column)
+    def read(self, spark: SparkSession, periods: Sequence[str] | None = None) -> DataFrame:
+        """The rows that count now; with `periods` (`yyyy-MM`) those of these runs only."""
         if self.table is not None:
-            writer.saveAsTable(self.table)
-        else:
-            writer.save(self.path)
-
-    def read(self, spark: SparkSession) -> DataFrame:
+            df = spark.table(self.table)
+            return df if periods is None else df.where(F.col(PERIOD).isin(list(periods)))
+        versions = Versions(spark, self.path)
+        entry = versions.last()
+        if entry is None:
+            raise ValueError(f"nothing was loaded into {self.path}")
+        return versions.read(entry, None if periods is None else list(periods), self.format)
+
+    def schema(self, spark: SparkSession) -> T.StructType | None:
+        """The stored schema, without the period; None before the first load."""
         if self.table is not None:
-            return spark.table(self.table)
-        return spark.read.format(self.format).load(self.path)
+            stored = spark.table(self.table).schema if spark.catalog.tableExists(self.table) else None
+        else:
+            entry = Versions(spark, self.path).last()
+            stored = entry.schema if entry else None
+        return T.StructType([f for f in stored.fields if f.name != PERIOD]) if stored else None
 
 
 def with_text_dates(df: DataFrame, columns: Sequence[str] = TEXT_DATES) -> DataFrame:
@@ -64,17 +79,31 @@ def check_columns(df: DataFrame, expected: Sequence[str] | None = None) -> None:
         raise ValueError(f"columns {df.columns} differ from {list(expected)}")
 
 
-def replace(df: DataFrame, target: Target, expected: Sequence[str] | None = None) -> None:
-    """Replace the whole target.
+def _contracted(df: DataFrame, target: Target, expected: Sequence[str] | None = None) -> DataFrame:
+    """The rows as the target stores them, or a refusal."""
+    check_columns(df, expected)
+    stored = target.schema(df.sparkSession)
+    return df if stored is None else fitted(df, stored)
+
+
+def replace(df: DataFrame, target: Target, expected: Sequence[str] | None = None, new_schema: bool = False) -> None:
+    """Replace the whole target; its schema stays, unless `new_schema` says that it may change.
 
     The files are the partitions of the last stage, which Spark sizes by their
     actual bytes.  Rows of a bucketed table are brought to their bucket first,
     one file each.
     """
-    check_columns(df, expected)
-    if target.buckets is not None:
-        df = df.repartition(target.buckets, target.bucket_column)
-    target.save(df.write.mode("overwrite"))
+    if new_schema:
+        check_columns(df, expected)
+    else:
+        df = _contracted(df, target, expected)
+    if target.table is not None:
+        _replace_table(df, target)
+        return
+    versions = Versions(df.sparkSession, target.path)
+    before, folder = versions.last(), versions.new_folder()
+    df.write.format(target.format).save(f"{target.path}/{folder}")
+    versions.commit(before, df.schema, {WHOLE: folder})
 
 
 def replace_period(df: DataFrame, target: Target, month: date) -> None:
@@ -82,18 +111,93 @@ def replace_period(df: DataFrame, target: Target, month: date) -> None:
 
     The period is the run's, not a date of the rows: a run may hold rows of
     neighbouring months, which belong to it all the same.  A run without rows
-    empties its period.
+    empties its period.  Columns are matched by name to those stored.
     """
-    check_columns(df)
+    df = _contracted(df, target)
     period = f"{month:%Y-%m}"
-    if target.path is not None:
-        df.write.mode("overwrite").format(target.format).save(f"{target.path}/{PERIOD}={period}")
+    if target.table is not None:
+        _replace_partition(df, target, period)
+        return
+    versions = Versions(df.sparkSession, target.path)
+    before, folder = versions.last(), versions.new_folder()
+    stored = df.withColumn(PERIOD, F.lit(period))
+    stored.write.format(target.format).save(f"{target.path}/{folder}")
+    parts = {part: f for part, f in before.parts.items() if part != WHOLE} if before else {}
+    versions.commit(before, stored.schema, {**parts, period: folder})
+
+
+# Catalog tables: files are written under names of their own, then a location is set.
+
+
+def _literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _location(spark: SparkSession, table: str, part: str = "") -> str:
+    rows = spark.sql(f"describe table extended {table} {part}").where("col_name = 'Location'").collect()
+    return rows[0]["data_type"].rstrip("/")
+
+
+def _versions(spark: SparkSession, table: str) -> str:
+    """The folder of a table's versions, beside where a managed table of its name would be."""
+    if spark.catalog.tableExists(table):
+        return f"{_location(spark, table).split('.versions/')[0]}.versions"
+    *database, name = table.split(".")
+    home = spark.catalog.getDatabase(".".join(database) or spark.catalog.currentDatabase()).locationUri
+    return f"{home.rstrip('/')}/{name}.versions"
+
+
+def _keep_only(spark: SparkSession, folder: str, *kept: str) -> None:
+    """Remove the versions in a folder but for the new one and the one before, which may still be read."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = {k.rsplit("/", 1)[-1] for k in kept}
+    for status in system.listStatus(path) if system.exists(path) else []:
+        if status.getPath().getName() not in names:
+            system.delete(status.getPath(), True)
+
+
+def _writer(df: DataFrame, target: Target, folder: str) -> DataFrameWriter:
+    writer = df.write.format(target.format).option("path", folder)
+    if target.buckets is not None:
+        writer = writer.bucketBy(target.buckets, target.bucket_column).sortBy(target.bucket_column)
+    return writer
+
+
+def _replace_table(df: DataFrame, target: Target) -> None:
+    spark = df.sparkSession
+    if target.buckets is not None:
+        df = df.repartition(target.buckets, target.bucket_column)
+    stored = spark.table(target.table).schema if spark.catalog.tableExists(target.table) else None
+    versions, name = _versions(spark, target.table), os.urandom(8).hex()
+    folder = f"{versions}/{name}"
+    if stored is None or stored != df.schema:
+        _writer(df, target, folder).mode("overwrite").saveAsTable(target.table)  # the first load, or a new schema
         return
+    before, draft = _location(spark, target.table), f"{target.table}__{name}"
+    # as a table, because only tables are bucketed; its files outlive it
+    _writer(df, target, folder).saveAsTable(draft)
+    try:
+        spark.sql(f"alter table {target.table} set location {_literal(folder)}")
+        spark.catalog.refreshTable(target.table)
+    finally:
+        spark.sql(f"drop table {draft}")
+    _keep_only(spark, versions, before, folder)
+
+
+def _replace_partition(df: DataFrame, target: Target, period: str) -> None:
     spark = df.sparkSession
+    versions = _versions(spark, target.table)
     if not spark.catalog.tableExists(target.table):
         empty = df.where(F.lit(False)).withColumn(PERIOD, F.lit(period))
-        empty.write.format(target.format).partitionBy(PERIOD).saveAsTable(target.table)
-    spark.sql(
-        f"insert overwrite table {target.table} partition ({PERIOD} = '{period}') select * from {{rows}}",
-        rows=df,
-    )
+        empty.write.format(target.format).option("path", f"{versions}/{os.urandom(8).hex()}").partitionBy(PERIOD).saveAsTable(target.table)
+    own = f"{versions}/{PERIOD}={period}"
+    folder = f"{own}/{os.urandom(8).hex()}"
+    df.write.format(target.format).save(folder)
+    part = f"partition ({PERIOD} = {_literal(period)})"
+    known = not spark.sql(f"show partitions {target.table}").where(F.col("partition") == f"{PERIOD}={period}").isEmpty()
+    before = _location(spark, target.table, part) if known else folder
+    change = f"{part} set location" if known else f"add {part} location"
+    spark.sql(f"alter table {target.table} {change} {_literal(folder)}")
+    spark.catalog.refreshTable(target.table)
+    _keep_only(spark, own, before, folder)
