@@ -69,6 +69,7 @@ def skew_join(
     *,
     only_if: str | None = None,
     spread_blank: bool = False,
+    spread_keys: Sequence[str | None] = (),
     heavy_left: Sequence[str] = (),
     heavy_right: Sequence[str] = (),
     salts: int = 64,
@@ -77,8 +78,8 @@ def skew_join(
     """`left.join(right, on, how)` for `left`, `inner` and `left_semi` joins.
 
     `only_if` is a condition on the left row without which it matches nothing.
-    `spread_blank` salts left rows whose first key is blank or NULL.  Left rows
-    are salted by those of the `salt_by` columns they have, or by all columns.
+    `spread_blank` salts left rows whose first key is blank or NULL, `spread_keys`
+    those whose first key is one of these (None: is NULL).  Left rows are salted by those of the `salt_by` columns they have, or by all columns.
     Column names must be distinct across both sides.
     """
     if how not in ("left", "inner", "left_semi"):
@@ -86,7 +87,7 @@ def skew_join(
     if how == "left_semi":
         right = right.select([r for _, r in on]).distinct()
         heavy_right = ()
-    if not (spread_blank or heavy_left or heavy_right):
+    if not (spread_blank or spread_keys or heavy_left or heavy_right):
         return left.join(right, key_condition(on, only_if), how)
 
     left_columns, right_columns = left.columns, right.columns
@@ -95,14 +96,20 @@ def skew_join(
         salts = max(2, math.isqrt(salts))
     pairs = list(on)
 
-    if spread_blank or heavy_left:
+    if spread_blank or spread_keys or heavy_left:
         divided = _one_of(left_key, heavy_left)
         repeated = _one_of(right_key, heavy_left)
         if spread_blank:
             divided = divided | is_blank(F.col(on[0][0]))
             repeated = repeated | F.coalesce(is_empty(F.col(on[0][1])), F.lit(False))
+        if spread_keys:
+            known = [k for k in spread_keys if k is not None]
+            divided = divided | _one_of(F.col(on[0][0]), known)
+            repeated = repeated | _one_of(F.col(on[0][1]), known)
+            if len(known) < len(spread_keys):
+                divided = divided | F.col(on[0][0]).isNull()
         # Kept on the left side: a second join on the same key finds the rows in place.
-        salt = f"_salt_{on[0][0]}" if spread_blank and not heavy_left else "_salt"
+        salt = f"_salt_{on[0][0]}" if not heavy_left else "_salt"
         if salt not in left_columns:
             by = [c for c in salt_by if c in left_columns] or left_columns
             salted = F.when(divided, _row_salt(by, salts)).otherwise(0)

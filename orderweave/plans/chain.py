@@ -7,7 +7,7 @@ neither can change the result.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +18,7 @@ from ..operators import rollups
 from ..operators.skew import skew_join
 from ..sources import Tables
 from ..sources.schema import STORED_MONTH
+from .stages import Stages
 
 
 # Ids that tell rows with the same blank or heavy key apart.
@@ -25,7 +26,7 @@ SALT_COLUMNS = ("si_so", "si_po", "si_do", "si_dn", "si_customer", "so_id", "soi
 
 
 class Chain:
-    """Building a plan starts no job: what depends on the data is decided by its joins.
+    """Without stages, building a plan starts no job: what depends on the data is decided by its joins.
 
     `salts` is how finely blank ids are split, by default as the shuffles are.
     `unused` names columns of the frames below that the dataset does not need.
@@ -37,8 +38,10 @@ class Chain:
         tables: Tables,
         salts: int | None = None,
         unused: frozenset[str] = frozenset(),
+        stages: Stages | None = None,
     ):
         self.tables = tables
+        self.stages = stages
         self.unused = unused
         self.salts = salts or int(tables.spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -51,6 +54,21 @@ class Chain:
         """Rows with a blank id: none in most tables, found by the scan."""
         return df.where(is_empty_id(F.col(key)))
 
+    def stored(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """The frame; computed once for all plans that share the stages."""
+        return self.stages.stored(name, build) if self.stages else build()
+
+    def cut(self, side: DataFrame, key: str, scope: DataFrame | None, column: str) -> DataFrame:
+        """Rows of a side table whose id occurs in a stored header; all rows without stages.
+
+        A left join to the header cannot use the others. The ids are few, so mostly
+        broadcast; else Spark filters the scan by a Bloom filter of them.
+        """
+        if self.stages is None or scope is None:
+            return side
+        ids = scope.select(F.col(column).alias("_in_scope")).where("_in_scope is not null").distinct()
+        return side.join(ids, F.col(key) == F.col("_in_scope"), "left_semi")
+
     def join(
         self,
         left: DataFrame,
@@ -61,13 +79,14 @@ class Chain:
         only_if: str | None = None,
         spread: bool = False,
     ) -> DataFrame:
-        """Join, salted where a key is blank (`spread`); other heavy keys are left to AQE.
+        """Join, salted where `spread` and a key is blank, or with stages, where it is heavy; AQE sees to the rest.
 
         A left join passes on the partitioning of its left key only.  So joins
         that follow each other name the same left column wherever they can.
         """
+        blank, keys = (spread, ()) if self.stages is None else (False, self.stages.heavy(on[0][0]) if spread else ())
         return skew_join(
-            left, right, on, how, only_if=only_if, spread_blank=spread, salts=self.salts, salt_by=SALT_COLUMNS
+            left, right, on, how, only_if=only_if, spread_blank=blank, spread_keys=keys, salts=self.salts, salt_by=SALT_COLUMNS
         )
 
     def in_window(self, df: DataFrame, window: DateWindow, date: str, month: str) -> DataFrame:
@@ -241,12 +260,13 @@ class Chain:
             "delivery_note_item", dni_dn="szFDNId", dni_product="szProductId", dni_qty="decQty"
         )
 
-    def note_status(self) -> DataFrame:
-        """Per delivery note, the flag of its latest closing."""
+    def note_status(self, scope: DataFrame | None = None) -> DataFrame:
+        """Per delivery note, the flag of its latest closing; with stages, of the notes in `scope` (`si_dn`)."""
         closings = self.pick(
             "note_closing", cl_id="szCloseDNId", cl_applied="bApplied", cl_updated="dtmLastUpdated"
         )
         items = self.pick("note_closing_item", cli_id="szCloseDNId", closed_dn="szDNId")
+        items = self.cut(items, "closed_dn", scope, "si_dn")
         closed = self.join(items, closings, [("cli_id", "cl_id")], "inner")
         # Latest first, undated last, then by id; an aggregate, so that each task sends one row per note.
         age = "-timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01', cl_updated)"

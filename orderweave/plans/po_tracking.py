@@ -11,9 +11,10 @@ from ..functions.windows import DateFloor, DateWindow
 from ..operators.joins import flag_states, surviving_flags
 from ..sources import Tables
 from .chain import Chain
+from .stages import Stages
 from .spine import (
     absent,
-    dated_inquiries,
+    headers,
     with_products,
     with_purchase_items,
     with_sales_items,
@@ -36,20 +37,22 @@ def _in_channels(chain: Chain, channels: tuple[str, ...]) -> DataFrame:
     return chain.customers().where(F.col("category_name").isin(*channels))
 
 
-def not_rejected(chain: Chain, df: DataFrame) -> DataFrame:
+def not_rejected(chain: Chain, df: DataFrame, scope: DataFrame | None = None) -> DataFrame:
     """Rows whose approval is not rejected; an approval with both flags keeps the other one's row."""
     approvals = chain.pick("approval", rejected_id="gdApprovedId", rejected="bRejected")
+    approvals = chain.cut(approvals, "rejected_id", scope, "so_approval")
     states = flag_states(approvals, "rejected_id", "rejected")
     return surviving_flags(
         chain.join(df, states, [("so_approval", "_flag_key")], spread=True), "rejected"
     )
 
 
-def not_canceled(chain: Chain, df: DataFrame, spread: bool) -> DataFrame:
+def not_canceled(chain: Chain, df: DataFrame, spread: bool, scope: DataFrame | None = None) -> DataFrame:
     """Rows whose order is not canceled, with the same rule; `spread` for rows without an order id."""
     log = chain.pick("cancel_log", cancel_so="szDocId", canceled="bAlreadyTransferred")
     if spread:
         log = chain.blank_only(log, "cancel_so")
+    log = chain.cut(log, "cancel_so", scope, "si_so")
     states = flag_states(log, "cancel_so", "canceled")
     return surviving_flags(
         chain.join(df, states, [("si_so", "_flag_key")], spread=spread), "canceled"
@@ -89,9 +92,10 @@ def _shared_columns(with_sales_order: bool) -> dict[str, Column]:
     }
 
 
-def _with_notes(chain: Chain, df: DataFrame) -> DataFrame:
-    df = chain.join(df, chain.delivery_notes(), [("si_dn", "dn_id")], spread=True)
-    return chain.join(df, chain.note_status(), [("si_dn", "closed_dn")], spread=True)
+def _with_notes(chain: Chain, df: DataFrame, scope: DataFrame) -> DataFrame:
+    notes = chain.cut(chain.delivery_notes(), "dn_id", scope, "si_dn")
+    df = chain.join(df, notes, [("si_dn", "dn_id")], spread=True)
+    return chain.join(df, chain.note_status(scope), [("si_dn", "closed_dn")], spread=True)
 
 
 def po_tracking_month(
@@ -103,65 +107,61 @@ def po_tracking_month(
     channels: tuple[str, ...] = CHANNELS,
     reserved: tuple[str, ...] = RESERVED,
     salts: int | None = None,
+    stages: Stages | None = None,
 ) -> DataFrame:
     """Items ordered in `window`, whose sales order was also created in `created`.
 
     `created` and `bonus_floor` default to the window and its start.
     """
-    chain = Chain(tables, salts, UNUSED)
+    chain = Chain(tables, salts, UNUSED, stages)
     created = created or window
     bonus_floor = bonus_floor or DateFloor(window.start)
-    # A row needs its sales order: inquiries without one count where an order has a blank id.
+    admitted = created.contains(F.col("so_created")) & b.contains_none(F.col("so_customer_po"), reserved)
     linked, unlinked = (
-        _month_rows(chain, window, created, bonus_floor, channels, reserved, with_sales_order)
+        headers(chain, window, admitted, with_sales_order=with_sales_order, order_join="inner")
         for with_sales_order in (True, False)
     )
-    return linked.unionByName(unlinked)
+    rows = _month_rows(chain, linked, admitted, bonus_floor, channels, True)
+    # A row needs its sales order: inquiries without one count where an order has a blank id.
+    if stages is not None and stages.is_empty(f"unlinked with orders {window} {created} {reserved}", unlinked):
+        return rows
+    return rows.unionByName(_month_rows(chain, unlinked, admitted, bonus_floor, channels, False))
 
 
 def _month_rows(
     chain: Chain,
-    window: DateWindow,
-    created: DateWindow,
+    scope: DataFrame,
+    admitted: Column,
     bonus_floor: DateFloor,
     channels: tuple[str, ...],
-    reserved: tuple[str, ...],
     with_sales_order: bool,
 ) -> DataFrame:
+    """The dataset's rows of the headers in `scope`."""
     spread = not with_sales_order
-    orders = chain.orders().where(
-        created.contains(F.col("so_created"))
-        & b.contains_none(F.col("so_customer_po"), reserved)
-    )
-    df = dated_inquiries(
-        chain,
-        window,
-        orders,
-        with_sales_order=with_sales_order,
-        order_join="inner",
-    )
-    df = chain.join(df, _in_channels(chain, channels), [("si_customer", "cust_id")], "inner", spread=True)
-    df = not_rejected(chain, df)
-    df = _with_notes(chain, df)
-    deliveries = chain.pick("delivery_order", do_id="szDoId")
+    df = chain.join(scope, _in_channels(chain, channels), [("si_customer", "cust_id")], "inner", spread=True)
+    df = not_rejected(chain, df, scope)
+    df = _with_notes(chain, df, scope)
+    deliveries = chain.cut(chain.pick("delivery_order", do_id="szDoId"), "do_id", scope, "si_do")
     df = chain.join(df, deliveries, [("si_do", "do_id")], spread=True)
 
     # From here on every join is by sales order.
-    df = not_canceled(chain, df, spread)
-    transfers = chain.transfers()
+    df = not_canceled(chain, df, spread, scope)
+    transfers = chain.cut(chain.transfers(), "transfer_so", scope, "si_so")
     if spread:
         transfers = chain.blank_only(transfers, "transfer_so").distinct()
     df = chain.join(df, transfers, [("si_so", "transfer_so")], spread=spread)
-    scope = orders.select(F.col("so_id").alias("scope_so"))
+    if chain.stages is None:
+        orders = chain.orders().where(admitted).select(F.col("so_id").alias("scope_so"))
+    else:
+        orders = scope.select(F.col("si_so").alias("scope_so")).distinct()
     if with_sales_order:
-        df = chain.join(
-            df, chain.confirmations(), [("si_so", "delv_so"), ("do_id", "delv_do")]
-        )
-        df = with_sales_items(chain, df, scope)
+        confirmations = chain.cut(chain.confirmations(), "delv_so", scope, "si_so")
+        df = chain.join(df, confirmations, [("si_so", "delv_so"), ("do_id", "delv_do")])
+        df = with_sales_items(chain, df, orders)
     else:
         df = absent(df, delv_out="timestamp_ntz")
-        df = with_purchase_items(chain, df)
-    discounted = chain.orders_since(bonus_floor, scope)
+        df = with_purchase_items(chain, df, scope)
+    discounted = chain.orders_since(bonus_floor, orders)
     df = chain.join_bonuses(df, chain.bonuses(discounted), "si_so")
     df = with_products(chain, df, "soi_product" if with_sales_order else "poi_product")
     columns = _shared_columns(with_sales_order)
@@ -176,33 +176,29 @@ def po_tracking_by_delivery(
     bonus_floor: DateFloor | None = None,
     channels: tuple[str, ...] = CHANNELS,
     salts: int | None = None,
+    stages: Stages | None = None,
 ) -> DataFrame:
     """Items ordered in `window` and delivered in `delivered`.
 
     `bonus_floor` defaults to the start of the delivery window: orders placed
     before it carry no invoice discount.
     """
-    chain = Chain(tables, salts, UNUSED | {"soi_qty"})
+    chain = Chain(tables, salts, UNUSED | {"soi_qty"}, stages)
     bonus_floor = bonus_floor or DateFloor(delivered.start)
-    orders = chain.orders()
     # Every row needs a delivery confirmation, which names a sales order.
-    df = dated_inquiries(
-        chain,
-        window,
-        orders,
-        with_sales_order=True,
-        order_join="left",
-    )
+    dated = headers(chain, window, with_sales_order=True, order_join="left")
     confirmations = chain.confirmations().where(delivered.contains(F.col("delv_out")))
-    df = chain.join(df, confirmations, [("si_so", "delv_so"), ("si_do", "delv_do")], "inner")
+    confirmations = chain.cut(confirmations, "delv_so", dated, "si_so")
+    df = chain.join(dated, confirmations, [("si_so", "delv_so"), ("si_do", "delv_do")], "inner")
     df = chain.join(df, _in_channels(chain, channels), [("si_customer", "cust_id")], "inner", spread=True)
-    deliveries = chain.pick("delivery_order", do_id="szDoId")
+    deliveries = chain.cut(chain.pick("delivery_order", do_id="szDoId"), "do_id", dated, "si_do")
     df = chain.join(df, deliveries, [("si_do", "do_id")], "left_semi", spread=True)
-    df = not_rejected(chain, df)
-    df = _with_notes(chain, df)
+    df = not_rejected(chain, df, dated)
+    df = _with_notes(chain, df, dated)
 
-    df = not_canceled(chain, df, spread=False)
-    df = chain.join(df, chain.transfers(), [("si_so", "transfer_so")])
+    df = not_canceled(chain, df, False, dated)
+    transfers = chain.cut(chain.transfers(), "transfer_so", dated, "si_so")
+    df = chain.join(df, transfers, [("si_so", "transfer_so")])
     scope = confirmations.select(F.col("delv_so").alias("scope_so"))
     df = with_sales_items(chain, df, scope)
     df = chain.join(
@@ -215,7 +211,7 @@ def po_tracking_by_delivery(
     # By the inquiry's note id: where the note is missing the quantity is zero anyway.
     df = chain.join(
         df,
-        chain.delivery_note_items(),
+        chain.cut(chain.delivery_note_items(), "dni_dn", dated, "si_dn"),
         [("si_dn", "dni_dn"), ("soi_product", "dni_product")],
         spread=True,
     )

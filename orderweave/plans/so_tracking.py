@@ -23,12 +23,13 @@ from ..sources import Tables
 from .chain import Chain
 from .spine import (
     absent,
-    dated_inquiries,
+    headers,
     order_ids_in_window,
     with_products,
     with_purchase_items,
     with_sales_items,
 )
+from .stages import Stages
 
 LEVELS = (1, 2, 3)
 
@@ -56,28 +57,38 @@ def _invoices(chain: Chain) -> DataFrame:
     return chain.pick("invoice", invoice_id="szFInvoiceId", invoice_created="dtmCreated")
 
 
-def with_deliveries(chain: Chain, df: DataFrame, key: str) -> DataFrame:
-    """Delivery order and its invoice."""
-    df = chain.join(df, _deliveries(chain), [(key, "do_id")], spread=True)
-    return chain.join(df, _invoices(chain), [("do_invoice", "invoice_id")], spread=True)
+def _scoped_deliveries(chain: Chain, scope: DataFrame | None, key: str, name: str) -> DataFrame:
+    """Delivery orders; with stages, those that the headers in `scope` name, stored once, the invoices they share watched."""
+    if chain.stages is None:
+        return _deliveries(chain)
+    whole = Chain(chain.tables, chain.salts, stages=chain.stages)
+    df = chain.stored(f"deliveries-{name}", lambda: chain.cut(_deliveries(whole), "do_id", scope, key))
+    chain.stages.watch(f"deliveries-{name}", df, ("do_invoice",))
+    return df
 
 
-def with_approvals(chain: Chain, df: DataFrame) -> DataFrame:
-    """Approval levels 1 to 3 side by side, and the highest level of the order."""
+def with_deliveries(chain: Chain, df: DataFrame, key: str, scope: DataFrame | None = None, name: str = "") -> DataFrame:
+    """Delivery order and its invoice; `name` is that of the headers in `scope`."""
+    deliveries = _scoped_deliveries(chain, scope, key, name)
+    df = chain.join(df, deliveries, [(key, "do_id")], spread=True)
+    invoices = chain.cut(_invoices(chain), "invoice_id", deliveries, "do_invoice")
+    return chain.join(df, invoices, [("do_invoice", "invoice_id")], spread=True)
+
+
+def with_approvals(chain: Chain, df: DataFrame, scope: DataFrame | None = None, name: str = "") -> DataFrame:
+    """Approval levels 1 to 3 side by side, and the highest level of the order; `name` is that of the headers in `scope`."""
+
+    def items() -> DataFrame:
+        """Approvals of the headers: with stages, read and cut once."""
+        df = chain.pick("approval_item", gd_id="gdApprovedId", gd_level="btApprovedLevel", gd_time="dtmApproved", gd_approved="bApproved")
+        return chain.cut(df, "gd_id", scope, "so_approval")
+
+    items_ = chain.stored(f"approvals-{name}", items)
     for n in LEVELS:
-        level = chain.pick(
-            "approval_item",
-            **{
-                f"gd{n}_id": "gdApprovedId",
-                f"gd{n}_level": "btApprovedLevel",
-                f"gd{n}_time": "dtmApproved",
-                f"gd{n}_approved": "bApproved",
-            },
-        )
-        level = level.where(F.col(f"gd{n}_level") == n).drop(f"gd{n}_level")
+        level = items_.where(F.col("gd_level") == n)
+        level = level.selectExpr(f"gd_id as gd{n}_id", f"gd_time as gd{n}_time", f"gd_approved as gd{n}_approved")
         df = chain.join(df, level, [("so_approval", f"gd{n}_id")], spread=True)
-    levels = chain.pick("approval_item", gd_id="gdApprovedId", gd_level="btApprovedLevel")
-    levels = highest(levels, "gd_id", "gd_level", "max_level")
+    levels = highest(items_.select("gd_id", "gd_level"), "gd_id", "gd_level", "max_level")
     return chain.join(df, levels, [("so_approval", "gd_id")], spread=True)
 
 
@@ -150,13 +161,14 @@ def so_tracking_inquiry(
     bonus_floor: DateFloor | None = None,
     latest_history_per_delivery: bool = False,
     salts: int | None = None,
+    stages: Stages | None = None,
 ) -> DataFrame:
     """All items of the inquiries in `window`, with every document linked to them.
 
     The window is closed in this dataset; `bonus_floor` defaults to strictly
     after its start.
     """
-    chain = Chain(tables, salts, UNUSED_BY_INQUIRY)
+    chain = Chain(tables, salts, UNUSED_BY_INQUIRY, stages)
     bonus_floor = bonus_floor or DateFloor(window.start, inclusive=False)
     replaced = replacement_sides(chain, latest_history_per_delivery)
     linked = _inquiry_rows(chain, window, bonus_floor, replaced, True)
@@ -173,34 +185,34 @@ def _inquiry_rows(
     with_sales_order: bool,
 ) -> DataFrame:
     c = F.col
-    df = dated_inquiries(
-        chain, window, chain.orders(), with_sales_order=with_sales_order, order_join="left"
-    )
-    df = chain.join(df, chain.customers(), [("si_customer", "cust_id")], spread=True)
-    df = with_approvals(chain, df)
-    df = chain.join(df, chain.delivery_notes(), [("si_dn", "dn_id")], spread=True)
-    df = chain.join(df, chain.note_status(), [("si_dn", "closed_dn")], spread=True)
-    df = with_deliveries(chain, df, "si_do")
+    dated = headers(chain, window, with_sales_order=with_sales_order, order_join="left")
+    df = chain.join(dated, chain.customers(), [("si_customer", "cust_id")], spread=True)
+    name = "" if chain.stages is None else chain.stages.name(f"inquiry {with_sales_order}", window)
+    df = with_approvals(chain, df, dated, name)
+    notes = chain.cut(chain.delivery_notes(), "dn_id", dated, "si_dn")
+    df = chain.join(df, notes, [("si_dn", "dn_id")], spread=True)
+    df = chain.join(df, chain.note_status(dated), [("si_dn", "closed_dn")], spread=True)
+    df = with_deliveries(chain, df, "si_do", dated, name)
     replacements, replacement_items = replaced
     df = with_replacements(chain, df, replacements)
-    df = _with_logs(chain, df, with_sales_order)
+    df = _with_logs(chain, df, with_sales_order, dated)
     if with_sales_order:
-        confirmations = chain.confirmations()
+        confirmations = chain.cut(chain.confirmations(), "delv_so", dated, "si_so")
         df = chain.join(df, confirmations, [("si_so", "delv_so"), ("do_id", "delv_do")])
-        scope = order_ids_in_window(chain, window)
-        df = with_sales_items(chain, df, scope)
-        discounted = chain.orders_since(bonus_floor, scope)
+        orders = order_ids_in_window(chain, window, dated)
+        df = with_sales_items(chain, df, orders)
+        discounted = chain.orders_since(bonus_floor, orders)
         df = chain.join_bonuses(df, chain.bonuses(discounted), "si_so")
         df = chain.join(
             df,
-            chain.delivered(scope),
+            chain.delivered(orders),
             [("si_so", "dlv_so"), ("delv_no", "dlv_no"), ("soi_product", "dlv_product")],
             )
     else:
         # No confirmation and no discount of this dataset is without a sales order.
         df = absent(df, delv_out="timestamp_ntz", delv_so=chain.tables.text, dlv_qty="int")
-        df = with_purchase_items(chain, df)
-    df = _with_item_documents(chain, df, replacement_items)
+        df = with_purchase_items(chain, df, dated)
+    df = _with_item_documents(chain, df, replacement_items, dated, name)
     side = "soi" if with_sales_order else "poi"
     df = with_products(chain, df, f"{side}_product")
 
@@ -266,13 +278,13 @@ def _inquiry_rows(
     return df.select([value.alias(name) for name, value in columns.items()]).distinct()
 
 
-def _with_logs(chain: Chain, df: DataFrame, with_sales_order: bool) -> DataFrame:
+def _with_logs(chain: Chain, df: DataFrame, with_sales_order: bool, scope: DataFrame) -> DataFrame:
     """Transfer time and cancel data of the row's sales order."""
-    transfers = chain.transfers()
+    transfers = chain.cut(chain.transfers(), "transfer_so", scope, "si_so")
     cancels = chain.pick(
         "cancel_log", cancel_so="szDocId", cancel_flag="bAlreadyTransferred", cancel_data="szData"
     )
-    cancels = cancels.where("cancel_flag").drop("cancel_flag")
+    cancels = chain.cut(cancels.where("cancel_flag").drop("cancel_flag"), "cancel_so", scope, "si_so")
     if with_sales_order:
         df = chain.join(df, transfers, [("si_so", "transfer_so")])
         return chain.join(df, cancels, [("si_so", "cancel_so")])
@@ -283,7 +295,7 @@ def _with_logs(chain: Chain, df: DataFrame, with_sales_order: bool) -> DataFrame
     return chain.join(df, cancels, [("si_so", "cancel_so")], spread=True)
 
 
-def _with_item_documents(chain: Chain, df: DataFrame, replacement_items: DataFrame) -> DataFrame:
+def _with_item_documents(chain: Chain, df: DataFrame, replacement_items: DataFrame, scope: DataFrame, name: str) -> DataFrame:
     """Noted, invoiced and replacement-invoiced quantities of the row's sales item."""
     invoice_items = chain.pick(
         "invoice_item",
@@ -292,10 +304,12 @@ def _with_item_documents(chain: Chain, df: DataFrame, replacement_items: DataFra
         item_type="szOrderItemTypeId",
         item_qty="decQty",
     )
+    invoice_items = chain.cut(invoice_items, "item_invoice", _scoped_deliveries(chain, scope, "si_do", name), "do_invoice")
+    note_items = chain.cut(chain.delivery_note_items(), "dni_dn", scope, "si_dn")
     # By the inquiry's note id: where the note is missing the quantity is zero anyway.
     df = chain.join(
         df,
-        chain.delivery_note_items(),
+        note_items,
         [("si_dn", "dni_dn"), ("soi_product", "dni_product")],
         spread=True,
     )
@@ -308,19 +322,22 @@ def _with_item_documents(chain: Chain, df: DataFrame, replacement_items: DataFra
 
 
 def so_tracking_no_inquiry(
-    tables: Tables, window: DateWindow, *, salts: int | None = None
+    tables: Tables, window: DateWindow, *, salts: int | None = None, stages: Stages | None = None
 ) -> DataFrame:
     """Items of the sales orders in `window` that no inquiry names."""
     c = F.col
-    chain = Chain(tables, salts, UNUSED_BY_NO_INQUIRY)
+    chain = Chain(tables, salts, UNUSED_BY_NO_INQUIRY, stages)
     in_window = chain.in_window(chain.orders(), window, "so_ordered", "so_month")
     inquiries = chain.pick("sales_inquiry", si_so="szFSoId")
-    df = anti_join_null_aware(in_window, inquiries, "so_id", "si_so")
+    name = "" if stages is None else stages.name("unnamed", window)
+    unnamed = chain.stored(name, lambda: anti_join_null_aware(in_window, inquiries, "so_id", "si_so"))
+    if stages is not None:
+        stages.watch(name, unnamed, ("so_customer", "so_approval", "so_do"))
     customers = chain.customers()
-    df = chain.join(df, customers, [("so_customer", "cust_id")], spread=True)
-    df = with_approvals(chain, df)
-    df = with_deliveries(chain, df, "so_do")
-    scope = in_window.select(c("so_id").alias("scope_so")).distinct()
+    df = chain.join(unnamed, customers, [("so_customer", "cust_id")], spread=True)
+    df = with_approvals(chain, df, unnamed, name)
+    df = with_deliveries(chain, df, "so_do", unnamed, name)
+    scope = (in_window if stages is None else unnamed).select(c("so_id").alias("scope_so")).distinct()
     items = chain.order_items(scope).where(not_empty(c("soi_product")))
     df = chain.join(df, items, [("so_id", "soi_so")])
     df = chain.join_bonuses(df, chain.bonuses(scope), "so_id")

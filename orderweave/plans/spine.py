@@ -24,6 +24,50 @@ SOLD = "JUAL"
 BOUGHT = ("BELI", "BELI-BERIKAT")
 
 
+#: Ids of the headers that many of them may share.
+SHARED_IDS = ("si_so", "si_po", "si_do", "si_dn", "si_customer", "so_approval", "po_id")
+
+
+def headers(
+    chain: Chain,
+    window: DateWindow,
+    admitted: Column | None = None,
+    *,
+    with_sales_order: bool,
+    order_join: str,
+) -> DataFrame:
+    """Inquiries in the window with their order and purchase order; `admitted` restricts the orders.
+
+    With stages the headers of their whole window are stored, with all columns and
+    whatever their orders are, and the dataset takes its own from them.
+    """
+    if chain.stages is None:
+        orders = chain.orders() if admitted is None else chain.orders().where(admitted)
+        return dated_inquiries(chain, window, orders, with_sales_order=with_sales_order, order_join=order_join)
+    stored_window = chain.stages.window or window
+    df = stored_headers(chain, stored_window, with_sales_order)
+    if stored_window != window:
+        dated = F.when(not_empty(F.col("si_po")), F.col("po_date")).otherwise(F.col("so_ordered"))
+        df = df.where(window.contains(dated))
+    if order_join == "inner":
+        df = df.where("so_id is not null")
+    return df if admitted is None else df.where(admitted)
+
+
+def stored_headers(chain: Chain, window: DateWindow, with_sales_order: bool) -> DataFrame:
+    """The headers of a window, stored once, with the ids that many of them share watched."""
+    whole = Chain(chain.tables, chain.salts, stages=chain.stages)
+
+    def build() -> DataFrame:
+        chain.stages.watch("inquiries", whole.inquiries(), ("si_so", "si_po"))
+        return dated_inquiries(whole, window, whole.orders(), with_sales_order=with_sales_order, order_join="left")
+
+    name = chain.stages.name("linked" if with_sales_order else "unlinked", window)
+    df = chain.stored(name, build)
+    chain.stages.watch(name, df, SHARED_IDS)
+    return df
+
+
 def dated_inquiries(
     chain: Chain,
     window: DateWindow,
@@ -47,15 +91,12 @@ def dated_inquiries(
     by_flag = [("po_id", "poi_po")]
     purchases = chain.purchase_orders()
     receipts = chain.receipts().where(not_empty(F.col("receipt_po")))
+    in_window = chain.in_window(purchases, window, "po_date", "po_month")
+    receipts = chain.cut(receipts, "receipt_po", in_window, "po_id")
 
-    bought = chain.join(
-        inquiries.where(not_empty(F.col("si_po"))),
-        chain.in_window(purchases, window, "po_date", "po_month"),
-        by_purchase,
-        "inner",
-    )
+    bought = chain.join(inquiries.where(not_empty(F.col("si_po"))), in_window, by_purchase, "inner")
     if with_sales_order:
-        bought = chain.join(bought, bought_flags(chain), by_flag)
+        bought = chain.join(bought, bought_flags(chain, in_window), by_flag)
     bought = chain.join(bought, receipts, [("po_id", "receipt_po")])
     bought = chain.join(bought, orders, by_order, order_join, spread=spread)
 
@@ -75,8 +116,10 @@ def dated_inquiries(
     return bought.unionByName(sold, allowMissingColumns=True)
 
 
-def order_ids_in_window(chain: Chain, window: DateWindow) -> DataFrame:
-    """Sales-order ids of the inquiries in the window."""
+def order_ids_in_window(chain: Chain, window: DateWindow, scope: DataFrame) -> DataFrame:
+    """Sales-order ids of the inquiries in the window, from their stored headers (`scope`) if there are any."""
+    if chain.stages is not None:
+        return scope.select(F.col("si_so").alias("scope_so"))
     inquiries = chain.pick("sales_inquiry", si_so="szFSoId", si_po="szFPoId")
     inquiries = inquiries.where(~is_blank(F.col("si_so")))
     bought = chain.join(
@@ -95,9 +138,12 @@ def order_ids_in_window(chain: Chain, window: DateWindow) -> DataFrame:
     return ids.withColumnRenamed("si_so", "scope_so")
 
 
-def bought_flags(chain: Chain) -> DataFrame:
-    """Purchase orders with at least one bought item."""
-    flags = rollups.purchase_flags(chain.purchase_items(), "poi_po", "poi_type", BOUGHT)
+def bought_flags(chain: Chain, scope: DataFrame | None = None) -> DataFrame:
+    """Purchase orders with at least one bought item; with stages, of those in `scope` (`po_id`)."""
+    items = chain.purchase_items()
+    if scope is not None:
+        items = chain.cut(items, "poi_po", scope, "po_id")
+    flags = rollups.purchase_flags(items, "poi_po", "poi_type", BOUGHT)
     return flags.withColumn("has_bought", F.lit(True))
 
 
@@ -119,12 +165,12 @@ def with_sales_items(chain: Chain, df: DataFrame, scope: DataFrame) -> DataFrame
     return df.where(is_sold() | F.col("has_bought"))
 
 
-def with_purchase_items(chain: Chain, df: DataFrame) -> DataFrame:
-    """Items for inquiries without a sales order.
+def with_purchase_items(chain: Chain, df: DataFrame, scope: DataFrame) -> DataFrame:
+    """Items for inquiries without a sales order; `scope` are their headers.
 
     Where an order with a blank id is stored, its items belong to all of them.
     """
-    items = chain.purchase_items()
+    items = chain.cut(chain.purchase_items(), "poi_po", scope, "po_id")
     by_purchase = [("po_id", "poi_po")]
     sales_items = chain.blank_only(chain.order_items(), "soi_so")
     df = chain.join(

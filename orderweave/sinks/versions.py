@@ -97,6 +97,12 @@ class Versions:
         for number in numbers[:-KEPT]:
             self._system.delete(self._file(f"_log/{number:08d}.json"), False)
 
+    def parts_of(self, folder: str, column: str) -> dict[str, str]:
+        """The parts that a write partitioned by `column` has left in a folder."""
+        path = self._file(folder)
+        names = [s.getPath().getName() for s in self._system.listStatus(path)] if self._system.exists(path) else []
+        return {n.removeprefix(f"{column}="): f"{folder}/{n}" for n in names if n.startswith(f"{column}=")}
+
     def read(self, entry: Entry, parts: list[str] | None = None, format: str = "parquet") -> DataFrame:
         """The rows of the parts that count, or of some of them: folders of other parts are not listed."""
         folders = [f"{self.path}/{folder}" for part, folder in sorted(entry.parts.items()) if parts is None or part in parts]

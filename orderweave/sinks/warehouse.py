@@ -22,6 +22,8 @@ from .versions import WHOLE, Versions, fitted
 # Fixed value: the column the warehouse receives as text.
 TEXT_DATES = ("date_created",)
 PERIOD = "period"
+# The folders of a load of several periods; the column itself is stored in the files.
+_FOLDER = "run"
 
 
 @dataclass(frozen=True)
@@ -126,6 +128,27 @@ def replace_period(df: DataFrame, target: Target, month: date) -> None:
     versions.commit(before, stored.schema, {**parts, period: folder})
 
 
+def replace_periods(df: DataFrame, target: Target, date_column: str) -> None:
+    """Load the runs of all months that the rows are of, as `replace_period` does one: written together, switched together.
+
+    Rows without a date belong to no run and are refused. A table's partitions switch one after another.
+    """
+    df = _contracted(df, target)
+    spark = df.sparkSession
+    period = F.date_format(date_column, "yyyy-MM")
+    dated = df.withColumn(PERIOD, F.coalesce(period, F.raise_error(F.lit(f"a row without {date_column}")).cast("string")))
+    if target.table is not None:
+        for row in sorted(r[0] for r in dated.select(PERIOD).distinct().collect()):
+            _replace_partition(dated.where(F.col(PERIOD) == row).drop(PERIOD), target, row)
+        return
+    versions = Versions(spark, target.path)
+    before, folder = versions.last(), versions.new_folder()
+    writer = dated.withColumn(_FOLDER, F.col(PERIOD)).hint("rebalance", _FOLDER).write
+    writer.format(target.format).partitionBy(_FOLDER).save(f"{target.path}/{folder}")
+    parts = {part: f for part, f in before.parts.items() if part != WHOLE} if before else {}
+    versions.commit(before, dated.schema, {**parts, **versions.parts_of(folder, _FOLDER)})
+
+
 # Catalog tables: files are written under names of their own, then a location is set.
 
 

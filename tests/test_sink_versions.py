@@ -8,7 +8,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from orderweave.sinks import Target, replace, replace_period
+from orderweave.sinks import Target, replace, replace_period, replace_periods
 from orderweave.sinks.versions import KEPT, Versions
 
 NOV, DEC = date(2024, 11, 1), date(2024, 12, 1)
@@ -111,3 +111,20 @@ def test_periods_switch_one_by_one(spark, tmp_path, kind):
         assert stored(spark, target, "id", "period") == [(4, "2024-11")]
     finally:
         spark.sql("drop table if exists versioned_periods")
+
+
+@pytest.mark.parametrize("kind", ["path", "table"])
+def test_many_periods_in_one_load(spark, tmp_path, kind):
+    target = Target(path=str(tmp_path / "t")) if kind == "path" else Target(table="versioned_many")
+    dated = lambda v, *days: spark.createDataFrame([(d, v) for d in days], "d string, v int").selectExpr("cast(d as date) as d", "v")
+    try:
+        replace_periods(dated(1, "2024-10-03", "2024-11-01", "2024-11-30", "2024-12-01"), target, "d")
+        replace_periods(dated(2, "2024-11-05", "2025-01-01"), target, "d")
+        replace_period(dated(3, "2024-12-09"), target, DEC)
+        assert sorted((str(r.d), r.v, r.period) for r in target.read(spark).collect()) == [
+            ("2024-10-03", 1, "2024-10"), ("2024-11-05", 2, "2024-11"), ("2024-12-09", 3, "2024-12"), ("2025-01-01", 2, "2025-01")]
+        with pytest.raises(PySparkException):
+            replace_periods(dated(4, "2024-10-03", None), target, "d")
+        assert target.read(spark).count() == 4
+    finally:
+        spark.sql("drop table if exists versioned_many")
