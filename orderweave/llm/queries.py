@@ -79,7 +79,7 @@ def op8_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = lines.without_repeated_runs(table(spark, sf_dir, "documents"))
-    return cut.select("row.doc_id", "lines.n_lines", "lines.n_removed", "lines.n_runs", F.sha2(F.coalesce("row.text", F.lit("")), 256).alias("kept_sha256"))
+    return cut.select("row.doc_id", "lines.n_lines", "lines.n_removed", "lines.n_runs", "lines.longest", F.sha2(F.coalesce("row.text", F.lit("")), 256).alias("kept_sha256"))
 
 
 def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -102,13 +102,17 @@ def map_texts(
 def filter_texts(docs: DataFrame, function: Callable[[pa.RecordBatch], object], text: str = "text") -> DataFrame:
     """The rows for which `function` of a slice is true, with all their columns."""
     prepare(docs.sparkSession)
+    columns = docs.columns
+    plain = [c if c == text or "." not in c else f"_column_{k}" for k, c in enumerate(columns)]  # no dots in between
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text):
-            yield batch.filter(pa.array(function(batch), pa.bool_()))
+            named = batch.rename_columns(columns)
+            yield batch.filter(pa.array(function(named), pa.bool_()))
         release()
 
-    return docs.mapInArrow(run, docs.schema)
+    renamed = docs.toDF(*plain)
+    return renamed.mapInArrow(run, renamed.schema).toDF(*columns)
 
 
 def rows_with_ids(docs: DataFrame, ids: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, text: str = "text", bits: int = 1 << 23) -> DataFrame:

@@ -100,22 +100,30 @@ select d.doc_id, len(d.w) as n_words, coalesce(r.n, 0) as n_removed, sha256(coal
 from doc d left join removed r using (doc_id) left join kept k using (doc_id)
 """
 
+def _stand_earlier(n: int) -> str:
+    """Documents in which some `n` consecutive lines also stand together at an earlier place."""
+    run = ", ".join(f"x{k} := {x}" for k, x in enumerate(_leads(n)))
+    return f"""
+    select doc_id, {n} as n from (
+      select doc_id, j, lead(j, {n - 1}) over own as last, struct_pack({run}) as run
+      from line window own as (partition by doc_id order by k))
+    where last is not null qualify row_number() over (partition by run order by doc_id, j) > 1"""
+
+
+def _leads(n: int) -> list[str]:
+    return ["line", *(f"lead(line, {k}) over own" for k in range(1, n))]
+
+
 _OP9 = rf"""
 with piece as (
   select doc_id, unnest(p) as line, generate_subscripts(p, 1) as k
   from (select doc_id, string_split(coalesce(text, ''), chr(10)) as p from documents)
 ), line as (
-  select *, row_number() over (partition by doc_id order by k) as j,
-    lead(line) over (partition by doc_id order by k) as next, lead(k) over (partition by doc_id order by k) as next_k
-  from piece where regexp_matches(line, '{_WORD}')
-), ranked as (
-  select *, row_number() over (partition by line order by doc_id, j) > 1 and strlen(line) >= 100 as long_again,
-    next is not null and row_number() over (partition by line, next order by doc_id, j) > 1 as pair_again
-  from line
+  select *, row_number() over (partition by doc_id order by k) as j from piece where regexp_matches(line, '{_WORD}')
 ), gone as (
-  select doc_id, k from ranked where long_again or pair_again
-  union
-  select doc_id, next_k from ranked where pair_again
+  select doc_id, k from line qualify row_number() over (partition by line order by doc_id, j) > 1
+), longest as (
+  select doc_id, max(n) as longest from ({' union all '.join(_stand_earlier(n) for n in (1, 2, 4, 8))}) group by doc_id
 ), marked as (
   select l.doc_id, l.k, g.k is not null as gone,
     lag(g.k is not null, 1, false) over (partition by l.doc_id order by l.k) as before
@@ -126,8 +134,8 @@ with piece as (
   select doc_id, string_agg(line, chr(10) order by k) as text from piece anti join gone using (doc_id, k) group by doc_id
 )
 select d.doc_id, coalesce(n_lines, 0) as n_lines, coalesce(n_removed, 0) as n_removed, coalesce(n_runs, 0) as n_runs,
-  sha256(coalesce(k.text, '')) as kept_sha256
-from documents d left join counted using (doc_id) left join kept k using (doc_id)
+  coalesce(longest, 0) as longest, sha256(coalesce(k.text, '')) as kept_sha256
+from documents d left join counted using (doc_id) left join kept k using (doc_id) left join longest using (doc_id)
 """
 
 _OP10 = """

@@ -70,8 +70,11 @@ def test_intervals_part_rows_by_prefix():
         assert [a == b for a, b in zip(prefixes, prefixes[1:], strict=False)] == (np.diff(number) == 0).tolist()
 
 
-def brute_lines(rows, least, long):
-    seen, out = set(), {}
+def brute_lines(rows, least):
+    seen, known, out = set(), set(), {}
+    lengths = [least]
+    while 2 * lengths[-1] <= lines.DEPTH:
+        lengths.append(2 * lengths[-1])
     for i, t in sorted(rows, key=lambda r: (r[0], r[1] or "")):
         pieces = (t or "").encode().split(b"\n")
         at = [k for k, p in enumerate(pieces) if SPACED.search(p)]
@@ -82,13 +85,15 @@ def brute_lines(rows, least, long):
                 key = tuple(pieces[x] for x in run)
                 gone |= set(run) if key in seen else set()
                 seen.add(key)
-            if (pieces[k],) in seen and len(pieces[k]) >= long and least > 1:
-                gone.add(k)
-            if least > 1:
-                seen.add((pieces[k],))
+        longest = 0
+        for n in lengths:
+            for j in range(len(at) - n + 1):
+                key = (n, *(pieces[x] for x in at[j : j + n]))
+                longest = max(longest, n if key in known else 0)
+                known.add(key)
         runs = sum(k in gone and (j == 0 or at[j - 1] not in gone) for j, k in enumerate(at))
         kept = b"\n".join(p for k, p in enumerate(pieces) if k not in gone).decode()
-        out.setdefault(i, []).append((len(at), len(gone), runs, None if t is None else kept))
+        out.setdefault(i, []).append((len(at), len(gone), runs, longest, None if t is None else kept))
     return out
 
 
@@ -101,8 +106,8 @@ def test_lines(spark, seed, least, chunk):
     for r in lines.without_repeated_runs(df, least, chunk_bytes=chunk).collect():
         assert (r.row.kept, r.row.rank, r.row.component_id) == ("x", 2.5, "y")
         found.setdefault(r.row.doc_id, []).append((*r.lines, r.row.text))
-    key = lambda x: (x[1], x[2], x[3] or "")
-    assert {k: sorted(v, key=key) for k, v in found.items()} == {k: sorted(v, key=key) for k, v in brute_lines(rows, least, lines.LONG_LINE).items()}
+    key = lambda x: (x[1], x[2], x[3], x[4] or "")
+    assert {k: sorted(v, key=key) for k, v in found.items()} == {k: sorted(v, key=key) for k, v in brute_lines(rows, least).items()}
 
 
 def test_cut_documents_keep_columns_and_drop_emptied_ones(spark):
@@ -187,3 +192,35 @@ def test_empty_tables(spark):
 def test_one_plan_shuffles_the_texts_once(spark):
     plan = substrings.removed_words(frame(spark, corpus(1)))._jdf.queryExecution().executedPlan().toString()
     assert "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_what_follows_a_hot_line_is_spread_over_all_shards():
+    """A third of all lines are one line, followed by varied repeated ones: no shard gets more than its share of pairs."""
+    import pyarrow as pa
+
+    text = "\n".join(f"hot\nline {k}\nother {k}" for k in range(3000))
+    rows = pa.table({"chunk": [0, 0], "doc_id": [1, 2], "text": [text, text]})
+    found = lines._Lines(rows, 7)
+    shards = 16
+    asked = lines._request(found, 0, 0, shards)
+    pairs = sum(len(p.as_py()) // 16 for p in asked["pairs"])
+    assert pairs == 6001  # a hot line reaches a shard once a chunk
+    answers = pa.concat_tables(lines._ranked(asked.filter(pa.compute.equal(asked["shard"], s)), shards) for s in asked["shard"].to_pylist())
+    found.learn(0, lines._answers(answers, 0), 1)
+    asked = lines._request(found, 1, 1, shards)
+    sizes = [len(p.as_py()) // 16 for p in asked["pairs"]]
+    assert sum(sizes) == 9000 - 1 and len(sizes) == shards and max(sizes) < 1.3 * sum(sizes) / shards
+
+
+def test_column_names_with_dots(spark):
+    from orderweave.llm import decontaminate, minhash, quality
+
+    text = " ".join(f"word{k}" for k in range(80))
+    rows = [(1, text, 1.0), (2, "own line\n" + text, 2.0), (3, None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, `a.b` double")
+    labels = spark.createDataFrame([(1, 1)], "doc_id long, quality int")
+    benchmark = spark.createDataFrame([("x", "nothing of this")], "item_id string, text string")
+    for made in (lines.cut_documents(df), quality.without_rejected(df, labels), decontaminate.without_contaminated(df, benchmark), minhash.deduplicated(df)):
+        assert made.columns == df.columns
+        got = {r["doc_id"]: r["a.b"] for r in made.collect()}
+        assert got and all(got[i] == dict((r[0], r[2]) for r in rows)[i] for i in got)
