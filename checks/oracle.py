@@ -374,6 +374,16 @@ BONUS_COLUMNS = 'b.szFSoId as "szFSoId", b.szProductId as "szProductId", b.szPar
         f'{g("b." + name)} as "{name}"' for name in DISCOUNTS
     )
 
+def _as_source(column: str) -> str:
+    """A date as text in the one form that the whole column asks for."""
+    some = lambda test: f"(select bool_or({test}) from made)"
+    return f"""coalesce(case
+      when {some(f'microsecond({column}) % 1000 <> 0')} then strftime({column}, '%Y-%m-%d %H:%M:%S.%f')
+      when {some(f'microsecond({column}) % 1000000 <> 0')} then strftime({column}, '%Y-%m-%d %H:%M:%S.%g')
+      when {some(f"{column} <> date_trunc('day', {column})")} then strftime({column}, '%Y-%m-%d %H:%M:%S')
+      else strftime({column}, '%Y-%m-%d') end, 'NaT') as {column}"""
+
+
 _ORACLE: dict[str, str] = {
     "po_tracking_mtd": po_tracking_month_sql(*HALF),
     "po_tracking_mtd_all_dates": po_tracking_month_sql(*ALL),
@@ -611,6 +621,17 @@ _ORACLE: dict[str, str] = {
         select szFPo_sId as "szFPo_sId", strftime(dtmCreated, '%Y-%m-%d %H:%M:%S') as date_created,
           dtmPO as "dtmPO"
         from erp_purchase_order""",
+    "date_to_text_as_source": f"""
+        with made as (
+          select szFPo_sId, date_trunc('day', dtmCreated)::timestamp as created_day,
+            date_trunc('day', dtmCreated)::timestamp + to_minutes(length(szFPo_sId)) as created_second,
+            case when szFPo_sId like '%7' then dtmCreated end as created_some
+          from erp_purchase_order)
+        select szFPo_sId as "szFPo_sId", {_as_source('created_day')}, {_as_source('created_second')}, {_as_source('created_some')}
+        from made""",
+    "bonus_state": f"""
+        with bonus as ({_bonus(None)}) select {BONUS_COLUMNS} from bonus b
+        where b.szFSoId in (select szFSoId from erp_sales_order where dtmOrder is not null)""",
     "sink_overwrite": """
         select szFPo_sId as "szFPo_sId", strftime(dtmCreated, '%Y-%m-%d %H:%M:%S') as date_created
         from erp_purchase_order""",
@@ -650,3 +671,24 @@ ORACLE["po_tracking_mtd_ignore_case"] = f"""
 _SKEWED = skewed_views()
 for _name in ("po_tracking_mtd", "po_tracking_3m", "so_tracking_inquiry", "so_tracking_no_inquiry"):
     ORACLE[f"{_name}_skewed"] = with_bridge(_ORACLE[_name], _SKEWED)
+
+_MARCH = ("1998-03-01", "1998-04-01")
+
+
+def _keys(dataset: str, sql: str, po: str, so: str, customer: str, product: str, amount: str, delivered: str = "null") -> str:
+    return f"""
+    select '{dataset}' as dataset, {po} as po, {so} as so, {customer} as customer, {product} as product,
+      {amount}::double as amount, {delivered}::double as delivered
+    from ({with_bridge(sql)})"""
+
+
+_NARROW = ("purchase_order_number", "sales_order_number", "customer_id", "product_id", "nett_amount_incl_ppn")
+_WIDE = ("szFPOid", "szFSoId", "szCustId", "szProductId", "decDisc1DPP")
+ORACLE["four_datasets"] = " union all ".join(
+    (
+        _keys("month", po_tracking_month_sql(*_MARCH), *_NARROW),
+        _keys("quarter", po_tracking_by_delivery_sql("1998-01-01", "1998-04-01", *_MARCH), *_NARROW, "qty_delivered"),
+        _keys("inquiry", so_tracking_inquiry_sql("1998-03-01", "1998-03-31 23:59:59.999999"), *_WIDE, "decQtyDelivered"),
+        _keys("no-inquiry", so_tracking_no_inquiry_sql(*_MARCH), *_WIDE),
+    )
+)

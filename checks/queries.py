@@ -24,6 +24,7 @@ from orderweave.functions.windows import DateFloor, DateWindow, month_to_date
 from orderweave.operators import rollups
 from orderweave.operators.joins import anti_join_null_aware
 from orderweave.operators.ranking import highest, join_top_row
+from orderweave.operators.state import RollupState
 from orderweave.plans import (
     Stages,
     enrich_with_distributor,
@@ -49,11 +50,11 @@ from orderweave.plans.spine import (
     is_sold,
 )
 from orderweave.session import scratch_folder, tune
-from orderweave.sinks import Target, replace, replace_period, replace_periods, with_text_dates
+from orderweave.sinks import Target, replace, replace_period, replace_periods, with_source_text_dates, with_text_dates
 from orderweave.sources import Tables
 
 from .bridge import bridge_tables, skewed_views
-from .money import money_on_grid
+from .money import money_on_grid, on_grid
 
 HALF_YEAR = DateWindow("1998-01-01", "1998-07-01")
 HALF_YEAR_CLOSED = DateWindow("1998-01-01", "1998-07-01", closed=True)
@@ -192,6 +193,50 @@ def po_tracking_mtd_ignore_case(t: Tables) -> DataFrame:
     return df.withColumns({c: plain(c) for c in texts})
 
 
+@query
+def four_datasets(t: Tables) -> DataFrame:
+    """All four datasets of a month loaded by one run, read back: what tells their rows apart."""
+    folder = scratch_folder(t.spark)
+    targets = {name: Target(path=f"{folder}/{name}") for name in jobs.TARGETS}
+    jobs.run_all(t, date(1998, 3, 31), targets)
+    loaded = {name: target.read(t.spark) for name, target in targets.items()}
+    none = F.lit(None).cast("string")
+    keys = {
+        "month": ("purchase_order_number", "sales_order_number", "customer_id", "product_id"),
+        "quarter": ("purchase_order_number", "sales_order_number", "customer_id", "product_id"),
+        "inquiry": ("szFPOid", "szFSoId", "szCustId", "szProductId"),
+        "no-inquiry": ("szFPOid", "szFSoId", "szCustId", "szProductId"),
+    }
+    money = {"month": "nett_amount_incl_ppn", "quarter": "nett_amount_incl_ppn", "inquiry": "decDisc1DPP", "no-inquiry": "decDisc1DPP"}
+    delivered = {"quarter": F.col("qty_delivered"), "inquiry": F.col("decQtyDelivered")}
+    found = None
+    for name, df in loaded.items():
+        columns = [F.col(c).alias(k) for c, k in zip(keys[name], ("po", "so", "customer", "product"), strict=True)]
+        amount = on_grid(F.col(money[name]).cast("double")).alias("amount")
+        part = df.select(F.lit(name).alias("dataset"), *columns, amount, delivered.get(name, none).cast("double").alias("delivered"))
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
+# Roll-ups kept up to date.
+
+
+@query
+def bonus_state(t: Tables) -> DataFrame:
+    """The discount roll-up as two refreshes leave it, the second after discounts of closed months came in."""
+    late = F.pmod(F.col("shItemNumber"), F.lit(3)) == 1
+    orders = t["sales_order"].select("szFSoId", "dtmOrder")
+    target = Target(path=f"{scratch_folder(t.spark)}/bonuses")
+
+    def state(known: DataFrame) -> RollupState:
+        return RollupState(target, "szFSoId", lambda ids: rollups.bonus_rollup(t["sales_order_item"], known, ids))
+
+    state(t["bonus_source"].where(~late)).refresh(orders, "dtmOrder")
+    touched = orders.join(t["bonus_source"].where(late).select("szFSoId").distinct(), "szFSoId", "left_semi")
+    state(t["bonus_source"]).refresh(touched, "dtmOrder")
+    return money_on_grid(state(t["bonus_source"]).read(t.spark), *rollups.DISCOUNT_NAMES)
+
+
 # Projections.
 
 
@@ -626,7 +671,9 @@ def invoice_qty(t: Tables) -> DataFrame:
 
 @query
 def bonus_rollup(t: Tables) -> DataFrame:
-    df = rollups.bonus_rollup(t["sales_order_item"], t["bonus_source"])
+    stages = Stages(t.spark)
+    stages.watch("bonuses", t["bonus_source"], ("szFSoId",))
+    df = rollups.bonus_rollup(t["sales_order_item"], t["bonus_source"], heavy=stages.heavy("szFSoId"))
     return money_on_grid(df, *rollups.DISCOUNT_NAMES)
 
 
@@ -659,6 +706,19 @@ def date_to_text(t: Tables) -> DataFrame:
     return with_text_dates(orders)
 
 
+@query
+def date_to_text_as_source(t: Tables) -> DataFrame:
+    """Dates in the form that the whole column asks for: days, seconds, and a column with gaps."""
+    c = F.col("dtmCreated")
+    orders = t["purchase_order"].select(
+        "szFPo_sId",
+        F.date_trunc("day", c).cast("timestamp_ntz").alias("created_day"),
+        (F.date_trunc("day", c).cast("timestamp_ntz") + F.expr("make_dt_interval(0, 0, length(szFPo_sId))")).alias("created_second"),
+        F.when(F.col("szFPo_sId").endswith("7"), c).alias("created_some"),
+    )
+    return with_source_text_dates(orders, ("created_day", "created_second", "created_some"))
+
+
 @query
 def sink_overwrite(t: Tables) -> DataFrame:
     """Loaded twice: the second load replaces the first."""

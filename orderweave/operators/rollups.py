@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -80,23 +81,29 @@ def bonus_rollup(
     orders: DataFrame | None = None,
     *,
     salts: int = 64,
+    heavy: Sequence[str | None] | None = None,
 ) -> DataFrame:
     """Discounts per order, product, parent, payment type and item type.
 
     Every bonus is split over the items of its order line.  The items' shares
     are summed per line first, so a line with many items and many bonuses never
     forms their pairs.  `orders` (one id column, `szFSoId`) restricts the
-    roll-up; an order listed twice counts twice.
+    roll-up; an order listed twice counts twice.  `heavy` are the order ids with
+    too many rows for a task, if they are known: where there are none, both sides
+    are dealt by order once, and neither the join nor the groups move them again.
     """
+    by_order = heavy is not None and not heavy
+    if by_order:
+        items, bonuses = items.repartition("szFSoId"), bonuses.repartition("szFSoId")
     if orders is not None:
         weights = orders.groupBy(F.col("szFSoId").alias("_order")).agg(
             F.count(F.lit(1)).alias("_weight")
         )
         items = skew_join(
-            items, weights, [("szFSoId", "_order")], "inner", spread_blank=True, salts=salts
+            items, weights, [("szFSoId", "_order")], "inner", spread_blank=heavy is None, spread_keys=heavy or (), salts=salts
         )
     bonuses = bonuses.where(F.col("szProductId").isNotNull())
-    # By order and line: the lines of a blank order id do not meet in one task.
+    # By order and line: unless dealt by order, the lines of a blank order id do not meet in one task.
     lines = skew_join(
         bonuses, _item_shares(items), [("szFSoId", "_so"), ("shItemNumber", "_line")], "inner"
     )

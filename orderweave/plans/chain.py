@@ -226,6 +226,9 @@ class Chain:
 
     def delivered(self, scope: DataFrame | None = None) -> DataFrame:
         """Delivered quantities; `scope` restricts them to orders, or to `(order, delivery)` pairs."""
+        if scope is not None and len(scope.columns) == 1 and self.stages is not None and self.stages.run_orders is not None:
+            whole = Chain(self.tables, self.salts)
+            return self.stored(self.stages.name("delivered", self.stages.window), lambda: whole.delivered(self.stages.run_orders))
         items = self.pick(
             "delivery_confirmation_item",
             custOrderNo="custOrderNo",
@@ -275,6 +278,26 @@ class Chain:
 
     def bonuses(self, orders: DataFrame | None = None) -> DataFrame:
         """Discount roll-up, for the ids in `orders` (one column) if given."""
+        if orders is not None and self.stages is not None and self.stages.run_orders is not None:
+            return self._shared_bonuses(orders.toDF("bonus_order"))
+        totals = self._rollup(None if orders is None else orders.toDF("szFSoId"))
+        names = dict(zip(rollups.BONUS_KEYS, BONUS_COLUMNS))
+        return totals.select([F.col(c).alias(names.get(c, c)) for c in totals.columns])
+
+    def _shared_bonuses(self, orders: DataFrame) -> DataFrame:
+        """The roll-up of all orders of the run, computed once; an order listed twice counts twice."""
+
+        def build() -> DataFrame:
+            totals = self._rollup(self.stages.run_orders.toDF("szFSoId"))
+            names = dict(zip(rollups.BONUS_KEYS, BONUS_COLUMNS))
+            return totals.select([F.col(c).alias(names.get(c, c)) for c in totals.columns])
+
+        totals = self.stored(self.stages.name("bonuses", self.stages.window), build)
+        weights = orders.groupBy("bonus_order").agg(F.count(F.lit(1)).alias("_weight"))
+        weighted = self.join(totals, weights, [("bonus_so", "bonus_order")], "inner")
+        return weighted.select(*BONUS_COLUMNS, *[(F.col(c) * F.col("_weight")).alias(c) for c in rollups.DISCOUNT_NAMES])
+
+    def _rollup(self, orders: DataFrame | None) -> DataFrame:
         items = self.pick(
             "sales_order_item",
             szFSoId="szFSoId",
@@ -294,16 +317,13 @@ class Chain:
             szOrderItemTypeId="szOrderItemTypeId",
             decBonusAmount="decBonusAmount",
         )
-        if orders is not None:
-            orders = orders.toDF("szFSoId")
-        totals = rollups.bonus_rollup(
+        return rollups.bonus_rollup(
             items,
             source,
             orders,
             salts=self.salts,
+            heavy=None if self.stages is None or self.tables.bucketed else self.stages.heavy("si_so"),
         )
-        names = dict(zip(rollups.BONUS_KEYS, BONUS_COLUMNS))
-        return totals.select([F.col(c).alias(names.get(c, c)) for c in totals.columns])
 
     def join_bonuses(self, df: DataFrame, bonuses: DataFrame, order_key: str) -> DataFrame:
         """Discounts of a row's item; `order_key` is the left column its item was joined on."""

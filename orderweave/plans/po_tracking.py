@@ -15,6 +15,7 @@ from .stages import Stages
 from .spine import (
     absent,
     headers,
+    stored_headers,
     with_products,
     with_purchase_items,
     with_sales_items,
@@ -117,6 +118,8 @@ def po_tracking_month(
     created = created or window
     bonus_floor = bonus_floor or DateFloor(window.start)
     admitted = created.contains(F.col("so_created")) & b.contains_none(F.col("so_customer_po"), reserved)
+    if stages is not None:
+        stages.together(*[lambda kind=kind: stored_headers(chain, stages.window or window, kind) for kind in (True, False)])
     linked, unlinked = (
         headers(chain, window, admitted, with_sales_order=with_sales_order, order_join="inner")
         for with_sales_order in (True, False)

@@ -23,6 +23,7 @@ from ..sources import Tables
 from .chain import Chain
 from .spine import (
     absent,
+    both_headers,
     headers,
     order_ids_in_window,
     with_products,
@@ -75,20 +76,25 @@ def with_deliveries(chain: Chain, df: DataFrame, key: str, scope: DataFrame | No
     return chain.join(df, invoices, [("do_invoice", "invoice_id")], spread=True)
 
 
-def with_approvals(chain: Chain, df: DataFrame, scope: DataFrame | None = None, name: str = "") -> DataFrame:
-    """Approval levels 1 to 3 side by side, and the highest level of the order; `name` is that of the headers in `scope`."""
+def _scoped_approvals(chain: Chain, scope: DataFrame | None, name: str) -> DataFrame:
+    """Approval items; with stages, those of the headers in `scope`, read and cut once for all levels."""
 
     def items() -> DataFrame:
-        """Approvals of the headers: with stages, read and cut once."""
         df = chain.pick("approval_item", gd_id="gdApprovedId", gd_level="btApprovedLevel", gd_time="dtmApproved", gd_approved="bApproved")
         return chain.cut(df, "gd_id", scope, "so_approval")
 
-    items_ = chain.stored(f"approvals-{name}", items)
+    return chain.stored(f"approvals-{name}", items)
+
+
+def with_approvals(chain: Chain, df: DataFrame, scope: DataFrame | None = None, name: str = "") -> DataFrame:
+    """Approval levels 1 to 3 side by side, and the highest level of the order; `name` is that of the headers in `scope`."""
+
+    items = _scoped_approvals(chain, scope, name)
     for n in LEVELS:
-        level = items_.where(F.col("gd_level") == n)
+        level = items.where(F.col("gd_level") == n)
         level = level.selectExpr(f"gd_id as gd{n}_id", f"gd_time as gd{n}_time", f"gd_approved as gd{n}_approved")
         df = chain.join(df, level, [("so_approval", f"gd{n}_id")], spread=True)
-    levels = highest(items_.select("gd_id", "gd_level"), "gd_id", "gd_level", "max_level")
+    levels = highest(items.select("gd_id", "gd_level"), "gd_id", "gd_level", "max_level")
     return chain.join(df, levels, [("so_approval", "gd_id")], spread=True)
 
 
@@ -170,32 +176,50 @@ def so_tracking_inquiry(
     """
     chain = Chain(tables, salts, UNUSED_BY_INQUIRY, stages)
     bonus_floor = bonus_floor or DateFloor(window.start, inclusive=False)
-    replaced = replacement_sides(chain, latest_history_per_delivery)
-    linked = _inquiry_rows(chain, window, bonus_floor, replaced, True)
-    unlinked = _inquiry_rows(chain, window, bonus_floor, replaced, False)
+    replacements, replacement_items = replacement_sides(chain, latest_history_per_delivery)
+    if stages is None:
+        dated = [headers(chain, window, with_sales_order=kind, order_join="left") for kind in (True, False)]
+        documents = [_documents(chain, df, replacements, kind) for df, kind in zip(dated, (True, False), strict=True)]
+        name = ""
+    else:
+        # the documents of all inquiries are looked up once, whether they have a sales order or not
+        name = stages.name("inquiry", window)
+        both = both_headers(chain, window)
+        stages.together(lambda: _scoped_deliveries(chain, both, "si_do", name), lambda: _scoped_approvals(chain, both, name))
+        looked_up = chain.stored(f"documents-{name}", lambda: _documents(chain, both, replacements, None, name))
+        documents = [looked_up.where("linked"), looked_up.where("not linked").drop("has_bought", "poi_po")]
+        dated = documents
+    rows = [
+        _inquiry_rows(chain, df, scope, window, bonus_floor, replacement_items, kind, name)
+        for df, scope, kind in zip(documents, dated, (True, False), strict=True)
+    ]
     # The sales-order id tells the two apart, so no row occurs in both.
-    return linked.unionByName(unlinked)
+    return rows[0].unionByName(rows[1])
 
 
-def _inquiry_rows(
-    chain: Chain,
-    window: DateWindow,
-    bonus_floor: DateFloor,
-    replaced: tuple[DataFrame, DataFrame],
-    with_sales_order: bool,
-) -> DataFrame:
-    c = F.col
-    dated = headers(chain, window, with_sales_order=with_sales_order, order_join="left")
+def _documents(chain: Chain, dated: DataFrame, replacements: DataFrame, with_sales_order: bool | None, name: str = "") -> DataFrame:
+    """What the headers' own ids lead to: customer, approvals, note, delivery, invoice and logs."""
     df = chain.join(dated, chain.customers(), [("si_customer", "cust_id")], spread=True)
-    name = "" if chain.stages is None else chain.stages.name(f"inquiry {with_sales_order}", window)
     df = with_approvals(chain, df, dated, name)
     notes = chain.cut(chain.delivery_notes(), "dn_id", dated, "si_dn")
     df = chain.join(df, notes, [("si_dn", "dn_id")], spread=True)
     df = chain.join(df, chain.note_status(dated), [("si_dn", "closed_dn")], spread=True)
     df = with_deliveries(chain, df, "si_do", dated, name)
-    replacements, replacement_items = replaced
     df = with_replacements(chain, df, replacements)
-    df = _with_logs(chain, df, with_sales_order, dated)
+    return _with_logs(chain, df, with_sales_order, dated)
+
+
+def _inquiry_rows(
+    chain: Chain,
+    df: DataFrame,
+    dated: DataFrame,
+    window: DateWindow,
+    bonus_floor: DateFloor,
+    replacement_items: DataFrame,
+    with_sales_order: bool,
+    name: str,
+) -> DataFrame:
+    c = F.col
     if with_sales_order:
         confirmations = chain.cut(chain.confirmations(), "delv_so", dated, "si_so")
         df = chain.join(df, confirmations, [("si_so", "delv_so"), ("do_id", "delv_do")])
@@ -278,13 +302,16 @@ def _inquiry_rows(
     return df.select([value.alias(name) for name, value in columns.items()]).distinct()
 
 
-def _with_logs(chain: Chain, df: DataFrame, with_sales_order: bool, scope: DataFrame) -> DataFrame:
-    """Transfer time and cancel data of the row's sales order."""
+def _with_logs(chain: Chain, df: DataFrame, with_sales_order: bool | None, scope: DataFrame) -> DataFrame:
+    """Transfer time and cancel data of the row's sales order; None: headers of both kinds, which stages keep together."""
     transfers = chain.cut(chain.transfers(), "transfer_so", scope, "si_so")
     cancels = chain.pick(
         "cancel_log", cancel_so="szDocId", cancel_flag="bAlreadyTransferred", cancel_data="szData"
     )
     cancels = chain.cut(cancels.where("cancel_flag").drop("cancel_flag"), "cancel_so", scope, "si_so")
+    if with_sales_order is None:
+        df = chain.join(df, transfers.distinct(), [("si_so", "transfer_so")], spread=True)
+        return chain.join(df, cancels.distinct(), [("si_so", "cancel_so")], spread=True)
     if with_sales_order:
         df = chain.join(df, transfers, [("si_so", "transfer_so")])
         return chain.join(df, cancels, [("si_so", "cancel_so")])

@@ -46,6 +46,10 @@ def headers(
         return dated_inquiries(chain, window, orders, with_sales_order=with_sales_order, order_join=order_join)
     stored_window = chain.stages.window or window
     df = stored_headers(chain, stored_window, with_sales_order)
+    if chain.stages.window is not None and chain.stages.run_orders is None:
+        ids = [stored_headers(chain, stored_window, linked).select("si_so") for linked in (True, False)]
+        ordered = chain.in_window(Chain(chain.tables).orders(), stored_window, "so_ordered", "so_month").select("so_id")
+        chain.stages.run_orders = ids[0].unionByName(ids[1]).union(ordered).where("si_so is not null").distinct()
     if stored_window != window:
         dated = F.when(not_empty(F.col("si_po")), F.col("po_date")).otherwise(F.col("so_ordered"))
         df = df.where(window.contains(dated))
@@ -54,12 +58,21 @@ def headers(
     return df if admitted is None else df.where(admitted)
 
 
+def both_headers(chain: Chain, window: DateWindow) -> DataFrame:
+    """The stored headers with and without a sales order as one frame; `linked` tells them apart."""
+    stored_window = chain.stages.window or window
+    chain.stages.together(*[lambda kind=kind: stored_headers(chain, stored_window, kind) for kind in (True, False)])
+    linked, unlinked = (
+        headers(chain, window, with_sales_order=kind, order_join="left").withColumn("linked", F.lit(kind)) for kind in (True, False)
+    )
+    return linked.unionByName(unlinked, allowMissingColumns=True)
+
+
 def stored_headers(chain: Chain, window: DateWindow, with_sales_order: bool) -> DataFrame:
     """The headers of a window, stored once, with the ids that many of them share watched."""
     whole = Chain(chain.tables, chain.salts, stages=chain.stages)
 
     def build() -> DataFrame:
-        chain.stages.watch("inquiries", whole.inquiries(), ("si_so", "si_po"))
         return dated_inquiries(whole, window, whole.orders(), with_sales_order=with_sales_order, order_join="left")
 
     name = chain.stages.name("linked" if with_sales_order else "unlinked", window)

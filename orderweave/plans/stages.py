@@ -12,7 +12,9 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +36,8 @@ class Stages:
 
     def __init__(self, spark: SparkSession, folder: str | None = None, window: DateWindow | None = None, heavy_rows: int = HEAVY_ROWS):
         self.spark, self.window, self.heavy_rows = spark, window, heavy_rows
+        #: Ids of the orders that datasets over the shared window may need (one column), once the headers are stored.
+        self.run_orders: DataFrame | None = None
         self._folder = folder or scratch_folder(spark)
         self._frames: dict[str, DataFrame] = {}
         self._heavy: dict[str, tuple[str | None, ...]] = {}
@@ -47,6 +51,11 @@ class Stages:
             self._frames[name] = self.spark.read.schema(df.schema).parquet(path)
         return self._frames[name]
 
+    def together(self, *builds: Callable[[], object]) -> list:
+        """Run jobs that do not need each other at the same time."""
+        with ThreadPoolExecutor(len(builds)) as pool:
+            return [f.result() for f in [pool.submit(inheritable_thread_target(self.spark)(b)) for b in builds]]
+
     def name(self, kind: str, window: DateWindow) -> str:
         """What a frame over a window is stored as."""
         return re.sub("[^0-9A-Za-z]+", "-", f"{kind} {window.start} {window.end} {'closed' if window.closed else 'open'}")

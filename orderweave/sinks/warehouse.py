@@ -63,8 +63,29 @@ class Target:
         return T.StructType([f for f in stored.fields if f.name != PERIOD]) if stored else None
 
 
+def with_source_text_dates(df: DataFrame, columns: Sequence[str] = TEXT_DATES, missing: str = "NaT") -> DataFrame:
+    """Dates as the source's loader writes them: in one form, which the whole column decides.
+
+    No time where every row is at midnight, no fraction where every row is at a whole second, and else
+    three or six places, as many as some row needs; `missing` where there is no date. A first pass over the columns
+    decides, in the same plan (a scalar subquery), so the frame should be a stored one.
+    """
+    present = [c for c in columns if c in df.columns]
+    if not present:
+        return df
+    micros = lambda c: F.pmod(F.unix_micros(F.col(c).cast("timestamp")), F.lit(1_000_000))
+    form = lambda c: (
+        F.when(F.bool_or(F.pmod(micros(c), F.lit(1000)) != 0), "yyyy-MM-dd HH:mm:ss.SSSSSS")
+        .when(F.bool_or(micros(c) != 0), "yyyy-MM-dd HH:mm:ss.SSS")
+        .when(F.bool_or(F.col(c) != F.date_trunc("day", c)), "yyyy-MM-dd HH:mm:ss")
+        .otherwise("yyyy-MM-dd")
+    )
+    forms = df.agg(*[form(c).alias(c) for c in present])
+    return df.withColumns({c: F.coalesce(F.call_function("date_format", F.col(c), forms.select(c).scalar()), F.lit(missing)) for c in present})
+
+
 def with_text_dates(df: DataFrame, columns: Sequence[str] = TEXT_DATES) -> DataFrame:
-    """Dates as text, for those of the columns the frame has."""
+    """Dates as text with their time, for those of the columns the frame has."""
     present = set(df.columns)
     return df.withColumns(
         {c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in columns if c in present}
@@ -133,19 +154,25 @@ def replace_periods(df: DataFrame, target: Target, date_column: str) -> None:
 
     Rows without a date belong to no run and are refused. A table's partitions switch one after another.
     """
-    df = _contracted(df, target)
-    spark = df.sparkSession
     period = F.date_format(date_column, "yyyy-MM")
-    dated = df.withColumn(PERIOD, F.coalesce(period, F.raise_error(F.lit(f"a row without {date_column}")).cast("string")))
+    replace_months(df.withColumn(PERIOD, F.coalesce(period, F.raise_error(F.lit(f"a row without {date_column}")).cast("string"))), target)
+
+
+def replace_months(df: DataFrame, target: Target, months: Sequence[str] = ()) -> None:
+    """Replace the periods that the rows name in their column `period`, and those in `months`, which may have none."""
+    spark = df.sparkSession
+    rows = _contracted(df.drop(PERIOD), target)  # refusals come before any work
+    dated = df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in rows.schema.fields], PERIOD)
     if target.table is not None:
-        for row in sorted(r[0] for r in dated.select(PERIOD).distinct().collect()):
-            _replace_partition(dated.where(F.col(PERIOD) == row).drop(PERIOD), target, row)
+        named = {r[0] for r in dated.select(PERIOD).distinct().collect()}
+        for month in sorted(named | set(months)):
+            _replace_partition(dated.where(F.col(PERIOD) == month).drop(PERIOD), target, month)
         return
     versions = Versions(spark, target.path)
     before, folder = versions.last(), versions.new_folder()
     writer = dated.withColumn(_FOLDER, F.col(PERIOD)).hint("rebalance", _FOLDER).write
     writer.format(target.format).partitionBy(_FOLDER).save(f"{target.path}/{folder}")
-    parts = {part: f for part, f in before.parts.items() if part != WHOLE} if before else {}
+    parts = {part: f for part, f in before.parts.items() if part != WHOLE and part not in months} if before else {}
     versions.commit(before, dated.schema, {**parts, **versions.parts_of(folder, _FOLDER)})
 
 

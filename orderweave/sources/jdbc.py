@@ -9,6 +9,10 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions.windows import DateWindow
+from .predicates import T_SQL_HASH, read_predicates
+from .schema import BUCKET_COLUMNS, MONTH_COLUMNS
+
 
 @dataclass(frozen=True)
 class PartitionedRead:
@@ -43,8 +47,13 @@ class JdbcSource:
     options: dict[str, str] = field(default_factory=dict)
     partitioned: dict[str, PartitionedRead] = field(default_factory=dict)
     fetch_size: int = 10_000
+    #: Parts by key of each read of a large table, and of each month of it; without bounds of its own.
+    buckets: int = 0
+    hash_sql: str = T_SQL_HASH
 
     def __post_init__(self) -> None:
+        if self.buckets:
+            return
         missing = [name for name in LARGE_TABLES if name not in self.partitioned]
         if missing:
             raise ValueError(f"reads of these tables need partition bounds: {missing}")
@@ -74,6 +83,20 @@ class JdbcSource:
             )
         return settings
 
-    def read(self, spark: SparkSession, name: str, source_table: str) -> DataFrame:
-        """Lazy scan; Spark sends its filters and column list to the database."""
+    def predicates(self, name: str, window: DateWindow | None = None) -> list[str]:
+        """The partitions of a read that has no bounds; one for small tables."""
+        if name not in LARGE_TABLES or not self.buckets:
+            return []
+        return read_predicates(BUCKET_COLUMNS.get(name), MONTH_COLUMNS.get(name), window, self.buckets, self.hash_sql)
+
+    def read(self, spark: SparkSession, name: str, source_table: str, window: DateWindow | None = None) -> DataFrame:
+        """Lazy scan; Spark sends its filters and column list to the database, a query for each partition.
+
+        Partitions are the bounds given for the table, or made from the `window` of the
+        run and the table's key.
+        """
+        predicates = [] if name in self.partitioned else self.predicates(name, window)
+        if predicates:
+            options = {k: v for k, v in self.read_options(name, source_table).items() if k not in ("url", "dbtable")}
+            return spark.read.jdbc(self.url, source_table, predicates=predicates, properties=options)
         return spark.read.format("jdbc").options(**self.read_options(name, source_table)).load()

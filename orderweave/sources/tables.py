@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.windows import DateWindow
 from .jdbc import JdbcSource
 from .schema import MONEY, MONTH_COLUMNS, SOURCE_TABLES, STORED_MONTH, table_schema
 
@@ -65,9 +66,10 @@ class Tables:
         return tables
 
     @classmethod
-    def jdbc(cls, spark: SparkSession, source: JdbcSource, money: T.DataType = MONEY) -> Tables:
+    def jdbc(cls, spark: SparkSession, source: JdbcSource, money: T.DataType = MONEY, window: DateWindow | None = None) -> Tables:
+        """Tables of the database; `window`, the dates of the run, says how reads of dated tables are split."""
         return cls(
-            spark, lambda name: conform(source.read(spark, name, SOURCE_TABLES[name]), name, money)
+            spark, lambda name: conform(source.read(spark, name, SOURCE_TABLES[name], window), name, money)
         )
 
     def with_padded_keys(self, ignore_case: bool = False) -> Tables:
