@@ -19,6 +19,7 @@ benchmark hits nothing.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -158,16 +159,14 @@ def build_tables(item_ids: list[str], texts: list[str], window: int = WINDOW) ->
     return tables
 
 
-def _parts(benchmark: DataFrame, item: str, text: str, table_bytes: int) -> list[tuple[list[str], list[str]]]:
-    """Items by parts of bounded size, ids as text."""
+def _parts(benchmark: DataFrame, item: str, text: str, table_bytes: int) -> Iterator[tuple[bool, tuple[list[str], list[str]]]]:
+    """(is it the last one, (ids as text, texts)): items by parts of bounded size, of which the driver holds one at a time."""
     items = benchmark.select(F.col(item).cast("string").alias("item"), F.col(text).alias("text")).where("item is not null and text is not null")
     total = text_bytes(items)
     parts = max(1, -(-2 * total // table_bytes)) if total > table_bytes else 1
-    found = []
     for k in range(parts):
         rows = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(parts)) == k).collect()
-        found.append(([r["item"] for r in rows], [r["text"] for r in rows]))
-    return found
+        yield k == parts - 1, ([r["item"] for r in rows], [r["text"] for r in rows])
 
 
 def contamination(
@@ -181,15 +180,14 @@ def contamination(
 ) -> DataFrame:
     """(doc_id, n_words, hits, items): per row the hit word ranges as (first, end) pairs and the ids of items found."""
     spark = docs.sparkSession
-    parts = _parts(benchmark, item_id, text, table_bytes)
     frame, state = docs.select(doc_id, text), ()
-    for k, part in enumerate(parts):
-        search = _search(spark.sparkContext.broadcast((part, window)), text)
-        last = k == len(parts) - 1
-        frame = map_texts(frame, search, "n_words long, hits array<long>, items array<string>", (doc_id, *(() if last else (text,)), *state), text)
+    for k, (last, part) in enumerate(_parts(benchmark, item_id, text, table_bytes)):
+        shared = spark.sparkContext.broadcast((part, window))
+        frame = map_texts(frame, _search(shared, text), "n_words long, hits array<long>, items array<string>", (doc_id, *(() if last else (text,)), *state), text)
         if not last:
             frame, state = written(frame.withColumnsRenamed({c: f"_{c}{k}" for c in ("n_words", "hits", "items")})), (*state, f"_hits{k}", f"_items{k}")
-    for k in range(len(parts) - 1):
+            shared.destroy()
+    for k in range(len(state) // 2):
         frame = frame.withColumns({"hits": F.concat("hits", f"_hits{k}"), "items": F.array_union("items", f"_items{k}")}).drop(f"_hits{k}", f"_items{k}")
     return frame.withColumn("items", F.array_sort("items"))
 
@@ -252,7 +250,11 @@ def n_hit(hits: str = "hits"):
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text: str = "text", item_id: str = "item_id", table_bytes: int = TABLE_BYTES) -> DataFrame:
     """The documents in which no window of an item occurs, with all their columns."""
-    for part in _parts(benchmark, item_id, text, table_bytes):
-        search = _search(docs.sparkSession.sparkContext.broadcast((part, window)), text)
+    for last, part in _parts(benchmark, item_id, text, table_bytes):
+        shared = docs.sparkSession.sparkContext.broadcast((part, window))
+        search = _search(shared, text)
         docs = filter_texts(docs, lambda batch, search=search: [not x for x in search(batch)["hits"].to_pylist()], text)
+        if not last:
+            docs = written(docs)
+            shared.destroy()
     return docs
