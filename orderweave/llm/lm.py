@@ -18,6 +18,8 @@ training tokens; a share as large as that of words seen once is kept for unseen
 Defined results: a null text is empty and has one token, its end; a null id counts
 as the empty text for the training rule; repeated rows count as often as they occur.
 Without training documents, every probability is that of an unseen word.
+A very long text is scored whole, in the chunk that holds it; words are compared by
+64-bit hashes under a seed drawn for the run, successors of one context by 40 bits of them.
 """
 
 from __future__ import annotations
