@@ -375,7 +375,7 @@ def _history(t: Tables, per_key: bool) -> DataFrame:
     items = chain.pick(
         "invoice_item", item_invoice="szFInvoiceId", soi_product="szProductId", item_qty="decQty"
     )
-    df = chain.join(df, items, [("invoice_id", "item_invoice")])
+    df = chain.join(df, items, [("invoice_id", "item_invoice")], spread_nulls=True)
     replacements, items = replacement_sides(chain, per_key)
     df = with_replacements(chain, df, replacements)
     df = with_replacement_items(chain, df, items)

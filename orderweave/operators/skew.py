@@ -61,6 +61,20 @@ def key_condition(on: Sequence[tuple[str, str]], only_if: str | None = None) ->
     return F.expr(" and ".join(terms + [f"({only_if})"] if only_if else terms))
 
 
+def _spread_condition(left: DataFrame, on: Sequence[tuple[str, str]], only_if: str | None, salt_by: Sequence[str]) -> Column:
+    """The key condition with a text of the row's own in place of a NULL first key.
+
+    Rows that match nothing then do not meet in one task, even where the right side is
+    dealt by its first key alone. That the text occurs as a key changes nothing: a NULL
+    key never matches.
+    """
+    first, key = on[0]
+    by = [c for c in salt_by if c in left.columns] or left.columns
+    own = F.concat(F.lit(_SEPARATOR), F.xxhash64(*by).cast("string")).cast(left.schema[first].dataType)
+    terms = (F.coalesce(F.col(first), own) == F.col(key)) & F.col(first).isNotNull()
+    return terms & key_condition(on[1:], only_if) if on[1:] or only_if else terms
+
+
 def skew_join(
     left: DataFrame,
     right: DataFrame,
@@ -72,6 +86,7 @@ def skew_join(
     spread_keys: Sequence[str | None] = (),
     heavy_left: Sequence[str] = (),
     heavy_right: Sequence[str] = (),
+    spread_nulls: bool = False,
     salts: int = 64,
     salt_by: Sequence[str] = (),
 ) -> DataFrame:
@@ -79,7 +94,8 @@ def skew_join(
 
     `only_if` is a condition on the left row without which it matches nothing.
     `spread_blank` salts left rows whose first key is blank or NULL, `spread_keys`
-    those whose first key is one of these (None: is NULL).  Left rows are salted by those of the `salt_by` columns they have, or by all columns.
+    those whose first key is one of these (None: is NULL).  `spread_nulls`: the first
+    key, a text, is NULL where an earlier left join found nothing.  Left rows are salted by those of the `salt_by` columns they have, or by all columns.
     Column names must be distinct across both sides.
     """
     if how not in ("left", "inner", "left_semi"):
@@ -87,10 +103,12 @@ def skew_join(
     if how == "left_semi":
         right = right.select([r for _, r in on]).distinct()
         heavy_right = ()
+    left_columns, right_columns = left.columns, right.columns
     if not (spread_blank or spread_keys or heavy_left or heavy_right):
+        if spread_nulls and how == "left":
+            return left.join(right, _spread_condition(left, on, only_if, salt_by), how)
         return left.join(right, key_condition(on, only_if), how)
 
-    left_columns, right_columns = left.columns, right.columns
     left_key, right_key = (key_text(side) for side in zip(*on))
     if heavy_left and heavy_right:
         salts = max(2, math.isqrt(salts))
@@ -106,7 +124,7 @@ def skew_join(
             known = [k for k in spread_keys if k is not None]
             divided = divided | _one_of(F.col(on[0][0]), known)
             repeated = repeated | _one_of(F.col(on[0][1]), known)
-            if len(known) < len(spread_keys):
+            if len(known) < len(spread_keys) or spread_nulls:
                 divided = divided | F.col(on[0][0]).isNull()
         # Kept on the left side: a second join on the same key finds the rows in place.
         salt = f"_salt_{on[0][0]}" if not heavy_left else "_salt"
@@ -116,6 +134,9 @@ def skew_join(
             left = _with_computed(left, salt, salted)
         right = right.select("*", _repeated(repeated, salts).alias("_right_salt"))
         pairs.append((salt, "_right_salt"))
+        if spread_blank or spread_keys:
+            # dealt by the salt too: the left side follows a right one that is dealt by the key alone
+            right = right.repartition(*[r for _, r in pairs])
 
     if heavy_right:
         present = right.where(_one_of(right_key, heavy_right)).select(right_key.alias("_heavy"))

@@ -22,7 +22,7 @@ from .stages import Stages
 
 
 # Ids that tell rows with the same blank or heavy key apart.
-SALT_COLUMNS = ("si_so", "si_po", "si_do", "si_dn", "si_customer", "so_id", "soi_product", "poi_product")
+SALT_COLUMNS = ("si_so", "si_po", "si_do", "si_dn", "si_customer", "so_id", "do_id", "soi_product", "poi_product")
 
 
 class Chain:
@@ -78,15 +78,18 @@ class Chain:
         *,
         only_if: str | None = None,
         spread: bool = False,
+        spread_nulls: bool = False,
     ) -> DataFrame:
         """Join, salted where `spread` and a key is blank, or with stages, where it is heavy; AQE sees to the rest.
 
+        `spread_nulls`: many rows have no key, as an earlier join found none.
+
         A left join passes on the partitioning of its left key only.  So joins
         that follow each other name the same left column wherever they can.
         """
         blank, keys = (spread, ()) if self.stages is None else (False, self.stages.heavy(on[0][0]) if spread else ())
         return skew_join(
-            left, right, on, how, only_if=only_if, spread_blank=blank, spread_keys=keys, salts=self.salts, salt_by=SALT_COLUMNS
+            left, right, on, how, only_if=only_if, spread_blank=blank, spread_keys=keys, spread_nulls=spread_nulls, salts=self.salts, salt_by=SALT_COLUMNS
         )
 
     def in_window(self, df: DataFrame, window: DateWindow, date: str, month: str) -> DataFrame:

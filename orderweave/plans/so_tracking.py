@@ -73,7 +73,7 @@ def with_deliveries(chain: Chain, df: DataFrame, key: str, scope: DataFrame | No
     deliveries = _scoped_deliveries(chain, scope, key, name)
     df = chain.join(df, deliveries, [(key, "do_id")], spread=True)
     invoices = chain.cut(_invoices(chain), "invoice_id", deliveries, "do_invoice")
-    return chain.join(df, invoices, [("do_invoice", "invoice_id")], spread=True)
+    return chain.join(df, invoices, [("do_invoice", "invoice_id")], spread=True, spread_nulls=True)
 
 
 def _scoped_approvals(chain: Chain, scope: DataFrame | None, name: str) -> DataFrame:
@@ -146,7 +146,7 @@ def with_replacements(chain: Chain, df: DataFrame, replacements: DataFrame) -> D
 def with_replacement_items(chain: Chain, df: DataFrame, items: DataFrame) -> DataFrame:
     """Quantity of the row's product on the replacement invoice."""
     return chain.join(
-        df, items, [("new_invoice", "newitem_invoice"), ("soi_product", "newitem_product")]
+        df, items, [("new_invoice", "newitem_invoice"), ("soi_product", "newitem_product")], spread_nulls=True
     )
 
 
@@ -344,6 +344,7 @@ def _with_item_documents(chain: Chain, df: DataFrame, replacement_items: DataFra
         df,
         invoice_items,
         [("invoice_id", "item_invoice"), ("soi_product", "item_product"), ("soi_type", "item_type")],
+        spread_nulls=True,
     )
     return with_replacement_items(chain, df, replacement_items)
 

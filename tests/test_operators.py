@@ -256,3 +256,26 @@ def test_decimal_rollup_agrees_with_the_pairs(spark):
     for key, row in actual.items():
         for x, y in zip(row, expected[key]):
             assert abs(x - y) <= Decimal("0.00002"), (key, x, y)
+
+
+def test_missing_keys_are_spread(spark):
+    """Rows that an earlier join gave no key, and rows of a blank id, beside a right side that is dealt by the key alone."""
+    from orderweave.plans.chain import SALT_COLUMNS
+
+    auto = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        left = spark.range(4000).selectExpr("id as so_id", "if(id % 8 = 0, concat('k', id % 16), null) as k", "if(id % 8 = 0, concat('k', id % 16), '') as b", "'p' as p")
+        right = spark.createDataFrame([("k0", "p", 1), ("k8", "p", 2), ("k8", "q", 3)], "r string, rp string, v int")
+        dealt = right.join(right.select(F.col("r").alias("x")).distinct(), F.col("r") == F.col("x"), "left_semi")
+        for key, options in (("k", {"spread_nulls": True}), ("b", {"spread_keys": ("",), "salts": 64}), ("b", {"spread_blank": True})):
+            made = skew_join(left, dealt, [(key, "r"), ("p", "rp")], salt_by=SALT_COLUMNS, **options)
+            plain = left.join(right, (F.col(key) == F.col("r")) & (F.col("p") == F.col("rp")), "left")
+            assert rows(made.select(plain.columns)) == rows(plain)
+            most = made.groupBy(F.spark_partition_id().alias("part")).count().agg(F.max("count")).first()[0]
+            assert most < 2500, (key, options)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", auto)
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
