@@ -137,6 +137,21 @@ def test_quality_score_is_the_ratio(spark):
     assert quality.judged(frame(spark, []), nobody).count() == 0
 
 
+def test_quality_uses_every_label(spark):
+    """More labelled documents than any sample took before: each counts, and the quartiles are those of all."""
+    n = 24_001
+    docs = spark.range(n).selectExpr("id as doc_id", "concat('w', id % 7, ' v', id % 5, ' u', id) as text")
+    labels = spark.range(n).selectExpr("id as doc_id", "cast(id % 4 > 0 as int) as quality")
+    target = quality._counts(docs.where("doc_id % 4 > 0"), "text")
+    ratio, threshold = quality.fit(docs, labels)
+    assert target.sum() == 5 * 18_000 and np.allclose(ratio, quality.log_ratio(target, quality._counts(docs, "text")))
+    s = quality._Slice(pa.array([f"w{k % 7} v{k % 5} u{k}" for k in range(n)]))
+    scores, good = quality._scores(s, ratio), np.arange(n) % 4 > 0
+    middle = np.median(scores[good])
+    low = middle - quality.SPREAD * np.subtract(*np.percentile(scores[good], [75, 25])) / 1.349
+    assert threshold == pytest.approx(min(low, (middle + np.median(scores[~good])) / 2), rel=1e-9)
+
+
 @pytest.mark.parametrize(("n", "top"), [(0, 1), (1, 0), (1, 10**12), (1000, 500), (3000, 10**9), (9, 3 * 10**11)])
 def test_elias_fano(n, top):
     rng = np.random.default_rng(n)
