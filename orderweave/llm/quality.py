@@ -28,13 +28,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .spark import filter_texts, map_texts, prepare, written
+from .spark import filter_texts, map_texts, prepare, rows_with_ids, written
 from .texts import NOT_SPACE, byte_table, covered, flat, fresh_seed, sequence_in, sequences_hash, slices, stretches_hash, word_spans
 
 BUCKETS = 1 << 16
 SPREAD = 4.0
 SMOOTHING = 1.0
 _SLOTS = 6
+_ID_BITS = 1 << 25
 
 _SYMBOLS = np.zeros(256, np.int64)
 _SYMBOLS[list(b"[#*$%&|<>]"[1:-1])] = 1
@@ -125,9 +126,14 @@ def failed(made: dict[str, np.ndarray]) -> np.ndarray:
 
 
 def _labelled(docs: DataFrame, seen: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(doc_id, quality, text) of every row whose id is labelled, in a table, as two passes read it."""
+    """(doc_id, quality, text) of every row whose id is labelled, in a table, as two passes read it.
+
+    A bit table of the ids keeps most other texts out of the shuffle, the join decides.
+    """
     texts = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    return written(texts.join(seen, texts["doc_id"] == seen["labelled"]).select("doc_id", "quality", "text"))
+    ids = seen.select(F.col("labelled").alias("id"))
+    near = rows_with_ids(texts, ids, lambda batch: batch.select(["doc_id", "text"]), "doc_id long, text string", bits=_ID_BITS)
+    return written(near.join(seen.hint("merge"), F.col("doc_id") == F.col("labelled")).select("doc_id", "quality", "text"))
 
 
 def _counts(docs: DataFrame, text: str) -> np.ndarray:
