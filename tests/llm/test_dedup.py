@@ -212,6 +212,31 @@ def test_what_follows_a_hot_line_is_spread_over_all_shards():
     assert sum(sizes) == 9000 - 1 and len(sizes) == shards and max(sizes) < 1.3 * sum(sizes) / shards
 
 
+def test_line_ranks_are_in_suffix_order():
+    """Of all suffixes, in every round, over chunks and shards: what is alone and what ends included."""
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    texts = ["\n".join(f"line {k}" for k in rng.integers(0, 3, n)) for n in rng.integers(1, 30, 60)]
+    texts += ["\n".join(["hot"] * 20 + [f"own {k}"]) for k in range(5)] + texts[:4]
+    tables = [pa.table({"chunk": [c] * len(texts[c::3]), "doc_id": list(range(c, len(texts), 3)), "text": texts[c::3]}) for c in range(3)]
+    found, shards, order = [lines._Lines(t, 7) for t in tables], 8, None
+    for level, step in enumerate(lines.steps(1, lines.DEPTH)):
+        asked = pa.concat_tables(lines._request(x, level, step, shards) for x in found)
+        answers = pa.concat_tables(lines._ranked(asked.filter(pa.compute.equal(asked["shard"], s)), shards) for s in set(asked["shard"].to_pylist()))
+        for x in found:
+            x.learn(step, lines._answers(answers.filter(pa.compute.equal(answers["chunk"], x.chunk.number)), level), 1)
+        order = order or [x.rank.tolist() for x in found]  # of single lines
+        seen = []
+        for x, single in zip(found, order, strict=True):
+            ends = np.searchsorted(x.owner, x.owner, "right").tolist()
+            seen += [(tuple(single[j : min(e, j + x.length)]), r) for j, (e, r) in enumerate(zip(ends, x.rank.tolist(), strict=True))]
+        seen.sort()
+        assert all((p < q and a < b) or (p == q and a == b) for (p, a), (q, b) in zip(seen, seen[1:], strict=False))
+    assert len({a for _, a in seen}) > 100
+
+
 def test_column_names_with_dots(spark):
     from orderweave.llm import decontaminate, minhash, quality
 
