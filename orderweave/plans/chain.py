@@ -59,12 +59,12 @@ class Chain:
         return self.stages.stored(name, build) if self.stages else build()
 
     def cut(self, side: DataFrame, key: str, scope: DataFrame | None, column: str) -> DataFrame:
-        """Rows of a side table whose id occurs in a stored header; all rows without stages.
+        """Rows of a side table whose id occurs in a stored header; all rows without stages, or if the headers are of a wide window.
 
         A left join to the header cannot use the others. The ids are few, so mostly
         broadcast; else Spark filters the scan by a Bloom filter of them.
         """
-        if self.stages is None or scope is None:
+        if self.stages is None or scope is None or not self.stages.cuts(scope):
             return side
         ids = scope.select(F.col(column).alias("_in_scope")).where("_in_scope is not null").distinct()
         return side.join(ids, F.col(key) == F.col("_in_scope"), "left_semi")
@@ -137,9 +137,11 @@ class Chain:
             **self._month("so_month"),
         )
 
-    def orders_since(self, floor: DateFloor, scope: DataFrame) -> DataFrame:
-        """Ids of the orders in `scope` (one id column) that the floor admits."""
+    def orders_since(self, floor: DateFloor, scope: DataFrame | None) -> DataFrame:
+        """Ids of the orders, of those in `scope` (one id column) if given, that the floor admits."""
         admitted = self.orders().where(floor.admits(F.col("so_ordered"))).select("so_id")
+        if scope is None:
+            return admitted
         return self.join(admitted, scope, [("so_id", scope.columns[0])], "left_semi")
 
     def order_items(self, scope: DataFrame | None = None) -> DataFrame:

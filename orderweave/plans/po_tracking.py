@@ -156,7 +156,7 @@ def _month_rows(
     if chain.stages is None:
         orders = chain.orders().where(admitted).select(F.col("so_id").alias("scope_so"))
     else:
-        orders = scope.select(F.col("si_so").alias("scope_so")).distinct()
+        orders = scope.select(F.col("si_so").alias("scope_so")).distinct() if chain.stages.cuts(scope) else None
     if with_sales_order:
         confirmations = chain.cut(chain.confirmations(), "delv_so", scope, "si_so")
         df = chain.join(df, confirmations, [("si_so", "delv_so"), ("do_id", "delv_do")])

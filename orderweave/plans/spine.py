@@ -55,7 +55,13 @@ def headers(
         df = df.where(window.contains(dated))
     if order_join == "inner":
         df = df.where("so_id is not null")
-    return df if admitted is None else df.where(admitted)
+    df = df if admitted is None else df.where(admitted)
+    return chain.stages.mark_wide(df) if with_sales_order and is_wide(chain, window) else df
+
+
+def is_wide(chain: Chain, window: DateWindow) -> bool:
+    """With stages: does the window hold at least half of the purchase orders, which date most inquiries?"""
+    return chain.stages is not None and chain.stages.is_wide(window, chain.purchase_orders(), "po_date")
 
 
 def both_headers(chain: Chain, window: DateWindow) -> DataFrame:
@@ -65,7 +71,8 @@ def both_headers(chain: Chain, window: DateWindow) -> DataFrame:
     linked, unlinked = (
         headers(chain, window, with_sales_order=kind, order_join="left").withColumn("linked", F.lit(kind)) for kind in (True, False)
     )
-    return linked.unionByName(unlinked, allowMissingColumns=True)
+    both = linked.unionByName(unlinked, allowMissingColumns=True)
+    return chain.stages.mark_wide(both) if is_wide(chain, window) else both
 
 
 def stored_headers(chain: Chain, window: DateWindow, with_sales_order: bool) -> DataFrame:
@@ -105,11 +112,13 @@ def dated_inquiries(
     purchases = chain.purchase_orders()
     receipts = chain.receipts().where(not_empty(F.col("receipt_po")))
     in_window = chain.in_window(purchases, window, "po_date", "po_month")
-    receipts = chain.cut(receipts, "receipt_po", in_window, "po_id")
+    wide = is_wide(chain, window)
+    if not wide:
+        receipts = chain.cut(receipts, "receipt_po", in_window, "po_id")
 
     bought = chain.join(inquiries.where(not_empty(F.col("si_po"))), in_window, by_purchase, "inner")
     if with_sales_order:
-        bought = chain.join(bought, bought_flags(chain, in_window), by_flag)
+        bought = chain.join(bought, bought_flags(chain, None if wide else in_window), by_flag)
     bought = chain.join(bought, receipts, [("po_id", "receipt_po")])
     bought = chain.join(bought, orders, by_order, order_join, spread=spread)
 
@@ -168,10 +177,10 @@ def is_bought() -> Column:
     return F.col("poi_type").isin(*BOUGHT)
 
 
-def with_sales_items(chain: Chain, df: DataFrame, scope: DataFrame) -> DataFrame:
+def with_sales_items(chain: Chain, df: DataFrame, scope: DataFrame | None) -> DataFrame:
     """Items of the matched sales order: sold ones, or all if the purchase order has a bought one.
 
-    `scope` holds the ids of all orders that can match.
+    `scope`, if given, holds the ids of all orders that can match.
     """
     items = chain.order_items(scope)
     df = chain.join(df, items, [("si_so", "soi_so")], only_if="so_id is not null")

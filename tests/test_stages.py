@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from orderweave import jobs
 from orderweave.functions.windows import DateWindow, last_months
 from orderweave.operators.state import RollupState
-from orderweave.plans import Stages, so_tracking_inquiry
+from orderweave.plans import Stages, po_tracking_month, so_tracking_inquiry
 from orderweave.sinks import Target, with_source_text_dates
 from orderweave.sources import JdbcSource, Tables
 from orderweave.sources.predicates import hash_predicates, month_predicates, month_starts, read_predicates
@@ -44,6 +44,16 @@ def test_one_run_loads_what_four_runs_do(spark, tables, tmp_path):
     assert sum(name.startswith("linked") for name in stages._frames) == 1  # one set of headers for three datasets
 
 
+def test_ids_of_a_wide_window_cut_nothing(spark, tables):
+    """Its ids are nearly all there are: no side table is shuffled to be cut by them. Those of a week cut."""
+    semi = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("LeftSemi")
+    for start, end, wide in (("1990-01-01", "2040-01-01", True), ("2024-12-01", "2024-12-08", False)):
+        window = DateWindow(start, end)
+        staged, plain = po_tracking_month(tables, window, stages=Stages(spark)), po_tracking_month(tables, window)
+        assert (semi(staged) == 0) == wide
+        assert staged.count() == plain.count() and staged.exceptAll(plain).isEmpty()
+
+
 def test_a_clean_month_has_no_salts_and_filtered_sides(spark, tables):
     window = DateWindow("2024-12-01", "2025-01-01", closed=True)
     physical = lambda df: df._jdf.queryExecution().executedPlan().toString()
