@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 
 
 def anti_join_null_aware(
-    left: DataFrame, right: DataFrame, left_key: str, right_key: str
+    left: DataFrame, right: DataFrame, left_key: str, right_key: str, candidates: DataFrame | None = None
 ) -> DataFrame:
     """Rows of `left` for which SQL's `left_key NOT IN (right)` is true.
 
     Spark broadcasts the whole subquery of a NOT IN.  Here one row of counts
     decides the NULL cases, and the rest is a shuffled anti join on keys that
-    were de-duplicated before the shuffle.
+    were de-duplicated before the shuffle.  `candidates`, if given, are the rows of
+    `right` that a key of `left` may equal.
     """
     keys = right.select(F.col(right_key).alias("_key"))
     counts = keys.agg(
@@ -22,6 +23,8 @@ def anti_join_null_aware(
     rows = counts.select("n").scalar()
     null_rows = counts.select("n_null").scalar()
     comparable = (rows == 0) | ((null_rows == 0) & F.col(left_key).isNotNull())
+    if candidates is not None:
+        keys = candidates.select(F.col(right_key).alias("_key"))
     distinct_keys = keys.where(F.col("_key").isNotNull()).distinct()
     return left.where(comparable).join(
         distinct_keys, F.col(left_key) == F.col("_key"), "left_anti"

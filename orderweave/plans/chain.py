@@ -21,6 +21,27 @@ from ..sources.schema import STORED_MONTH
 from .stages import Stages
 
 
+#: Frames of side tables that a run cuts once for all its datasets: their id, and the kind of the run's ids it is one of.
+SIDES = {
+    "orders": ("so_id", "order"),
+    "order_lines": ("soi_so", "order"),
+    "bonus_source": ("szFSoId", "order"),
+    "delivered_items": ("custOrderNo", "order"),
+    "confirmations": ("delv_so", "order"),
+    "transfers": ("transfer_so", "order"),
+    "cancels": ("cancel_so", "order"),
+    "inquiry_orders": ("si_so", "order"),
+    "rejections": ("rejected_id", "approval"),
+    "approval_items": ("gd_id", "approval"),
+    "deliveries": ("do_id", "delivery"),
+    "delivery_notes": ("dn_id", "note"),
+    "delivery_note_items": ("dni_dn", "note"),
+    "closing_items": ("closed_dn", "note"),
+    "purchase_items": ("poi_po", "purchase"),
+    "invoices": ("invoice_id", "invoice"),
+    "invoice_items": ("item_invoice", "invoice"),
+}
+
 # Ids that tell rows with the same blank or heavy key apart.
 SALT_COLUMNS = ("si_so", "si_po", "si_do", "si_dn", "si_customer", "so_id", "do_id", "soi_product", "poi_product")
 
@@ -69,6 +90,25 @@ class Chain:
         ids = scope.select(F.col(column).alias("_in_scope")).where("_in_scope is not null").distinct()
         return side.join(ids, F.col(key) == F.col("_in_scope"), "left_semi")
 
+    def side(self, name: str, scope: DataFrame | None = None, column: str | None = None) -> DataFrame:
+        """A frame of `SIDES`, cut by the headers in `scope`; in a run by the ids of all its headers, and stored for all of its datasets.
+
+        What a dataset does not name of it, its joins leave out.
+        """
+        key, kind = SIDES[name]
+        if self.stages is None or self.stages.run_ids is None:
+            df = getattr(self, name)()
+            return df if column is None else self.cut(df, key, scope, column)
+        ids = self.stages.run_ids[kind]
+        df = self.stored(f"run-{name}", lambda: self.among(getattr(Chain(self.tables, self.salts), name)(), key, ids, "run_id"))
+        return df.select([c for c in df.columns if c not in self.unused])
+
+    def among(self, side: DataFrame, key: str, ids: DataFrame, column: str) -> DataFrame:
+        """Rows of a side table whose id is in a column of a stored frame."""
+        # the comparison keeps every id; by it Spark knows that a Bloom filter of the ids is worth while
+        found = ids.select(F.col(column).alias("_in_scope")).where("_in_scope >= ''")
+        return side.join(found, F.col(key) == F.col("_in_scope"), "left_semi")
+
     def join(
         self,
         left: DataFrame,
@@ -139,7 +179,7 @@ class Chain:
 
     def orders_since(self, floor: DateFloor, scope: DataFrame | None) -> DataFrame:
         """Ids of the orders, of those in `scope` (one id column) if given, that the floor admits."""
-        admitted = self.orders().where(floor.admits(F.col("so_ordered"))).select("so_id")
+        admitted = self.side("orders").where(floor.admits(F.col("so_ordered"))).select("so_id")
         if scope is None:
             return admitted
         return self.join(admitted, scope, [("so_id", scope.columns[0])], "left_semi")
@@ -151,9 +191,19 @@ class Chain:
         month keep the others out of the shuffle when they can be broadcast or
         put into a Bloom filter, and out of the wide join in any case.
         """
-        df = self.pick(
+        if self.stages is not None and self.stages.run_ids is not None:
+            return self.side("order_lines").drop("soi_line", "soi_reference")
+        df = self.order_lines().drop("soi_line", "soi_reference")
+        if scope is None:
+            return df
+        return self.join(df, scope, [("soi_so", scope.columns[0])], "left_semi")
+
+    def order_lines(self) -> DataFrame:
+        """Items with what the discounts need of them."""
+        return self.pick(
             "sales_order_item",
             soi_so="szFSoId",
+            soi_line="shItemNumber",
             soi_product="szProductId",
             soi_type="szOrderItemTypeId",
             soi_parent="szParentId",
@@ -165,10 +215,8 @@ class Chain:
             soi_tax="decTax",
             soi_price="decPrice",
             soi_taxable="bTaxable",
+            soi_reference="szPrincipalDiscRefId",
         )
-        if scope is None:
-            return df
-        return self.join(df, scope, [("soi_so", scope.columns[0])], "left_semi")
 
     def purchase_orders(self) -> DataFrame:
         return self.pick(
@@ -233,14 +281,21 @@ class Chain:
         """Delivered quantities; `scope` restricts them to orders, or to `(order, delivery)` pairs."""
         if scope is not None and len(scope.columns) == 1 and self.stages is not None and self.stages.run_orders is not None:
             whole = Chain(self.tables, self.salts)
-            return self.stored(self.stages.name("delivered", self.stages.window), lambda: whole.delivered(self.stages.run_orders))
-        items = self.pick(
+            items = whole.delivered_items() if self.stages.run_ids is None else self.side("delivered_items")
+            scope = self.stages.run_orders if self.stages.run_ids is None else None
+            return self.stored(self.stages.name("delivered", self.stages.window), lambda: whole._delivered(items, scope))
+        return self._delivered(self.delivered_items(), scope)
+
+    def delivered_items(self) -> DataFrame:
+        return self.pick(
             "delivery_confirmation_item",
             custOrderNo="custOrderNo",
             orderNo="orderNo",
             code="code",
             qty="qty",
         )
+
+    def _delivered(self, items: DataFrame, scope: DataFrame | None) -> DataFrame:
         if scope is not None:
             on = list(zip(("custOrderNo", "orderNo"), scope.columns))
             items = self.join(items, scope, on, "left_semi")
@@ -260,6 +315,43 @@ class Chain:
         )
         return df.where("transfer_flag").drop("transfer_flag")
 
+    def cancels(self) -> DataFrame:
+        return self.pick("cancel_log", cancel_so="szDocId", canceled="bAlreadyTransferred", cancel_data="szData")
+
+    def inquiry_orders(self) -> DataFrame:
+        """Sales-order ids that inquiries name."""
+        return self.pick("sales_inquiry", si_so="szFSoId")
+
+    def rejections(self) -> DataFrame:
+        return self.pick("approval", rejected_id="gdApprovedId", rejected="bRejected")
+
+    def approval_items(self) -> DataFrame:
+        return self.pick("approval_item", gd_id="gdApprovedId", gd_level="btApprovedLevel", gd_time="dtmApproved", gd_approved="bApproved")
+
+    def deliveries(self) -> DataFrame:
+        return self.pick(
+            "delivery_order",
+            do_id="szDoId",
+            do_invoice="szFInvoiceId",
+            do_carrier="szCarrierId",
+            do_vehicle="szVehicleNumber",
+            do_driver="szDriverName",
+            do_created="dtmCreated",
+            do_delivery="dtmDelivery",
+        )
+
+    def invoices(self) -> DataFrame:
+        return self.pick("invoice", invoice_id="szFInvoiceId", invoice_created="dtmCreated")
+
+    def invoice_items(self) -> DataFrame:
+        return self.pick(
+            "invoice_item",
+            item_invoice="szFInvoiceId",
+            item_product="szProductId",
+            item_type="szOrderItemTypeId",
+            item_qty="decQty",
+        )
+
     def delivery_notes(self) -> DataFrame:
         return self.pick("delivery_note", dn_id="szFDNId", dn_updated="dtmLastUpdated")
 
@@ -269,18 +361,36 @@ class Chain:
         )
 
     def note_status(self, scope: DataFrame | None = None) -> DataFrame:
-        """Per delivery note, the flag of its latest closing; with stages, of the notes in `scope` (`si_dn`)."""
+        """Per delivery note, the flag of its latest closing; with stages, of the notes in `scope` (`si_dn`), in a run of all its notes."""
+        if self.stages is not None and self.stages.run_ids is not None:
+            return self.stored("run-note-status", lambda: self._note_status(self.side("closing_items")))
+        return self._note_status(self.side("closing_items", scope, "si_dn"))
+
+    def _note_status(self, items: DataFrame) -> DataFrame:
         closings = self.pick(
             "note_closing", cl_id="szCloseDNId", cl_applied="bApplied", cl_updated="dtmLastUpdated"
         )
-        items = self.pick("note_closing_item", cli_id="szCloseDNId", closed_dn="szDNId")
-        items = self.cut(items, "closed_dn", scope, "si_dn")
         closed = self.join(items, closings, [("cli_id", "cl_id")], "inner")
         # Latest first, undated last, then by id; an aggregate, so that each task sends one row per note.
         age = "-timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01', cl_updated)"
         order = F.struct(F.col("cl_updated").isNull(), F.expr(age), "cl_id", "cl_applied")
         return closed.groupBy("closed_dn").agg(F.min_by("cl_applied", order).alias("cl_applied"))
 
+    def closing_items(self) -> DataFrame:
+        return self.pick("note_closing_item", cli_id="szCloseDNId", closed_dn="szDNId")
+
+    def bonus_source(self) -> DataFrame:
+        return self.pick(
+            "bonus_source",
+            szFSoId="szFSoId",
+            shItemNumber="shItemNumber",
+            szProductId="szProductId",
+            szParentId="szParentId",
+            szPaymentType="szPaymentType",
+            szOrderItemTypeId="szOrderItemTypeId",
+            decBonusAmount="decBonusAmount",
+        )
+
     def bonuses(self, orders: DataFrame | None = None) -> DataFrame:
         """Discount roll-up, for the ids in `orders` (one column) if given."""
         if orders is not None and self.stages is not None and self.stages.run_orders is not None:
@@ -303,31 +413,23 @@ class Chain:
         return weighted.select(*BONUS_COLUMNS, *[(F.col(c) * F.col("_weight")).alias(c) for c in rollups.DISCOUNT_NAMES])
 
     def _rollup(self, orders: DataFrame | None) -> DataFrame:
-        items = self.pick(
-            "sales_order_item",
-            szFSoId="szFSoId",
-            shItemNumber="shItemNumber",
-            szPrincipalDiscRefId="szPrincipalDiscRefId",
-            bTaxable="bTaxable",
-            decDPP="decDPP",
-            decTax="decTax",
-        )
-        source = self.pick(
-            "bonus_source",
-            szFSoId="szFSoId",
-            shItemNumber="shItemNumber",
-            szProductId="szProductId",
-            szParentId="szParentId",
-            szPaymentType="szPaymentType",
-            szOrderItemTypeId="szOrderItemTypeId",
-            decBonusAmount="decBonusAmount",
+        in_run = self.stages is not None and self.stages.run_ids is not None
+        lines = Chain(self.tables, self.salts, stages=self.stages).side("order_lines")
+        items = lines.selectExpr(
+            "soi_so as szFSoId",
+            "soi_line as shItemNumber",
+            "soi_reference as szPrincipalDiscRefId",
+            "soi_taxable as bTaxable",
+            "soi_net as decDPP",
+            "soi_tax as decTax",
         )
+        source = self.side("bonus_source")
         return rollups.bonus_rollup(
             items,
             source,
             orders,
             salts=self.salts,
-            heavy=None if self.stages is None or self.tables.bucketed else self.stages.heavy("si_so"),
+            heavy=None if self.stages is None or self.tables.bucketed and not in_run else self.stages.heavy("si_so"),
         )
 
     def join_bonuses(self, df: DataFrame, bonuses: DataFrame, order_key: str) -> DataFrame:

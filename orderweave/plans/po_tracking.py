@@ -40,8 +40,7 @@ def _in_channels(chain: Chain, channels: tuple[str, ...]) -> DataFrame:
 
 def not_rejected(chain: Chain, df: DataFrame, scope: DataFrame | None = None) -> DataFrame:
     """Rows whose approval is not rejected; an approval with both flags keeps the other one's row."""
-    approvals = chain.pick("approval", rejected_id="gdApprovedId", rejected="bRejected")
-    approvals = chain.cut(approvals, "rejected_id", scope, "so_approval")
+    approvals = chain.side("rejections", scope, "so_approval")
     states = flag_states(approvals, "rejected_id", "rejected")
     return surviving_flags(
         chain.join(df, states, [("so_approval", "_flag_key")], spread=True), "rejected"
@@ -50,10 +49,9 @@ def not_rejected(chain: Chain, df: DataFrame, scope: DataFrame | None = None) ->
 
 def not_canceled(chain: Chain, df: DataFrame, spread: bool, scope: DataFrame | None = None) -> DataFrame:
     """Rows whose order is not canceled, with the same rule; `spread` for rows without an order id."""
-    log = chain.pick("cancel_log", cancel_so="szDocId", canceled="bAlreadyTransferred")
+    log = chain.side("cancels", scope, "si_so")
     if spread:
         log = chain.blank_only(log, "cancel_so")
-    log = chain.cut(log, "cancel_so", scope, "si_so")
     states = flag_states(log, "cancel_so", "canceled")
     return surviving_flags(
         chain.join(df, states, [("si_so", "_flag_key")], spread=spread), "canceled"
@@ -94,7 +92,7 @@ def _shared_columns(with_sales_order: bool) -> dict[str, Column]:
 
 
 def _with_notes(chain: Chain, df: DataFrame, scope: DataFrame) -> DataFrame:
-    notes = chain.cut(chain.delivery_notes(), "dn_id", scope, "si_dn")
+    notes = chain.side("delivery_notes", scope, "si_dn")
     df = chain.join(df, notes, [("si_dn", "dn_id")], spread=True)
     return chain.join(df, chain.note_status(scope), [("si_dn", "closed_dn")], spread=True)
 
@@ -144,12 +142,12 @@ def _month_rows(
     df = chain.join(scope, _in_channels(chain, channels), [("si_customer", "cust_id")], "inner", spread=True)
     df = not_rejected(chain, df, scope)
     df = _with_notes(chain, df, scope)
-    deliveries = chain.cut(chain.pick("delivery_order", do_id="szDoId"), "do_id", scope, "si_do")
+    deliveries = chain.side("deliveries", scope, "si_do").select("do_id")
     df = chain.join(df, deliveries, [("si_do", "do_id")], spread=True)
 
     # From here on every join is by sales order.
     df = not_canceled(chain, df, spread, scope)
-    transfers = chain.cut(chain.transfers(), "transfer_so", scope, "si_so")
+    transfers = chain.side("transfers", scope, "si_so")
     if spread:
         transfers = chain.blank_only(transfers, "transfer_so").distinct()
     df = chain.join(df, transfers, [("si_so", "transfer_so")], spread=spread)
@@ -158,7 +156,7 @@ def _month_rows(
     else:
         orders = scope.select(F.col("si_so").alias("scope_so")).distinct() if chain.stages.cuts(scope) else None
     if with_sales_order:
-        confirmations = chain.cut(chain.confirmations(), "delv_so", scope, "si_so")
+        confirmations = chain.side("confirmations", scope, "si_so")
         df = chain.join(df, confirmations, [("si_so", "delv_so"), ("do_id", "delv_do")])
         df = with_sales_items(chain, df, orders)
     else:
@@ -190,17 +188,16 @@ def po_tracking_by_delivery(
     bonus_floor = bonus_floor or DateFloor(delivered.start)
     # Every row needs a delivery confirmation, which names a sales order.
     dated = headers(chain, window, with_sales_order=True, order_join="left")
-    confirmations = chain.confirmations().where(delivered.contains(F.col("delv_out")))
-    confirmations = chain.cut(confirmations, "delv_so", dated, "si_so")
+    confirmations = chain.side("confirmations", dated, "si_so").where(delivered.contains(F.col("delv_out")))
     df = chain.join(dated, confirmations, [("si_so", "delv_so"), ("si_do", "delv_do")], "inner")
     df = chain.join(df, _in_channels(chain, channels), [("si_customer", "cust_id")], "inner", spread=True)
-    deliveries = chain.cut(chain.pick("delivery_order", do_id="szDoId"), "do_id", dated, "si_do")
+    deliveries = chain.side("deliveries", dated, "si_do").select("do_id")
     df = chain.join(df, deliveries, [("si_do", "do_id")], "left_semi", spread=True)
     df = not_rejected(chain, df, dated)
     df = _with_notes(chain, df, dated)
 
     df = not_canceled(chain, df, False, dated)
-    transfers = chain.cut(chain.transfers(), "transfer_so", dated, "si_so")
+    transfers = chain.side("transfers", dated, "si_so")
     df = chain.join(df, transfers, [("si_so", "transfer_so")])
     scope = confirmations.select(F.col("delv_so").alias("scope_so"))
     df = with_sales_items(chain, df, scope)
@@ -214,7 +211,7 @@ def po_tracking_by_delivery(
     # By the inquiry's note id: where the note is missing the quantity is zero anyway.
     df = chain.join(
         df,
-        chain.cut(chain.delivery_note_items(), "dni_dn", dated, "si_dn"),
+        chain.side("delivery_note_items", dated, "si_dn"),
         [("si_dn", "dni_dn"), ("soi_product", "dni_product")],
         spread=True,
     )

@@ -41,29 +41,16 @@ UNUSED_BY_INQUIRY = frozenset(
 UNUSED_BY_NO_INQUIRY = frozenset({"soi_amount"})
 
 
-def _deliveries(chain: Chain) -> DataFrame:
-    return chain.pick(
-        "delivery_order",
-        do_id="szDoId",
-        do_invoice="szFInvoiceId",
-        do_carrier="szCarrierId",
-        do_vehicle="szVehicleNumber",
-        do_driver="szDriverName",
-        do_created="dtmCreated",
-        do_delivery="dtmDelivery",
-    )
-
-
-def _invoices(chain: Chain) -> DataFrame:
-    return chain.pick("invoice", invoice_id="szFInvoiceId", invoice_created="dtmCreated")
-
-
 def _scoped_deliveries(chain: Chain, scope: DataFrame | None, key: str, name: str) -> DataFrame:
     """Delivery orders; with stages, those that the headers in `scope` name, stored once, the invoices they share watched."""
     if chain.stages is None:
-        return _deliveries(chain)
+        return chain.deliveries()
+    if chain.stages.run_ids is not None:
+        df = chain.side("deliveries")
+        chain.stages.watch("run-deliveries", df, ("do_invoice",))
+        return df
     whole = Chain(chain.tables, chain.salts, stages=chain.stages)
-    df = chain.stored(f"deliveries-{name}", lambda: chain.cut(_deliveries(whole), "do_id", scope, key))
+    df = chain.stored(f"deliveries-{name}", lambda: whole.side("deliveries", scope, key))
     chain.stages.watch(f"deliveries-{name}", df, ("do_invoice",))
     return df
 
@@ -72,18 +59,16 @@ def with_deliveries(chain: Chain, df: DataFrame, key: str, scope: DataFrame | No
     """Delivery order and its invoice; `name` is that of the headers in `scope`."""
     deliveries = _scoped_deliveries(chain, scope, key, name)
     df = chain.join(df, deliveries, [(key, "do_id")], spread=True)
-    invoices = chain.cut(_invoices(chain), "invoice_id", deliveries, "do_invoice")
+    invoices = chain.side("invoices", deliveries, "do_invoice")
     return chain.join(df, invoices, [("do_invoice", "invoice_id")], spread=True, spread_nulls=True)
 
 
 def _scoped_approvals(chain: Chain, scope: DataFrame | None, name: str) -> DataFrame:
     """Approval items; with stages, those of the headers in `scope`, read and cut once for all levels."""
 
-    def items() -> DataFrame:
-        df = chain.pick("approval_item", gd_id="gdApprovedId", gd_level="btApprovedLevel", gd_time="dtmApproved", gd_approved="bApproved")
-        return chain.cut(df, "gd_id", scope, "so_approval")
-
-    return chain.stored(f"approvals-{name}", items)
+    if chain.stages is not None and chain.stages.run_ids is not None:
+        return chain.side("approval_items")
+    return chain.stored(f"approvals-{name}", lambda: chain.side("approval_items", scope, "so_approval"))
 
 
 def with_approvals(chain: Chain, df: DataFrame, scope: DataFrame | None = None, name: str = "") -> DataFrame:
@@ -120,13 +105,13 @@ def replacement_invoices(chain: Chain, per_key: bool = False) -> DataFrame:
     invoices = chain.pick("invoice", new_invoice="szFInvoiceId")
     if per_key:
         history = top_per_key(history, ["old_do"], latest)
-        df = chain.join(deliveries, history, [("newdo_id", "new_do")], "inner")
+        found = chain.join(deliveries, history, [("newdo_id", "new_do")], "inner")
     else:
-        df = join_top_row(deliveries, history, ("newdo_id", "new_do"), latest).where("new_do is not null")
-    df = df.select("old_do", "newdo_invoice").distinct()
-    return chain.join(df, invoices, [("newdo_invoice", "new_invoice")], "inner").select(
-        "old_do", "new_invoice"
-    )
+        found = join_top_row(deliveries, history, ("newdo_id", "new_do"), latest).where("new_do is not null")
+    # Stored, so that Spark knows how few they are: else it shuffles all invoices and their items.
+    df = chain.stored(f"replaced-{per_key}", lambda: found.select("old_do", "newdo_invoice").distinct())
+    df = chain.join(df, invoices, [("newdo_invoice", "new_invoice")], "inner").select("old_do", "new_invoice")
+    return chain.stored(f"replacements-{per_key}", lambda: df)
 
 
 def replacement_sides(chain: Chain, per_key: bool = False) -> tuple[DataFrame, DataFrame]:
@@ -201,7 +186,7 @@ def _documents(chain: Chain, dated: DataFrame, replacements: DataFrame, with_sal
     """What the headers' own ids lead to: customer, approvals, note, delivery, invoice and logs."""
     df = chain.join(dated, chain.customers(), [("si_customer", "cust_id")], spread=True)
     df = with_approvals(chain, df, dated, name)
-    notes = chain.cut(chain.delivery_notes(), "dn_id", dated, "si_dn")
+    notes = chain.side("delivery_notes", dated, "si_dn")
     df = chain.join(df, notes, [("si_dn", "dn_id")], spread=True)
     df = chain.join(df, chain.note_status(dated), [("si_dn", "closed_dn")], spread=True)
     df = with_deliveries(chain, df, "si_do", dated, name)
@@ -221,7 +206,7 @@ def _inquiry_rows(
 ) -> DataFrame:
     c = F.col
     if with_sales_order:
-        confirmations = chain.cut(chain.confirmations(), "delv_so", dated, "si_so")
+        confirmations = chain.side("confirmations", dated, "si_so")
         df = chain.join(df, confirmations, [("si_so", "delv_so"), ("do_id", "delv_do")])
         orders = order_ids_in_window(chain, window, dated)
         df = with_sales_items(chain, df, orders)
@@ -304,11 +289,8 @@ def _inquiry_rows(
 
 def _with_logs(chain: Chain, df: DataFrame, with_sales_order: bool | None, scope: DataFrame) -> DataFrame:
     """Transfer time and cancel data of the row's sales order; None: headers of both kinds, which stages keep together."""
-    transfers = chain.cut(chain.transfers(), "transfer_so", scope, "si_so")
-    cancels = chain.pick(
-        "cancel_log", cancel_so="szDocId", cancel_flag="bAlreadyTransferred", cancel_data="szData"
-    )
-    cancels = chain.cut(cancels.where("cancel_flag").drop("cancel_flag"), "cancel_so", scope, "si_so")
+    transfers = chain.side("transfers", scope, "si_so")
+    cancels = chain.side("cancels", scope, "si_so").where("canceled").drop("canceled")
     if with_sales_order is None:
         df = chain.join(df, transfers.distinct(), [("si_so", "transfer_so")], spread=True)
         return chain.join(df, cancels.distinct(), [("si_so", "cancel_so")], spread=True)
@@ -324,15 +306,8 @@ def _with_logs(chain: Chain, df: DataFrame, with_sales_order: bool | None, scope
 
 def _with_item_documents(chain: Chain, df: DataFrame, replacement_items: DataFrame, scope: DataFrame, name: str) -> DataFrame:
     """Noted, invoiced and replacement-invoiced quantities of the row's sales item."""
-    invoice_items = chain.pick(
-        "invoice_item",
-        item_invoice="szFInvoiceId",
-        item_product="szProductId",
-        item_type="szOrderItemTypeId",
-        item_qty="decQty",
-    )
-    invoice_items = chain.cut(invoice_items, "item_invoice", _scoped_deliveries(chain, scope, "si_do", name), "do_invoice")
-    note_items = chain.cut(chain.delivery_note_items(), "dni_dn", scope, "si_dn")
+    invoice_items = chain.side("invoice_items", _scoped_deliveries(chain, scope, "si_do", name), "do_invoice")
+    note_items = chain.side("delivery_note_items", scope, "si_dn")
     # By the inquiry's note id: where the note is missing the quantity is zero anyway.
     df = chain.join(
         df,
@@ -356,9 +331,8 @@ def so_tracking_no_inquiry(
     c = F.col
     chain = Chain(tables, salts, UNUSED_BY_NO_INQUIRY, stages)
     in_window = chain.in_window(chain.orders(), window, "so_ordered", "so_month")
-    inquiries = chain.pick("sales_inquiry", si_so="szFSoId")
     name = "" if stages is None else stages.name("unnamed", window)
-    unnamed = chain.stored(name, lambda: anti_join_null_aware(in_window, inquiries, "so_id", "si_so"))
+    unnamed = chain.stored(name, lambda: anti_join_null_aware(in_window, chain.inquiry_orders(), "so_id", "si_so", chain.side("inquiry_orders")))
     if stages is not None:
         stages.watch(name, unnamed, ("so_customer", "so_approval", "so_do"))
     customers = chain.customers()

@@ -11,13 +11,15 @@ joined with salts.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.nulls import is_blank, is_empty, not_empty
 from ..functions.windows import DateWindow
 from ..operators import rollups
-from .chain import Chain
+from .chain import SIDES, Chain
 
 # Item types that count as sold and as bought.
 SOLD = "JUAL"
@@ -46,7 +48,9 @@ def headers(
         return dated_inquiries(chain, window, orders, with_sales_order=with_sales_order, order_join=order_join)
     stored_window = chain.stages.window or window
     df = stored_headers(chain, stored_window, with_sales_order)
-    if chain.stages.window is not None and chain.stages.run_orders is None:
+    if chain.stages.window is not None and chain.stages.run_orders is None and not is_wide(chain, stored_window):
+        cut_sides(chain, stored_window)
+    elif chain.stages.window is not None and chain.stages.run_orders is None:
         ids = [stored_headers(chain, stored_window, linked).select("si_so") for linked in (True, False)]
         ordered = chain.in_window(Chain(chain.tables).orders(), stored_window, "so_ordered", "so_month").select("so_id")
         chain.stages.run_orders = ids[0].unionByName(ids[1]).union(ordered).where("si_so is not null").distinct()
@@ -59,8 +63,39 @@ def headers(
     return chain.stages.mark_wide(df) if with_sales_order and is_wide(chain, window) else df
 
 
+def cut_sides(chain: Chain, window: DateWindow) -> None:
+    """Store the ids that the headers of a run name, and what the side tables have of them.
+
+    So each side table is read once for all datasets, and what the ids do not need of it is not shuffled.
+    """
+    stages, whole = chain.stages, Chain(chain.tables, chain.salts, stages=chain.stages)
+    linked, unlinked = (stored_headers(chain, window, kind) for kind in (True, False))
+    dated = whole.stored("run-dated", lambda: chain.in_window(Chain(chain.tables).orders(), window, "so_ordered", "so_month").select("so_id", "so_do", "so_approval"))
+    kinds = {
+        "order": (linked.select("si_so"), unlinked.select("si_so"), dated.select("so_id")),
+        "approval": (linked.select("so_approval"), unlinked.select("so_approval"), dated.select("so_approval")),
+        "delivery": (linked.select("si_do"), unlinked.select("si_do"), dated.select("so_do")),
+        "note": (linked.select("si_dn"), unlinked.select("si_dn")),
+        "purchase": (unlinked.select("po_id"),),
+    }
+
+    def ids(frames: tuple[DataFrame, ...]) -> DataFrame:
+        return reduce(DataFrame.union, frames).toDF("run_id").where("run_id is not null").distinct()
+
+    def stored(kind: str, frames: tuple[DataFrame, ...]) -> DataFrame:
+        return whole.stored(f"run-ids-{kind}", lambda: ids(frames))
+
+    found = stages.together(*[lambda item=item: stored(*item) for item in kinds.items()])
+    stages.run_ids = dict(zip(kinds, found, strict=True))
+    stages.run_orders = stages.run_ids["order"]
+    with stages.bloom_filters():
+        stages.together(*[lambda name=name: whole.side(name) for name, (_, kind) in SIDES.items() if kind in kinds])
+        stages.run_ids["invoice"] = stored("invoice", (whole.side("deliveries").select("do_invoice"),))
+        stages.together(*[lambda name=name: whole.side(name) for name, (_, kind) in SIDES.items() if kind == "invoice"], lambda: whole.note_status())
+
+
 def is_wide(chain: Chain, window: DateWindow) -> bool:
-    """With stages: does the window hold at least half of the purchase orders, which date most inquiries?"""
+    """With stages: does the window hold nine tenths of the purchase orders or more, which date most inquiries?"""
     return chain.stages is not None and chain.stages.is_wide(window, chain.purchase_orders(), "po_date")
 
 
@@ -83,7 +118,8 @@ def stored_headers(chain: Chain, window: DateWindow, with_sales_order: bool) ->
         return dated_inquiries(whole, window, whole.orders(), with_sales_order=with_sales_order, order_join="left")
 
     name = chain.stages.name("linked" if with_sales_order else "unlinked", window)
-    df = chain.stored(name, build)
+    with chain.stages.bloom_filters():
+        df = chain.stored(name, build)
     chain.stages.watch(name, df, SHARED_IDS)
     return df
 
@@ -112,15 +148,22 @@ def dated_inquiries(
     purchases = chain.purchase_orders()
     receipts = chain.receipts().where(not_empty(F.col("receipt_po")))
     in_window = chain.in_window(purchases, window, "po_date", "po_month")
-    wide = is_wide(chain, window)
-    if not wide:
-        receipts = chain.cut(receipts, "receipt_po", in_window, "po_id")
+    # With stages, the inquiries of a narrow window are found first; they cut what is joined to them.
+    first = chain.stages is not None and not is_wide(chain, window)
+    name = "" if chain.stages is None else chain.stages.name("linked" if with_sales_order else "unlinked", window)
 
+    items, named_orders = chain.purchase_items(), orders
     bought = chain.join(inquiries.where(not_empty(F.col("si_po"))), in_window, by_purchase, "inner")
+    if first:
+        found = bought = chain.stored(f"bought-{name}", lambda plan=bought: plan)
+        receipts = chain.among(receipts, "receipt_po", found, "po_id")
+        if with_sales_order:
+            items = chain.among(items, "poi_po", found, "po_id")
+            named_orders = chain.among(orders, "so_id", found, "si_so")
     if with_sales_order:
-        bought = chain.join(bought, bought_flags(chain, None if wide else in_window), by_flag)
+        bought = chain.join(bought, bought_flags(chain, items), by_flag)
     bought = chain.join(bought, receipts, [("po_id", "receipt_po")])
-    bought = chain.join(bought, orders, by_order, order_join, spread=spread)
+    bought = chain.join(bought, named_orders, by_order, order_join, spread=spread)
 
     sold = chain.join(
         inquiries.where(is_empty(F.col("si_po"))),
@@ -129,6 +172,8 @@ def dated_inquiries(
         "inner",
         spread=spread,
     )
+    if first:
+        sold = chain.stored(f"sold-{name}", lambda plan=sold: plan)
     # A purchase order with a blank id matches here; its receipts do not.
     unnamed = chain.blank_only(purchases, "po_id")
     sold = chain.join(sold, unnamed, by_purchase, spread=True)
@@ -160,12 +205,9 @@ def order_ids_in_window(chain: Chain, window: DateWindow, scope: DataFrame) -> D
     return ids.withColumnRenamed("si_so", "scope_so")
 
 
-def bought_flags(chain: Chain, scope: DataFrame | None = None) -> DataFrame:
-    """Purchase orders with at least one bought item; with stages, of those in `scope` (`po_id`)."""
-    items = chain.purchase_items()
-    if scope is not None:
-        items = chain.cut(items, "poi_po", scope, "po_id")
-    flags = rollups.purchase_flags(items, "poi_po", "poi_type", BOUGHT)
+def bought_flags(chain: Chain, items: DataFrame | None = None) -> DataFrame:
+    """Purchase orders with at least one bought item, of all items or of some."""
+    flags = rollups.purchase_flags(chain.purchase_items() if items is None else items, "poi_po", "poi_type", BOUGHT)
     return flags.withColumn("has_bought", F.lit(True))
 
 
@@ -192,7 +234,7 @@ def with_purchase_items(chain: Chain, df: DataFrame, scope: DataFrame) -> DataFr
 
     Where an order with a blank id is stored, its items belong to all of them.
     """
-    items = chain.cut(chain.purchase_items(), "poi_po", scope, "po_id")
+    items = chain.side("purchase_items", scope, "po_id")
     by_purchase = [("po_id", "poi_po")]
     sales_items = chain.blank_only(chain.order_items(), "soi_so")
     df = chain.join(

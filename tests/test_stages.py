@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from datetime import date, datetime
 
 import duckdb
@@ -14,6 +15,8 @@ from orderweave import jobs
 from orderweave.functions.windows import DateWindow, last_months
 from orderweave.operators.state import RollupState
 from orderweave.plans import Stages, po_tracking_month, so_tracking_inquiry
+from orderweave.plans.chain import Chain
+from orderweave.plans.stages import _BLOOM
 from orderweave.sinks import Target, with_source_text_dates
 from orderweave.sources import JdbcSource, Tables
 from orderweave.sources.predicates import hash_predicates, month_predicates, month_starts, read_predicates
@@ -44,6 +47,47 @@ def test_one_run_loads_what_four_runs_do(spark, tables, tmp_path):
     assert sum(name.startswith("linked") for name in stages._frames) == 1  # one set of headers for three datasets
 
 
+def test_one_run_reads_each_side_table_once(spark, tables, tmp_path, monkeypatch):
+    """Also where the ids are too many to be broadcast, and where they compare without case and trailing blanks."""
+    monkeypatch.setattr("orderweave.plans.stages._BLOOM", {**_BLOOM, next(iter(_BLOOM)): "0"})
+    read, filtered = Counter(), []
+
+    class Seen(Stages):
+        def stored(self, name, build):
+            def seen():
+                df = build()
+                if name.startswith("run-"):
+                    filtered.append("might_contain" in df._jdf.queryExecution().optimizedPlan().toString())
+                return df
+
+            return super().stored(name, seen)
+
+    def picked(chain, table, pick=Chain.pick, **names):
+        read[table] += 1
+        return pick(chain, table, **names)
+
+    untidy = lambda df: df.withColumns({c: F.when(F.length(c) % 2 == 0, F.concat(F.lower(c), F.lit(" "))).otherwise(F.col(c)) for c, kind in df.dtypes if kind == "string" and c.startswith("sz") and c.endswith("oId")})
+    padded = Tables(spark, lambda name: untidy(tables[name])).with_padded_keys(ignore_case=True)
+    targets = {name: Target(path=str(tmp_path / "all" / name)) for name in jobs.TARGETS}
+    stages = Seen(spark, window=last_months(DAY, 3))
+    before = [spark.conf.get(key) for key in _BLOOM]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with monkeypatch.context() as counted:
+            counted.setattr(Chain, "pick", picked)
+            jobs.run_all(padded, DAY, targets, stages=stages)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    for name in "sales_order_item bonus_source delivery_confirmation delivery_confirmation_item delivery_note delivery_note_item transfer_log cancel_log approval approval_item".split():
+        assert read[name] == 1, (name, read)
+    assert any(filtered) and [spark.conf.get(key) for key in _BLOOM] == before
+    for name, target in targets.items():
+        alone = Target(path=str(tmp_path / "alone" / name))
+        jobs.load(jobs.build(padded, name, DAY), alone)
+        together, alone = target.read(spark), alone.read(spark)
+        assert together.count() == alone.count() and together.exceptAll(alone).isEmpty()
+
+
 def test_ids_of_a_wide_window_cut_nothing(spark, tables):
     """Its ids are nearly all there are: no side table is shuffled to be cut by them. Those of a week cut."""
     semi = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("LeftSemi")
