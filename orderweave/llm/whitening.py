@@ -240,6 +240,8 @@ def _quotient_iteration(v: np.ndarray, shift: float, start: np.ndarray, found: n
             vector = np.linalg.solve(v - at * identity, vector)
         except np.linalg.LinAlgError:  # the shift is an eigenvalue to the last bit
             vector = np.linalg.solve(v - (at + rounding) * identity, vector)
+        # by a power of two, so exactly: a shift within a few bits of an eigenvalue makes the entries huge, and their squares overflow
+        vector = np.ldexp(vector, -np.frexp(np.abs(vector).max())[1])
         vector = vector - found.T @ (found @ vector)
         vector = vector / np.linalg.norm(vector)
         value = float(vector @ v @ vector)
