@@ -10,6 +10,7 @@ from ..functions.nulls import (
     date_or_default,
     date_or_parts,
     flag_or_false,
+    is_blank,
     not_empty,
     number_or_zero,
     text_or_default,
@@ -24,8 +25,10 @@ from .chain import Chain
 from .spine import (
     absent,
     both_headers,
+    by_order,
     headers,
     order_ids_in_window,
+    sales_lines,
     with_products,
     with_purchase_items,
     with_sales_items,
@@ -34,6 +37,11 @@ from .stages import Stages
 
 LEVELS = (1, 2, 3)
 
+# Right sides' own keys, which nothing needs once the documents are looked up.
+FOUND_KEYS = (
+    "cust_id", "gd1_id", "gd2_id", "gd3_id", "gd_id", "closed_dn", "transfer_so", "cancel_so", "receipt_po", "old_do", "do_invoice"
+)
+
 # Columns of the shared frames that each dataset does not need.
 UNUSED_BY_INQUIRY = frozenset(
     "so_customer so_type so_do soi_units do_carrier do_vehicle do_driver do_created".split()
@@ -171,9 +179,9 @@ def so_tracking_inquiry(
         name = stages.name("inquiry", window)
         both = both_headers(chain, window)
         stages.together(lambda: _scoped_deliveries(chain, both, "si_do", name), lambda: _scoped_approvals(chain, both, name))
-        looked_up = chain.stored(f"documents-{name}", lambda: _documents(chain, both, replacements, None, name))
+        looked_up = chain.stored(f"documents-{name}", lambda: _documents(chain, both, replacements, None, name).drop(*FOUND_KEYS))
         documents = [looked_up.where("linked"), looked_up.where("not linked").drop("has_bought", "poi_po")]
-        dated = documents
+        dated = documents if stages.cuts(both) else [stages.mark_wide(df) for df in documents]
     rows = [
         _inquiry_rows(chain, df, scope, window, bonus_floor, replacement_items, kind, name)
         for df, scope, kind in zip(documents, dated, (True, False), strict=True)
@@ -206,10 +214,15 @@ def _inquiry_rows(
 ) -> DataFrame:
     c = F.col
     if with_sales_order:
+        if chain.stages is not None:
+            df = df.repartition("si_so")  # else dealt by order and delivery first
         confirmations = chain.side("confirmations", dated, "si_so")
         df = chain.join(df, confirmations, [("si_so", "delv_so"), ("do_id", "delv_do")])
-        orders = order_ids_in_window(chain, window, dated)
-        df = with_sales_items(chain, df, orders)
+        orders = order_ids_in_window(chain, window, dated) if chain.stages is None or chain.stages.cuts(dated) else None
+        items = chain.order_items(orders)
+        if chain.stages is not None:  # from here on every join is by sales order
+            items = with_products(chain, items, "soi_product")
+        df = with_sales_items(chain, df, orders, items)
         discounted = chain.orders_since(bonus_floor, orders)
         df = chain.join_bonuses(df, chain.bonuses(discounted), "si_so")
         df = chain.join(
@@ -221,9 +234,12 @@ def _inquiry_rows(
         # No confirmation and no discount of this dataset is without a sales order.
         df = absent(df, delv_out="timestamp_ntz", delv_so=chain.tables.text, dlv_qty="int")
         df = with_purchase_items(chain, df, dated)
-    df = _with_item_documents(chain, df, replacement_items, dated, name)
     side = "soi" if with_sales_order else "poi"
-    df = with_products(chain, df, f"{side}_product")
+    if with_sales_order and chain.stages is not None:
+        df = _with_documents_by_order(chain, df, replacement_items, dated, orders, name)
+    else:
+        df = _with_item_documents(chain, df, replacement_items, dated, name)
+        df = with_products(chain, df, f"{side}_product")
 
     taxed = (c(f"{side}_taxable"), c(f"{side}_net"), c(f"{side}_tax"))
     if with_sales_order:
@@ -324,6 +340,20 @@ def _with_item_documents(chain: Chain, df: DataFrame, replacement_items: DataFra
     return with_replacement_items(chain, df, replacement_items)
 
 
+def _with_documents_by_order(chain: Chain, df: DataFrame, replacement_items: DataFrame, documents: DataFrame, orders: DataFrame | None, name: str) -> DataFrame:
+    """The same for the items of stored documents with a sales order; the wide rows stay where their order is."""
+    # where the note is missing the quantity is zero anyway
+    noted = documents.withColumn("si_dn", F.when(~is_blank(F.col("dn_id")), F.col("si_dn")))
+    lines = chain.stored(f"lines-{name}", lambda: sales_lines(chain, noted, orders, "si_dn", "invoice_id", "new_invoice"))
+    note_items = chain.side("delivery_note_items", documents, "si_dn")
+    invoice_items = chain.side("invoice_items", _scoped_deliveries(chain, documents, "si_do", name), "do_invoice")
+    df = by_order(chain, df, lines, note_items, [("si_dn", "dni_dn"), ("soi_product", "dni_product")], f"noted-{name}")
+    on = [("invoice_id", "item_invoice"), ("soi_product", "item_product"), ("soi_type", "item_type")]
+    df = by_order(chain, df, lines, invoice_items, on, f"invoiced-{name}")
+    on = [("new_invoice", "newitem_invoice"), ("soi_product", "newitem_product")]
+    return by_order(chain, df, lines, replacement_items, on, f"replaced-items-{name}")
+
+
 def so_tracking_no_inquiry(
     tables: Tables, window: DateWindow, *, salts: int | None = None, stages: Stages | None = None
 ) -> DataFrame:

@@ -219,16 +219,39 @@ def is_bought() -> Column:
     return F.col("poi_type").isin(*BOUGHT)
 
 
-def with_sales_items(chain: Chain, df: DataFrame, scope: DataFrame | None) -> DataFrame:
+def with_sales_items(chain: Chain, df: DataFrame, scope: DataFrame | None, items: DataFrame | None = None) -> DataFrame:
     """Items of the matched sales order: sold ones, or all if the purchase order has a bought one.
 
-    `scope`, if given, holds the ids of all orders that can match.
+    `scope`, if given, holds the ids of all orders that can match; `items` may be the order items with more columns, or fewer.
     """
-    items = chain.order_items(scope)
+    items = chain.order_items(scope) if items is None else items
     df = chain.join(df, items, [("si_so", "soi_so")], only_if="so_id is not null")
     return df.where(is_sold() | F.col("has_bought"))
 
 
+def sales_lines(chain: Chain, documents: DataFrame, scope: DataFrame | None, *ids: str) -> DataFrame:
+    """The products of the sales items of stored documents, with nothing but the order's id and some more ids of the document."""
+    narrow = documents.select("si_so", "so_id", "has_bought", *ids).distinct()
+    items = chain.order_items(scope).select("soi_so", "soi_product", "soi_type")
+    return with_sales_items(chain, narrow, scope, items).select("si_so", *ids, "soi_product", "soi_type").where("soi_product is not null").distinct()
+
+
+def by_order(chain: Chain, df: DataFrame, lines: DataFrame, side: DataFrame, on: list[tuple[str, str]], name: str) -> DataFrame:
+    """The left join of a side table to item rows that are dealt by order, without moving them.
+
+    The narrow `lines` of the same rows meet the side table, and what they find, stored, comes back by order.
+    """
+    keys = ["si_so", *[left for left, _ in on]]
+
+    def build() -> DataFrame:
+        wanted = lines.select(*keys).where(F.col(on[0][0]).isNotNull()).distinct()
+        found = chain.join(wanted, side, on, "inner", spread=True)
+        values = [c for c in side.columns if c not in dict(on).values()]
+        return found.select(*[F.col(k).alias(f"{on[0][1]}_{k}") for k in keys], *values)
+
+    return chain.join(df, chain.stored(name, build), [(k, f"{on[0][1]}_{k}") for k in keys])
+
+
 def with_purchase_items(chain: Chain, df: DataFrame, scope: DataFrame) -> DataFrame:
     """Items for inquiries without a sales order; `scope` are their headers.
 

@@ -98,6 +98,41 @@ def test_ids_of_a_wide_window_cut_nothing(spark, tables):
         assert staged.count() == plain.count() and staged.exceptAll(plain).isEmpty()
 
 
+def test_item_rows_of_stored_headers_are_dealt_by_order_once(spark, tables):
+    """What notes and invoices have for them comes to their order; the wide rows, and their DISTINCT, are not shuffled again."""
+    window = DateWindow("1990-01-01", "2040-01-01")
+
+    def dealt(df, *keys):
+        """How often rows are dealt by each of the keys, and by more than ten columns."""
+        exchanges = [line.split("Exchange hashpartitioning(")[1] for line in df._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning(" in line]
+        return [sum(by.startswith(key) for by in exchanges) for key in keys]
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        inquiry = so_tracking_inquiry(tables, window, stages=Stages(spark))
+        # one each for inquiries without an order, which are not dealt by it
+        assert dealt(inquiry, "si_dn#", "coalesce(invoice_id#") == [1, 1]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    for staged, plain in ((inquiry, so_tracking_inquiry(tables, window)),):
+        assert staged.count() == plain.count() > 0
+        assert staged.exceptAll(plain).isEmpty()
+
+
+def test_a_stored_stage_leaves_no_shuffle_files(spark):
+    files = lambda: {f.getName() for f in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()) if f.getName().startswith("shuffle_")}
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = files(), spark.conf.get(setting)
+    stages = Stages(spark)
+    counted = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    twice = stages.together(*[lambda name=name: stages.stored(name, lambda: counted.repartition(3, "k")) for name in ("one", "two")])
+    assert [df.count() for df in twice] == [7, 7]
+    assert spark.conf.get(setting) == before[1]
+    stages.stored("three", lambda: counted)
+    found = {f.split("_")[1] for f in files() - before[0]}
+    assert len(found) <= 2  # of the two counts
+
+
 def test_a_clean_month_has_no_salts_and_filtered_sides(spark, tables):
     window = DateWindow("2024-12-01", "2025-01-01", closed=True)
     physical = lambda df: df._jdf.queryExecution().executedPlan().toString()
