@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import business as b
-from ..functions.nulls import date_or_default, flag_or_false, number_or_zero, text_or_default
+from ..functions.nulls import date_or_default, flag_or_false, is_blank, number_or_zero, text_or_default
 from ..functions.windows import DateFloor, DateWindow
 from ..operators.joins import flag_states, surviving_flags
 from ..sources import Tables
@@ -14,7 +14,9 @@ from .chain import Chain
 from .stages import Stages
 from .spine import (
     absent,
+    by_order,
     headers,
+    sales_lines,
     stored_headers,
     with_products,
     with_purchase_items,
@@ -33,6 +35,12 @@ UNUSED = frozenset(
     " poi_tax poi_net poi_discount poi_price poi_taxable receipt_id receipt_created".split()
 )
 
+# What is left to do on the headers of the quarter dataset needs of them.
+KEPT = tuple(
+    "si_so si_po si_dn si_customer so_id so_customer_po so_created so_ordered po_created has_bought receipt_date delv_no delv_out"
+    " cust_name category_name dn_id dn_updated cl_applied rejected canceled transfer_time".split()
+)
+
 
 def _in_channels(chain: Chain, channels: tuple[str, ...]) -> DataFrame:
     return chain.customers().where(F.col("category_name").isin(*channels))
@@ -169,6 +177,21 @@ def _month_rows(
     return df.select([value.alias(name) for name, value in columns.items()]).distinct()
 
 
+def _on_kept(chain: Chain, kept: DataFrame, name: str, window: DateWindow) -> Chain:
+    """A chain for what is left to do on stored headers: their orders and notes, few or many, cut the side tables before these are shuffled."""
+
+    def ids(column: str) -> DataFrame:
+        return kept.select(F.col(column).alias("run_id")).where("run_id is not null").distinct()
+
+    stages = chain.stages
+    kinds = {kind: chain.stored(f"ids-{kind}-{name}", lambda column=column: ids(column)) for kind, column in (("order", "si_so"), ("note", "si_dn"))}
+    within = Chain(chain.tables, chain.salts, chain.unused, stages.within(name, window, kinds))
+    with stages.bloom_filters():
+        sides = ("orders", "order_lines", "bonus_source", "delivered_items", "delivery_note_items")
+        stages.together(*[lambda side=side: within.side(side) for side in sides])
+    return within
+
+
 def po_tracking_by_delivery(
     tables: Tables,
     window: DateWindow,
@@ -199,8 +222,17 @@ def po_tracking_by_delivery(
     df = not_canceled(chain, df, False, dated)
     transfers = chain.side("transfers", dated, "si_so")
     df = chain.join(df, transfers, [("si_so", "transfer_so")])
-    scope = confirmations.select(F.col("delv_so").alias("scope_so"))
-    df = with_sales_items(chain, df, scope)
+    if stages is not None and stages.run_ids is None and not stages.cuts(dated):
+        name = stages.name(f"quarter {delivered.start} {delivered.end} {'closed' if delivered.closed else 'open'} {' '.join(channels)}", window)
+        kept = df = chain.stored(name, lambda plan=df.select(*KEPT): plan)
+        chain = _on_kept(chain, kept, name, window)
+    else:
+        kept = None
+    scope = confirmations.select(F.col("delv_so").alias("scope_so")) if kept is None else kept.select(F.col("si_so").alias("scope_so"))
+    items = chain.order_items(scope)
+    if kept is not None:  # from here on every join is by sales order
+        items = with_products(chain, items, "soi_product")
+    df = with_sales_items(chain, df, scope, items)
     df = chain.join(
         df,
         chain.delivered(scope),
@@ -209,13 +241,14 @@ def po_tracking_by_delivery(
     discounted = chain.orders_since(bonus_floor, scope)
     df = chain.join_bonuses(df, chain.bonuses(discounted), "si_so")
     # By the inquiry's note id: where the note is missing the quantity is zero anyway.
-    df = chain.join(
-        df,
-        chain.side("delivery_note_items", dated, "si_dn"),
-        [("si_dn", "dni_dn"), ("soi_product", "dni_product")],
-        spread=True,
-    )
-    df = with_products(chain, df, "soi_product")
+    by_note = [("si_dn", "dni_dn"), ("soi_product", "dni_product")]
+    note_items = chain.side("delivery_note_items", dated, "si_dn")
+    if kept is None:
+        df = chain.join(df, note_items, by_note, spread=True)
+        df = with_products(chain, df, "soi_product")
+    else:
+        noted = kept.withColumn("si_dn", F.when(~is_blank(F.col("dn_id")), F.col("si_dn")))
+        df = by_order(chain, df, sales_lines(chain, noted, scope, "si_dn"), note_items, by_note, "noted")
 
     columns = _shared_columns(with_sales_order=True)
     del columns["qty_order"]

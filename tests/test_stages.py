@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from orderweave import jobs
 from orderweave.functions.windows import DateWindow, last_months
 from orderweave.operators.state import RollupState
-from orderweave.plans import Stages, po_tracking_month, so_tracking_inquiry
+from orderweave.plans import Stages, po_tracking_by_delivery, po_tracking_month, so_tracking_inquiry
 from orderweave.plans.chain import Chain
 from orderweave.plans.stages import _BLOOM
 from orderweave.sinks import Target, with_source_text_dates
@@ -112,13 +112,38 @@ def test_item_rows_of_stored_headers_are_dealt_by_order_once(spark, tables):
         inquiry = so_tracking_inquiry(tables, window, stages=Stages(spark))
         # one each for inquiries without an order, which are not dealt by it
         assert dealt(inquiry, "si_dn#", "coalesce(invoice_id#") == [1, 1]
+        quarter = po_tracking_by_delivery(tables, window, window, stages=Stages(spark))
+        assert dealt(quarter, "si_dn#", "soi_product#") == [0, 1]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    for staged, plain in ((inquiry, so_tracking_inquiry(tables, window)),):
+    for staged, plain in (
+        (inquiry, so_tracking_inquiry(tables, window)),
+        (quarter, po_tracking_by_delivery(tables, window, window)),
+    ):
         assert staged.count() == plain.count() > 0
         assert staged.exceptAll(plain).isEmpty()
 
 
+def test_orders_that_no_kept_header_names_are_cut_before_the_shuffle(spark, tables):
+    """Of a wide window too: items and discounts of customers in no channel are not stored."""
+    window = DateWindow("1990-01-01", "2040-01-01")
+    built = {}
+
+    class Seen(Stages):
+        def within(self, *arguments):
+            built["inner"] = super().within(*arguments)
+            return built["inner"]
+
+    po_tracking_by_delivery(tables, window, window, stages=Seen(spark))
+    frames = built["inner"]._frames
+    kept = {r[0] for r in built["inner"].run_orders.collect()}
+    whole = Chain(tables)
+    for name, key in (("order_lines", "soi_so"), ("bonus_source", "szFSoId"), ("delivered_items", "custOrderNo")):
+        found = sorted(r[0] for r in frames[f"run-{name}"].select(key).collect())
+        assert found == sorted(r[0] for r in getattr(whole, name)().select(key).collect() if r[0] in kept)
+        assert len(found) < getattr(whole, name)().count()
+
+
 def test_a_stored_stage_leaves_no_shuffle_files(spark):
     files = lambda: {f.getName() for f in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()) if f.getName().startswith("shuffle_")}
     setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
