@@ -237,6 +237,23 @@ def test_line_ranks_are_in_suffix_order():
     assert len({a for _, a in seen}) > 100
 
 
+def test_line_ranks_are_a_whole_suffix_array(spark):
+    """Doubling goes on past `DEPTH`: two suffixes have one rank only if they are equal to the ends of their texts."""
+    rng = __import__("random").Random(11)
+    shared = [f"shared {rng.randrange(4)}" for _ in range(100)]
+    rows = [(k, "\n".join(shared[k % 7 :] + [f"own {k}"])) for k in range(12)]  # 90 and more lines in common
+    rows += [(20, rows[3][1]), (21, "\n".join(["hot"] * 70)), (22, "\n".join(["hot"] * 41 + ["end"])), (23, None), (24, "hot\n\nhot")]
+    found = {r["row"]["doc_id"]: r["ranks"] for r in lines.without_repeated_runs(spark.createDataFrame([*rows, (None, "hot\nhot")], "doc_id long, text string"), chunk_bytes=4000).collect()}
+    assert found.pop(None) is None and found[23] == []
+    split = {i: [line for line in (t or "").split("\n") if line] for i, t in rows}
+    assert {i: len(r) for i, r in found.items()} == {i: len(t) for i, t in split.items()}
+    suffixes = sorted((rank, tuple(split[i][j:])) for i, r in found.items() for j, rank in enumerate(r))
+    firsts = list(dict.fromkeys(s[0] for _, s in suffixes))  # the order of single lines
+    assert sum(a[1][0] != b[1][0] for a, b in zip(suffixes, suffixes[1:], strict=False)) == len(firsts) - 1
+    ordered = [(rank, [firsts.index(line) for line in s]) for rank, s in suffixes]
+    assert all((a[0] < b[0] and a[1] < b[1]) or a == b for a, b in zip(ordered, ordered[1:], strict=False))
+
+
 def test_column_names_with_dots(spark):
     from orderweave.llm import decontaminate, minhash, quality
 
