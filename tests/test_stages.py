@@ -98,7 +98,7 @@ def test_ids_of_a_wide_window_cut_nothing(spark, tables):
         assert staged.count() == plain.count() and staged.exceptAll(plain).isEmpty()
 
 
-def test_item_rows_of_stored_headers_are_dealt_by_order_once(spark, tables):
+def test_item_rows_of_stored_headers_are_dealt_by_order_once(spark, tables, tmp_path):
     """What notes and invoices have for them comes to their order; the wide rows, and their DISTINCT, are not shuffled again."""
     window = DateWindow("1990-01-01", "2040-01-01")
 
@@ -109,7 +109,9 @@ def test_item_rows_of_stored_headers_are_dealt_by_order_once(spark, tables):
 
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        inquiry = so_tracking_inquiry(tables, window, stages=Stages(spark))
+        inquiry = so_tracking_inquiry(tables, window, stages=Stages(spark, folder=str(tmp_path / "stages")))
+        stored = {path.name.split("-")[0] for path in (tmp_path / "stages").iterdir()}
+        assert {"documents", "lines", "noted"} <= stored and "approved" not in stored  # the headers half looked up are gone
         # one each for inquiries without an order, which are not dealt by it
         assert dealt(inquiry, "si_dn#", "coalesce(invoice_id#") == [1, 1]
         quarter = po_tracking_by_delivery(tables, window, window, stages=Stages(spark))
