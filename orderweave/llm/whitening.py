@@ -22,7 +22,8 @@ neither have vectors of another length than the most frequent one (the longer of
 equally frequent), empty ones included. Entries beyond a long become the nearest long.
 Repeated rows are fitted once and returned each. Components whose eigenvalue is not above
 rounding (fewer distinct vectors than components, constant dimensions) are left out.
-`deviation` is null where the exact sum exceeds a long. Only the columns named are read.
+`deviation` is null where the exact sum exceeds a long, and everywhere if the fit list has
+an entry at an end of a long's range, as the sums are then not those of the vectors. Only the columns named are read.
 """
 
 from __future__ import annotations
@@ -91,31 +92,32 @@ def _whole(vectors: DataFrame, vec_id: str, vector: str) -> DataFrame:
     return rows.mapInArrow(pack, f"vec_id {rows.schema['vec_id'].dataType.simpleString()}, dimensions long, x binary")
 
 
-def _sums(distinct: DataFrame, dimensions: int) -> tuple[int, list[int]]:
-    """How many vectors there are, and the exact sum of each dimension."""
+def _sums(distinct: DataFrame, dimensions: int) -> tuple[int, list[int], bool]:
+    """How many vectors there are, the exact sum of each dimension, and whether no entry is at an end of a long's range."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, total = 0, [0] * dimensions
+        n, total, ends = 0, [0] * dimensions, 0
         for batch in batches:
             if not batch.num_rows:
                 continue
             x = _unpacked(batch.column("x"), dimensions)
             n += len(x)
+            ends += int(((x == _LONG[0]) | (x == _LONG[1])).sum())
             safe = int(np.abs(x.astype(float)).max()) * len(x) < 1 << 62
             total = [a + b for a, b in zip(total, (x.sum(0) if safe else x.astype(object).sum(0)).tolist(), strict=True)]
-        places = [-1, *range(dimensions)]
-        yield pa.RecordBatch.from_arrays([pa.array(places, pa.int64()), pa.array([str(v) for v in [n, *total]])], names=["place", "total"])
+        places = [-2, -1, *range(dimensions)]
+        yield pa.RecordBatch.from_arrays([pa.array(places, pa.int64()), pa.array([str(v) for v in [ends, n, *total]])], names=["place", "total"])
 
     rows = distinct.mapInArrow(add, "place long, total string").groupBy("place").agg(F.sum(F.col("total").cast("decimal(38,0)")).alias("total"))
-    found = {r["place"]: int(r["total"]) for r in rows.collect()}  # dimensions + 1 rows
-    return found.get(-1, 0), [found.get(k, 0) for k in range(dimensions)]
+    found = {r["place"]: int(r["total"]) for r in rows.collect()}  # dimensions + 2 rows
+    return found.get(-1, 0), [found.get(k, 0) for k in range(dimensions)], not found.get(-2, 0)
 
 
 class Centre:
     """The mean S/n of whole vectors, kept as a whole part and a rest, so that deviations lose nothing."""
 
-    def __init__(self, n: int, sums: list[int]):
-        self.n, self.sums = n, sums
+    def __init__(self, n: int, sums: list[int], exact: bool = True):
+        self.n, self.sums, self.exact = n, sums, exact
         self._whole = np.array([s // n for s in sums], np.int64)
         self._rest = np.array([(s % n) / n for s in sums])
 
@@ -126,6 +128,8 @@ class Centre:
 
     def squares(self, x: np.ndarray) -> list[int | None]:
         """sum((n * x - S) ** 2), exactly."""
+        if not self.exact:
+            return [None] * len(x)
         most = max(int(np.abs(x.astype(float)).max(initial=0)) * self.n, max(map(abs, self.sums), default=0))
         exact = x if 4 * (most + 1) ** 2 * max(len(self.sums), 1) < _LONG[1] else x.astype(object)
         found = ((self.n * exact - np.array(self.sums, exact.dtype)) ** 2).sum(1).tolist()
@@ -267,8 +271,8 @@ def whitened(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embeddin
     dimensions = usual["dimensions"]
     rows = rows.where(F.col("dimensions") == dimensions)
     distinct = written(rows.select("x").distinct())
-    n, sums = _sums(distinct, dimensions)
-    centre = Centre(n, sums)
+    n, sums, exact = _sums(distinct, dimensions)
+    centre = Centre(n, sums, exact)
     v = _products(distinct, dimensions, centre.deviations)
     values, axes = leading(v, components)
     if not len(values):
